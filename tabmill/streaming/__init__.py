@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analysis this library re-expresses is batch only: it has no streams, watermarks,
+windows over event time or stateful operators.  Nothing is built here on purpose;
+batch operators in :mod:`tabmill.operators` can be applied per micro-batch with
+``foreachBatch`` if a caller needs it.
+"""
