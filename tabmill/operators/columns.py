@@ -124,16 +124,24 @@ def kept_column_names(df: DataFrame, max_share: float, id_col: str | None = "id"
 
 
 def non_constant_columns(df: DataFrame, cols: Iterable[str] | None = None) -> list[str]:
-    """Columns with at least two distinct non-null values.
+    """Columns with at least two distinct values, NULL counting as a value.
 
-    ``min <> max`` per column in one aggregate: exact, mergeable, and without the
-    shuffle a ``count(distinct)`` per column would cost.
+    ``min <> max``, or some but not all values NULL -- per column in one aggregate:
+    exact, mergeable, and without the shuffle a ``count(distinct)`` per column costs.
     """
     cols = list(cols) if cols is not None else df.columns
     if not cols:
         return []
-    row = df.agg(*[(F.min(c) != F.max(c)).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c]]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(cols):
+        aggs += [(F.min(c) != F.max(c)).alias(f"_d{i}"), F.count(c).alias(f"_n{i}")]
+    row = df.agg(*aggs).first()
+    out = []
+    for i, c in enumerate(cols):
+        nonnull = row[f"_n{i}"]
+        if row[f"_d{i}"] or (0 < nonnull < row["_rows"]):
+            out.append(c)
+    return out
 
 
 def drop_constant_cols(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:

@@ -63,3 +63,96 @@ def q_accuracy(spark, d):
 def q_kappa(spark, d):
     p = risk.rule_predictions(spark, d)
     return mt.kappa_from_confusion(mt.confusion_matrix(p))
+
+# ---------------------------------------------------------------- columns, rows, windows
+
+from ..functions.names import clean_names  # noqa: E402
+from ..functions.strings import str_remove_first_digit  # noqa: E402
+from ..operators import categorical as cat  # noqa: E402
+from ..operators import clean  # noqa: E402
+from ..operators import columns as co  # noqa: E402
+from ..sources import fixtures  # noqa: E402
+
+_NOMINAL = ["sex_code_text", "ethnic_code_text", "date_of_birth", "custody_status", "marital_status", "score_text"]
+
+
+@query("select_cols", with_tables(["assessments"], f"select {', '.join(risk.GOOD_COLS)} from assessments"))
+def q_select_cols(spark, d):
+    return co.select_cols(risk.load(spark, d), risk.GOOD_COLS)
+
+
+@query("drop_cols", with_tables(["assessments"], """
+select * exclude (assessment_id, display_text, person_id) from assessments
+"""))
+def q_drop_cols(spark, d):
+    return co.drop_cols(risk.load(spark, d), "assessment_id", "display_text", "person_id")
+
+
+@query("rename_cols", with_tables(["assessments"], """
+select * exclude (display_text, score_text), display_text as task, score_text as truth from assessments
+"""))
+def q_rename_cols(spark, d):
+    return co.rename_cols(risk.load(spark, d), {"display_text": "task", "score_text": "truth"})
+
+
+@query("unique_key_check", with_tables(["assessments"], """
+select display_text, cast(sum(n) as bigint) as n_rows, cast(count(*) as bigint) as n_keys,
+  cast(sum(case when n > 1 then 1 else 0 end) as bigint) as n_duplicated_keys
+from (select display_text, assessment_id, count(*) as n from assessments group by all) group by display_text
+"""))
+def q_unique_key_check(spark, d):
+    return co.key_check(risk.load(spark, d), ["assessment_id"], ["display_text"])
+
+
+@query("arrange_person", with_tables(["assessments"], """
+select * from assessments where display_text = 'Risk of Violence' order by person_id
+"""))
+def q_arrange_person(spark, d):
+    return risk.task_slice(risk.load(spark, d), "Risk of Violence").orderBy("person_id")
+
+
+@query("str_remove_first", with_tables(["assessments"], """
+select distinct display_text || cast(scale_set as varchar) as numbered,
+  regexp_replace(display_text || cast(scale_set as varchar), '[0-9]', '') as task
+from assessments
+"""))
+def q_str_remove_first(spark, d):
+    numbered = F.concat(F.col("display_text"), F.col("scale_set").cast("string"))
+    return risk.load(spark, d).select(numbered.alias("numbered"),
+                                      str_remove_first_digit(numbered).alias("task")).distinct()
+
+
+@query("nth_row_per_group", with_tables(["assessments_named"], """
+select * exclude (rn) from (select *, row_number() over (partition by assessment_id order by scale_set) as rn
+                            from assessments_named) where rn = 2
+"""))
+def q_nth_row(spark, d):
+    return clean.nth_row_per_group(clean_names(fixtures.raw_assessments(spark, d)), ["assessment_id"],
+                                   ["scale_set"], 2)
+
+
+@query("risk_dataset_nth", with_tables(["risk_nth2"], "select * from risk_nth2"))
+def q_risk_dataset_nth(spark, d):
+    return clean.nth_row_dataset(clean_names(fixtures.raw_assessments(spark, d)), 2, risk.LEVEL_FILTERS)
+
+
+@query("factor_levels", with_tables(["assessments"], f"""
+select display_text as task, "column", level, cast(count(*) as bigint) as n
+from (unpivot (select display_text, {", ".join(_NOMINAL)} from assessments)
+      on {", ".join(_NOMINAL)} into name "column" value level)
+group by all
+"""))
+def q_factor_levels(spark, d):
+    df = risk.load(spark, d).withColumnRenamed("display_text", "task")
+    return cat.level_counts(df, _NOMINAL, ["task"])
+
+
+@query("factor_levels_after_filter", with_tables(["risk_filtered"], f"""
+select display_text as task, "column", level, cast(count(*) as bigint) as n
+from (unpivot (select display_text, {", ".join(_NOMINAL)} from risk_filtered)
+      on {", ".join(_NOMINAL)} into name "column" value level)
+group by all
+"""))
+def q_factor_levels_after_filter(spark, d):
+    df = risk.filter_levels(risk.load(spark, d)).withColumnRenamed("display_text", "task")
+    return cat.level_counts(df, _NOMINAL, ["task"])

@@ -97,3 +97,79 @@ from (
   on a.task = b.task and a.model = b.model
 ) t
 """)
+
+AGE_BUCKET_SQL = """case when age >= 25 and age <= 45 then '25 to 45' when age < 25 then 'Younger than 25'
+       when age > 45 then 'Older than 45' end"""
+AGE_SQL = """2014 - try_cast(regexp_replace(cast(year(coalesce(try_strptime(date_of_birth, '%m/%d/%y'),
+        try_strptime(date_of_birth, '%m/%d/%Y'))) as varchar), '^20', '19') as double)"""
+
+define("assessments_named", ["assessments_raw"], """
+select "Person_ID" as person_id, "AssessmentID" as assessment_id, "ScaleSet" as scale_set,
+  "Sex_Code_Text" as sex_code_text, "Ethnic_Code_Text" as ethnic_code_text, "DateOfBirth" as date_of_birth,
+  "CustodyStatus" as custody_status, "DisplayText" as display_text,
+  "MaritalStatus" as marital_status, "ScoreText" as score_text
+from assessments_raw
+""")
+
+define("risk_nth2", ["assessments_named"], f"""
+select assessment_id, scale_set, sex_code_text, ethnic_code_text,
+  {AGE_BUCKET_SQL} as date_of_birth, custody_status, display_text, marital_status, score_text
+from (select *, {AGE_SQL} as age,
+        row_number() over (partition by assessment_id order by scale_set) as rn
+      from assessments_named) t
+where rn = 2
+  and ethnic_code_text in ('African-American', 'Caucasian', 'Hispanic')
+  and custody_status in ('Jail Inmate', 'Probation', 'Pretrial Defendant')
+  and marital_status in ('Single', 'Married')
+""")
+
+# ------------------------------------------------------------------ houses
+
+define("houses_named", ["houses_raw"], """
+select "Id" as id, "SalePrice" as sale_price, "GrLivArea" as gr_liv_area, "LotFrontage" as lot_frontage,
+  "OverallQual" as overall_qual, "MoSold" as mo_sold, "YrSold" as yr_sold, "MSSubClass" as ms_sub_class,
+  "Neighborhood" as neighborhood, "GarageType" as garage_type, "Street" as street, "PoolQC" as pool_qc,
+  "Utilities" as utilities
+from houses_raw
+""")
+
+define("houses_typed", ["houses_named"], """
+select id, sale_price, gr_liv_area, lot_frontage, cast(overall_qual as varchar) as overall_qual,
+  cast(mo_sold as varchar) as mo_sold, cast(yr_sold as varchar) as yr_sold, ms_sub_class, neighborhood,
+  garage_type, street, pool_qc, utilities
+from houses_named
+""")
+
+HOUSE_FACTORS = ["overall_qual", "mo_sold", "yr_sold", "ms_sub_class", "neighborhood", "garage_type", "street",
+                 "utilities"]
+_not_null = " and ".join(f"{c} is not null" for c in ["sale_price", "gr_liv_area", "lot_frontage"] + HOUSE_FACTORS)
+
+define("houses_complete", ["houses_typed"], f"""
+select id, sale_price, gr_liv_area, lot_frontage, {", ".join(HOUSE_FACTORS)}
+from houses_typed
+where {_not_null} and not isnan(gr_liv_area) and not isnan(lot_frontage) and not isnan(sale_price)
+""")
+
+_rare = ",\n  ".join(
+    f"case when cast(count(*) over (partition by {c}) as double) / count(*) over () > 0.1 then {c} else 'Other' end as {c}"
+    for c in HOUSE_FACTORS)
+define("houses_rare", ["houses_complete"], f"""
+select id, sale_price, gr_liv_area, lot_frontage,
+  {_rare}
+from houses_complete
+""")
+
+_dom = ",\n  ".join(
+    f"case when cast(count(*) over (partition by {c}) as double) / count(*) over () > 0.89 then 'Other' else {c} end as {c}"
+    for c in HOUSE_FACTORS)
+define("houses_lumped", ["houses_rare"], f"""
+select id, sale_price, gr_liv_area, lot_frontage,
+  {_dom}
+from houses_rare
+""")
+
+# the survivors of the single-level check at these tables' parameters
+HOUSE_KEPT_FACTORS = ["overall_qual", "yr_sold", "ms_sub_class", "neighborhood", "garage_type"]
+define("houses_clean", ["houses_lumped"], f"""
+select id, sale_price, gr_liv_area, lot_frontage, {", ".join(HOUSE_KEPT_FACTORS)} from houses_lumped
+""")

@@ -57,8 +57,10 @@ def persist_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a persisted table; pass the written ``schema`` so partition columns keep their type."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def csv_roundtrip(spark: SparkSession, df: DataFrame, infer: bool = False) -> DataFrame:
@@ -71,5 +73,5 @@ def csv_roundtrip(spark: SparkSession, df: DataFrame, infer: bool = False) -> Da
 def persist_roundtrip(spark: SparkSession, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     path = scratch_path(spark, "table")
     persist_table(df, path, partition_by)
-    out = load_table(spark, path)
+    out = load_table(spark, path, df.schema)
     return out.select(*df.columns)
