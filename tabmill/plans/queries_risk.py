@@ -156,3 +156,67 @@ group by all
 def q_factor_levels_after_filter(spark, d):
     df = risk.filter_levels(risk.load(spark, d)).withColumnRenamed("display_text", "task")
     return cat.level_counts(df, _NOMINAL, ["task"])
+
+# ---------------------------------------------------------------- recipe (trained preparation)
+
+from ..operators import recipe as rc  # noqa: E402
+from .sql import RISK_DUMMIES_SQL, RISK_KNOWN_SQL  # noqa: E402
+
+
+@query("recipe_filter", with_tables(["risk_split"], f"""
+select {', '.join(c for c in risk.GOOD_COLS)} from risk_split where set = 'train'
+"""))
+def q_recipe_filter(spark, d):
+    df = risk.split_frame(spark, d)
+    train = df.filter(F.col("set") == "train").drop("set")
+    return risk.recipe()._filtered(train, "train")
+
+
+@query("one_hot", with_tables(["risk_filtered"], f"""
+select assessment_id, display_text, score_text,
+  {RISK_DUMMIES_SQL}
+from risk_filtered
+"""))
+def q_one_hot(spark, d):
+    df = risk.filter_levels(risk.load(spark, d)).select(*risk.GOOD_COLS)
+    nominal = ["sex_code_text", "ethnic_code_text", "date_of_birth", "custody_status", "marital_status"]
+    levels = {k[0]: v for k, v in cat.level_dictionary(df, nominal).items()}
+    return rc.one_hot(df, levels).drop("person_id")
+
+
+@query("recipe_juice", with_tables(["risk_juiced"], "select * from risk_juiced"))
+def q_recipe_juice(spark, d):
+    return risk.prepared(spark, d)[1]
+
+
+@query("recipe_bake", with_tables(["risk_baked"], "select * from risk_baked"))
+def q_recipe_bake(spark, d):
+    return risk.prepared(spark, d)[2]
+
+
+@query("recipe_bake_all_tasks", with_tables(["risk_split"], f"""
+select assessment_id, t.task as display_text, score_text,
+  {RISK_DUMMIES_SQL}
+from risk_split
+cross join (select distinct display_text as task from risk_split where set = 'train') t
+where set = 'test' and {RISK_KNOWN_SQL}
+"""))
+def q_recipe_bake_all(spark, d):
+    return risk.prepared(spark, d, test_scope="all")[2]
+
+
+@query("risk_prep", with_tables(["risk_juiced"], """
+select * from risk_juiced where display_text = 'Risk of Failure to Appear'
+"""))
+def q_risk_prep(spark, d):
+    df = risk.task_slice(risk.split_frame(spark, d), "Risk of Failure to Appear")
+    train = df.filter(F.col("set") == "train").drop("set")
+    return risk.recipe().fit(train).juice(train)
+
+
+@query("risk_prep_all", with_tables(["risk_juiced", "risk_baked"], """
+select *, 'train' as set from risk_juiced union all select *, 'test' as set from risk_baked
+"""))
+def q_risk_prep_all(spark, d):
+    _, juiced, baked = risk.prepared(spark, d)
+    return juiced.withColumn("set", F.lit("train")).unionByName(baked.withColumn("set", F.lit("test")))

@@ -83,3 +83,25 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(TASK_COL).alias("task"), F.lit("rule").alias("model"), F.col("set"), F.col(KEY),
         F.col(TARGET).alias("truth"), rule_estimate().alias("estimate"),
     )
+
+
+def recipe(filter_on=("train", "test"), unseen: str = "drop"):
+    """Per-task preparation: trained level filter, level dictionaries, full one-hot of predictors."""
+    from ..operators.recipe import Recipe
+
+    return Recipe(target=TARGET, key=KEY, group=TASK_COL, exclude=["person_id"],
+                  filter=level_filter_condition(), filter_on=filter_on, unseen=unseen)
+
+
+def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept columns with the train/test tag (split on raw rows, before any task filter)."""
+    return split(load(spark, sf_dir).select(*GOOD_COLS))
+
+
+def prepared(spark: SparkSession, sf_dir: str, test_scope: str = "own", unseen: str = "drop"):
+    """(recipe model, juiced training rows, baked test rows) for all tasks in one pass."""
+    df = split_frame(spark, sf_dir)
+    train = df.filter(F.col("set") == "train").drop("set")
+    test = df.filter(F.col("set") == "test").drop("set")
+    model = recipe(unseen=unseen).fit(train)
+    return model, model.juice(train), model.bake(test, scope=test_scope)

@@ -173,3 +173,36 @@ HOUSE_KEPT_FACTORS = ["overall_qual", "yr_sold", "ms_sub_class", "neighborhood",
 define("houses_clean", ["houses_lumped"], f"""
 select id, sale_price, gr_liv_area, lot_frontage, {", ".join(HOUSE_KEPT_FACTORS)} from houses_lumped
 """)
+
+# ------------------------------------------------------------------ risk recipe (levels as learned at sf0.01)
+
+RISK_LEVELS = {
+    "sex_code_text": ["Female", "Male"],
+    "ethnic_code_text": ["African-American", "Caucasian", "Hispanic"],
+    "date_of_birth": ["25 to 45", "Older than 45", "Younger than 25"],
+    "custody_status": ["Jail Inmate", "Pretrial Defendant", "Probation"],
+    "marital_status": ["Married", "Single"],
+}
+
+
+def _slug(level: str) -> str:
+    import re
+    return re.sub(r"[^0-9a-zA-Z]+", "_", level).strip("_").lower()
+
+
+RISK_DUMMIES_SQL = ",\n  ".join(
+    f"cast({c} = '{lv}' as int) as {c}_{_slug(lv)}" for c, lvs in RISK_LEVELS.items() for lv in lvs)
+RISK_KNOWN_SQL = " and ".join(
+    f"{c} in ({', '.join(repr(v) for v in lvs)})" for c, lvs in RISK_LEVELS.items())
+
+define("risk_juiced", ["risk_split"], f"""
+select assessment_id, display_text, score_text,
+  {RISK_DUMMIES_SQL}
+from risk_split where set = 'train' and {RISK_KNOWN_SQL}
+""")
+
+define("risk_baked", ["risk_split"], f"""
+select assessment_id, display_text, score_text,
+  {RISK_DUMMIES_SQL}
+from risk_split where set = 'test' and {RISK_KNOWN_SQL}
+""")
