@@ -24,47 +24,67 @@ def confusion_matrix(pred: DataFrame, group: Iterable[str] = ("task", "model"),
     return pred.groupBy(*g, truth, estimate).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+def confusion_summary(conf: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
+                      estimate: str = "estimate") -> DataFrame:
+    """Per group: total, agreements and sum over classes of (row marginal x column marginal).
+
+    A linear chain over the small confusion frame (each cell emitted once as a row
+    share and once as a column share, summed per class, then per group): the
+    confusion frame is read once, with no self-join.
+    """
+    g = _g(group)
+    n = F.col("n")
+    agree = F.when(F.col(truth) == F.col(estimate), n).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    parts = conf.select(*g, F.inline(F.array(
+        F.struct(F.col(truth).alias("level"), n.alias("r"), zero.alias("c"), agree.alias("a")),
+        F.struct(F.col(estimate).alias("level"), zero.alias("r"), n.alias("c"), zero.alias("a")),
+    )))
+    per_level = parts.groupBy(*g, "level").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.sum("a").alias("a"))
+    return per_level.groupBy(*g).agg(
+        F.sum("r").alias("n_total"), F.sum("a").alias("n_agree"), F.sum(F.col("r") * F.col("c")).alias("rc"))
+
+
+def _accuracy(summary_cols=("n_agree", "n_total")) -> Column:
+    return F.col("n_agree") / F.col("n_total")
+
+
+def _kappa() -> Column:
+    nt = F.col("n_total").cast("double")
+    po = F.col("n_agree").cast("double") / nt
+    pe = F.col("rc").cast("double") / (nt * nt)
+    return F.try_divide(po - pe, F.lit(1.0) - pe)
+
+
 def accuracy_from_confusion(conf: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
                             estimate: str = "estimate") -> DataFrame:
     g = _g(group)
-    return conf.groupBy(*g).agg(
-        (F.sum(F.when(F.col(truth) == F.col(estimate), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
-    )
+    return confusion_summary(conf, g, truth, estimate).select(*g, _accuracy().alias("accuracy"))
 
 
 def kappa_from_confusion(conf: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
                          estimate: str = "estimate") -> DataFrame:
     """Multiclass Cohen's kappa (po - pe) / (1 - pe); NULL when pe = 1 (undefined)."""
     g = _g(group)
-    n = conf.groupBy(*g).agg(
-        F.sum("n").alias("n_total"),
-        F.sum(F.when(F.col(truth) == F.col(estimate), F.col("n")).otherwise(0)).alias("n_agree"),
-    )
-    rows = conf.groupBy(*g, F.col(truth).alias("level")).agg(F.sum("n").alias("r"))
-    cols = conf.groupBy(*g, F.col(estimate).alias("level")).agg(F.sum("n").alias("c"))
-    pe_num = rows.join(cols, [*g, "level"]).groupBy(*g).agg(F.sum(F.col("r") * F.col("c")).alias("rc"))
-    j = n.join(pe_num, g, "left")
-    nt = F.col("n_total").cast("double")
-    po = F.col("n_agree").cast("double") / nt
-    pe = F.coalesce(F.col("rc"), F.lit(0)).cast("double") / (nt * nt)
-    return j.select(*g, F.try_divide(po - pe, F.lit(1.0) - pe).alias("kappa"))
+    return confusion_summary(conf, g, truth, estimate).select(*g, _kappa().alias("kappa"))
 
 
 def class_metrics(pred: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
                   estimate: str = "estimate") -> DataFrame:
-    """Long table ``(group..., metric, estimator, estimate)`` with accuracy and multiclass kappa."""
+    """Long table ``(group..., metric, estimator, estimate)`` with accuracy and multiclass kappa.
+
+    predictions -> confusion counts -> per-class -> per-group: one linear chain, so
+    the predictions are read exactly once.
+    """
     g = _g(group)
-    conf = confusion_matrix(pred, g, truth, estimate)
-    acc = accuracy_from_confusion(conf, g, truth, estimate)
-    kap = kappa_from_confusion(conf, g, truth, estimate)
-    wide = acc.join(kap, g, "full")
-    return wide.select(
+    summ = confusion_summary(confusion_matrix(pred, g, truth, estimate), g, truth, estimate)
+    return summ.select(
         *g,
         F.inline(F.array(
             F.struct(F.lit("accuracy").alias("metric"), F.lit("multiclass").alias("estimator"),
-                     F.col("accuracy").alias("estimate")),
+                     _accuracy().alias("estimate")),
             F.struct(F.lit("kap").alias("metric"), F.lit("multiclass").alias("estimator"),
-                     F.col("kappa").alias("estimate")),
+                     _kappa().alias("estimate")),
         )),
     )
 

@@ -220,3 +220,67 @@ select *, 'train' as set from risk_juiced union all select *, 'test' as set from
 def q_risk_prep_all(spark, d):
     _, juiced, baked = risk.prepared(spark, d)
     return juiced.withColumn("set", F.lit("train")).unionByName(baked.withColumn("set", F.lit("test")))
+
+# ---------------------------------------------------------------- metric tables (pinned rule: oracle-checked)
+
+from .sql import class_metrics_sql  # noqa: E402
+
+
+@query("metrics_unnest", with_tables(["rule_preds"], class_metrics_sql("rule_preds", ["task", "model"])))
+def q_metrics_unnest(spark, d):
+    nested = mt.nest_metrics(mt.class_metrics(risk.rule_predictions(spark, d)))
+    return mt.unnest_metrics(nested)
+
+
+@query("metrics_union", with_tables(["rule_preds_all"], class_metrics_sql("rule_preds_all", ["task", "model", "set"])))
+def q_metrics_union(spark, d):
+    df = risk.split(risk.filter_levels(risk.load(spark, d).select(*risk.GOOD_COLS)))
+    preds = df.select(F.col(risk.TASK_COL).alias("task"), F.lit("rule").alias("model"), "set", risk.KEY,
+                      F.col(risk.TARGET).alias("truth"), risk.rule_estimate().alias("estimate"))
+    per_set = [mt.class_metrics(preds.filter(F.col("set") == s), ["task", "model", "set"]) for s in ("train", "test")]
+    return per_set[0].unionByName(per_set[1])
+
+
+# ---------------------------------------------------------------- MLlib models (rows-only checks)
+
+from . import risk_models as rmod  # noqa: E402
+
+
+@query("risk_rf")
+def q_risk_rf(spark, d):
+    return rmod.risk_predictions(spark, d, ["random_forest"])
+
+
+@query("risk_dt")
+def q_risk_dt(spark, d):
+    return rmod.risk_predictions(spark, d, ["decision_tree"])
+
+
+@query("risk_gbt")
+def q_risk_gbt(spark, d):
+    return rmod.risk_predictions(spark, d, ["xgboost"])
+
+
+@query("risk_logit")
+def q_risk_logit(spark, d):
+    return rmod.risk_predictions(spark, d, ["glmnet"])
+
+
+@query("risk_fit_grid")
+def q_risk_fit_grid(spark, d):
+    return rmod.fit_grid_summary(spark, d)
+
+
+@query("risk_predict")
+def q_risk_predict(spark, d):
+    return rmod.risk_predictions(spark, d)
+
+
+@query("risk_metrics")
+def q_risk_metrics(spark, d):
+    return rmod.run_risk(spark, d)
+
+
+@query("risk_results")
+def q_risk_results(spark, d):
+    return rmod.risk_results(spark, d)

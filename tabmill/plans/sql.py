@@ -206,3 +206,32 @@ select assessment_id, display_text, score_text,
   {RISK_DUMMIES_SQL}
 from risk_split where set = 'test' and {RISK_KNOWN_SQL}
 """)
+
+
+def class_metrics_sql(preds: str, group: list[str]) -> str:
+    """Accuracy and multiclass kappa in long form from a predictions table (oracle text)."""
+    g = ", ".join(group)
+    on = " and ".join(f"r.{c} = c.{c}" for c in group + ["level"])
+    on2 = " and ".join(f"a.{c} = b.{c}" for c in group)
+    return f"""
+select {", ".join("t." + c for c in group)}, m.metric, 'multiclass' as estimator,
+  case when m.metric = 'accuracy' then po
+       else case when 1.0 - pe = 0 then null else (po - pe) / (1.0 - pe) end end as estimate
+from (select {", ".join("a." + c for c in group)}, cast(a.n_agree as double) / cast(a.n_total as double) as po,
+        cast(coalesce(b.rc, 0) as double) / (cast(a.n_total as double) * cast(a.n_total as double)) as pe
+      from (select {g}, count(*) as n_total, sum(case when truth = estimate then 1 else 0 end) as n_agree
+            from {preds} group by {g}) a
+      left join (select {", ".join("r." + c for c in group)}, sum(r.r * c.c) as rc
+                 from (select {g}, truth as level, count(*) as r from {preds} group by all) r
+                 join (select {g}, estimate as level, count(*) as c from {preds} group by all) c on {on}
+                 group by {", ".join("r." + c for c in group)}) b on {on2}) t
+cross join (select 'accuracy' as metric union all select 'kap') m
+"""
+
+
+define("rule_preds_all", ["risk_split"], """
+select display_text as task, 'rule' as model, set, assessment_id, score_text as truth,
+  case when date_of_birth = 'Younger than 25' then 'High' when custody_status = 'Jail Inmate' then 'Medium'
+       else 'Low' end as estimate
+from risk_split
+""")
