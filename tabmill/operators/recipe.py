@@ -81,7 +81,8 @@ class Recipe:
         roles = self.roles(train)
         data = self._filtered(train, "train")
         group = [self.group] if self.group else []
-        cols = roles["nominal"] + [self.target]
+        target_is_nominal = self.target in co.categorical_columns(train)
+        cols = roles["nominal"] + ([self.target] if target_is_nominal else [])
         counts = cat.level_counts(data, cols, group).select(*group, "column", "level")
         rows = counts.limit(self.max_levels + 1).collect()
         if len(rows) > self.max_levels:

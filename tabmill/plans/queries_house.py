@@ -203,3 +203,84 @@ def q_permute_column(spark, d):
 def q_features_target_split(spark, d):
     x, _y = co.features_target_split(house.cleaned(spark, d), house.TARGET, house.KEY)
     return x
+
+# ---------------------------------------------------------------- models and resampling
+
+from ..operators import models as md  # noqa: E402
+from . import house_models as hm  # noqa: E402
+
+
+@query("cv_mse", with_tables(["cv_losses"], "select learner, fold, set, round(mse, 2) as mse from cv_losses"))
+def q_cv_mse(spark, d):
+    return hm.cv_linear_1d(spark, d).select("learner", "fold", "set", F.round("mse", 2).alias("mse"))
+
+
+@query("cv_mape", with_tables(["cv_losses"], "select learner, fold, set, round(mape, 10) as mape from cv_losses"))
+def q_cv_mape(spark, d):
+    return hm.cv_linear_1d(spark, d).select("learner", "fold", "set", F.round("mape", 10).alias("mape"))
+
+
+@query("measure_ids", with_tables(["cv_losses"], """
+select learner, concat_ws('_', 'mse', set) as measure, round(avg(mse), 2) as value from cv_losses group by learner, set
+union all
+select learner, concat_ws('_', 'mape', set) as measure, round(avg(mape), 10) as value from cv_losses group by learner, set
+"""))
+def q_measure_ids(spark, d):
+    agg = hm.cv_linear_1d(spark, d).groupBy("learner", "set").agg(F.avg("mse").alias("mse"), F.avg("mape").alias("mape"))
+    return agg.select("learner", F.inline(F.array(
+        F.struct(F.concat_ws("_", F.lit("mse"), F.col("set")).alias("measure"), F.round("mse", 2).alias("value")),
+        F.struct(F.concat_ws("_", F.lit("mape"), F.col("set")).alias("measure"), F.round("mape", 10).alias("value")),
+    )))
+
+
+@query("benchmark_grid", with_tables(["cv_d"], """
+select fold, unnest(['regr.lm', 'regr.rpart', 'regr.ranger']) as learner from (select distinct fold from cv_d)
+"""))
+def q_benchmark_grid(spark, d):
+    folds = sp.cv_folds(house.cleaned(spark, d).select("id"), "id", house.FOLDS, house.FOLD_SEED)
+    learners = F.explode(F.array(*[F.lit(n) for n in md.REGRESSOR_NAMES]))
+    return folds.select("fold").distinct().select("fold", learners.alias("learner"))
+
+
+@query("house_lm_1d", with_tables(["houses_clean"], """
+select round(regr_slope(sale_price, gr_liv_area), 6) as slope, round(regr_intercept(sale_price, gr_liv_area), 6) as intercept,
+  cast(count(*) as bigint) as n
+from houses_clean where substr(md5(concat_ws('|', cast(id as varchar), '2')), 1, 8) < 'cccccccc'
+"""))
+def q_house_lm_1d(spark, d):
+    fit = hm.fit_linear_1d(spark, d)
+    return fit.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), "n")
+
+
+@query("house_lm")
+def q_house_lm(spark, d):
+    return hm.house_predictions(spark, d, ["regr.lm"])
+
+
+@query("house_dt")
+def q_house_dt(spark, d):
+    return hm.house_predictions(spark, d, ["regr.rpart"])
+
+
+@query("house_rf")
+def q_house_rf(spark, d):
+    return hm.house_predictions(spark, d, ["regr.ranger"])
+
+
+@query("house_predict")
+def q_house_predict(spark, d):
+    return hm.house_predictions(spark, d)
+
+
+@query("house_fit")
+def q_house_fit(spark, d):
+    rm, fitted, df = hm.fit_house(spark, d)
+    n_train = df.filter(F.col("set") == "train").groupBy().count().withColumnRenamed("count", "n_train")
+    rows = [(n, type(f.model.stages[-1]).__name__, len(md.feature_columns(rm))) for n, f in fitted.items()]
+    fits = spark.createDataFrame(rows, "learner string, model string, n_features int")
+    return fits.join(F.broadcast(n_train), how="left_outer", on=F.lit(True))
+
+
+@query("house_benchmark")
+def q_house_benchmark(spark, d):
+    return hm.benchmark(spark, d)

@@ -235,3 +235,29 @@ select display_text as task, 'rule' as model, set, assessment_id, score_text as
        else 'Low' end as estimate
 from risk_split
 """)
+
+# ------------------------------------------------------------------ k-fold CV of the one-feature line
+
+define("cv_d", ["houses_clean"], """
+select id, gr_liv_area as x, sale_price as y,
+  ('0x' || substr(md5(concat_ws('|', cast(id as varchar), '4')), 1, 8))::bigint % 4 as fold
+from houses_clean
+""")
+
+define("cv_m", ["cv_d"], """
+select fold as k, slope, (sy - slope * sx) / n as intercept
+from (select fold, n, sx, sy, (n * sxy - sx * sy) / (n * sxx - sx * sx) as slope
+      from (select fold, cast(sum(n) over () - n as double) as n, sum(sx) over () - sx as sx,
+              sum(sy) over () - sy as sy, sum(sxx) over () - sxx as sxx, sum(sxy) over () - sxy as sxy
+            from (select fold, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx, sum(x * y) as sxy
+                  from cv_d group by fold) f) t) u
+""")
+
+define("cv_losses", ["cv_d", "cv_m"], """
+select 'lm_1d' as learner, fold, set, avg(pow(label - prediction, 2)) as mse,
+  avg(abs(case when label = 0 then null else (label - prediction) / label end)) as mape
+from (select m.k as fold, case when d.fold = m.k then 'test' else 'train' end as set, d.y as label,
+        m.intercept + m.slope * d.x as prediction
+      from cv_d d cross join cv_m m) s
+group by fold, set
+""")
