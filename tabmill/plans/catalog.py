@@ -47,4 +47,4 @@ def _load() -> None:
     if _LOADED:
         return
     _LOADED = True
-    from . import queries_house, queries_risk  # noqa: F401
+    from . import queries_explain, queries_house, queries_risk  # noqa: F401

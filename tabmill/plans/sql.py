@@ -261,3 +261,113 @@ from (select m.k as fold, case when d.fold = m.k then 'test' else 'train' end as
       from cv_d d cross join cv_m m) s
 group by fold, set
 """)
+
+# ------------------------------------------------------------------ explanations with the pinned house formula
+
+EXPLAIN_FEATURES = ["gr_liv_area", "lot_frontage", "overall_qual", "yr_sold", "ms_sub_class", "neighborhood",
+                    "garage_type"]
+
+
+def rule_sql(gr_liv_area: str = "gr_liv_area", lot_frontage: str = "lot_frontage",
+             neighborhood: str = "neighborhood") -> str:
+    """The pinned house formula with column expressions substituted (same operation order as in Spark)."""
+    g, lf, nb = gr_liv_area, lot_frontage, neighborhood
+    return (f"(50000.0 + 900.0 * {g} + 100.0 * {lf} + 0.5 * {g} * {lf}"
+            f" + case when {nb} = 'BUILDING' then 4000.0 when {nb} = 'MACHINERY' then -2500.0 else 0.0 end)")
+
+
+define("ex_grid", ["houses_clean"], """
+select lo + cast(i as double) * ((hi - lo) / cast(19 as double)) as v
+from (select min(gr_liv_area) as lo, max(gr_liv_area) as hi from houses_clean), (select unnest(range(0, 20)) as i)
+""")
+
+define("ex_ice", ["houses_clean", "ex_grid"], f"""
+select 'gr_liv_area' as feature, g.v as feature_val, {rule_sql(gr_liv_area="g.v")} as prediction, h.id
+from houses_clean h, ex_grid g
+""")
+
+define("ale_ranked", ["houses_clean"], """
+select gr_liv_area as x, row_number() over (order by gr_liv_area) as rn, count(*) over () as n
+from houses_clean where gr_liv_area is not null
+""")
+
+define("ale_breaks", ["ale_ranked"], """
+select x as b, row_number() over (order by x) as j
+from (select distinct r.x from ale_ranked r join (select unnest(range(0, 21)) as k) g
+        on r.rn = greatest(1, (r.n * g.k + 19) // 20))
+""")
+
+define("ale_per", ["houses_clean", "ale_breaks"], f"""
+select k, (sum(f_hi) - sum(f_lo)) / count(*) as delta, count(*) as n
+from (select r.k, {rule_sql(gr_liv_area="bhi.b")} as f_hi, {rule_sql(gr_liv_area="blo.b")} as f_lo
+      from (select h.*, greatest(1, (select count(*) from ale_breaks b where b.b < h.gr_liv_area)) as k
+            from houses_clean h where h.gr_liv_area is not null) r
+      join ale_breaks blo on blo.j = r.k join ale_breaks bhi on bhi.j = r.k + 1) s
+group by k
+""")
+
+define("ale_out", ["ale_per", "ale_breaks"], """
+select 'gr_liv_area' as feature, b.b as feature_val, v - c as ale
+from (select k, f_lo, f_hi, sum(n * (f_lo + f_hi) / 2.0) over () / sum(n) over () as c
+      from (select k, n, f_hi, coalesce(lag(f_hi) over (order by k), 0) as f_lo
+            from (select k, n, sum(delta) over (order by k rows between unbounded preceding and current row) as f_hi
+                  from ale_per) a) a2) t,
+     lateral (select 1 as j, f_lo as v where t.k = 1 union all select t.k + 1 as j, f_hi as v) e
+join ale_breaks b on b.j = e.j
+""")
+
+
+def _perm_sql(reps: int = 5, seed: int = 1) -> str:
+    parts = []
+    for f in EXPLAIN_FEATURES:
+        cols = {c: (f"g.{c}" if c == f else f"h.{c}") for c in ["gr_liv_area", "lot_frontage", "neighborhood"]}
+        rule = rule_sql(cols["gr_liv_area"], cols["lot_frontage"], cols["neighborhood"])
+        parts.append(f"select p.rep, '{f}' as feature, abs(h.sale_price - {rule}) as e "
+                     f"from pi_pairs p join houses_clean h on h.id = p.id join houses_clean g on g.id = p.donor")
+    return " union all ".join(parts)
+
+
+define("pi_pairs", ["houses_clean"], """
+select d.rep, a.id, d.donor
+from (select id, row_number() over (order by id) as i from houses_clean) a
+join (select r.rep, h.id as donor,
+        row_number() over (partition by r.rep order by md5(concat_ws('|', cast(h.id as varchar), '1:' || cast(r.rep as varchar))), h.id) as i
+      from houses_clean h, (select unnest(range(0, 5)) as rep) r) d on a.i = d.i
+""")
+
+define("pi_err", ["pi_pairs", "houses_clean"], f"""
+select feature, rep, avg(e) as err from ({_perm_sql()}) u group by feature, rep
+""")
+
+define("pi_out", ["pi_err", "houses_clean"], f"""
+select feature, round(quantile_cont(err / base, 0.05), 6) as importance_05,
+  round(quantile_cont(err / base, 0.5), 6) as importance, round(quantile_cont(err / base, 0.95), 6) as importance_95,
+  quantile_cont(err, 0.5) as permutation_error
+from pi_err, (select avg(abs(sale_price - {rule_sql()})) as base from houses_clean) b
+group by feature
+""")
+
+
+def _shapley_sql(m: int = 100, seed: int = 3, obs: int = 122) -> str:
+    feats = EXPLAIN_FEATURES
+    p = len(feats)
+    val = {f: f"case when o.p_{f} <= t.t then x.{f} else z.{f} end" for f in feats}
+    rule = rule_sql(val["gr_liv_area"], val["lot_frontage"], val["neighborhood"])
+    joined = "case t.t " + " ".join(f"when o.p_{f} then '{f}'" for f in feats) + " end"
+    pos = ", ".join(f"max(case when f = '{f}' then pos end) as p_{f}" for f in feats)
+    fv = " union all ".join(f"select '{f}' as feature, '{f}=' || cast({f} as varchar) as feature_value from sh_x"
+                            for f in feats)
+    return f"""
+sh_z as (select row_number() over (order by md5(concat_ws('|', cast(id as varchar), '{seed}')), id) - 1 as s, *
+         from houses_clean order by md5(concat_ws('|', cast(id as varchar), '{seed}')), id limit {m}),
+sh_x as (select * exclude (rn) from (select *, row_number() over (order by id) as rn from houses_clean) where rn = {obs}),
+sh_o as (select s, {pos}
+         from (select z.s, f.f, row_number() over (partition by z.s order by md5(concat_ws('|', cast(z.s as varchar), f.f, '{seed}'))) as pos
+               from sh_z z, (select unnest({feats!r}) as f) f) q group by s),
+sh_chain as (select x.id, z.s, t.t, case when t.t = 0 then null else {joined} end as joined, {rule} as prediction
+             from sh_x x, sh_z z join sh_o o on o.s = z.s, (select unnest(range(0, {p + 1})) as t) t),
+sh_c as (select id, s, joined, prediction - lag(prediction) over (partition by id, s order by t) as c from sh_chain)
+select c.id, c.joined as feature, v.feature_value, round(avg(c), 4) as phi, round(var_samp(c), 4) as phi_var
+from sh_c c join ({fv}) v on v.feature = c.joined
+where c.joined is not null group by c.id, c.joined, v.feature_value
+"""
