@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from . import columns as co
 from .models import Scorer
-from .split import background_sample, dense_row_id, hash_hex
+from .split import background_sample, dense_row_id, hash_hex_col, materialize
 
 # Defaults of the explanation methods.
 GRID_SIZE = 20
@@ -123,6 +123,7 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
     so rows never need pairing.  Accumulation and centring run on <= grid_size rows.
     Returns ``feature, feature_val, ale`` at every break.
     """
+    df = materialize(df)
     breaks = quantile_breaks(df, feature, grid_size)
     if len(breaks) < 2:
         return df.sparkSession.createDataFrame([], "feature string, feature_val double, ale double")
@@ -165,14 +166,16 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     ties kept).
     """
     features = list(features)
+    df = materialize(df.select(key, target, *features))
     base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
+    n = df.count()
     by_key = dense_row_id(df.select(key), [key], "_i")
-    pairs = None
-    for r in range(repetitions):
-        donors = dense_row_id(df.select(key), [hash_hex(key, f"{seed}:{r}"), key], "_i").select(
-            "_i", F.col(key).alias("_donor"))
-        part = by_key.join(donors, "_i").select(F.lit(r).alias("_rep"), key, "_donor")
-        pairs = part if pairs is None else pairs.unionByName(part)
+    # all repetitions in ONE range-partitioned sort: (rep, md5(key|seed:rep), key)
+    reps = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
+    rep_seed = F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string"))
+    donors = dense_row_id(reps, ["_rep", hash_hex_col(key, rep_seed), key], "_g").select(
+        "_rep", (F.col("_g") - F.col("_rep") * F.lit(n)).alias("_i"), F.col(key).alias("_donor"))
+    pairs = by_key.join(donors, "_i").select("_rep", key, "_donor")
     donor_vals = df.select(F.col(key).alias("_donor"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
     wide = pairs.join(df.select(key, target, *features), key).join(donor_vals, "_donor")
     variants = F.array(*[
@@ -218,6 +221,7 @@ def shapley(df: DataFrame, scorer: Scorer, features: Sequence[str], observations
     """
     features = list(features)
     p = len(features)
+    df = materialize(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     bg_rows = background_sample(df, key, m, seed).select(*features).collect()
     bg = F.array(*[
@@ -286,6 +290,7 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
     ``k`` features.  Returns ``id, feature, feature_value, beta, effect``.
     """
     features = list(features)
+    df = materialize(df)
     numeric = [f for f in features if f in co.numeric_columns(df)]
     nominal = [f for f in features if f not in numeric]
     spark = df.sparkSession

@@ -28,6 +28,12 @@ def hash_hex(key: str | Iterable[str], seed: int | str) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
+def hash_hex_col(key: str | Iterable[str], seed: Column) -> Column:
+    """``md5(k1|...|seed)`` with the seed given as a column (e.g. per repetition)."""
+    parts = [F.col(k).cast("string") for k in _cols(key)] + [seed.cast("string")]
+    return F.md5(F.concat_ws("|", *parts))
+
+
 def hash_unit(key: str | Iterable[str], seed: int | str) -> Column:
     """The first 32 bits of the keyed md5 as an integer in [0, 2^32)."""
     return F.conv(F.substring(hash_hex(key, seed), 1, 8), 16, 10).cast("bigint")
@@ -150,3 +156,30 @@ def background_sample(df: DataFrame, key: str, m: int, seed: int | str = 3) -> D
     top ``m`` and only ``m * partitions`` rows move -- no full sort.
     """
     return df.orderBy(hash_hex(key, seed), F.col(key)).limit(m)
+
+
+def key_at_position(df: DataFrame, key: str, position: int):
+    """The ``position``-th smallest key (1-based), exactly, without a full sort.
+
+    ``orderBy(key).limit(position)`` is a TakeOrderedAndProject: every task keeps its
+    own ``position`` smallest keys, so at most ``position x partitions`` keys move.
+    """
+    rows = df.select(key).orderBy(key).limit(position).collect()
+    if len(rows) < position:
+        raise IndexError(f"only {len(rows)} rows")
+    return rows[-1][key]
+
+
+def row_at_position(df: DataFrame, key: str, position: int) -> DataFrame:
+    """The row at 1-based ``position`` in key order (keys unique)."""
+    return df.filter(F.col(key) == F.lit(key_at_position(df, key, position)))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint to the session's shared checkpoint folder (lineage cut, survives executor loss).
+
+    Used where an operator reads its input many times, so that an expensive
+    upstream plan runs once.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -14,7 +14,7 @@ from .sql import EXPLAIN_FEATURES, _shapley_sql, with_tables
 
 def _obs(df):
     """The explained observation: position 122 in key order (dense ids)."""
-    return sp.dense_row_id(df, [house.KEY], "_pos").filter(F.col("_pos") == house.OBSERVATION).drop("_pos")
+    return sp.row_at_position(df, house.KEY, house.OBSERVATION)
 
 
 @query("pdp", with_tables(["ex_ice"], """

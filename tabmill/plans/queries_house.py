@@ -157,8 +157,7 @@ def q_dense_row_id(spark, d):
 select * from (select *, row_number() over (order by id) as rn from houses_clean) where rn = 122
 """.replace("select * from (", "select * exclude (rn) from (")))
 def q_pick_observation(spark, d):
-    df = sp.dense_row_id(house.cleaned(spark, d), ["id"], "_pos")
-    return df.filter(F.col("_pos") == house.OBSERVATION).drop("_pos")
+    return sp.row_at_position(house.cleaned(spark, d), house.KEY, house.OBSERVATION)
 
 
 @query("house_split_exact", with_tables(["houses_clean"], """
