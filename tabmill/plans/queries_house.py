@@ -283,3 +283,8 @@ def q_house_fit(spark, d):
 @query("house_benchmark")
 def q_house_benchmark(spark, d):
     return hm.benchmark(spark, d)
+
+
+@query("select_by_position", with_tables(["houses_typed"], "select gr_liv_area, id from houses_typed"))
+def q_select_by_position(spark, d):
+    return co.select_by_position(house.typed(spark, d), 2, 0)
