@@ -148,8 +148,15 @@ def fit_classifier(train: DataFrame, features: list[str], target: str, name: str
     return FittedClassifier(task, name, pipe, labels)
 
 
+def grid_threads(spark, jobs: int, threads: int | None = None) -> int:
+    """Concurrent fits: by default as many as the cluster runs tasks at once (each small
+    fit occupies one partition's worth of cores), never more than there are fits."""
+    want = threads or max(4, spark.sparkContext.defaultParallelism)
+    return max(1, min(want, jobs))
+
+
 def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models: Iterable[str],
-             task_col: str, target: str, key: str, threads: int = 4, seed: int = 7,
+             task_col: str, target: str, key: str, threads: int | None = None, seed: int = 7,
              **kw) -> dict[tuple[str, str], FittedClassifier]:
     """Fit every model on every task's prepared training rows.
 
@@ -165,7 +172,7 @@ def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models:
             t, m = tm
             return tm, fit_classifier(base.filter(F.col(task_col) == t), feats, target, m, t, seed, **kw)
 
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
+        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(jobs), threads)) as pool:
             return dict(pool.map(run, jobs))
     finally:
         base.unpersist()
@@ -222,11 +229,32 @@ def fit_regressor(train: DataFrame, rm: RecipeModel, target: str, name: str, see
 
 
 def fit_regressors(train: DataFrame, rm: RecipeModel, target: str, key: str, names: Iterable[str] = REGRESSOR_NAMES,
-                   threads: int = 3, seed: int = 7, **kw) -> dict[str, FittedRegressor]:
+                   threads: int | None = None, seed: int = 7, **kw) -> dict[str, FittedRegressor]:
     base = stable_layout(train, key)
     try:
         names = list(names)
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(names)))) as pool:
+        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(names), threads)) as pool:
             return dict(pool.map(lambda n: (n, fit_regressor(base, rm, target, n, seed, **kw)), names))
     finally:
         base.unpersist()
+
+
+def fit_fold_grid(foldded: DataFrame, rm: RecipeModel, target: str, key: str, folds: int,
+                  names: Iterable[str] = REGRESSOR_NAMES, fold_col: str = "fold", threads: int | None = None,
+                  seed: int = 7, **kw) -> dict[tuple[str, int], FittedRegressor]:
+    """Every learner on every fold's training part (fold != k), all fits from one pool.
+
+    The foldded frame is laid out and persisted once; each fit filters it.
+    """
+    base = stable_layout(foldded, key)
+    try:
+        jobs = [(n, k) for k in range(folds) for n in names]
+
+        def run(job):
+            n, k = job
+            return job, fit_regressor(base.filter(F.col(fold_col) != k).drop(fold_col), rm, target, n, seed, **kw)
+
+        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(jobs), threads)) as pool:
+            return dict(pool.map(run, jobs))
+    finally:
+        base.unpersist()

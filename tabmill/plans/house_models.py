@@ -58,16 +58,14 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
     df = sp.cv_folds(house.cleaned(spark, sf_dir), house.KEY, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rm = recipe().fit(df.drop("fold"))
+        fitted = md.fit_fold_grid(df, rm, house.TARGET, house.KEY, folds, names, **kw)
         parts = []
-        for k in range(folds):
-            train = df.filter(F.col("fold") != k).drop("fold")
-            fitted = md.fit_regressors(train, rm, house.TARGET, house.KEY, names, **kw)
-            for n, f in fitted.items():
-                scored = f.scorer()(df)
-                parts.append(scored.select(
-                    F.lit(n).alias("learner"), F.lit(k).cast("bigint").alias("fold"),
-                    F.when(F.col("fold") == k, "test").otherwise("train").alias("set"),
-                    F.col(house.TARGET).alias("label"), "prediction"))
+        for (n, k), f in fitted.items():
+            scored = f.scorer()(df)
+            parts.append(scored.select(
+                F.lit(n).alias("learner"), F.lit(k).cast("bigint").alias("fold"),
+                F.when(F.col("fold") == k, "test").otherwise("train").alias("set"),
+                F.col(house.TARGET).alias("label"), "prediction"))
         preds = parts[0]
         for p in parts[1:]:
             preds = preds.unionByName(p)
