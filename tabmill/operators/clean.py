@@ -105,10 +105,11 @@ def positional_join(left: DataFrame, right: DataFrame, order_key: str = "id") ->
 def nth_row_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The n-th row (1-based) of each group in ``order``.
 
-    A window partitioned by the group: rows shuffle once on the group key and each
-    group is sorted on its own; no global ordering.  (A group holding a third of
-    the data still needs one task for its sort; ``order`` must be given because
-    row order is not data in Spark.)
+    ``row_number() == n`` over a window partitioned by the group.  Catalyst plans a
+    partial ``WindowGroupLimit`` before the shuffle, so every map task forwards at
+    most ``n`` rows per group: a group holding a third of the data still moves only
+    ``n x map tasks`` rows and sorts nothing large.  No global ordering.  ``order``
+    must be given because row order is not data in Spark.
     """
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n).drop("_rn")

@@ -256,3 +256,59 @@ def test_lime_recovers_linear_model(small):
     out = {r["feature"]: r["beta"] for r in ex.lime(small, _linear, ["x1", "x2", "unused"], obs, k=2).collect()}
     assert set(out) == {"x1", "x2"}
     assert math.isclose(out["x1"], 3.0, rel_tol=0.05) and math.isclose(out["x2"], -2.0, rel_tol=0.05)
+
+
+# ---------------------------------------------------------------- compat toggles and more edge cases
+
+
+def test_recipe_filter_on_toggle(spark):
+    """D5: the trained filter step applies to the test set only when asked."""
+    train = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, c string, target string")
+    test = spark.createDataFrame([(3, "a", "x"), (4, "b", "y")], "id int, c string, target string")
+    cond = F.col("c") == "a"
+    both = Recipe(target="target", key="id", filter=cond, unseen="zero").fit(train)
+    only_train = Recipe(target="target", key="id", filter=cond, filter_on=("train",), unseen="zero").fit(train)
+    assert both.dummy_columns() == ["c_a"]
+    assert both.bake(test).count() == 1
+    assert only_train.bake(test).count() == 2
+
+
+def test_ale_weighted_mean_is_zero(small):
+    from tabmill.operators.explain import quantile_breaks
+    out = sorted((r["feature_val"], r["ale"]) for r in ex.ale(small, _linear, "x1", grid_size=5).collect())
+    breaks = quantile_breaks(small, "x1", 5)
+    xs = [r["x1"] for r in small.select("x1").collect()]
+    counts = [sum(1 for x in xs if (breaks[k - 1] < x <= breaks[k]) or (k == 1 and x == breaks[0]))
+              for k in range(1, len(breaks))]
+    f = [a for _, a in out]
+    centre = sum(n * (f[k] + f[k + 1]) / 2 for k, n in enumerate(counts)) / sum(counts)
+    assert abs(centre) < 1e-9
+
+
+def test_nth_row_per_group(spark):
+    from tabmill.operators.clean import nth_row_per_group
+    rows = [(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 2, "y"), (2, 1, "x")]
+    df = spark.createDataFrame(rows, "g int, o int, v string")
+    got = {r["g"]: r["v"] for r in nth_row_per_group(df, ["g"], ["o"], 2).collect()}
+    assert got == {1: "b", 2: "y"}
+    assert nth_row_per_group(df, ["g"], ["o"], 3).count() == 1
+
+
+def test_csv_inference_reads_na_as_null(spark, tmp_path):
+    from tabmill.sources.io import read_csv
+    p = tmp_path / "t.csv"
+    p.write_text("Id,LotFrontage,Alley\n1,65,NA\n2,NA,Grvl\n")
+    df = read_csv(spark, str(p))
+    assert dict(df.dtypes) == {"Id": "int", "LotFrontage": "int", "Alley": "string"}
+    assert df.filter(F.col("LotFrontage").isNull()).count() == 1
+    assert df.filter(F.col("Alley").isNull()).count() == 1
+
+
+def test_single_level_column_is_dropped(spark):
+    df = spark.createDataFrame([(1, "k", "a"), (2, "k", "b")], "id int, one string, two string")
+    assert co.drop_constant_cols(df, keep=["id"]).columns == ["id", "two"]
+
+
+def test_kappa_on_empty_predictions(spark):
+    empty = _pred(spark, [("a", "a")]).filter("false")
+    assert mt.class_metrics(empty).count() == 0
