@@ -293,7 +293,6 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
     df = materialize(df)
     numeric = [f for f in features if f in co.numeric_columns(df)]
     nominal = [f for f in features if f not in numeric]
-    spark = df.sparkSession
     rng = df.agg(*[F.min(f).alias(f"lo_{i}") for i, f in enumerate(numeric)],
                  *[F.max(f).alias(f"hi_{i}") for i, f in enumerate(numeric)]).first() if numeric else None
     ranges = [(float(rng[f"hi_{i}"]) - float(rng[f"lo_{i}"])) or 1.0 for i in range(len(numeric))] if rng else []
@@ -356,5 +355,4 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("feature", T.StringType()),
                            T.StructField("feature_value", T.StringType()), T.StructField("beta", T.DoubleType()),
                            T.StructField("effect", T.DoubleType())])
-    _ = spark
     return parts.groupBy("_obs").applyInPandas(solve, schema)

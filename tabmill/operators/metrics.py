@@ -45,7 +45,7 @@ def confusion_summary(conf: DataFrame, group: Iterable[str] = ("task", "model"),
         F.sum("r").alias("n_total"), F.sum("a").alias("n_agree"), F.sum(F.col("r") * F.col("c")).alias("rc"))
 
 
-def _accuracy(summary_cols=("n_agree", "n_total")) -> Column:
+def _accuracy() -> Column:
     return F.col("n_agree") / F.col("n_total")
 
 

@@ -274,10 +274,9 @@ def q_house_predict(spark, d):
 @query("house_fit")
 def q_house_fit(spark, d):
     rm, fitted, df = hm.fit_house(spark, d)
-    n_train = df.filter(F.col("set") == "train").groupBy().count().withColumnRenamed("count", "n_train")
-    rows = [(n, type(f.model.stages[-1]).__name__, len(md.feature_columns(rm))) for n, f in fitted.items()]
-    fits = spark.createDataFrame(rows, "learner string, model string, n_features int")
-    return fits.join(F.broadcast(n_train), how="left_outer", on=F.lit(True))
+    n_train = df.filter(F.col("set") == "train").count()
+    rows = [(n, type(f.model.stages[-1]).__name__, len(md.feature_columns(rm)), n_train) for n, f in fitted.items()]
+    return spark.createDataFrame(rows, "learner string, model string, n_features int, n_train bigint")
 
 
 @query("house_benchmark")
