@@ -19,9 +19,14 @@ def _col(c) -> Column:
 
 
 def parse_mdy(c) -> Column:
-    """Month/day/year text to a date; NULL when it does not parse (never raises under ANSI)."""
+    """Month/day/year text to a date; NULL when it does not parse (never raises under ANSI).
+
+    Two-digit years are tried first: each pattern rejects the other's width, so the
+    order does not change results, but a failed parse is costly and the raw files
+    carry two-digit years.
+    """
     x = _col(c)
-    return F.coalesce(F.try_to_date(x, "M/d/yyyy"), F.try_to_date(x, "M/d/yy"))
+    return F.coalesce(F.try_to_date(x, "M/d/yy"), F.try_to_date(x, "M/d/yyyy"))
 
 
 def birth_year(c, repair_century: bool = True) -> Column:

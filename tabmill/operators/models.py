@@ -89,26 +89,30 @@ ROWS_PER_PARTITION = 500_000
 
 
 def stable_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PARTITION,
-                  max_partitions: int | None = None) -> DataFrame:
+                  max_partitions: int | None = None, rows: int | None = None) -> DataFrame:
     """Persisted training layout: hash-partitioned on the key, sorted within partitions.
 
     Iterative learners run one job per iteration over this frame, so the partition
     count follows the data size (``rows_per_partition``) instead of the shuffle
     default: tiny partitions only add per-iteration scheduling cost, while large
-    inputs still spread over many partitions.  The fixed layout also makes tree
-    bagging reproducible.  Caller unpersists.
+    inputs still spread over many partitions.  ``rows`` (e.g. the recipe's level
+    counts) sizes the layout without an extra pass; otherwise the rows are counted.
+    The fixed layout also makes tree bagging reproducible.  Caller unpersists.
     """
     spark = df.sparkSession
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    staged = None
+    if rows is None:
+        staged = df.persist(StorageLevel.MEMORY_AND_DISK)
         rows = staged.count()
+    try:
         cap = max_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                     spark.sparkContext.defaultParallelism)
         n = max(1, min(cap, -(-rows // rows_per_partition)))
         laid = df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
         laid.count()
     finally:
-        staged.unpersist()
+        if staged is not None:
+            staged.unpersist()
     return laid
 
 
@@ -164,7 +168,7 @@ def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models:
     persisted for the duration of the grid, then released.
     """
     feats = feature_columns(rm)
-    base = stable_layout(prepared, key)
+    base = stable_layout(prepared, key, rows=rm.rows_hint)
     try:
         jobs = [(t, m) for t in tasks for m in models]
 

@@ -83,16 +83,21 @@ class Recipe:
         group = [self.group] if self.group else []
         target_is_nominal = self.target in co.categorical_columns(train)
         cols = roles["nominal"] + ([self.target] if target_is_nominal else [])
-        counts = cat.level_counts(data, cols, group).select(*group, "column", "level")
+        counts = cat.level_counts(data, cols, group).select(*group, "column", "level", "n")
         rows = counts.limit(self.max_levels + 1).collect()
         if len(rows) > self.max_levels:
             raise ValueError(f"more than {self.max_levels} levels; use a lower-cardinality encoding")
         levels: dict = {}
+        sizes: dict = {}
         for r in rows:
             g = r[self.group] if self.group else None
             levels.setdefault(g, {}).setdefault(r["column"], []).append(r["level"])
+            sizes.setdefault(g, {}).setdefault(r["column"], 0)
+            sizes[g][r["column"]] += int(r["n"])
         levels = {g: {c: sorted(v) for c, v in d.items()} for g, d in levels.items()}
-        return RecipeModel(self, roles, levels)
+        # training rows per group (largest non-null count over the encoded columns): a sizing hint
+        group_rows = {g: max(d.values()) for g, d in sizes.items()}
+        return RecipeModel(self, roles, levels, group_rows)
 
 
 @dataclass
@@ -100,6 +105,11 @@ class RecipeModel:
     recipe: Recipe
     roles: dict[str, list[str]]
     levels: dict = field(default_factory=dict)  # {group value or None: {column: [levels]}}
+    group_rows: dict = field(default_factory=dict)  # {group value or None: training rows (hint)}
+
+    @property
+    def rows_hint(self) -> int | None:
+        return sum(self.group_rows.values()) if self.group_rows else None
 
     @property
     def groups(self) -> list:

@@ -175,11 +175,19 @@ def row_at_position(df: DataFrame, key: str, position: int) -> DataFrame:
     return df.filter(F.col(key) == F.lit(key_at_position(df, key, position)))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, spread: bool = True) -> DataFrame:
     """Checkpoint to the session's shared checkpoint folder (lineage cut, survives executor loss).
 
     Used where an operator reads its input many times, so that an expensive
-    upstream plan runs once.
+    upstream plan runs once.  With ``spread``, an input with fewer partitions than
+    the cluster's parallelism (e.g. one small file) is spread round-robin first so
+    that later passes use every core; inputs that are already well partitioned
+    are written as they are, without a shuffle.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
     return df.checkpoint(eager=True)

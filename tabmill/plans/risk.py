@@ -100,7 +100,11 @@ def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prepared(spark: SparkSession, sf_dir: str, test_scope: str = "own", unseen: str = "drop"):
     """(recipe model, juiced training rows, baked test rows) for all tasks in one pass."""
-    df = split_frame(spark, sf_dir)
+    from ..operators.split import materialize
+
+    # read by the level aggregate, the training layout and the test scoring: run the
+    # source plan once and cut its lineage
+    df = materialize(split_frame(spark, sf_dir))
     train = df.filter(F.col("set") == "train").drop("set")
     test = df.filter(F.col("set") == "test").drop("set")
     model = recipe(unseen=unseen).fit(train)
