@@ -308,6 +308,8 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
     dist_parts = [F.abs(F.col(f) - F.col(f"_o.{f'_o_{features.index(f)}'}")) / F.lit(ranges[i])
                   for i, f in enumerate(numeric)]
     dist_parts += [(F.col(f) != F.col(f"_o._o_{features.index(f)}")).cast("double") for f in nominal]
+    # a missing value on either side counts as the largest distance for that feature
+    dist_parts = [F.coalesce(d, F.lit(1.0)) for d in dist_parts]
     gower = sum(dist_parts[1:], dist_parts[0]) / F.lit(float(len(dist_parts)))
     cols = [F.col(f).cast("double").alias(f"v{i}") for i, f in enumerate(numeric)]
     cols += [(F.col(c) == F.lit(lv)).cast("double").alias(f"v{len(numeric) + j}")

@@ -262,3 +262,21 @@ def fit_fold_grid(foldded: DataFrame, rm: RecipeModel, target: str, key: str, fo
             return dict(pool.map(run, jobs))
     finally:
         base.unpersist()
+
+
+# ---------------------------------------------------------------- persistence
+
+
+def save_models(models: dict, path: str) -> list[str]:
+    """Write every fitted pipeline under ``path/<name...>`` (MLlib's own format); returns the paths."""
+    out = []
+    for key, fitted in models.items():
+        parts = key if isinstance(key, tuple) else (key,)
+        target = "/".join([path.rstrip("/"), *[str(p).replace(" ", "_").replace("/", "_") for p in parts]])
+        fitted.model.write().overwrite().save(target)
+        out.append(target)
+    return out
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -44,3 +44,27 @@ def test_learner_registry():
         assert md.classifier(name) is not None
     for name in reg["regression"]:
         assert md.regressor(name) is not None
+
+
+def test_models_save_and_reload(spark):
+    from tabmill.plans import house_models as hm
+    from tabmill.session import scratch_path
+
+    rm, fitted, df = hm.fit_house(spark, SF_SMALL, ["regr.rpart"])
+    paths = md.save_models(fitted, scratch_path(spark, "models"))
+    again = md.FittedRegressor("regr.rpart", md.load_model(paths[0]), rm)
+    test = df.filter(F.col("set") == "test").drop("set")
+    a = {r["id"]: r["prediction"] for r in fitted["regr.rpart"].scorer()(test).select("id", "prediction").collect()}
+    b = {r["id"]: r["prediction"] for r in again.scorer()(test).select("id", "prediction").collect()}
+    assert a == b and len(a) > 0
+
+
+def test_task_list_guard(spark):
+    import pytest
+
+    from tabmill.plans import risk
+
+    df = risk.load(spark, SF_SMALL)
+    assert risk.task_list(df) == ["Risk of Failure to Appear", "Risk of Recidivism", "Risk of Violence"]
+    with pytest.raises(ValueError):
+        risk.task_list(df, max_tasks=2)
