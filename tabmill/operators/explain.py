@@ -152,15 +152,32 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
 
 # ---------------------------------------------------------------- permutation importance
 
+def permutation_pairs(df: DataFrame, key: str = "id", repetitions: int = REPETITIONS, seed: int = 1) -> DataFrame:
+    """``(_rep, key, _donor)``: for each repetition a seeded permutation of the rows.
+
+    Row i (key order) is paired with the donor at rank i of ``md5(key|seed:rep)``.  All
+    repetitions come from ONE range-partitioned sort (dense ids, no single-partition
+    window); both id frames are checkpointed, so the pairs can be reused for many models.
+    """
+    keys = df.select(key)
+    n = keys.count()
+    by_key = dense_row_id(keys, [key], "_i")
+    reps = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
+    rep_seed = F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string"))
+    donors = dense_row_id(reps, ["_rep", hash_hex_col(key, rep_seed), key], "_g").select(
+        "_rep", (F.col("_g") - F.col("_rep") * F.lit(n)).alias("_i"), F.col(key).alias("_donor"))
+    return by_key.join(donors, "_i").select("_rep", key, "_donor")
+
+
 def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features: Sequence[str], key: str = "id",
-                           repetitions: int = REPETITIONS, seed: int = 1, top: int | None = 20) -> DataFrame:
+                           repetitions: int = REPETITIONS, seed: int = 1, top: int | None = 20,
+                           pairs: DataFrame | None = None) -> DataFrame:
     """MAE-based permutation importance (ratio to the unpermuted error) per feature.
 
-    For each repetition r a seeded permutation pairs row i (key order) with the
-    donor at rank i of ``md5(key|seed:r)`` (dense ids, no single-partition window);
-    each row then yields one variant per feature with that feature's value taken
-    from its donor.  All features x repetitions are scored in one pass and reduced
-    with one grouped aggregate; quantiles over repetitions are exact on groups of
+    Each row yields one variant per feature and repetition, with that feature's value
+    taken from its donor (:func:`permutation_pairs`; pass ``pairs`` to reuse them across
+    models).  All features x repetitions are scored in one pass and reduced with one
+    grouped aggregate; quantiles over repetitions are exact on groups of
     ``repetitions`` values.  Returns ``feature, importance_05, importance,
     importance_95, permutation_error, display_order`` (top ``top`` by importance,
     ties kept).
@@ -168,14 +185,8 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     features = list(features)
     df = materialize(df.select(key, target, *features))
     base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
-    n = df.count()
-    by_key = dense_row_id(df.select(key), [key], "_i")
-    # all repetitions in ONE range-partitioned sort: (rep, md5(key|seed:rep), key)
-    reps = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
-    rep_seed = F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string"))
-    donors = dense_row_id(reps, ["_rep", hash_hex_col(key, rep_seed), key], "_g").select(
-        "_rep", (F.col("_g") - F.col("_rep") * F.lit(n)).alias("_i"), F.col(key).alias("_donor"))
-    pairs = by_key.join(donors, "_i").select("_rep", key, "_donor")
+    if pairs is None:
+        pairs = permutation_pairs(df, key, repetitions, seed)
     donor_vals = df.select(F.col(key).alias("_donor"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
     wide = pairs.join(df.select(key, target, *features), key).join(donor_vals, "_donor")
     variants = F.array(*[
@@ -279,7 +290,7 @@ def _lasso_path(R: np.ndarray, r: np.ndarray, k: int, steps: int = 100, iters: i
 
 
 def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: DataFrame, key: str = "id",
-         k: int = LIME_K, max_levels: int = 1000) -> DataFrame:
+         k: int = LIME_K, max_levels: int = 1000, max_observations: int = 10_000) -> DataFrame:
     """Local surrogate (weighted sparse linear model) for a batch of observations.
 
     Weights are ``1 - Gower distance`` to the observation over ALL rows of ``df``.
@@ -301,7 +312,9 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
         from .categorical import level_dictionary
         levels = {c[0]: v for c, v in level_dictionary(df, nominal, max_levels=max_levels).items()}
     design = numeric + [f"{c}={lv}" for c in nominal for lv in levels.get(c, [])]
-    obs_rows = observations.select(key, *features).collect()
+    obs_rows = observations.select(key, *features).limit(max_observations + 1).collect()
+    if len(obs_rows) > max_observations:
+        raise ValueError(f"more than {max_observations} observations; explain them in batches")
     obs_arr = F.array(*[F.struct(F.lit(r[key]).cast("bigint").alias("_obs"),
                                  *[F.lit(r[f]).alias(f"_o_{i}") for i, f in enumerate(features)]) for r in obs_rows])
     scored = scorer(df.select(key, *features))

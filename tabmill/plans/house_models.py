@@ -123,3 +123,59 @@ def fit_linear_1d(spark: SparkSession, sf_dir: str, x: str = house.FEATURE, y: s
     df = sp.training(sp.initial_split(house.cleaned(spark, sf_dir), house.KEY, house.SPLIT_PROP, house.SPLIT_SEED))
     return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
                   F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+# ---------------------------------------------------------------- explanations of every fitted learner
+
+EXPLAIN_FEATURES = ["gr_liv_area", "lot_frontage", "overall_qual", "yr_sold", "ms_sub_class", "neighborhood",
+                    "garage_type"]
+
+
+def explain_learners(spark: SparkSession, sf_dir: str, method: str, names: Sequence[str] = md.REGRESSOR_NAMES,
+                     **kw) -> DataFrame:
+    """One explanation method applied to every learner fitted on the split, over all rows
+    (train + test), stacked under a ``learner`` column.
+
+    ``method``: ``pdp_ice``, ``ale``, ``importance``, ``shapley`` or ``lime``.
+    """
+    from ..operators import explain as ex
+
+    _, fitted, tagged = fit_house(spark, sf_dir, names, **kw)
+    df = sp.materialize(tagged.drop("set"))
+    obs = sp.row_at_position(df, house.KEY, house.OBSERVATION) if method in ("shapley", "lime") else None
+    pairs = ex.permutation_pairs(df, house.KEY) if method == "importance" else None  # shared by all learners
+    parts = []
+    for n, f in fitted.items():
+        score = f.scorer()
+        if method == "pdp_ice":
+            out = ex.pdp_ice(df, score, house.FEATURE)
+        elif method == "ale":
+            out = ex.ale(df, score, house.FEATURE)
+        elif method == "importance":
+            out = ex.permutation_importance(df, score, house.TARGET, EXPLAIN_FEATURES, pairs=pairs)
+        elif method == "shapley":
+            out = ex.shapley(df, score, EXPLAIN_FEATURES, obs)
+        elif method == "lime":
+            out = ex.lime(df, score, EXPLAIN_FEATURES, obs)
+        else:
+            raise ValueError(f"unknown method {method!r}")
+        parts.append(out.select(F.lit(n).alias("learner"), "*"))
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.unionByName(p)
+    return result
+
+
+def run_house(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The whole HOUSE pipeline: benchmark, test predictions and the explanation frames of
+    every learner (importance, PDP+ICE and ALE on the explained feature, Shapley and LIME
+    at the explained observation)."""
+    return {
+        "benchmark": benchmark(spark, sf_dir),
+        "predictions": house_predictions(spark, sf_dir),
+        "importance": explain_learners(spark, sf_dir, "importance"),
+        "pdp_ice": explain_learners(spark, sf_dir, "pdp_ice"),
+        "ale": explain_learners(spark, sf_dir, "ale"),
+        "shapley": explain_learners(spark, sf_dir, "shapley"),
+        "lime": explain_learners(spark, sf_dir, "lime"),
+    }

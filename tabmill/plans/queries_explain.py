@@ -103,3 +103,31 @@ def q_lime_forest(spark, d):
     _, fitted, df = hm.fit_house(spark, d, ["regr.ranger"])
     base = df.drop("set")
     return ex.lime(base, fitted["regr.ranger"].scorer(), EXPLAIN_FEATURES, _obs(base))
+
+
+# ---------------------------------------------------------------- every fitted learner, stacked by learner
+
+
+@query("importance_learners")
+def q_importance_learners(spark, d):
+    return hm.explain_learners(spark, d, "importance")
+
+
+@query("pdp_ice_learners")
+def q_pdp_ice_learners(spark, d):
+    return hm.explain_learners(spark, d, "pdp_ice")
+
+
+@query("ale_learners")
+def q_ale_learners(spark, d):
+    return hm.explain_learners(spark, d, "ale")
+
+
+@query("shapley_learners")
+def q_shapley_learners(spark, d):
+    return hm.explain_learners(spark, d, "shapley")
+
+
+@query("lime_learners")
+def q_lime_learners(spark, d):
+    return hm.explain_learners(spark, d, "lime")
