@@ -68,3 +68,12 @@ def test_task_list_guard(spark):
     assert risk.task_list(df) == ["Risk of Failure to Appear", "Risk of Recidivism", "Risk of Violence"]
     with pytest.raises(ValueError):
         risk.task_list(df, max_tasks=2)
+
+
+def test_every_learner_is_explained(spark):
+    from tabmill.plans import house_models as hm
+
+    ale = hm.explain_learners(spark, SF_SMALL, "ale").collect()
+    assert {r["learner"] for r in ale} == set(md.REGRESSOR_NAMES)
+    shap = hm.explain_learners(spark, SF_SMALL, "shapley", names=["regr.lm"]).collect()
+    assert len(shap) == len(hm.EXPLAIN_FEATURES)
