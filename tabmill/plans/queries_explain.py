@@ -40,7 +40,8 @@ select feature, feature_val, round(avg(prediction), 4) as y_hat, 'pdp' as type,
 from ex_ice group by feature, feature_val
 """))
 def q_pdp_ice(spark, d):
-    out = ex.pdp_ice(house.cleaned(spark, d), house.rule_scorer, house.FEATURE)
+    # a formula is cheap to score twice: no shuffle of the ICE rows
+    out = ex.pdp_ice(house.cleaned(spark, d), house.rule_scorer, house.FEATURE, one_pass=False)
     return out.withColumn("y_hat", F.when(F.col("type") == "pdp", F.round("y_hat", 4)).otherwise(F.col("y_hat")))
 
 
