@@ -132,21 +132,20 @@ def permute_column(df: DataFrame, column: str, key: str, seed: int | str = 1,
     """A seeded permutation of one column's values across rows.
 
     Row i (i-th smallest key) receives the value of the row with the i-th smallest
-    ``md5(key|seed)``.  Two dense ids and one equi join on the id: both sides are
-    range-partitioned on their own order, so the join shuffles once on the id.
+    ``md5(key|seed)``.  Both dense ids are built on the key column alone (narrow
+    sorts and checkpoints), paired on the id, and the values are joined back on the
+    unique key -- equi joins only.
     """
     out_col = out_col or column
-    by_key = dense_row_id(df, [key], id_col="_i")
-    donors = dense_row_id(df.select(key, column), [hash_hex(key, seed), key], id_col="_i").select(
-        "_i", F.col(column).alias("_permuted")
-    )
-    joined = by_key.join(donors, "_i")
-    rest = [c for c in df.columns if c != column]
-    cols = [F.col(c) for c in rest]
+    keys = df.select(key)
+    by_key = dense_row_id(keys, [key], id_col="_i")
+    donors = dense_row_id(keys, [hash_hex(key, seed), key], id_col="_i").select("_i", F.col(key).alias("_donor"))
+    pairs = by_key.join(donors, "_i").select(key, "_donor")
+    values = df.select(F.col(key).alias("_donor"), F.col(column).alias("_permuted"))
+    joined = df.join(pairs, key).join(values, "_donor")
     if out_col == column:
-        cols.append(F.col("_permuted").alias(column))
-        return joined.select(*cols).select(*df.columns)
-    return joined.select(*cols, F.col(column), F.col("_permuted").alias(out_col))
+        return joined.select(*[F.col("_permuted").alias(c) if c == column else F.col(c) for c in df.columns])
+    return joined.select(*df.columns, F.col("_permuted").alias(out_col))
 
 
 def background_sample(df: DataFrame, key: str, m: int, seed: int | str = 3) -> DataFrame:
