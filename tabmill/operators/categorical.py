@@ -20,6 +20,10 @@ DEFAULT_MAX_LEVELS = 10_000
 def level_counts(df: DataFrame, cols: Iterable[str], group: Iterable[str] = ()) -> DataFrame:
     """``(group..., column, level, n)`` for every non-null level of every column, one pass."""
     cols, group = list(cols), list(group)
+    if not cols:
+        spark = df.sparkSession
+        fields = ", ".join(f"`{g}` string" for g in group)
+        return spark.createDataFrame([], (fields + ", " if fields else "") + "column string, level string, n bigint")
     long = df.select(*group, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         group, cols, "column", "level")
     return long.filter(F.col("level").isNotNull()).groupBy(*group, "column", "level").agg(
@@ -71,7 +75,7 @@ def lump_decision(counts: dict[str, int], prop: float, keep_single_rare: bool =
 
 
 def apply_level_map(c: str, mapping: dict[str, str]) -> Column:
-    """Re-label levels in one CASE-free expression: kept levels stay, the rest become ``Other``.
+    """Re-label levels in one expression: kept levels stay, the rest become ``Other``.
 
     NULL stays NULL.  The kept set is bounded by the level guard.
     """
@@ -99,6 +103,8 @@ def lump(df: DataFrame, cols: Iterable[str], prop: float, keep_single_rare: bool
          max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
     """Lump levels of every listed column into ``Other`` by share (one aggregate + one projection)."""
     cols = list(cols)
+    if not cols:
+        return df
     counts = counts_by_column(df, cols, max_levels)
     maps = {c: lump_decision(counts[c], prop, keep_single_rare) for c in cols}
     return df.withColumns({c: apply_level_map(c, maps[c]) for c in cols})

@@ -107,6 +107,8 @@ def null_share(df: DataFrame, id_col: str | None = "id") -> DataFrame:
     then an unpivot of the one-row result.  ``id_col`` is excluded, as the key.
     """
     cols = [c for c in df.columns if c != id_col]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "values string, count double")
     wide = df.agg(*[F.avg(_missing(df, c).cast("double")).alias(c) for c in cols])
     return wide.unpivot([], cols, "values", "count")
 

@@ -41,6 +41,8 @@ def _lits(values) -> Column:
 def equal_grid(df: DataFrame, feature: str, grid_size: int = GRID_SIZE) -> list[float]:
     """``grid_size`` equally spaced points from min to max (one aggregate)."""
     row = df.agg(F.min(feature).alias("lo"), F.max(feature).alias("hi")).first()
+    if row["lo"] is None:
+        return []
     lo, hi = float(row["lo"]), float(row["hi"])
     if grid_size == 1 or hi == lo:
         return [lo]
@@ -55,7 +57,11 @@ def ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | Non
     ``feature, feature_val, y_hat, type='ice', id``.  Output size = rows x grid.
     """
     grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
-    stacked = df.withColumn(feature, F.explode(_lits(grid)))
+    if not grid:
+        grid_col = F.array().cast("array<double>")
+    else:
+        grid_col = _lits(grid)
+    stacked = df.withColumn(feature, F.explode(grid_col))
     scored = scorer(stacked)
     return scored.select(
         F.lit(feature).alias("feature"), F.col(feature).cast("double").alias("feature_val"),

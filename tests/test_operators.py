@@ -312,3 +312,17 @@ def test_single_level_column_is_dropped(spark):
 def test_kappa_on_empty_predictions(spark):
     empty = _pred(spark, [("a", "a")]).filter("false")
     assert mt.class_metrics(empty).count() == 0
+
+
+def test_degenerate_inputs(spark):
+    only_key = spark.createDataFrame([(1,), (2,)], "id int")
+    assert co.null_share(only_key).count() == 0
+    assert cat.level_counts(only_key, []).count() == 0
+    assert cat.counts_by_column(only_key, []) == {}
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id int, x double")
+    assert ex.equal_grid(nulls, "x") == []
+    assert ex.ice(nulls, _linear_x, "x").count() == 0
+
+
+def _linear_x(df):
+    return df.withColumn("prediction", F.col("x") * 2.0)
