@@ -1,6 +1,8 @@
 """Every query with oracle text: Spark result == DuckDB result (rows, columns, exact values)."""
 
+import contextlib
 import hashlib
+import io
 import math
 
 import pytest
@@ -24,9 +26,22 @@ def _digest(rows, cols):
     return hashlib.sha256("\n".join(keyed).encode()).hexdigest()
 
 
+# plan nodes that would break the scale rules: all-pairs joins, per-row Python UDFs
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
+    plan = _plan(df)
+    assert not [f for f in FORBIDDEN if f in plan], plan
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(ORACLE[name])
     dcols = [c[0] for c in cur.description]
