@@ -284,3 +284,9 @@ def q_risk_metrics(spark, d):
 @query("risk_results")
 def q_risk_results(spark, d):
     return rmod.risk_results(spark, d)
+
+
+@query("risk_metrics_all_tasks")
+def q_risk_metrics_all_tasks(spark, d):
+    """Compat (D4): every task's models scored on the test rows of all tasks."""
+    return rmod.run_risk(spark, d, models=["decision_tree", "glmnet"], test_scope="all")
