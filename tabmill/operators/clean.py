@@ -20,7 +20,7 @@ from ..functions.dates import age_bucket
 from ..functions.names import clean_names
 from . import categorical as cat
 from . import columns as colops
-from .split import dense_row_id
+from .split import dense_row_id, materialize
 
 # Name patterns that make a column categorical, and the defaults of the cleaning.
 CATEGORICAL_PATTERNS = ("year", "yr", "class")
@@ -60,6 +60,9 @@ def combine(raw: DataFrame, factor_list: Iterable[str] = HOUSE_FACTOR_LIST, perc
     x = type_columns(raw, factor_list)
     if id_col not in x.columns:
         raise ValueError(f"key column {id_col!r} is required")
+    # read by the null-share aggregate, the level counts and the result: run the
+    # source plan once and cut its lineage
+    x = materialize(x)
     kept = colops.kept_column_names(x, perc_miss, id_col)
     numeric = [c for c in colops.numeric_columns(x) if c in kept]
     factors = [c for c in colops.categorical_columns(x) if c in kept]
