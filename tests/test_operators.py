@@ -326,3 +326,16 @@ def test_degenerate_inputs(spark):
 
 def _linear_x(df):
     return df.withColumn("prediction", F.col("x") * 2.0)
+
+
+def test_materialize_spreads_only_small_partition_counts(spark):
+    par = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert sp.materialize(one).rdd.getNumPartitions() == par
+    many = spark.range(100).repartition(par * 2)
+    assert sp.materialize(many).rdd.getNumPartitions() == par * 2
+
+
+def test_lime_refuses_unbounded_observation_sets(small):
+    with pytest.raises(ValueError):
+        ex.lime(small, _linear, ["x1", "x2"], small, max_observations=10)
