@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from . import columns as co
 from .models import Scorer
-from .split import background_sample, dense_row_id, hash_hex_col, materialize
+from .split import background_sample, dense_row_id, dense_row_id_counted, hash_hex_col, materialize
 
 # Defaults of the explanation methods.
 GRID_SIZE = 20
@@ -110,8 +110,7 @@ def quantile_breaks(df: DataFrame, feature: str, grid_size: int = GRID_SIZE) ->
     <= grid_size + 1 rows at the wanted ranks reach the driver.
     """
     vals = df.select(feature).filter(F.col(feature).isNotNull())
-    ranked = dense_row_id(vals, [feature], "_r")
-    n = ranked.count()
+    ranked, n = dense_row_id_counted(vals, [feature], "_r")
     if n == 0:
         return []
     ranks = sorted({max(1, -(-(n * k) // grid_size)) for k in range(grid_size + 1)})

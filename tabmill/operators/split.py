@@ -80,6 +80,12 @@ def cv_folds(df: DataFrame, key: str | Iterable[str], folds: int = 4, seed: int
 
 def dense_row_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "row_id",
                  num_partitions: int | None = None) -> DataFrame:
+    """Gap-free 1..n ids in ``order_by`` order (see :func:`dense_row_id_counted`)."""
+    return dense_row_id_counted(df, order_by, id_col, num_partitions)[0]
+
+
+def dense_row_id_counted(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "row_id",
+                         num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Gap-free 1..n ids in ``order_by`` order, without a global single-partition window.
 
     1. range-partition on the order and sort within partitions (sampled bounds, so
@@ -111,18 +117,17 @@ def dense_row_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str =
         offsets[int(r["p"])] = run
         run += int(r["count"])
     if not offsets:
-        return tagged.drop("_mid").withColumn(id_col, F.lit(None).cast("bigint"))
+        return tagged.drop("_mid").withColumn(id_col, F.lit(None).cast("bigint")), 0
     off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("bigint"))])
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return tagged.withColumn(id_col, (off_map[part] + pos + 1).cast("bigint")).drop("_mid")
+    return tagged.withColumn(id_col, (off_map[part] + pos + 1).cast("bigint")).drop("_mid"), run
 
 
 def exact_split(df: DataFrame, key: str | Iterable[str], prop: float = 0.8, seed: int | str = 2,
                 set_col: str = "set") -> DataFrame:
     """Exactly ``floor(prop * n)`` training rows: the lowest keyed hashes are drawn."""
     k = _cols(key)
-    ranked = dense_row_id(df, [hash_hex(k, seed), *k], id_col="_draw")
-    n = ranked.count()
+    ranked, n = dense_row_id_counted(df, [hash_hex(k, seed), *k], id_col="_draw")
     cut = int(prop * n)
     return ranked.withColumn(set_col, F.when(F.col("_draw") <= cut, "train").otherwise("test")).drop("_draw")
 
