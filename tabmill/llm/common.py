@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_fields(df: DataFrame, **fields: T.DataType) -> T.StructType:
+    """Schema of ``df`` with the given fields behind it."""
+    return T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
+
+
 def quantize(value: Column, digits: int = 6) -> Column:
     """Round a score so that summation order does not show in results."""
     return F.round(value, digits)

@@ -108,7 +108,8 @@ def _rank(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Prefix incidences (token, salt, size, sig), once per class and task."""
+    """Prefix incidences (token, salt, size, sig, heavy), once per class and task; ``heavy`` counts the
+    class's prefix columns that are in the heavy list."""
 
     def run(batches):
         seen: set[int] = set()
@@ -130,12 +131,13 @@ def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, c
                 else:
                     token, r = s[:k], r[:k]
                 salt = np.where(r > 0, 1 + sig % SALTS, 0).astype(np.int32)
-                parts.append((tv.signed(token), salt, np.full(k, len(s), np.int32), np.full(k, sig, np.int64)))
+                parts.append((tv.signed(token), salt, np.full(k, len(s), np.int32), np.full(k, sig, np.int64),
+                              np.full(k, np.count_nonzero(r), np.int32)))
             if parts:
                 cols = [np.concatenate(x) for x in zip(*parts)]
-                yield pa.record_batch([pa.array(x) for x in cols], names=["token", "salt", "size", "sig"])
+                yield pa.record_batch([pa.array(x) for x in cols], names=["token", "salt", "size", "sig", "heavy"])
 
-    return texts.mapInArrow(run, "token long, salt int, size int, sig long")
+    return texts.mapInArrow(run, "token long, salt int, size int, sig long, heavy int")
 
 
 def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
@@ -145,7 +147,7 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
     def fits(small, large):
         return small * den >= num * large
 
-    def pairs(token, size, sig):
+    def pairs(token, size, sig, heavy):
         """All pairs of neighbours within a group whose sizes can reach the threshold."""
         at = np.arange(len(token))
         for d in range(1, BUCKET):
@@ -155,12 +157,12 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
                 return
             ok = at[fits(size[at], size[at + d]) & (sig[at] != sig[at + d])]
             if len(ok):
-                x, y = sig[ok], sig[ok + d]
-                yield np.minimum(x, y), np.maximum(x, y)
+                x, y = np.where(sig[ok] < sig[ok + d], ok, ok + d), np.where(sig[ok] < sig[ok + d], ok + d, ok)
+                yield out(0, len(ok), a=sig[x], b=sig[y], size=size[x], size_b=size[y], heavy=heavy[x], heavy_b=heavy[y])
 
     def out(kind, n, **cols):
-        names = ["kind", "a", "b", "token", "salt", "tile", "size"]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        names = ["kind", "a", "b", "token", "salt", "tile", "size", "size_b", "heavy", "heavy_b"]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 4]
         return pa.record_batch([pa.array(np.full(n, kind, np.int32)) if c == "kind" else
                                 (pa.array(cols[c], type=t) if c in cols else pa.nulls(n, t)) for c, t in zip(names, types)],
                                names=names)
@@ -169,11 +171,11 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
         held = None  # the group that a batch border may cut: at most BUCKET rows
         big, rank = None, 0  # the key of the large group being streamed, and its rows so far
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(4)]
+            cols = [batch.column(i).to_numpy() for i in range(5)]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             held = None
-            token, salt, size, sig = cols
+            token, salt, size, sig, heavy = cols
             if not len(token):
                 continue
             change = np.flatnonzero((token[1:] != token[:-1]) | (salt[1:] != salt[:-1])) + 1
@@ -195,13 +197,33 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
             few = np.repeat(~large & (n > 1), n)
             few = np.concatenate((few, np.zeros(len(token) - len(few), bool)))
             if few.any():
-                for x, y in pairs(token[few], size[few], sig[few]):
-                    yield out(0, len(x), a=x, b=y)
+                yield from pairs(token[few], size[few], sig[few], heavy[few])
         if held is not None and len(held[0]) > 1:
-            for x, y in pairs(held[0], held[2], held[3]):
-                yield out(0, len(x), a=x, b=y)
+            yield from pairs(held[0], *held[2:])
 
-    return prefixes.mapInArrow(run, "kind int, a long, b long, token long, salt int, tile long, size int")
+    return prefixes.mapInArrow(run, "kind int, a long, b long, token long, salt int, tile long, size int, size_b int, "
+                                    "heavy int, heavy_b int")
+
+
+def _candidates(buckets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) whose overlap, accumulated over the prefix columns, can still reach the threshold.
+
+    Of two prefixes, one ends first in the column order; what its row shares beyond the counted columns
+    is at most the rest of that row.  Columns met through tiles are not counted in ``c``: they are added as if shared.
+    """
+    tiled = (buckets.where("kind = 1 and salt = 0").groupBy("a").agg(F.count("*").alias("extra"))
+             .select(F.col("a").alias("sig"), "extra"))
+    met = (buckets.where("kind = 0").groupBy("a", "b")
+           .agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("size", "size_b", "heavy", "heavy_b")]))
+    for end, heavy in (("a", "heavy"), ("b", "heavy_b")):
+        met = (met.join(tiled.withColumnRenamed("sig", end), end, "left")
+               .withColumn(heavy, F.col(heavy) + F.coalesce("extra", F.lit(0))).drop("extra"))
+
+    def rest(n):  # shingles of a row behind its prefix
+        return F.ceil(n * num / den) - 1
+
+    bound = F.col("c") + F.least("heavy", "heavy_b") + F.greatest(rest(F.col("size")), rest(F.col("size_b")))
+    return met.where(bound * (num + den) >= num * (F.col("size") + F.col("size_b"))).select("a", "b")
 
 
 def _wanted(texts: DataFrame, n: int, bits: np.ndarray) -> DataFrame:
@@ -348,11 +370,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = scan.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("sig"))
     heavy, counts = _heavy(scan)
     prefixes = _prefixes(texts, n, num, den, heavy, counts)
-    spread = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "size", "sig"])
+    spread = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "size", "sig", "heavy"])
     buckets = written(_buckets(spread.sortWithinPartitions("token", "salt", "size", "sig"), num, den), "jaccard-buckets")
-    pairs = buckets.where("kind = 0").select("a", "b").distinct()
     large = buckets.where("kind = 1").select("token", "salt", "tile", "a", "size")
-    pairs = written(pairs, "jaccard-pairs")
+    pairs = written(_candidates(buckets, num, den), "jaccard-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(large.select(F.col("a").alias("sig")))
     sets = written(_wanted(texts, n, _bitmap(ends)).dropDuplicates(["sig"]), "jaccard-sets")
     links = _verified(pairs, sets, num, den).unionByName(_tile_links(large, sets, num, den))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ngram_jaccard
+from . import language_id, ngram_jaccard, pieces
 from .common import table
 
 QUERIES: dict = {}
@@ -43,3 +43,26 @@ def op2_ngram_jaccard(spark, sf_dir):
     """Every document of ``documents``: 4-word shingles, links at a Jaccard likeness of 85 in 100."""
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    """Language of every document, learned only outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language_id.held_out(F.col("doc_id"))
+    samples = language_id.training_sample(docs.where(~out))
+    return language_id.identify(docs.select("doc_id", "text", out.alias("held_out")), samples).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark, sf_dir, model: str = VOCABULARY):
+    """Every document encoded with merge dropout, decoded again and compared with the original."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = pieces.load_vocabulary(model)
+    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
