@@ -57,3 +57,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         labels = after.select("node", "component")
         if not moved:
             return labels
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``rows`` documents with a non-null ``label``, drawn by hashed id (one label per id, the largest).
+    The drawn ids are the broadcast side; ``rows`` bounds them."""
+    given = labels.groupBy(F.col(id_col).alias(id_col)).agg(F.max(label).alias("label")).where(
+        F.col("label").isNotNull() & F.col(id_col).isNotNull())
+    drawn = given.orderBy(F.xxhash64(F.col(id_col), F.lit(29)), id_col).limit(rows)
+    return docs.join(F.broadcast(drawn), id_col)

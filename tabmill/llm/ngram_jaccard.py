@@ -7,12 +7,13 @@ accumulated over those columns first and everything below the bounds is discarde
 
 * columns met by at most ``BUCKET`` classes give candidate pairs within the size bound, whose full
   overlap is then counted once;
-* columns met by more are cut into tiles of ``TILE`` classes; each pair of tiles is one block of the
-  product: overlap counts accumulate over column groups and only a spanning set of links leaves it.
+* columns met by more join their classes into families, cut into tiles of ``TILE`` classes; each pair of
+  tiles is one block of the product: overlap counts accumulate over column groups and only a spanning set of
+  links leaves it.
 
 The order of the columns never changes the result, only the work.  It ranks up to ``HEAVY`` of the most
 frequent n-grams, counted over all texts, behind the others; that list has a fixed size bound and is
-shipped with the tasks.  Heavy columns are salted, so no task gathers a hot one.
+shipped with the tasks.  Columns counted ``HOT`` times or more are salted, so no task gathers a hot one.
 
 Defined cases: null and empty texts have an empty set and link with nothing; texts of fewer than ``n``
 words are one shingle; equal texts, repeated rows and repeated ids share a class; a null id stays null
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -32,8 +33,9 @@ from .common import connected_components, written
 
 BUCKET = 48
 TILE = 512
+HOT = 512  # count from which a column of the heavy list is salted
 HEAVY = 1 << 16
-SALTS = 32
+SALTS = 8
 BITMAP_BITS = 1 << 25
 
 
@@ -109,7 +111,7 @@ def _rank(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Prefix incidences (token, salt, size, sig, heavy), once per class and task; ``heavy`` counts the
-    class's prefix columns that are in the heavy list."""
+    class's prefix columns that are salted."""
 
     def run(batches):
         seen: set[int] = set()
@@ -130,9 +132,9 @@ def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, c
                     token, r = s[order], r[order]
                 else:
                     token, r = s[:k], r[:k]
-                salt = np.where(r > 0, 1 + sig % SALTS, 0).astype(np.int32)
+                salt = np.where(r >= HOT, 1 + sig % SALTS, 0).astype(np.int32)
                 parts.append((tv.signed(token), salt, np.full(k, len(s), np.int32), np.full(k, sig, np.int64),
-                              np.full(k, np.count_nonzero(r), np.int32)))
+                              np.full(k, np.count_nonzero(r >= HOT), np.int32)))
             if parts:
                 cols = [np.concatenate(x) for x in zip(*parts)]
                 yield pa.record_batch([pa.array(x) for x in cols], names=["token", "salt", "size", "sig", "heavy"])
@@ -142,7 +144,7 @@ def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, c
 
 def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
     """Per (token, salt), met in order of size: kind 0 = candidate pair (a, b); kind 1 = member
-    (token, salt, tile, sig, size) of a column that is heavy or met by more than ``BUCKET`` classes."""
+    (token, salt, sig, size) of a column that is salted or met by more than ``BUCKET`` classes."""
 
     def fits(small, large):
         return small * den >= num * large
@@ -161,15 +163,15 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
                 yield out(0, len(ok), a=sig[x], b=sig[y], size=size[x], size_b=size[y], heavy=heavy[x], heavy_b=heavy[y])
 
     def out(kind, n, **cols):
-        names = ["kind", "a", "b", "token", "salt", "tile", "size", "size_b", "heavy", "heavy_b"]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 4]
+        names = ["kind", "a", "b", "token", "salt", "size", "size_b", "heavy", "heavy_b"]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 5]
         return pa.record_batch([pa.array(np.full(n, kind, np.int32)) if c == "kind" else
                                 (pa.array(cols[c], type=t) if c in cols else pa.nulls(n, t)) for c, t in zip(names, types)],
                                names=names)
 
     def run(batches):
         held = None  # the group that a batch border may cut: at most BUCKET rows
-        big, rank = None, 0  # the key of the large group being streamed, and its rows so far
+        big = None  # the key of the large group being streamed
         for batch in batches:
             cols = [batch.column(i).to_numpy() for i in range(5)]
             if held is not None:
@@ -189,11 +191,8 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
                 held = [c[starts[-1]:] for c in cols]
                 starts, stops, n, large = starts[:-1], stops[:-1], n[:-1], large[:-1]
             for s, e in zip(starts[large], stops[large]):
-                key = (int(token[s]), int(salt[s]))
-                rank = rank if big == key else 0
-                yield out(1, e - s, a=sig[s:e], token=token[s:e], salt=salt[s:e], size=size[s:e],
-                          tile=(rank + np.arange(e - s)) // TILE)
-                big, rank = key, rank + int(e - s)
+                yield out(1, e - s, a=sig[s:e], token=token[s:e], salt=salt[s:e], size=size[s:e])
+                big = (int(token[s]), int(salt[s]))
             few = np.repeat(~large & (n > 1), n)
             few = np.concatenate((few, np.zeros(len(token) - len(few), bool)))
             if few.any():
@@ -201,7 +200,7 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
         if held is not None and len(held[0]) > 1:
             yield from pairs(held[0], *held[2:])
 
-    return prefixes.mapInArrow(run, "kind int, a long, b long, token long, salt int, tile long, size int, size_b int, "
+    return prefixes.mapInArrow(run, "kind int, a long, b long, token long, salt int, size int, size_b int, "
                                     "heavy int, heavy_b int")
 
 
@@ -331,31 +330,38 @@ def block_links(sig: np.ndarray, sets: list[np.ndarray], num: int, den: int) ->
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
 
 
-def _tile_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links within heavy columns, one task group per pair of tiles that sizes allow."""
-    key = ["token", "salt", "tile"]
+def _families(large: DataFrame) -> DataFrame:
+    """(sig, size, family): classes that meet in columns too common for pairs, joined through those columns.
+    Every link left to find has both ends in one family."""
+    first = large.groupBy("token").agg(F.min("a").alias("hub"))
+    stars = large.join(first, "token").select(F.col("a").alias("x"), F.col("hub").alias("y")).distinct()
+    family = connected_components(stars, "x", "y").select(F.col("node").alias("a"), F.col("component").alias("family"))
+    return large.select("a", "size").distinct().join(family, "a").select(F.col("a").alias("sig"), "size", "family")
+
+
+def _tile_links(families: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links within families, one task group per pair of tiles that sizes allow."""
+    salted = families.withColumn("salt", F.pmod("sig", F.lit(SALTS)).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("family", "salt").orderBy("size", "sig"))
+    members = written(salted.withColumn("tile", F.floor((rank - 1) / TILE)), "jaccard-tiles")
+    key = ["family", "salt", "tile"]
     tiles = members.groupBy(*key).agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
-    tiles = tiles.select("token", F.struct("salt", "tile").alias("t"), "lo", "hi")
-    other = tiles.select("token", F.col("t").alias("u"), F.col("lo").alias("lo_u"), F.col("hi").alias("hi_u"))
-    blocks = (tiles.join(other, "token").where("t <= u")
+    tiles = tiles.select("family", F.struct("salt", "tile").alias("t"), "lo", "hi")
+    other = tiles.select("family", F.col("t").alias("u"), F.col("lo").alias("lo_u"), F.col("hi").alias("hi_u"))
+    blocks = (tiles.join(other, "family").where("t <= u")
               .where((F.col("hi") * den >= num * F.col("lo_u")) & (F.col("hi_u") * den >= num * F.col("lo")))
-              .select("token", "t", "u"))
-    ends = blocks.select("token", F.explode(F.array_distinct(F.array("t", "u"))).alias("v"), "t", "u").select(
-        "token", F.col("v.salt").alias("salt"), F.col("v.tile").alias("tile"), "t", "u")
+              .select("family", "t", "u"))
+    ends = blocks.select("family", F.explode(F.array_distinct(F.array("t", "u"))).alias("v"), "t", "u").select(
+        "family", F.col("v.salt").alias("salt"), F.col("v.tile").alias("tile"), "t", "u")
 
     def one(key, group):
-        seen, sig, got = set(), [], []
-        for s, x in zip(group.column("sig").to_pylist(), group.column("set")):
-            if s not in seen:
-                seen.add(s)
-                sig.append(s)
-                got.append(np.frombuffer(x.as_buffer(), np.uint64))
-        a, b = block_links(np.array(sig, np.int64), got, num, den)
+        sig = group.column("sig").to_numpy()
+        got = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("set")]
+        a, b = block_links(sig, got, num, den)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    rows = members.join(ends, key).select("token", "t", "u", F.col("a").alias("sig"))
-    return (rows.join(sets, "sig").select("token", "t", "u", "sig", "set")
-            .groupBy("token", "t", "u").applyInArrow(one, "a long, b long"))
+    return (members.join(sets, "sig").join(ends, key).select("family", "t", "u", "sig", "set")
+            .groupBy("family", "t", "u").applyInArrow(one, "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -372,11 +378,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = _prefixes(texts, n, num, den, heavy, counts)
     spread = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "size", "sig", "heavy"])
     buckets = written(_buckets(spread.sortWithinPartitions("token", "salt", "size", "sig"), num, den), "jaccard-buckets")
-    large = buckets.where("kind = 1").select("token", "salt", "tile", "a", "size")
+    families = written(_families(buckets.where("kind = 1").select("token", "a", "size")), "jaccard-families")
     pairs = written(_candidates(buckets, num, den), "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(large.select(F.col("a").alias("sig")))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(families.select("sig"))
     sets = written(_wanted(texts, n, _bitmap(ends)).dropDuplicates(["sig"]), "jaccard-sets")
-    links = _verified(pairs, sets, num, den).unionByName(_tile_links(large, sets, num, den))
+    links = _verified(pairs, sets, num, den).unionByName(_tile_links(families, sets, num, den))
     reach = connected_components(written(links, "jaccard-links"))
 
     classes = members.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, ngram_jaccard, pieces
+from . import language_id, ngram_jaccard, pieces, quality, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -66,3 +66,18 @@ def op5_sentencepiece(spark, sf_dir, model: str = VOCABULARY):
     both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """Importance weight of every document and whether the Gumbel top-k draw keeps it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.resample(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_weight", "n_grams", "kept")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    """Expected severity of every document; ``toxic`` where any toxicity is more likely than none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))

@@ -32,8 +32,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_RADIX))
 
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Kind of each byte: a word is a run of bytes of one kind other than 0.
+WORD = np.ones(256, dtype=np.uint8)
+WORD[[0x20, *range(0x09, 0x0E)]] = 0
+#: As WORD, but punctuation and symbols make words of their own (kind 2).
+PUNCT = WORD.copy()
+PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -75,25 +79,25 @@ def slices(column, limit: int = SLICE_BYTES):
 
 
 class Words:
-    """The words of a slice: runs of bytes outside ``separators``, split at text borders.
+    """The words of a slice: runs of bytes of one ``kind``, split at text borders.
 
     ``start``/``end``: byte positions; ``doc``: index of the text in the slice;
     ``hash``: 64-bit word hashes; ``count``/``first``: words of, and before, each text.
     """
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, lower: bool = True, separators: np.ndarray = SPACE):
+    def __init__(self, data: np.ndarray, at: np.ndarray, lower: bool = True, kind: np.ndarray = WORD):
         self.n = len(at) - 1
         if lower:
             data = LOWER[data]
         self.data, self.at = data, at
         size = len(data)
-        inside = ~separators[data]
+        of = kind[data]
         border = np.zeros(size + 1, dtype=bool)
         border[at] = True
-        begin = inside.copy()
-        begin[1:] &= separators[data[:-1]] | border[1:size]
-        stop = inside.copy()
-        stop[:-1] &= separators[data[1:]] | border[1:size]
+        cut = (of[1:] != of[:-1]) | border[1:size]
+        begin, stop = of > 0, of > 0
+        begin[1:] &= cut
+        stop[:-1] &= cut
         self.start = np.flatnonzero(begin)
         self.end = np.flatnonzero(stop) + 1
         self.doc = np.searchsorted(at, self.start, "right") - 1
@@ -102,9 +106,15 @@ class Words:
         up, down = _powers(size + 1)
         total = np.zeros(size + 1, dtype=np.uint64)
         np.cumsum(_BYTE[data] * up[:size], out=total[1:])
+        self._total, self._down = total, down
         length = (self.end - self.start).astype(np.uint64)
         self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + length)
 
+    def prefix_hash(self, which: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the first ``k`` bytes of the given words."""
+        start = self.start[which]
+        return (self._total[start + k] - self._total[start]) * self._down[start]
+
     def shingles(self, n: int, short: bool = True):
         """(hash, text index) of every ``n``-word shingle in text order; with ``short``, a text of
         fewer words gives its whole sequence as one shingle."""
