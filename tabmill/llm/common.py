@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +28,23 @@ def with_fields(df: DataFrame, **fields: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
 
 
-def quantize(value: Column, digits: int = 6) -> Column:
-    """Round a score so that summation order does not show in results."""
-    return F.round(value, digits)
+def bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bitmap of fixed size (``bits``, a power of two of at least 32,768) that marks the low bits of a long column.
+
+    Built by built-in aggregates; whatever the table's size, at most ``bits / 8`` bytes reach the driver.  It only prunes."""
+    bit = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1  # bitmaps count from 1
+    rows = (values.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes the bitmap marks."""
+    low = hashes.astype(np.uint64, copy=False) & np.uint64(len(bits) * 8 - 1)
+    return (bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

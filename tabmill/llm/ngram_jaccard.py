@@ -5,11 +5,11 @@ per n-gram.  Two classes can only reach the threshold if they meet in the size-d
 both rows under one global column order (most frequent columns last), so the product is
 accumulated over those columns first and everything below the bounds is discarded:
 
-* columns met by at most ``BUCKET`` classes give candidate pairs within the size bound, whose full
-  overlap is then counted once;
-* columns met by more join their classes into families, cut into tiles of ``TILE`` classes; each pair of
-  tiles is one block of the product: overlap counts accumulate over column groups and only a spanning set of
-  links leaves it.
+* columns met by at most ``BUCKET`` classes give pairs within the size bound, whose overlap counts are accumulated
+  over columns; pairs that can no longer reach the threshold go;
+* remaining pairs, and columns met by more classes, join classes into families, cut into tiles of ``TILE``
+  classes; each pair of tiles is one block of the product over all columns: overlap counts accumulate over column
+  groups, the exact test is applied, and a spanning set of links leaves it.
 
 The order of the columns never changes the result, only the work.  It ranks up to ``HEAVY`` of the most
 frequent n-grams, counted over all texts, behind the others; that list has a fixed size bound and is
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import connected_components, written
+from .common import bitmap, connected_components, marked, written
 
 BUCKET = 48
 TILE = 512
@@ -225,19 +225,23 @@ def _candidates(buckets: DataFrame, num: int, den: int) -> DataFrame:
     return met.where(bound * (num + den) >= num * (F.col("size") + F.col("size_b"))).select("a", "b")
 
 
-def _wanted(texts: DataFrame, n: int, bits: np.ndarray) -> DataFrame:
-    """(sig, size, set) of the classes whose signature is marked in ``bits``, as 64-bit hashes."""
-    mask = BITMAP_BITS - 1
+def _wanted(texts: DataFrame, n: int, sigs: np.ndarray, ids: np.ndarray) -> DataFrame:
+    """(sig, set) of the documents whose signature and id the two bitmaps mark: the class representatives
+    (a task sends a class once; false marks are dropped by the join that follows)."""
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
+            doc = batch.column(0)
+            rep = marked(ids, doc.fill_null(0).to_numpy().view(np.uint64)) | doc.is_null().to_numpy(zero_copy_only=False)
             sig, sets, held = [], [], 0
-            for _, s in _sets(batch, n):
-                if not len(s):
+            for row, s in _sets(batch, n):
+                if not (rep[row] and len(s)):
                     continue
                 x = _signature(s)
-                i = x & mask
-                if bits[i >> 3] >> (i & 7) & 1:
+                if x not in seen and marked(sigs, np.array([x]).view(np.uint64))[0]:
+                    if len(seen) < 1_000_000:
+                        seen.add(x)
                     sig.append(x)
                     sets.append(s.tobytes())
                     held += len(sets[-1])
@@ -250,36 +254,6 @@ def _wanted(texts: DataFrame, n: int, bits: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, "sig long, set binary")
 
 
-def _bitmap(sigs: DataFrame) -> np.ndarray:
-    """Fixed-size bitmap (``BITMAP_BITS``) of signatures, built by built-in aggregates; it only prunes."""
-    bit = F.col("sig").bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1  # bitmaps count from 1
-    rows = (sigs.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in rows:
-        out[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return out
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose full overlap reaches the threshold."""
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            left, right = batch.column("set_a"), batch.column("set_b")
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64)
-                both = np.sort(np.concatenate((x, y)), kind="stable")
-                overlap = int((both[1:] == both[:-1]).sum())
-                keep.append(den * overlap >= num * (len(x) + len(y) - overlap))
-            yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    a = sets.select(F.col("sig").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("sig").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
-
-
 def block_links(sig: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """One block of the product: overlap counts over column groups, then a spanning set of the links."""
     k = len(sets)
@@ -330,20 +304,25 @@ def block_links(sig: np.ndarray, sets: list[np.ndarray], num: int, den: int) ->
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
 
 
-def _families(large: DataFrame) -> DataFrame:
-    """(sig, size, family): classes that meet in columns too common for pairs, joined through those columns.
-    Every link left to find has both ends in one family."""
-    first = large.groupBy("token").agg(F.min("a").alias("hub"))
-    stars = large.join(first, "token").select(F.col("a").alias("x"), F.col("hub").alias("y")).distinct()
-    family = connected_components(stars, "x", "y").select(F.col("node").alias("a"), F.col("component").alias("family"))
-    return large.select("a", "size").distinct().join(family, "a").select(F.col("a").alias("sig"), "size", "family")
+def _family_edges(buckets: DataFrame, num: int, den: int) -> DataFrame:
+    """(x, y) between classes that may link: candidate pairs, and one star per column too common for pairs.
+    Every link has both ends in one connected family of these edges."""
+    large = buckets.where("kind = 1").select("token", "a")
+    stars = large.join(large.groupBy("token").agg(F.min("a").alias("hub")), "token")
+    return (_candidates(buckets, num, den).select(F.col("a").alias("x"), F.col("b").alias("y"))
+            .unionByName(stars.select(F.col("a").alias("x"), F.col("hub").alias("y")).distinct()))
 
 
-def _tile_links(families: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links within families, one task group per pair of tiles that sizes allow."""
+def _block_edges(families: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) within families, block by block: one group of rows per pair of tiles that sizes allow."""
     salted = families.withColumn("salt", F.pmod("sig", F.lit(SALTS)).cast("int"))
-    rank = F.row_number().over(Window.partitionBy("family", "salt").orderBy("size", "sig"))
-    members = written(salted.withColumn("tile", F.floor((rank - 1) / TILE)), "jaccard-tiles")
+    of_salt = F.row_number().over(Window.partitionBy("family", "salt").orderBy("size", "sig"))
+    count = families.groupBy("family").agg(F.count("*").alias("n"))
+    # a family that fits one tile is one tile; others are ranked within salts
+    members = salted.join(count, "family").withColumn("salt", F.when(F.col("n") <= TILE, -1).otherwise(F.col("salt")))
+    small = members.where("salt = -1").withColumn("tile", F.lit(0).cast("long"))
+    large = members.where("salt >= 0").withColumn("tile", F.floor((of_salt - 1) / TILE))
+    members = written(small.unionByName(large).select("family", "salt", "tile", "sig", "size"), "jaccard-tiles")
     key = ["family", "salt", "tile"]
     tiles = members.groupBy(*key).agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
     tiles = tiles.select("family", F.struct("salt", "tile").alias("t"), "lo", "hi")
@@ -352,16 +331,30 @@ def _tile_links(families: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
               .where((F.col("hi") * den >= num * F.col("lo_u")) & (F.col("hi_u") * den >= num * F.col("lo")))
               .select("family", "t", "u"))
     ends = blocks.select("family", F.explode(F.array_distinct(F.array("t", "u"))).alias("v"), "t", "u").select(
-        "family", F.col("v.salt").alias("salt"), F.col("v.tile").alias("tile"), "t", "u")
+        "family", F.col("v.salt").alias("salt"), F.col("v.tile").alias("tile"), F.xxhash64("t", "u").alias("block"))
 
-    def one(key, group):
-        sig = group.column("sig").to_numpy()
-        got = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("set")]
-        a, b = block_links(sig, got, num, den)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    def edges(sig, sets):
+        a, b = block_links(np.array(sig, np.int64), sets, num, den)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return (members.join(sets, "sig").join(ends, key).select("family", "t", "u", "sig", "set")
-            .groupBy("family", "t", "u").applyInArrow(one, "a long, b long"))
+    def run(batches):
+        key, sig, sets = None, [], []
+        for batch in batches:
+            family, block, s = (batch.column(i).to_numpy() for i in range(3))
+            for i in range(batch.num_rows):
+                if key != (family[i], block[i]):
+                    if len(sig) > 1:
+                        yield edges(sig, sets)
+                    key, sig, sets = (family[i], block[i]), [], []
+                if not sig or sig[-1] != s[i]:  # rows of a class follow each other
+                    sig.append(s[i])
+                    sets.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64))
+        if len(sig) > 1:
+            yield edges(sig, sets)
+
+    rows = members.join(ends, key).select("sig", "family", "block").join(sets, "sig").select("family", "block", "sig", "set")
+    return (rows.repartition("family", "block").sortWithinPartitions("family", "block", "sig")
+            .mapInArrow(run, "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -378,14 +371,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = _prefixes(texts, n, num, den, heavy, counts)
     spread = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "size", "sig", "heavy"])
     buckets = written(_buckets(spread.sortWithinPartitions("token", "salt", "size", "sig"), num, den), "jaccard-buckets")
-    families = written(_families(buckets.where("kind = 1").select("token", "a", "size")), "jaccard-families")
-    pairs = written(_candidates(buckets, num, den), "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(families.select("sig"))
-    sets = written(_wanted(texts, n, _bitmap(ends)).dropDuplicates(["sig"]), "jaccard-sets")
-    links = _verified(pairs, sets, num, den).unionByName(_tile_links(families, sets, num, den))
-    reach = connected_components(written(links, "jaccard-links"))
-
-    classes = members.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"))
+    classes = written(members.where("n_shingles > 0").groupBy("sig").agg(
+        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("size")), "jaccard-classes")
+    family = connected_components(_family_edges(buckets, num, den), "x", "y")
+    families = written(family.select(F.col("node").alias("sig"), F.col("component").alias("family")).join(classes, "sig"),
+                       "jaccard-families")
+    sets = _wanted(texts, n, bitmap(families, "sig", BITMAP_BITS), bitmap(families.where("class_id is not null"), "class_id", BITMAP_BITS))
+    links = written(_block_edges(families.drop("class_id"), sets, num, den), "jaccard-links")
+    reach = connected_components(links)
+
     named = classes.join(reach.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "root", F.coalesce("component", "sig"))
     first = named.groupBy("root").agg(F.min("class_id").alias("component_id"))

@@ -38,6 +38,8 @@ WORD[[0x20, *range(0x09, 0x0E)]] = 0
 #: As WORD, but punctuation and symbols make words of their own (kind 2).
 PUNCT = WORD.copy()
 PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 2
+#: As WORD, with punctuation and symbols between words as well.
+PLAIN = np.where(PUNCT == 2, 0, PUNCT).astype(np.uint8)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
