@@ -1,9 +1,10 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed word n-grams (words and runs of punctuation, sizes 1 and 2) are counted:
+Two generative models over hashed word n-grams (words and runs of punctuation, sizes 1 and 2; a bigram of one word
+twice also counts in a bucket of its own) are counted:
 the target model from documents labelled good, the raw model from all documents.  The log importance weight of
 a document is the prior log odds of good among the labels plus the sum over its n-grams of log(target / raw) less ``bar``, where
-``bar`` is the value per n-gram that best separates labelled good from bad documents by balanced accuracy.  Documents are then drawn without replacement by Gumbel
+``bar`` is the value per n-gram that best separates labelled good from bad documents.  Documents are then drawn without replacement by Gumbel
 top-k: weight plus keyed Gumbel noise, the k largest stay, with k the number of documents whose weight is not negative.
 
 Only sums per hash bucket, histogram counts and the bounded labelled sample reach the driver.
@@ -27,6 +28,7 @@ from .common import labelled_sample, with_fields, written
 BUCKETS = 1 << 16
 TARGET_ROWS = 6000  # labelled documents used at most
 SMOOTH = 1.0
+GOOD_COST = 4.0
 NOISE = 0.25  # scale of the Gumbel noise
 SEED = 11
 
@@ -37,7 +39,10 @@ def _ngrams(column):
         words = tv.Words(data, at, lower=False, kind=tv.PUNCT)
         h1, d1 = words.shingles(1)
         h2, d2 = words.shingles(2, short=False)
-        yield first, words.n, (np.concatenate((h1, h2)) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate((d1, d2))
+        again = np.flatnonzero((words.hash[1:] == words.hash[:-1]) & (words.doc[1:] == words.doc[:-1]))
+        bucket = (np.concatenate((h1, h2)) % np.uint64(BUCKETS - 1)).astype(np.int64)
+        yield (first, words.n, np.concatenate((bucket, np.full(len(again), BUCKETS - 1))),
+               np.concatenate((d1, d2, words.doc[again])))
 
 
 def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -85,13 +90,14 @@ def weigh(docs: DataFrame, ratio: np.ndarray, bar: float = 0.0, prior: float = 0
 
 
 def best_bar(mean: np.ndarray, good: np.ndarray) -> float:
-    """Value between two neighbouring means that best separates good (above) from bad by balanced accuracy."""
+    """Value between two neighbouring means that best separates good (above) from bad; of the two errors, losing a
+    good text weighs ``GOOD_COST`` times as much."""
     if not good.any() or good.all():
         return 0.0
     order = np.argsort(mean, kind="stable")
     mean, good = mean[order], good[order]
-    gain = np.cumsum(~good) / (~good).sum() - np.cumsum(good) / good.sum()
-    gain[:-1][mean[1:] == mean[:-1]] = -1  # equal means cannot be parted
+    gain = np.cumsum(~good) / (~good).sum() - GOOD_COST * np.cumsum(good) / good.sum()
+    gain[:-1][mean[1:] == mean[:-1]] = -np.inf  # equal means cannot be parted
     i = int(np.argmax(gain))
     return float((mean[i] + mean[min(i + 1, len(mean) - 1)]) / 2)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, ngram_jaccard, pieces, quality, toxicity
+from . import decontaminate, html_text, language_id, ngram_jaccard, pieces, quality, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -81,3 +81,32 @@ def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query("op9_html_text")
+def op9_html_text(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op3_warc", """
+with p as (select page_id, coalesce(html, '') as body from pages),
+d as (select page_id, strlen(body)::bigint as payload_bytes, sha1(body) as payload_digest from p),
+m as (select payload_digest, max(page_id) as last from d where payload_bytes >= 1000 group by 1)
+select d.page_id, d.payload_bytes, d.payload_digest,
+       case when m.last is not null and m.last <> d.page_id then 'revisit' else 'response' end as record_type,
+       case when m.last is not null and m.last <> d.page_id then m.last end as refers_to
+from d left join m using (payload_digest)
+""")
+def op3_warc(spark, sf_dir):
+    """Every page written to archives, normalised, and read back through the index."""
+    records = warc.read_archives(warc.archive(table(spark, sf_dir, "pages")))
+    return records.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    """Every (document, benchmark item) whose alignment keeps at least half of an exact copy's score."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
