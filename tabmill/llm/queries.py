@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, ngram_jaccard, pieces, quality, toxicity, warc
+from . import decontaminate, html_text, language_id, licenses, ngram_jaccard, pieces, quality, spotsigs, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -110,3 +110,15 @@ def op3_warc(spark, sf_dir):
 def op7_decontaminate(spark, sf_dir):
     """Every (document, benchmark item) whose alignment keeps at least half of an exact copy's score."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_licenses")
+def op1_licenses(spark, sf_dir):
+    """Every license notice found in the documents, with the share of its shingles that the text has."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_spotsigs")
+def op10_spotsigs(spark, sf_dir):
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return spotsigs.edit_test(table(spark, sf_dir, "documents"))
