@@ -90,11 +90,11 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 def min_hashes(shingles: Column) -> Column:
     """One hash per band over the band's ``ROWS`` minima."""
 
-    def keyed(j):
-        return lambda h: F.xxhash64(h, F.lit(j))
+    def minimum(j: Column) -> Column:
+        return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, j)))
 
-    rows = [F.array_min(F.transform(shingles, keyed(j))) for j in range(BANDS * ROWS)]
-    return F.array(*[F.xxhash64(F.lit(b), *rows[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)])
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                       lambda b: F.xxhash64(b, *[minimum(b * ROWS + r) for r in range(ROWS)]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
@@ -110,14 +110,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         raise ValueError(f"templates may have at most {STRIDE - 1} words")
     universe = sorted({h for _, s in known for h in s})
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # found: (shingle, position) of template shingles
-    hits = (shingled(base, "text", "s").select("id", F.xxhash64("text").alias("of_text"), F.filter(
+    # The row number keeps the filter on ``hits`` above this projection: pushed below it, the filter would evaluate
+    # the nested array expressions once more, from the text, for every word.
+    hits = (shingled(base, "text", "s").select("id", F.monotonically_increasing_id().alias("row"), F.filter(
         F.transform("s", lambda h, i: F.when(h.isin(universe), F.struct(h.alias("h"), i.alias("at")))), lambda x: x.isNotNull()).alias("hits"))
-        .where(F.size("hits") > 0).select("id", "of_text", F.explode("hits").alias("x")).select("id", "of_text", "x.h", "x.at"))
+        .select("id", "row", F.explode("hits").alias("x")).select("id", "row", "x.h", "x.at"))
     part = F.floor(F.col("at") / STRIDE)
-    windows = (hits.select("id", "of_text", "h", "at", F.explode(F.array(part, part - 1)).alias("window")).where("window >= 0")
-               .groupBy("id", "of_text", "window").agg(F.collect_set("h").alias("in_window"), F.min("at").alias("first_word")))
-    banded = windows.withColumn("uid", F.xxhash64("id", "of_text", "window")).withColumn("bands", min_hashes(F.col("in_window")))
+    windows = (hits.select("id", "row", "h", "at", F.explode(F.array(part, part - 1)).alias("window")).where("window >= 0")
+               .groupBy("id", "row", "window").agg(F.collect_set("h").alias("in_window"), F.min("at").alias("first_word")))
+    banded = windows.withColumn("uid", F.xxhash64("id", "row", "window")).withColumn("bands", min_hashes(F.col("in_window")))
     bands = F.broadcast(table.select("license", "shingles", F.explode(F.array_distinct(min_hashes(F.col("shingles")))).alias("band")))
     met = (banded.select("id", "uid", "window", "in_window", "first_word", F.explode("bands").alias("band")).join(bands, "band")
            .dropDuplicates(["id", "uid", "license"]))
