@@ -25,16 +25,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .common import bitmap, connected_components, marked, written
 
 BUCKET = 48
-TILE = 512
+TILE = 1024
+TILE_SHINGLES = 2_000_000  # shingles of a tile, about
 HOT = 512  # count from which a column of the heavy list is salted
-HEAVY = 1 << 16
+HEAVY = 1 << 18
 SALTS = 8
 BITMAP_BITS = 1 << 25
 
@@ -71,7 +72,7 @@ def _scan(texts: DataFrame, n: int) -> DataFrame:
                 size[row], sig[row] = len(s), _signature(s)
                 pending.append(s)
                 held += len(s)
-                if held > 400_000:
+                if held > 4_000_000:
                     v, c = np.unique(np.concatenate(pending), return_counts=True)
                     many.append(v[c >= 4])
                     counts.append(c[c >= 4])
@@ -315,23 +316,15 @@ def _family_edges(buckets: DataFrame, num: int, den: int) -> DataFrame:
 
 def _block_edges(families: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) within families, block by block: one group of rows per pair of tiles that sizes allow."""
-    salted = families.withColumn("salt", F.pmod("sig", F.lit(SALTS)).cast("int"))
-    of_salt = F.row_number().over(Window.partitionBy("family", "salt").orderBy("size", "sig"))
-    count = families.groupBy("family").agg(F.count("*").alias("n"))
-    # a family that fits one tile is one tile; others are ranked within salts
-    members = salted.join(count, "family").withColumn("salt", F.when(F.col("n") <= TILE, -1).otherwise(F.col("salt")))
-    small = members.where("salt = -1").withColumn("tile", F.lit(0).cast("long"))
-    large = members.where("salt >= 0").withColumn("tile", F.floor((of_salt - 1) / TILE))
-    members = written(small.unionByName(large).select("family", "salt", "tile", "sig", "size"), "jaccard-tiles")
-    key = ["family", "salt", "tile"]
-    tiles = members.groupBy(*key).agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
-    tiles = tiles.select("family", F.struct("salt", "tile").alias("t"), "lo", "hi")
-    other = tiles.select("family", F.col("t").alias("u"), F.col("lo").alias("lo_u"), F.col("hi").alias("hi_u"))
-    blocks = (tiles.join(other, "family").where("t <= u")
-              .where((F.col("hi") * den >= num * F.col("lo_u")) & (F.col("hi_u") * den >= num * F.col("lo")))
-              .select("family", "t", "u"))
-    ends = blocks.select("family", F.explode(F.array_distinct(F.array("t", "u"))).alias("v"), "t", "u").select(
-        "family", F.col("v.salt").alias("salt"), F.col("v.tile").alias("tile"), F.xxhash64("t", "u").alias("block"))
+    whole = families.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / TILE, F.sum("size") / TILE_SHINGLES)).alias("tiles"))
+    members = (families.join(whole, "family").withColumn("tile", F.pmod(F.xxhash64("sig"), F.col("tiles")))
+               .select("family", "tiles", "tile", "sig", "size"))
+    tiles = members.groupBy("family", "tiles", "tile").agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
+    other = tiles.select("family", F.col("tile").alias("u"), F.col("lo").alias("lo_u"), F.col("hi").alias("hi_u"))
+    blocks = (tiles.withColumnRenamed("tile", "t").join(other, "family").where("t <= u")
+              .where((F.col("hi") * den >= num * F.col("lo_u")) & (F.col("hi_u") * den >= num * F.col("lo"))))
+    ends = blocks.select("family", F.explode(F.array_distinct(F.array("t", "u"))).alias("tile"),
+                         (F.col("t") * F.col("tiles") + F.col("u")).alias("block"))
 
     def edges(sig, sets):
         a, b = block_links(np.array(sig, np.int64), sets, num, den)
@@ -352,7 +345,7 @@ def _block_edges(families: DataFrame, sets: DataFrame, num: int, den: int) -> Da
         if len(sig) > 1:
             yield edges(sig, sets)
 
-    rows = members.join(ends, key).select("sig", "family", "block").join(sets, "sig").select("family", "block", "sig", "set")
+    rows = members.join(ends, ["family", "tile"]).select("sig", "family", "block").join(sets, "sig").select("family", "block", "sig", "set")
     return (rows.repartition("family", "block").sortWithinPartitions("family", "block", "sig")
             .mapInArrow(run, "a long, b long"))
 
