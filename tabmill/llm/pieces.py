@@ -30,9 +30,9 @@ from . import textvec as tv
 from .common import with_fields
 
 MARK = "▁"
-VARIANTS = 8
+VARIANTS = 4
 SHORT = 48  # chunks up to this many characters are merged in step
-CACHE = 250_000  # distinct chunks a task keeps before it starts anew; it bounds memory only
+CACHE = 600_000  # distinct chunks a task keeps before it starts anew; it bounds memory only
 NEVER = np.int32(2**31 - 1)
 _CHUNK = re.compile(" *[^ \n]+| +|\n")
 
@@ -67,10 +67,15 @@ class Coder:
     def __init__(self, vocabulary: dict, rate: float, seed: int, variants: int = VARIANTS):
         self.char, self.byte, self.rank, self.n = vocabulary["char"], vocabulary["byte"], vocabulary["rank"], len(vocabulary["raw"])
         self.limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
-        self.rate, self.seed = rate, np.uint64(seed % (1 << 64))
+        self.rate, self.key = rate, np.uint64(seed * 0xD6E8FEB86659FD93 % (1 << 64))
         self.variants = variants if rate > 0 else 1
         left, right, made = vocabulary["pair"].T
         self._hash_pairs(left * (1 << 32) + right, made)
+        self.by_rank = np.flatnonzero(self.rank < NEVER)[np.argsort(self.rank[self.rank < NEVER])]
+        self.symbol = np.arange(0x110000, dtype=np.int32) + self.n
+        for c, i in self.char.items():
+            self.symbol[ord(c)] = i
+        self.symbol[32], self.symbol[ord(MARK)] = self.char[MARK], self.n + ord(MARK)
         raw = vocabulary["raw"]
         self.length = np.array([len(r) for r in raw], np.int64)
         self.bytes = np.frombuffer(b"".join(raw), np.uint8)
@@ -79,7 +84,8 @@ class Coder:
 
     def _forget(self):
         self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
-        self.flat, self.size = [], []
+        self.flat, self.filled = np.zeros(1 << 16, np.int32), 0
+        self.start, self.size, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
 
     def _hash_pairs(self, keys: np.ndarray, made: np.ndarray):
         """Open-addressing table of the pairs: a lookup is a few array gathers."""
@@ -117,28 +123,32 @@ class Coder:
         if self.rate <= 0:
             return np.zeros(len(left), bool)
         key = tv.mix(np.asarray(left, np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(right, np.int64).view(np.uint64))
-        key = tv.mix(key ^ tv.mix(np.asarray(variant, np.uint64) + self.seed * np.uint64(0xD6E8FEB86659FD93)) + np.uint64(step))
+        key = tv.mix(key ^ tv.mix(np.asarray(variant, np.uint64) + self.key) + np.uint64(step))
         return key < self.limit
 
-    def symbols(self, chunk: str) -> list[int]:
-        """Ids of the characters; those without a piece are numbered above the vocabulary by code point."""
-        get, n = self.char.get, self.n
-        return [n + ord(c) if c == MARK else get(MARK if c == " " else c, n + ord(c)) for c in chunk]
+    def symbols(self, chunks: list[str]) -> np.ndarray:
+        """Ids of the characters of all chunks in a row; those without a piece are numbered above the vocabulary by code point."""
+        return self.symbol[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
-    def _spell(self, ids: np.ndarray) -> np.ndarray:
-        """Replace characters without a piece by their byte pieces."""
+    def _spell(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Replace characters without a piece by their byte pieces, over sequences in a row."""
         odd = np.flatnonzero(ids >= self.n)
         if not len(odd):
-            return ids
-        parts, last = [], 0
-        for i in odd:
-            parts += [ids[last:i], self.byte[list(chr(ids[i] - self.n).encode("utf-8", "replace"))]]
-            last = i + 1
-        return np.concatenate([*parts, ids[last:]])
-
-    def merge_long(self, symbols: list[int], variant: int) -> np.ndarray:
+            return ids, size
+        spelt = [self.byte[list(chr(i).encode("utf-8", "replace"))] for i in (ids[odd] - self.n)]
+        more = np.array([len(x) for x in spelt])
+        width = np.ones(len(ids), np.int64)
+        width[odd] = more
+        out = np.repeat(ids, width)
+        at = (np.cumsum(width) - width)[odd]
+        out[np.repeat(at, more) + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)] = np.concatenate(spelt)
+        total = np.concatenate(([0], np.cumsum(width)))
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return out, np.diff(total[ends])
+
+    def merge_long(self, symbols, variant: int) -> np.ndarray:
         """One chunk, the agenda on a heap."""
-        ids = list(symbols)
+        ids = [int(i) for i in symbols]
         k = len(ids)
         after, before, version = list(range(1, k + 1)), list(range(-1, k - 1)), [0] * k
         heap: list = []
@@ -178,22 +188,22 @@ class Coder:
             i = after[i]
         return np.array(out, np.int32)
 
-    def merge_short(self, symbols: np.ndarray, variant: np.ndarray) -> list[np.ndarray]:
-        """Chunks of equal length, merged in step: every row takes the head of its own agenda each round."""
+    def merge_short(self, symbols: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of equal length, merged in step: every row takes the head of its own agenda each round.
+        Returns (ids in the first columns of a matrix, number of ids of each row)."""
         n, k = symbols.shape
-        ids, result = symbols.astype(np.int64), [None] * n
+        ids, result, total = symbols.astype(np.int64), np.zeros((n, k), np.int64), np.zeros(n, np.int64)
         row, length = np.arange(n), np.full(n, k)
         made = self.joined(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, k - 1)
-        rank = np.where(made >= 0, self.rank[made], NEVER)
+        rank = np.where(made >= 0, self.rank[made], NEVER)  # ranks name pieces, so the piece of a pair is by_rank[rank]
         step, cols = 0, np.arange(k)
         while len(row):
             best = np.argmin(rank, axis=1)
             at = np.arange(len(row))
             live = rank[at, best] < NEVER
             if not live.all():
-                for i in np.flatnonzero(~live):
-                    result[row[i]] = ids[i, :length[i]].astype(np.int32)
-                ids, rank, made, row, length, variant, best = (x[live] for x in (ids, rank, made, row, length, variant, best))
+                result[row[~live]], total[row[~live]] = ids[~live], length[~live]
+                ids, rank, row, length, variant, best = (x[live] for x in (ids, rank, row, length, variant, best))
                 at = np.arange(len(row))
                 if not len(row):
                     break
@@ -202,66 +212,79 @@ class Coder:
             go = np.flatnonzero(~drop)
             if len(go):
                 b = best[go]
-                new = made[go, b]
+                new = self.by_rank[rank[go, b]]
                 shift = np.minimum(cols[None, :] + (cols[None, :] > b[:, None]), k - 1)
                 sub = np.take_along_axis(ids[go], shift, axis=1)
                 g = np.arange(len(go))
                 sub[g, b] = new
                 length[go] -= 1
                 pair = np.minimum(cols[None, :-1] + (cols[None, :-1] >= b[:, None]), k - 2)
-                sr, sm = np.take_along_axis(rank[go], pair, axis=1), np.take_along_axis(made[go], pair, axis=1)
+                sr = np.take_along_axis(rank[go], pair, axis=1)
                 sr[g, length[go] - 1] = NEVER  # the last symbol has no right neighbour
                 for side in (b - 1, b):
                     ok = np.flatnonzero((side >= 0) & (side < length[go] - 1))
                     m = self.joined(sub[ok, side[ok]], sub[ok, side[ok] + 1])
                     sr[ok, side[ok]] = np.where(m >= 0, self.rank[m], NEVER)
-                    sm[ok, side[ok]] = m
-                ids[go], rank[go], made[go] = sub, sr, sm
+                ids[go], rank[go] = sub, sr
             step += 1
-        return result
-
-    def learn(self, chunks: list[tuple[str, int]]):
-        """Encode distinct (chunk, variant) pairs and remember them."""
-        by_length: dict[int, list[tuple[str, int]]] = {}
-        for c in chunks:
-            by_length.setdefault(len(c[0]), []).append(c)
-        for k, group in by_length.items():
+        return result, total
+
+    def learn(self, chunks: list[str], variant: np.ndarray):
+        """Encode distinct (chunk, variant) pairs and store them under the next numbers, in order."""
+        length = np.array([len(c) for c in chunks])
+        symbols = self.symbols(chunks)
+        first = np.cumsum(length) - length
+        parts, sizes, whose = [], [], []
+        for k in np.unique(length):
+            group = np.flatnonzero(length == k)
             if k == 1 or k > SHORT:
-                got = [self.merge_long(self.symbols(c), v) for c, v in group]
-            else:
-                got = []
-                for i in range(0, len(group), 4096):
-                    part = group[i:i + 4096]
-                    got += self.merge_short(np.array([self.symbols(c) for c, _ in part]), np.array([v for _, v in part], np.uint64))
-            for (c, v), ids in zip(group, got):
-                ids = self._spell(ids)
-                self.known[v][c] = len(self.size)
-                self.size.append(len(ids))
-                self.flat.append(ids)
+                for i in group:
+                    ids = self.merge_long(symbols[first[i]:first[i] + k], int(variant[i]))
+                    parts.append(ids)
+                    sizes.append([len(ids)])
+                    whose.append([i])
+                continue
+            for at in range(0, len(group), 8192):
+                part = group[at:at + 8192]
+                ids, size = self.merge_short(symbols[first[part][:, None] + np.arange(k)], variant[part])
+                parts.append(ids[np.arange(k)[None, :] < size[:, None]])
+                sizes.append(size)
+                whose.append(part)
+        ids, size = self._spell(np.concatenate(parts), np.concatenate(sizes))
+        whose = np.concatenate(whose)
+        need, n = self.filled + len(ids), self.count + len(chunks)
+        if need > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(need, np.int32)))
+        if n > len(self.size):
+            self.start, self.size = (np.concatenate((x, np.zeros(n, np.int64))) for x in (self.start, self.size))
+        self.flat[self.filled:need] = ids
+        self.start[self.count + whose] = self.filled + np.cumsum(size) - size
+        self.size[self.count + whose] = size
+        self.filled, self.count = need, n
 
     def encode(self, texts: list[str], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
-        if len(self.size) > CACHE:
+        if self.count > CACHE:
             self._forget()
-        split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
-        new: dict = {}
-        for words, v in zip(split, variants):
+        refs, words, new, of = [], [0], [], []
+        n = self.count
+        for t, v in zip(texts, variants):
             known = self.known[v]
-            for w in words:
-                if w not in known:
-                    new[(w, v)] = None
-        self.learn(list(new))
-        refs = [self.known[v][w] for words, v in zip(split, variants) for w in words]
-        if not refs:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        refs = np.array(refs)
-        used, at = np.unique(refs, return_inverse=True)
-        parts = [self.flat[i] for i in used]
-        size = np.array([len(p) for p in parts])
-        ids = gather(np.concatenate(parts), (np.cumsum(size) - size)[at], size[at])
-        total = np.concatenate(([0], np.cumsum(size[at])))
-        words = np.concatenate(([0], np.cumsum([len(w) for w in split])))
-        return ids, np.diff(total[words])
+            get = known.get
+            for w in _CHUNK.findall(" " + t) if t else ():
+                i = get(w)
+                if i is None:
+                    i = known[w] = n
+                    n += 1
+                    new.append(w)
+                    of.append(v)
+                refs.append(i)
+            words.append(len(refs))
+        if new:
+            self.learn(new, np.array(of, np.uint64))
+        refs = np.array(refs, np.int64)
+        total = np.concatenate(([0], np.cumsum(self.size[refs])))
+        return gather(self.flat, self.start[refs], self.size[refs]), np.diff(total[words])
 
     def decode(self, ids: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(UTF-8 bytes of all texts in a row, bytes of each); the dummy space of each text is dropped."""
@@ -294,28 +317,36 @@ def variant_of(texts: list[str], variants: int) -> list[int]:
 
 
 def encode(docs: DataFrame, vocabulary: dict, text_col: str = "text", ids_col: str = "ids", rate: float = 0.1,
-           seed: int = 7) -> DataFrame:
-    """``docs`` with ``ids_col`` (array<int>) appended, replacing a column of that name."""
-    base = docs.select(*[c for c in docs.columns if c != ids_col])
+           seed: int = 7, lossless_col: str | None = None, drop_text: bool = False) -> DataFrame:
+    """``docs`` with ``ids_col`` (array<int>) appended, replacing a column of that name.  ``lossless_col`` also decodes
+    the ids and compares them with the text, byte by byte; ``drop_text`` leaves the text out of the result."""
+    base = docs.select(*[c for c in docs.columns if c not in (ids_col, lossless_col)])
     at = base.columns.index(text_col)
+    kept = [i for i, c in enumerate(base.columns) if not (drop_text and i == at)]
+    names = [base.columns[i] for i in kept] + [ids_col] + [lossless_col] * bool(lossless_col)
 
     def run(batches):
         coder = Coder(vocabulary, rate, seed)
         for batch in batches:
-            column = batch.column(at)
-            ids, count = [np.zeros(0, np.int32)], []
-            for first, _, offsets in tv.slices(column):
-                texts = [t or "" for t in column.slice(first, len(offsets) - 1).to_pylist()]
-                i, c = coder.encode(texts, variant_of(texts, coder.variants))
-                ids.append(i.astype(np.int32))
-                count.append(c)
-            offsets = np.concatenate(([0], np.cumsum(np.concatenate(count) if count else []))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))
-            if column.null_count:
-                lists = pc.if_else(column.is_valid(), lists, pa.nulls(len(lists), lists.type))
-            yield pa.record_batch([*batch.columns, lists], names=[*batch.schema.names, ids_col])
-
-    return base.mapInArrow(run, with_fields(base, **{ids_col: T.ArrayType(T.IntegerType())}))
+            for first, data, offsets in tv.slices(batch.column(at)):
+                part = batch.slice(first, len(offsets) - 1)
+                column = part.column(at)
+                texts = [t or "" for t in column.to_pylist()]
+                ids, count = coder.encode(texts, variant_of(texts, coder.variants))
+                cuts = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
+                lists = pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32)))
+                if column.null_count:
+                    lists = pc.if_else(column.is_valid(), lists, pa.nulls(len(lists), lists.type))
+                out = [*(part.column(i) for i in kept), lists]
+                if lossless_col:
+                    back, size = coder.decode(ids.astype(np.int64), count)
+                    ends = np.concatenate(([0], np.cumsum(size)))
+                    raw = data.tobytes()
+                    out.append(pa.array([back[ends[i]:ends[i + 1]] == raw[offsets[i]:offsets[i + 1]] for i in range(len(texts))], pa.bool_()))
+                yield pa.record_batch(out, names=names)
+
+    fields = {ids_col: T.ArrayType(T.IntegerType())} | ({lossless_col: T.BooleanType()} if lossless_col else {})
+    return base.mapInArrow(run, with_fields(base.select(*[base.columns[i] for i in kept]), **fields))
 
 
 def decode(encoded: DataFrame, vocabulary: dict, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

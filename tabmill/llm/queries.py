@@ -63,9 +63,8 @@ def op5_sentencepiece(spark, sf_dir, model: str = VOCABULARY):
     """Every document encoded with merge dropout, decoded again and compared with the original."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = pieces.load_vocabulary(model)
-    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    both = pieces.encode(docs, vocabulary, lossless_col="lossless", drop_text=True)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
 @query("op6_quality")
