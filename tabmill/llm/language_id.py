@@ -34,6 +34,7 @@ ALPHABET = 64  # code 0: anything but a letter; 1-47: frequent letters; 48-62: t
 DIRECT = 47
 PIECE = 512
 SHARPNESS = 8.0  # score = softmax of -SHARPNESS * bits per character
+CLEAR = 0.4  # score below which no language is clear
 
 
 def held_out(doc_id: Column) -> Column:
