@@ -8,7 +8,7 @@ reordered copies score by what they keep.
 
 Fixed-size bitmaps of words and seeds go to the scanning tasks; the items themselves are joined by Spark.
 
-Defined cases: words are runs of letters and digits, lower-cased (A-Z); null and empty documents or items match nothing; items with fewer than ``n``
+Defined cases: words are runs of letters and digits, lower-cased; null and empty documents or items match nothing; items with fewer than ``n``
 words have one seed, their whole sequence; equal items are all reported; repeated rows are reported once per
 (doc_id, item_id) with the best score; null ids are carried as ids; empty tables give an empty result.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +26,14 @@ from .common import bitmap, marked, written
 
 N = 3
 RARE = 0.7
-THRESHOLD = 0.5
+THRESHOLD = 0.45
 MATCH, MISMATCH, GAP = 2, -1, -1
 BITS = 1 << 24
 
 
 def _slices(batch: pa.RecordBatch, name: str):
-    for first, data, at in tv.slices(batch.column(batch.schema.get_field_index(name))):
-        yield first, tv.Words(data, at, kind=tv.PLAIN)
+    for first, data, at in tv.slices(pc.utf8_lower(batch.column(batch.schema.get_field_index(name)))):
+        yield first, tv.Words(data, at, lower=False, kind=tv.PLAIN)
 
 
 def item_words(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -107,7 +107,7 @@ def op3_warc(spark, sf_dir):
 
 @query("op7_decontaminate")
 def op7_decontaminate(spark, sf_dir):
-    """Every (document, benchmark item) whose alignment keeps at least half of an exact copy's score."""
+    """Every (document, benchmark item) whose alignment keeps enough of an exact copy's score."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +40,8 @@ def _marks(words: tv.Words) -> tuple[np.ndarray, np.ndarray]:
 
 def _distinct_marks(column):
     """(row, sorted distinct feature hashes) of every text."""
-    for first, data, at in tv.slices(column):
-        words = tv.Words(data, at, kind=tv.PUNCT)
+    for first, data, at in tv.slices(pc.utf8_lower(column)):
+        words = tv.Words(data, at, lower=False, kind=tv.PUNCT)
         h, doc = _marks(words)
         order = np.argsort(doc, kind="stable")
         for i, part in enumerate(tv.per_text(h[order], doc[order], words.n)):
@@ -49,8 +50,8 @@ def _distinct_marks(column):
 
 def _known_marks(column, known: np.ndarray):
     """(row, sorted distinct indices into the sorted hashes ``known``) of every text that has any."""
-    for first, data, at in tv.slices(column):
-        h, doc = _marks(tv.Words(data, at, kind=tv.PUNCT))
+    for first, data, at in tv.slices(pc.utf8_lower(column)):
+        h, doc = _marks(tv.Words(data, at, lower=False, kind=tv.PUNCT))
         if not len(known):
             continue
         place = np.minimum(np.searchsorted(known, h), len(known) - 1)
