@@ -57,6 +57,7 @@ LABELLED = BY_PLACE + (
     (25, 0.40, 30, 0.0, 0, 0.0, 1, 0, 0, 1), (12, 0.75, 40, 0.0, 50, 0.0, 1, 0, 0, 1), (300, 0.00, 20, 0.0, 10, 0.0, 1, 0, 0, 1),
     (6, 0.50, 60, 0.0, 60, 0.0, 1, 0, 0, 1), (10, 0.00, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (2, 0.00, 1, 1.0, 1, 1.0, 1, 0, 0, 1),
     (15, 0.85, 60, 0.0, 60, 0.0, 1, 0, 0, 1), (4, 0.00, 300, 0.0, 8, 0.0, 1, 0, 0, 1), (9, 0.00, 200, 0.0, 14, 0.0, 1, 0, 0, 1),
+    (20, 0.90, 30, 0.0, 8, 0.0, 1, 0, 0, 1), (9, 0.70, 12, 0.0, 25, 0.0, 1, 0, 0, 1), (30, 0.80, 0, 0.0, 40, 0.0, 1, 0, 0, 1),
     # link lists inside articles
     (4, 1.00, 4, 1.0, 5, 1.0, 1, 0, 0, 0), (2, 1.00, 50, 0.0, 3, 1.0, 1, 0, 0, 0), (7, 1.00, 6, 1.0, 0, 0.0, 1, 0, 0, 0),
     # furniture inside articles: adverts, notices, comments, share bars
@@ -73,6 +74,8 @@ LABELLED = BY_PLACE + (
     (4, 0.00, 70, 0.0, 45, 0.0, 0.5, 0, 0, 1), (12, 0.00, 30, 0.0, 25, 0.1, 0.5, 0, 0, 1), (200, 0.00, 2, 1.0, 2, 1.0, 0.5, 0, 0, 1),
     (3, 0.00, 90, 0.0, 30, 0.0, 0.5, 0, 0, 1), (11, 0.00, 2, 1.0, 45, 0.0, 0.5, 0, 1, 1), (22, 0.00, 0, 0.0, 0, 0.0, 0.5, 0, 0, 1),
     # furniture of such pages
+    (2, 1.00, 0, 0.0, 60, 0.0, 0.5, 0, 0, 0), (5, 1.00, 3, 0.0, 120, 0.0, 0.5, 0, 0, 0), (8, 0.90, 70, 0.0, 90, 0.0, 0.5, 0, 0, 0),
+    (14, 0.80, 2, 1.0, 40, 0.0, 0.5, 0, 0, 0), (3, 1.00, 80, 0.0, 45, 0.0, 0.5, 0, 0, 0),
     (2, 1.00, 2, 1.0, 2, 1.0, 0.5, 0, 0, 0), (3, 0.00, 2, 1.0, 2, 1.0, 0.5, 0, 0, 0), (6, 0.80, 4, 1.0, 80, 0.0, 0.5, 0, 0, 0),
     (9, 0.60, 60, 0.0, 4, 1.0, 0.5, 0, 0, 0), (4, 0.00, 3, 1.0, 6, 0.9, 0.5, 0, 1, 0), (15, 0.70, 10, 0.8, 12, 0.9, 0.5, 0, 0, 0),
     (20, 0.90, 30, 0.0, 5, 1.0, 0.5, 0, 0, 0), (5, 0.00, 12, 0.8, 0, 0.0, 0.5, 0, 0, 0), (30, 0.00, 60, 0.0, 0, 0.0, 0.5, 1, 0, 0),

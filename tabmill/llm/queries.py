@@ -76,10 +76,10 @@ def op6_quality(spark, sf_dir):
 
 @query("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
-    """Expected severity of every document; ``toxic`` where any toxicity is more likely than none."""
+    """Expected severity of every document, and whether it counts as toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))
+    return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", "toxic")
 
 
 @query("op9_html_text")

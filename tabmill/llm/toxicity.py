@@ -3,7 +3,8 @@
 P(grade <= j) = sigmoid(threshold_j - w.x): one weight vector shared by all ordered thresholds.  x marks which words and
 word stems of a learned vocabulary a text has.  The vocabulary (at most ``WORDS`` entries) holds those most associated with the grades
 in a bounded labelled sample; features are exact hashes, so words outside it never count.  The result per document is the expected severity
-sum_j j * P(grade = j), the probability of any toxicity, and the most probable grade.
+sum_j j * P(grade = j), the probability of any toxicity, the most probable grade, and ``toxic``: whether the probability
+reaches the cut, which the clean texts of the sample set (0.5 at most).
 
 Defined cases: null, empty and wordless texts have no features and get the base rate; repeated rows score alike; a tie between grades
 goes to the lower; labels without any toxic (or any clean) row give severity 0 everywhere; an empty table gives an empty result.
@@ -24,8 +25,9 @@ from .common import labelled_sample, with_fields, written
 ROWS = 8000  # labelled documents used at most
 WORDS = 2048  # features at most
 STEMS = (3, 4, 5, 6)  # bytes
-MIN_SHARE = 0.02  # share of the toxic sample texts, as a count, in which a feature must occur at least
-PENALTY = 5e-4
+MIN_SHARE = 0.01  # share of the toxic sample texts, as a count, in which a feature must occur at least
+PENALTY = 2e-4
+CLEAN_ABOVE = 0.001  # share of clean sample texts that may score above the cut for ``toxic``
 
 
 def _marks(words: tv.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -162,12 +164,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grade = given if len(given) and given.max() > 1 else severity_grades(present, given > 0, share)
     w, theta = fit_ordinal(present, grade, len(words)) if len(words) else (np.zeros(0), np.zeros(0))
     used = np.flatnonzero(w)
-    return {"words": words[used], "weights": w[used], "thresholds": theta}
+    cut = 0.5
+    if len(theta):
+        p = np.array([1 - 1 / (1 + np.exp(w[x].sum() - theta[0])) for x, g in zip(present, grade) if g == 0])
+        cut = min(0.5, max(0.2, 1.25 * float(np.quantile(p, 1 - CLEAN_ABOVE))))
+    return {"words": words[used], "weights": w[used], "thresholds": theta, "cut": cut}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``severity``, ``p_toxic`` and ``grade`` appended (replacing columns of these names)."""
-    added = ("severity", "p_toxic", "grade")
+    """``docs`` with ``severity``, ``p_toxic``, ``grade`` and ``toxic`` appended (replacing columns of these names)."""
+    added = ("severity", "p_toxic", "grade", "toxic")
     base = docs.select(*[c for c in docs.columns if c not in added])
     at = base.columns.index(text_col)
 
@@ -180,6 +186,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             below = 1 / (1 + np.exp(-np.clip(theta[None, :] - s[:, None], -40, 40)))
             p = np.diff(np.concatenate((np.zeros((len(s), 1)), below, np.ones((len(s), 1))), axis=1), axis=1)
             yield pa.record_batch([*batch.columns, pa.array(np.round(p @ np.arange(p.shape[1]), 6)), pa.array(np.round(1 - p[:, 0], 6)),
-                                   pa.array(np.argmax(p, axis=1).astype(np.int32))], names=[*batch.schema.names, *added])
+                                   pa.array(np.argmax(p, axis=1).astype(np.int32)), pa.array(1 - p[:, 0] >= model["cut"])], names=[*batch.schema.names, *added])
 
-    return base.mapInArrow(run, with_fields(base, severity=T.DoubleType(), p_toxic=T.DoubleType(), grade=T.IntegerType()))
+    return base.mapInArrow(run, with_fields(base, severity=T.DoubleType(), p_toxic=T.DoubleType(), grade=T.IntegerType(),
+                                              toxic=T.BooleanType()))
