@@ -10,9 +10,3 @@ def str_remove_first_digit(c) -> Column:
     """Remove the first digit only (Spark's ``regexp_replace`` alone would remove every match)."""
     x = F.col(c) if isinstance(c, str) else c
     return F.regexp_replace(x, r"^([^0-9]*)[0-9]", "$1")
-
-
-def joined_label(*parts, sep: str = "_") -> Column:
-    """``concat_ws`` over columns or literals, e.g. ``mse`` + ``train`` -> ``mse_train``."""
-    cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-    return F.concat_ws(sep, *cols)

@@ -2,8 +2,9 @@
 
 A categorical column is text plus a level dictionary.  Level counts for ALL
 categorical columns come from one unpivot + grouped count (partial aggregation
-before the shuffle, output bounded by the number of levels); the dictionaries
-that drive later projections are collected behind a ``max_levels`` guard.
+before the shuffle).  Lumping brings only the levels above the share to the driver:
+at most ``1 / share`` per column, whatever the number of levels.  A full dictionary
+(:func:`level_dictionary`) is as large as the one-hot frame it describes.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OTHER = "Other"
-DEFAULT_MAX_LEVELS = 10_000
 
 
 def level_counts(df: DataFrame, cols: Iterable[str], group: Iterable[str] = ()) -> DataFrame:
@@ -39,84 +39,67 @@ def level_freq(df: DataFrame, cols: Iterable[str], group: Iterable[str] = ()) ->
         *group, "column", "level", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
-def level_dictionary(df: DataFrame, cols: Iterable[str], group: Iterable[str] = (),
-                     max_levels: int = DEFAULT_MAX_LEVELS) -> dict:
-    """``{(group values..., column): [sorted levels]}`` collected to the driver (bounded)."""
+def level_dictionary(df: DataFrame, cols: Iterable[str], group: Iterable[str] = ()) -> dict:
+    """``{(group values..., column): [sorted levels]}``, one entry per column of a one-hot frame."""
     group = list(group)
-    counts = level_counts(df, cols, group)
-    rows = counts.select(*group, "column", "level").limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"more than {max_levels} levels in total; refusing to collect the dictionary")
     out: dict = {}
-    for r in rows:
-        k = tuple(r[g] for g in group) + (r["column"],)
-        out.setdefault(k, []).append(r["level"])
+    for r in level_counts(df, cols, group).select(*group, "column", "level").collect():
+        out.setdefault(tuple(r[g] for g in group) + (r["column"],), []).append(r["level"])
     return {k: sorted(v) for k, v in out.items()}
 
 
-def lump_decision(counts: dict[str, int], prop: float, keep_single_rare: bool = False) -> dict[str, str]:
-    """Map each level to itself or ``Other`` from its share of the total.
-
-    ``prop > 0``: levels with share <= prop are rare and become ``Other`` (kept iff share > prop).
-    ``prop < 0``: levels with share > -prop are dominant and become ``Other``.
-    With ``keep_single_rare`` a lone rare level is left alone (nothing to merge with).
-    """
-    total = sum(counts.values())
-    if total == 0:
-        return {}
-    share = {lv: n / total for lv, n in counts.items()}
-    if prop >= 0:
-        lumped = {lv for lv, s in share.items() if s <= prop}
-        if keep_single_rare and len(lumped) <= 1:
-            lumped = set()
-    else:
-        lumped = {lv for lv, s in share.items() if s > -prop}
-    return {lv: (OTHER if lv in lumped else lv) for lv in counts}
-
-
-def apply_level_map(c: str, mapping: dict[str, str]) -> Column:
-    """Re-label levels in one expression: kept levels stay, the rest become ``Other``.
-
-    NULL stays NULL.  The kept set is bounded by the level guard.
-    """
-    kept = sorted(lv for lv, to in mapping.items() if to == lv)
-    x = F.col(c)
-    if len(kept) == len(mapping):
-        return x
-    if not kept:
-        return F.when(x.isNull(), x).otherwise(F.lit(OTHER))
-    return F.when(x.isNull(), x).when(x.isin(*kept), x).otherwise(F.lit(OTHER))
+class LevelShares:
+    """Of one column: the levels above a share with their counts, the number of levels, and the total count.
+
+    ``1 / share`` bounds the levels held; those below are only counted."""
 
+    def __init__(self, frequent: dict[str, int] | None = None, levels: int = 0, total: int = 0):
+        self.frequent, self.levels, self.total = frequent or {}, levels, total
 
-def counts_by_column(df: DataFrame, cols: Iterable[str], max_levels: int = DEFAULT_MAX_LEVELS) -> dict[str, dict[str, int]]:
+    @property
+    def rare(self) -> int:
+        return self.levels - len(self.frequent)
+
+
+def level_shares(df: DataFrame, cols: Iterable[str], share: float) -> dict[str, LevelShares]:
+    """Per column the levels whose share of the non-null values exceeds ``share``; shares are computed on the
+    executors and only those levels are collected."""
     cols = list(cols)
-    rows = level_counts(df, cols).limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"more than {max_levels} levels in total; refusing to collect them")
-    out: dict[str, dict[str, int]] = {c: {} for c in cols}
+    counts = level_counts(df, cols)
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("levels"))
+    frequent = F.col("n") / F.col("total") > F.lit(float(share))
+    rows = counts.join(totals, "column").filter(frequent).select("column", "level", "n").collect()
+    out = {c: LevelShares() for c in cols}
+    for r in totals.collect():
+        out[r["column"]] = LevelShares({}, int(r["levels"]), int(r["total"]))
     for r in rows:
-        out[r["column"]][r["level"]] = int(r["n"])
+        out[r["column"]].frequent[r["level"]] = int(r["n"])
     return out
 
 
-def lump(df: DataFrame, cols: Iterable[str], prop: float, keep_single_rare: bool = False,
-         max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
-    """Lump levels of every listed column into ``Other`` by share (one aggregate + one projection)."""
-    cols = list(cols)
-    if not cols:
-        return df
-    counts = counts_by_column(df, cols, max_levels)
-    maps = {c: lump_decision(counts[c], prop, keep_single_rare) for c in cols}
-    return df.withColumns({c: apply_level_map(c, maps[c]) for c in cols})
-
+def relabelled(c: str, kept: Iterable[str] | None, merged: Iterable[str] = ()) -> Column:
+    """Levels outside ``kept`` (None: all are kept) and levels in ``merged`` become ``Other``; NULL stays NULL."""
+    x = F.col(c)
+    out = F.when(x.isNull(), x)
+    if merged := sorted(merged):
+        out = out.when(x.isin(*merged), F.lit(OTHER))
+    if kept is None:
+        return out.otherwise(x) if merged else x
+    kept = sorted(kept)
+    return out.when(x.isin(*kept), x).otherwise(F.lit(OTHER)) if kept else out.otherwise(F.lit(OTHER))
 
-def merge_counts(counts: dict[str, int], mapping: dict[str, str]) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for lv, n in counts.items():
-        to = mapping.get(lv, lv)
-        out[to] = out.get(to, 0) + n
-    return out
 
+def lump(df: DataFrame, cols: Iterable[str], prop: float, keep_single_rare: bool = False) -> DataFrame:
+    """Lump levels of every listed column into ``Other`` by share (one aggregate + one projection).
 
-def compose_maps(first: dict[str, str], second: dict[str, str]) -> dict[str, str]:
-    return {lv: second.get(to, to) for lv, to in first.items()}
+    ``prop >= 0`` merges levels with share <= prop (with ``keep_single_rare`` a lone one stays);
+    ``prop < 0`` merges levels with share > -prop."""
+    cols = list(cols)
+    if not cols or prop == 0:  # no level has a share of 0
+        return df
+    shares = level_shares(df, cols, abs(prop))
+    if prop < 0:
+        return df.withColumns({c: relabelled(c, None, shares[c].frequent) for c in cols})
+    return df.withColumns({
+        c: F.col(c) if s.rare <= (1 if keep_single_rare else 0) else relabelled(c, s.frequent)
+        for c, s in shares.items()})

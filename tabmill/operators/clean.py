@@ -48,8 +48,7 @@ def type_columns(raw: DataFrame, factor_list: Iterable[str] = HOUSE_FACTOR_LIST,
 
 def combine(raw: DataFrame, factor_list: Iterable[str] = HOUSE_FACTOR_LIST, perc_miss: float = PERC_MISS,
             perc_lump: float = PERC_LUMP, dominant_lump: float = DOMINANT_LUMP, id_col: str = "id",
-            align: str = "id", keep_single_rare: bool = False,
-            max_levels: int = cat.DEFAULT_MAX_LEVELS) -> DataFrame:
+            align: str = "id", keep_single_rare: bool = False) -> DataFrame:
     """Clean the house table.  Output: ``id``, kept numeric columns, kept categorical columns.
 
     ``align='id'`` (default) keeps the rows complete in every kept column -- what
@@ -60,24 +59,29 @@ def combine(raw: DataFrame, factor_list: Iterable[str] = HOUSE_FACTOR_LIST, perc
     x = type_columns(raw, factor_list)
     if id_col not in x.columns:
         raise ValueError(f"key column {id_col!r} is required")
-    # read by the null-share aggregate, the level counts and the result: run the
-    # source plan once and cut its lineage
-    x = materialize(x)
     kept = colops.kept_column_names(x, perc_miss, id_col)
     numeric = [c for c in colops.numeric_columns(x) if c in kept]
     factors = [c for c in colops.categorical_columns(x) if c in kept]
 
-    complete = x.select(id_col, *kept).na.drop("any", subset=kept)
-    counts = cat.counts_by_column(complete, factors, max_levels)
-    final_maps, surviving = {}, []
-    for c in factors:
-        m1 = cat.lump_decision(counts[c], perc_lump, keep_single_rare)
-        m2 = cat.lump_decision(cat.merge_counts(counts[c], m1), dominant_lump)
-        final = cat.compose_maps(m1, m2)
-        final_maps[c] = final
-        if len(set(final.values())) > 1:
+    # read by the level counts and the result: written once, after the columns are chosen
+    x = materialize(x.select(id_col, *kept))
+    complete = x.na.drop("any", subset=kept)
+    lumped, surviving = [], []
+    for c, s in (cat.level_shares(complete, factors, perc_lump) if factors else {}).items():
+        lump_rare = s.rare > (1 if keep_single_rare else 0)
+        if not lump_rare and s.rare:  # one rare level that stays: its share is too small to dominate
+            levels = s.levels
+            after = dict(s.frequent)
+        else:
+            after = dict(s.frequent)
+            if lump_rare:
+                after[cat.OTHER] = after.get(cat.OTHER, 0) + s.total - sum(s.frequent.values())
+            levels = len(after)
+        dominant = {lv for lv, n in after.items() if n / s.total > -dominant_lump} if dominant_lump < 0 and s.total else set()
+        left = levels - len(dominant) + (1 if dominant and (cat.OTHER not in after or cat.OTHER in dominant) else 0)
+        if left > 1:
             surviving.append(c)
-    lumped = [cat.apply_level_map(c, final_maps[c]).alias(c) for c in surviving]
+            lumped.append(cat.relabelled(c, s.frequent if lump_rare else None, dominant - {cat.OTHER}).alias(c))
 
     if align == "id":
         return complete.select(id_col, *numeric, *lumped)
@@ -98,13 +102,6 @@ def join_halves(df: DataFrame, key: str = "id") -> DataFrame:
     return num.join(fac, key, "inner")
 
 
-def positional_join(left: DataFrame, right: DataFrame, order_key: str = "id") -> DataFrame:
-    """Pair the i-th row of ``left`` with the i-th row of ``right`` (each in ``order_key`` order)."""
-    lft = dense_row_id(left, [order_key], "rowid")
-    rgt = dense_row_id(right.withColumnRenamed(order_key, f"{order_key}_right"), [f"{order_key}_right"], "rowid")
-    return lft.join(rgt, "rowid")
-
-
 def nth_row_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The n-th row (1-based) of each group in ``order``.
 
@@ -118,12 +115,6 @@ def nth_row_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n).drop("_rn")
 
 
-def forget_unused_levels(df: DataFrame, cols: Iterable[str], group: Iterable[str] = (),
-                         max_levels: int = cat.DEFAULT_MAX_LEVELS) -> dict:
-    """Level dictionary re-derived from the rows that remain (unused levels disappear)."""
-    return cat.level_dictionary(df, cols, group, max_levels)
-
-
 def nth_row_dataset(raw_clean: DataFrame, n: int, filters: dict[str, list[str]], key: str = "assessment_id",
                     order: Sequence[str] = ("scale_set",), drop: Sequence[str] = ("person_id",),
                     birth_col: str = "date_of_birth") -> DataFrame:

@@ -180,8 +180,3 @@ def assert_unique(df: DataFrame, key: Iterable[str], group: Iterable[str] = ())
     dup = df.groupBy(*group, *key).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"duplicate key {key} within {group}: {dup[0].asDict()}")
-
-
-def rescale(c, by: float = 1000.0) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
-    return x / F.lit(float(by))

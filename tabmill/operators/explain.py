@@ -19,7 +19,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import columns as co
 from .models import Scorer
@@ -72,7 +71,10 @@ def ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | Non
 def pdp(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | None = None,
         grid_size: int = GRID_SIZE, id_col: str = "id", scale: float = 1.0) -> DataFrame:
     """Mean prediction per grid value (partial aggregation: grid-sized shuffle)."""
-    curves = ice(df, scorer, feature, grid, grid_size, id_col, scale)
+    return _mean_curve(ice(df, scorer, feature, grid, grid_size, id_col, scale))
+
+
+def _mean_curve(curves: DataFrame) -> DataFrame:
     return curves.groupBy("feature", "feature_val").agg(F.avg("y_hat").alias("y_hat")).select(
         "feature", "feature_val", "y_hat", F.lit("pdp").alias("type"), F.lit(None).cast("bigint").alias("id"))
 
@@ -81,24 +83,17 @@ def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] |
             grid_size: int = GRID_SIZE, id_col: str = "id", scale: float = 1.0, one_pass: bool = True) -> DataFrame:
     """ICE curves and the PDP stacked under ``type``.
 
-    ``one_pass=True``: score rows x grid ONCE; ``rollup(feature_val, id)`` yields the
-    per-row values (groups of one) and the per-grid-value means in the same
-    aggregation (the grand total is dropped).  Costs a shuffle of the ICE rows --
-    the right trade when scoring is expensive (forests: ~1.8x faster at sf0.1).
+    ``one_pass=True``: score rows x grid ONCE into a checkpoint of the ICE rows (they are
+    the result anyway) and aggregate the PDP from it -- for expensive scorers.
     ``one_pass=False``: ICE rows stream straight to the output and the PDP is a
-    separate partially-aggregated pass, i.e. the model scores twice but no ICE row
-    is shuffled -- the right trade for cheap scorers (a formula: ~1.7x faster).
+    separate partially-aggregated pass, i.e. the model scores twice and nothing is
+    written -- for cheap scorers (a formula).  Rows that share an id keep a curve each.
     """
     grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
-    if not one_pass:
-        return ice(df, scorer, feature, grid, grid_size, id_col, scale).unionByName(
-            pdp(df, scorer, feature, grid, grid_size, id_col, scale))
     curves = ice(df, scorer, feature, grid, grid_size, id_col, scale)
-    agg = curves.rollup("feature_val", "id").agg(F.avg("y_hat").alias("y_hat"), F.grouping_id().alias("_g"))
-    return agg.filter(F.col("_g") < 2).select(
-        F.lit(feature).alias("feature"), "feature_val", "y_hat",
-        F.when(F.col("_g") == 0, "ice").otherwise("pdp").alias("type"),
-        F.when(F.col("_g") == 0, F.col("id")).cast("bigint").alias("id"))
+    if one_pass:
+        curves = materialize(curves)
+    return curves.unionByName(_mean_curve(curves))
 
 
 # ---------------------------------------------------------------- ALE
@@ -106,16 +101,28 @@ def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] |
 def quantile_breaks(df: DataFrame, feature: str, grid_size: int = GRID_SIZE) -> list[float]:
     """Distinct exact quantiles (inverse empirical CDF) at k / grid_size, k = 0..grid_size.
 
-    Exact and distributed: a range-partitioned sort gives dense ranks; only the
-    <= grid_size + 1 rows at the wanted ranks reach the driver.
+    Exact and distributed: values are counted first (partial aggregation, so a hot value is one row), the
+    distinct values are range-partitioned and their counts accumulated per partition; only partition totals and
+    the <= grid_size + 1 values at the wanted ranks reach the driver.
     """
-    vals = df.select(feature).filter(F.col(feature).isNotNull())
-    ranked, n = dense_row_id_counted(vals, [feature], "_r")
-    if n == 0:
+    spark = df.sparkSession
+    counts = df.filter(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(counts.repartitionByRange(parts, "_v").withColumn("_p", F.spark_partition_id()))
+    totals = {r["_p"]: int(r["n"]) for r in ranged.groupBy("_p").agg(F.sum("_n").alias("n")).collect()}
+    if not totals:
         return []
+    before, n = [], 0
+    for p in range(max(totals) + 1):
+        before.append(n)
+        n += totals.get(p, 0)
     ranks = sorted({max(1, -(-(n * k) // grid_size)) for k in range(grid_size + 1)})
-    rows = ranked.filter(F.col("_r").isin(*ranks)).select(feature).distinct().collect()
-    return sorted(float(r[feature]) for r in rows)
+    offset = F.get(F.array(*[F.lit(x).cast("bigint") for x in before]), F.col("_p"))
+    upto = (F.sum("_n").over(Window.partitionBy("_p").orderBy("_v")) + offset).alias("_upto")
+    wanted = F.array(*[F.lit(r).cast("bigint") for r in ranks])
+    rows = ranged.select("_v", "_n", upto).filter(F.exists(
+        wanted, lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n")))).select("_v").collect()
+    return sorted(float(r["_v"]) for r in rows)
 
 
 def interval_index(x: Column, breaks: Sequence[float]) -> Column:
@@ -137,7 +144,6 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
     so rows never need pairing.  Accumulation and centring run on <= grid_size rows.
     Returns ``feature, feature_val, ale`` at every break.
     """
-    df = materialize(df)
     breaks = quantile_breaks(df, feature, grid_size)
     if len(breaks) < 2:
         return df.sparkSession.createDataFrame([], "feature string, feature_val double, ale double")
@@ -174,8 +180,7 @@ def permutation_pairs(df: DataFrame, key: str = "id", repetitions: int = REPETIT
     window); both id frames are checkpointed, so the pairs can be reused for many models.
     """
     keys = df.select(key)
-    n = keys.count()
-    by_key = dense_row_id(keys, [key], "_i")
+    by_key, n = dense_row_id_counted(keys, [key], "_i")
     reps = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
     rep_seed = F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string"))
     donors = dense_row_id(reps, ["_rep", hash_hex_col(key, rep_seed), key], "_g").select(
@@ -197,7 +202,7 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     ties kept).
     """
     features = list(features)
-    df = materialize(df.select(key, target, *features))
+    df = df.select(key, target, *features)
     base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
     if pairs is None:
         pairs = permutation_pairs(df, key, repetitions, seed)
@@ -246,7 +251,6 @@ def shapley(df: DataFrame, scorer: Scorer, features: Sequence[str], observations
     """
     features = list(features)
     p = len(features)
-    df = materialize(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     bg_rows = background_sample(df, key, m, seed).select(*features).collect()
     bg = F.array(*[
@@ -303,85 +307,97 @@ def _lasso_path(R: np.ndarray, r: np.ndarray, k: int, steps: int = 100, iters: i
     return best
 
 
-def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: DataFrame, key: str = "id",
-         k: int = LIME_K, max_levels: int = 1000, max_observations: int = 10_000) -> DataFrame:
-    """Local surrogate (weighted sparse linear model) for a batch of observations.
+def lime_gram(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: DataFrame, key: str = "id") -> DataFrame:
+    """Weighted sums of the local surrogates: ``(id, i, j, value)`` for ``i <= j``.
 
-    Weights are ``1 - Gower distance`` to the observation over ALL rows of ``df``.
-    The weighted least-squares problem is reduced to sufficient statistics (weighted
-    sums, cross products with the model's predictions) by ``mapInPandas`` on every
-    partition -- a (p+2)^2 array per observation and partition -- then, per
-    observation, ``applyInPandas`` sums the partials and runs a lasso path to at most
-    ``k`` features.  Returns ``id, feature, feature_value, beta, effect``.
+    Per observation the design is 1, one column per feature (numeric: its value; categorical: 1 where it equals the observation's)
+    and the model's prediction; the weight of a row is ``1 - Gower distance`` to the observation.  Rows, and observations, that
+    miss one of the features are left out (:func:`incomplete_rows` counts them).  Each task reads a row once, weights it against
+    all observations and sends one partial sum per cell; Spark adds them up.
     """
     features = list(features)
-    df = materialize(df)
-    numeric = [f for f in features if f in co.numeric_columns(df)]
-    nominal = [f for f in features if f not in numeric]
-    rng = df.agg(*[F.min(f).alias(f"lo_{i}") for i, f in enumerate(numeric)],
-                 *[F.max(f).alias(f"hi_{i}") for i, f in enumerate(numeric)]).first() if numeric else None
-    ranges = [(float(rng[f"hi_{i}"]) - float(rng[f"lo_{i}"])) or 1.0 for i in range(len(numeric))] if rng else []
-    levels = {}
-    if nominal:
-        from .categorical import level_dictionary
-        levels = {c[0]: v for c, v in level_dictionary(df, nominal, max_levels=max_levels).items()}
-    design = numeric + [f"{c}={lv}" for c in nominal for lv in levels.get(c, [])]
-    obs_rows = observations.select(key, *features).limit(max_observations + 1).collect()
-    if len(obs_rows) > max_observations:
-        raise ValueError(f"more than {max_observations} observations; explain them in batches")
-    obs_arr = F.array(*[F.struct(F.lit(r[key]).cast("bigint").alias("_obs"),
-                                 *[F.lit(r[f]).alias(f"_o_{i}") for i, f in enumerate(features)]) for r in obs_rows])
-    scored = scorer(df.select(key, *features))
-    dist_parts = [F.abs(F.col(f) - F.col(f"_o.{f'_o_{features.index(f)}'}")) / F.lit(ranges[i])
-                  for i, f in enumerate(numeric)]
-    dist_parts += [(F.col(f) != F.col(f"_o._o_{features.index(f)}")).cast("double") for f in nominal]
-    # a missing value on either side counts as the largest distance for that feature
-    dist_parts = [F.coalesce(d, F.lit(1.0)) for d in dist_parts]
-    gower = sum(dist_parts[1:], dist_parts[0]) / F.lit(float(len(dist_parts)))
-    cols = [F.col(f).cast("double").alias(f"v{i}") for i, f in enumerate(numeric)]
-    cols += [(F.col(c) == F.lit(lv)).cast("double").alias(f"v{len(numeric) + j}")
-             for j, (c, lv) in enumerate((c, lv) for c in nominal for lv in levels.get(c, []))]
-    paired = scored.withColumn("_o", F.explode(obs_arr)).select(
-        F.col("_o._obs").alias("_obs"), (F.lit(1.0) - gower).alias("_w"), F.col("prediction").alias("_y"), *cols)
-    q = len(design)
+    numeric = co.numeric_columns(df)
+    is_num = [f in numeric for f in features]
+    base = df.select(key, *features).na.drop("any", subset=features)
+    obs = [(int(r[key]), [r[f] for f in features])
+           for r in observations.select(key, *features).na.drop("any", subset=features).collect()]
+    num = [f for f, x in zip(features, is_num) if x]
+    rng = base.agg(*[(F.max(f) - F.min(f)).cast("double").alias(f) for f in num]).first() if num else None
+    width = [(rng[f] or 1.0) if x else 1.0 for f, x in zip(features, is_num)]
+    scored = scorer(base).select(
+        *[F.col(f).cast("double" if x else "string").alias(f"v{i}") for i, (f, x) in enumerate(zip(features, is_num))],
+        F.col("prediction").cast("double").alias("_y"))
+    q = len(features)
+    cells = [(i, j) for i in range(q + 2) for j in range(i, q + 2)]
 
     def partial_sums(batches):
-        acc: dict = {}
+        total = np.zeros((len(obs), q + 2, q + 2))
         for pdf in batches:
-            for obs, g in pdf.groupby("_obs"):
-                w = g["_w"].to_numpy()
-                Z = np.column_stack([np.ones(len(g)), g[[f"v{i}" for i in range(q)]].to_numpy(), g["_y"].to_numpy()])
-                M = (Z * w[:, None]).T @ Z
-                acc[obs] = acc.get(obs, 0) + M
-        for obs, M in acc.items():
-            yield pd.DataFrame({"_obs": [obs], "m": [M.ravel().tolist()]})
+            if not len(pdf):
+                continue
+            cols, y = [pdf[f"v{i}"].to_numpy() for i in range(q)], pdf["_y"].to_numpy()
+            for o, (_, at) in enumerate(obs):
+                z = np.empty((len(pdf), q + 2))
+                z[:, 0], z[:, -1] = 1.0, y
+                far = np.zeros(len(pdf))
+                for i in range(q):
+                    if is_num[i]:
+                        z[:, i + 1] = cols[i]
+                        far += np.abs(cols[i] - float(at[i])) / width[i]
+                    else:
+                        z[:, i + 1] = same = (cols[i] == str(at[i])).astype(float)
+                        far += 1.0 - same
+                total[o] += (z * (1.0 - far / q)[:, None]).T @ z
+        for o, (ident, _) in enumerate(obs):
+            yield pd.DataFrame({"id": ident, "i": [i for i, _ in cells], "j": [j for _, j in cells],
+                                "value": [total[o, i, j] for i, j in cells]})
+
+    parts = scored.mapInPandas(partial_sums, "id bigint, i int, j int, value double")
+    return parts.groupBy("id", "i", "j").agg(F.sum("value").alias("value"))
+
+
+def incomplete_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(n_rows, n_incomplete)``: rows in all, and those that miss one of ``features`` (left out by LIME)."""
+    missing = F.lit(False)
+    for f in features:
+        missing = missing | F.col(f).isNull()
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                  F.coalesce(F.sum(missing.cast("bigint")), F.lit(0)).cast("bigint").alias("n_incomplete"))
+
 
-    parts = paired.mapInPandas(partial_sums, "_obs bigint, m array<double>")
-    obs_values = {int(r[key]): r for r in obs_rows}
+def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: DataFrame, key: str = "id",
+         k: int = LIME_K) -> DataFrame:
+    """Local surrogate (weighted sparse linear model) for a batch of observations.
+
+    The weighted least-squares problem comes from :func:`lime_gram`; per observation, its (features + 2)^2 cells give a lasso
+    path to at most ``k`` features.  Returns ``id, feature, feature_value, beta, effect``.
+    """
+    features = list(features)
+    is_num = [f in co.numeric_columns(df) for f in features]
+    q = len(features)
+    values = {int(r[key]): [r[f] for f in features]
+              for r in observations.select(key, *features).na.drop("any", subset=features).collect()}
+    path = _lasso_path
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        obs = int(pdf["_obs"].iloc[0])
-        M = np.sum(np.stack([np.asarray(m) for m in pdf["m"]]), axis=0).reshape(q + 2, q + 2)
-        W = M[0, 0]
-        mu = M[0, 1:] / W
-        C = M[1:, 1:] / W - np.outer(mu, mu)
-        cov_v, cov_vy = C[:q, :q], C[:q, q]
-        sd = np.sqrt(np.clip(np.diag(cov_v), 0, None))
-        live = sd > 1e-12
-        beta = np.zeros(q)
-        if live.any():
-            s = sd[live]
-            R = cov_v[np.ix_(live, live)] / np.outer(s, s)
-            r = cov_vy[live] / s
-            beta[live] = _lasso_path(R, r, k) / s
-        row = obs_values[obs]
-        xv = [float(row[f]) for f in numeric] + [1.0 if row[c] == lv else 0.0
-                                                 for c in nominal for lv in levels.get(c, [])]
-        out = [(obs, design[j].split("=")[0], design[j] if "=" in design[j] else f"{design[j]}={xv[j]}",
-                float(beta[j]), float(beta[j] * xv[j])) for j in range(q) if beta[j] != 0.0]
+        obs = int(pdf["id"].iloc[0])
+        m = np.zeros((q + 2, q + 2))
+        m[pdf["i"], pdf["j"]] = pdf["value"]
+        m[pdf["j"], pdf["i"]] = pdf["value"]
+        out = []
+        if m[0, 0] > 0:
+            mu = m[0, 1:] / m[0, 0]
+            c = m[1:, 1:] / m[0, 0] - np.outer(mu, mu)
+            sd = np.sqrt(np.clip(np.diag(c)[:q], 0, None))
+            live = sd > 1e-12
+            beta = np.zeros(q)
+            if live.any():
+                r = c[:q, :q][np.ix_(live, live)] / np.outer(sd[live], sd[live])
+                beta[live] = path(r, c[:q, q][live] / sd[live], k) / sd[live]
+            for f, x, v, b in zip(features, is_num, values[obs], beta):
+                if b != 0.0:
+                    out.append((obs, f, f"{f}={v}", float(b), float(b * (float(v) if x else 1.0))))
         return pd.DataFrame(out, columns=["id", "feature", "feature_value", "beta", "effect"])
 
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("feature", T.StringType()),
-                           T.StructField("feature_value", T.StringType()), T.StructField("beta", T.DoubleType()),
-                           T.StructField("effect", T.DoubleType())])
-    return parts.groupBy("_obs").applyInPandas(solve, schema)
+    return lime_gram(df, scorer, features, observations, key).groupBy("id").applyInPandas(
+        solve, "id bigint, feature string, feature_value string, beta double, effect double")

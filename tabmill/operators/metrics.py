@@ -32,6 +32,9 @@ def confusion_summary(conf: DataFrame, group: Iterable[str] = ("task", "model"),
     share and once as a column share, summed per class, then per group): the
     confusion frame is read once, with no self-join.
     """
+    def wide(c):  # products of marginals exceed 64 bits
+        return F.col(c).cast("decimal(19,0)")
+
     g = _g(group)
     n = F.col("n")
     agree = F.when(F.col(truth) == F.col(estimate), n).otherwise(F.lit(0).cast("bigint"))
@@ -42,7 +45,7 @@ def confusion_summary(conf: DataFrame, group: Iterable[str] = ("task", "model"),
     )))
     per_level = parts.groupBy(*g, "level").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.sum("a").alias("a"))
     return per_level.groupBy(*g).agg(
-        F.sum("r").alias("n_total"), F.sum("a").alias("n_agree"), F.sum(F.col("r") * F.col("c")).alias("rc"))
+        F.sum("r").alias("n_total"), F.sum("a").alias("n_agree"), F.sum(wide("r") * wide("c")).alias("rc"))
 
 
 def _accuracy() -> Column:

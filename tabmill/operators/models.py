@@ -31,7 +31,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .recipe import RecipeModel, dummy_name
+from .recipe import RecipeModel
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -77,11 +77,8 @@ def encode(rm: RecipeModel, df: DataFrame) -> DataFrame:
 
     Used at scoring time, where rows must never be dropped.
     """
-    exprs = {}
-    for c in rm.roles["nominal"]:
-        known = rm._known(c)
-        for lv in rm.union_levels(c):
-            exprs[dummy_name(c, lv)] = F.when(known, (F.col(c) == lv).cast("int")).otherwise(F.lit(0))
+    exprs = {name: F.when(rm._known(c), (F.col(c) == lv).cast("int")).otherwise(F.lit(0))
+             for (c, lv), name in rm.dummy_map().items()}
     return df.withColumns(exprs) if exprs else df
 
 
@@ -89,7 +86,7 @@ ROWS_PER_PARTITION = 500_000
 
 
 def stable_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PARTITION,
-                  max_partitions: int | None = None, rows: int | None = None) -> DataFrame:
+                  rows: int | None = None) -> DataFrame:
     """Persisted training layout: hash-partitioned on the key, sorted within partitions.
 
     Iterative learners run one job per iteration over this frame, so the partition
@@ -99,15 +96,12 @@ def stable_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PA
     counts) sizes the layout without an extra pass; otherwise the rows are counted.
     The fixed layout also makes tree bagging reproducible.  Caller unpersists.
     """
-    spark = df.sparkSession
     staged = None
     if rows is None:
         staged = df.persist(StorageLevel.MEMORY_AND_DISK)
         rows = staged.count()
     try:
-        cap = max_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                    spark.sparkContext.defaultParallelism)
-        n = max(1, min(cap, -(-rows // rows_per_partition)))
+        n = max(1, -(-rows // rows_per_partition))
         laid = df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
         laid.count()
     finally:

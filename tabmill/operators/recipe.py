@@ -10,15 +10,15 @@ Encoding decisions:
 * levels sort alphabetically; every level gets its own 0/1 column (full one-hot,
   not reference-coded, and no extra "invalid" slot);
 * a value absent from the group's training levels (or NULL) makes that row's dummy
-  columns NULL; ``unseen='drop'`` (default) removes such rows, ``'zero'`` keeps them
-  with all-zero dummies, ``'keep'`` leaves the NULLs;
+  columns NULL; ``unseen='drop'`` (default) removes such rows (``unseen_rows`` counts
+  them), ``'zero'`` keeps them with all-zero dummies, ``'keep'`` leaves the NULLs;
 * the target keeps its text; its level list is remembered for label indexing.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -33,18 +33,28 @@ def level_slug(level: str) -> str:
     return s or "blank"
 
 
-def dummy_name(column: str, level: str) -> str:
-    return f"{column}_{level_slug(level)}"
+def dummy_names(levels: dict[str, list[str]]) -> dict[tuple[str, str], str]:
+    """One unique column name per (column, level): ``column_level`` in snake case; levels that read
+    the same (``A+``, ``A-``) get ``_2``, ``_3``, ... in level order."""
+    out: dict[tuple[str, str], str] = {}
+    taken: set[str] = set()
+    for c, lv in levels.items():
+        for level in lv:
+            base = f"{c}_{level_slug(level)}"
+            name, k = base, 1
+            while name in taken:
+                k += 1
+                name = f"{base}_{k}"
+            taken.add(name)
+            out[(c, level)] = name
+    return out
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]], drop_source: bool = True) -> DataFrame:
     """Full one-hot for columns with known levels: ``col_level`` = 1 if equal, 0 if another known
     level, NULL if the value is not a known level (or NULL)."""
-    exprs = {}
-    for c, lv in levels.items():
-        known = F.col(c).isin(*lv)
-        for level in lv:
-            exprs[dummy_name(c, level)] = F.when(known, (F.col(c) == level).cast("int"))
+    exprs = {name: F.when(F.col(c).isin(*levels[c]), (F.col(c) == level).cast("int"))
+             for (c, level), name in dummy_names(levels).items()}
     out = df.withColumns(exprs)
     return out.drop(*levels) if drop_source else out
 
@@ -61,7 +71,6 @@ class Recipe:
     filter: Column | None = None
     filter_on: Sequence[str] = ("train", "test")
     unseen: str = "drop"
-    max_levels: int = cat.DEFAULT_MAX_LEVELS
 
     def roles(self, df: DataFrame) -> dict[str, list[str]]:
         """outcome / id / group / nominal predictors / numeric predictors."""
@@ -84,9 +93,7 @@ class Recipe:
         target_is_nominal = self.target in co.categorical_columns(train)
         cols = roles["nominal"] + ([self.target] if target_is_nominal else [])
         counts = cat.level_counts(data, cols, group).select(*group, "column", "level", "n")
-        rows = counts.limit(self.max_levels + 1).collect()
-        if len(rows) > self.max_levels:
-            raise ValueError(f"more than {self.max_levels} levels; use a lower-cardinality encoding")
+        rows = counts.collect()  # one row per dummy column of the prepared frame
         levels: dict = {}
         sizes: dict = {}
         for r in rows:
@@ -121,8 +128,12 @@ class RecipeModel:
             out.update(d.get(column, []))
         return sorted(out)
 
+    def dummy_map(self) -> dict[tuple[str, str], str]:
+        """Dummy column of every (nominal column, level), unique names."""
+        return dummy_names({c: self.union_levels(c) for c in self.roles["nominal"]})
+
     def dummy_columns(self) -> list[str]:
-        return [dummy_name(c, lv) for c in self.roles["nominal"] for lv in self.union_levels(c)]
+        return list(self.dummy_map().values())
 
     def label_levels(self, group=None) -> list[str]:
         return self.levels.get(group, {}).get(self.recipe.target, [])
@@ -162,7 +173,7 @@ class RecipeModel:
             for n in flags:
                 cond = cond & F.col(n)
             data = data.filter(cond)
-        dummies = []
+        dummies, names = [], self.dummy_map()
         for i, c in enumerate(nominal):
             flag = F.col(f"_known_{i}")
             for lv in self.union_levels(c):
@@ -173,9 +184,22 @@ class RecipeModel:
                     e = hit
                 else:
                     e = F.when(flag, hit)
-                dummies.append(e.alias(dummy_name(c, lv)))
+                dummies.append(e.alias(names[(c, lv)]))
         return data.select(*head, *dummies)
 
+    def unseen_rows(self, df: DataFrame, phase: str = "test") -> DataFrame:
+        """Rows per group that ``unseen='drop'`` leaves out: a nominal value is NULL or was not seen in training.
+        ``(group, n_rows, n_dropped)``; a group without prepared rows is absent."""
+        data = self.recipe._filtered(df, phase)
+        if self.recipe.group:
+            data = data.filter(F.col(self.recipe.group).isin(*[g for g in self.groups if g is not None]))
+        known = F.lit(True)
+        for c in self.roles["nominal"]:
+            known = known & F.coalesce(self._known(c), F.lit(False))
+        return data.groupBy(*self.roles["group"]).agg(
+            F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+            F.sum((~known).cast("bigint")).alias("n_dropped"))
+
     def juice(self, train: DataFrame) -> DataFrame:
         return self.transform(train, phase="train")
 
@@ -190,17 +214,3 @@ class RecipeModel:
         groups = [g for g in self.groups if g is not None]
         fan = test.withColumn(r.group, F.explode(F.array(*[F.lit(g) for g in groups])))
         return self.transform(fan, phase="test")
-
-
-def prepare_groups(df: DataFrame, recipe: Recipe, set_col: str = "set") -> tuple[RecipeModel, DataFrame, DataFrame]:
-    """Fit on ``set == 'train'`` rows, return (model, juiced train, baked test)."""
-    train = df.filter(F.col(set_col) == "train").drop(set_col)
-    test = df.filter(F.col(set_col) == "test").drop(set_col)
-    model = recipe.fit(train)
-    return model, model.juice(train), model.bake(test)
-
-
-def ensure_columns(df: DataFrame, cols: Iterable[str], fill: int = 0) -> DataFrame:
-    """Add missing dummy columns as constants (aligning a prepared frame with a model's inputs)."""
-    missing = [c for c in cols if c not in df.columns]
-    return df.withColumns({c: F.lit(fill) for c in missing}) if missing else df

@@ -111,25 +111,44 @@ def dense_row_id_counted(df: DataFrame, order_by: Sequence[str | Column], id_col
     )
     part = F.shiftright(F.col("_mid"), 33)
     counts = tagged.groupBy(part.alias("p")).count().collect()
-    offsets: dict[int, int] = {}
-    run = 0
-    for r in sorted(counts, key=lambda r: r["p"]):
-        offsets[int(r["p"])] = run
-        run += int(r["count"])
-    if not offsets:
+    sizes = {int(r["p"]): int(r["count"]) for r in counts}
+    if not sizes:
         return tagged.drop("_mid").withColumn(id_col, F.lit(None).cast("bigint")), 0
-    off_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("bigint"))])
+    offsets, run = [], 0
+    for p in range(max(sizes) + 1):
+        offsets.append(run)
+        run += sizes.get(p, 0)
+    before = F.array(*[F.lit(o).cast("bigint") for o in offsets])  # indexed by partition
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return tagged.withColumn(id_col, (off_map[part] + pos + 1).cast("bigint")).drop("_mid"), run
+    return tagged.withColumn(id_col, (F.get(before, part.cast("int")) + pos + 1).cast("bigint")).drop("_mid"), run
 
 
 def exact_split(df: DataFrame, key: str | Iterable[str], prop: float = 0.8, seed: int | str = 2,
                 set_col: str = "set") -> DataFrame:
-    """Exactly ``floor(prop * n)`` training rows: the lowest keyed hashes are drawn."""
-    k = _cols(key)
-    ranked, n = dense_row_id_counted(df, [hash_hex(k, seed), *k], id_col="_draw")
-    cut = int(prop * n)
-    return ranked.withColumn(set_col, F.when(F.col("_draw") <= cut, "train").otherwise("test")).drop("_draw")
+    """Exactly ``floor(prop * n)`` training rows: the lowest keyed hashes are drawn.  Keys are unique.
+
+    The cut is found by counting hash prefixes, four digits at a time, descending into the prefix that holds
+    it (at most 65,536 counts reach the driver per round); the result is a projection, no row of ``df`` is shuffled.
+    """
+    h = hash_hex(key, seed)
+    hashes = df.select(h.alias("_h"))
+    prefix, cut, left = "", "", None
+    while len(prefix) < 32:
+        inside = hashes.filter(F.col("_h").startswith(prefix)) if prefix else hashes
+        counts = sorted((r["p"], int(r["n"])) for r in inside.groupBy(
+            F.substring("_h", 1, len(prefix) + 4).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if left is None:
+            left = int(prop * sum(n for _, n in counts))
+        deeper = None
+        for p, n in counts:
+            if left < n:
+                deeper = p if left else None
+                break
+            cut, left = p + "g", left - n  # "g" sorts behind every hash with this prefix
+        if deeper is None:
+            break
+        prefix = deeper
+    return df.withColumn(set_col, F.when(h < F.lit(cut), "train").otherwise("test"))
 
 
 def permute_column(df: DataFrame, column: str, key: str, seed: int | str = 1,
@@ -179,19 +198,11 @@ def row_at_position(df: DataFrame, key: str, position: int) -> DataFrame:
     return df.filter(F.col(key) == F.lit(key_at_position(df, key, position)))
 
 
-def materialize(df: DataFrame, spread: bool = True) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint to the session's shared checkpoint folder (lineage cut, survives executor loss).
 
     Used where an operator reads its input many times, so that an expensive
-    upstream plan runs once.  With ``spread``, an input with fewer partitions than
-    the cluster's parallelism (e.g. one small file) is spread round-robin first so
-    that later passes use every core; inputs that are already well partitioned
-    are written as they are, without a shuffle.
+    upstream plan runs once.  Select the columns that are needed first: the whole frame is written.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -49,11 +49,6 @@ def rule_prediction():
     )
 
 
-RULE_SQL = ("(50000.0 + 900.0 * gr_liv_area + 100.0 * lot_frontage + 0.5 * gr_liv_area * lot_frontage"
-            " + case when neighborhood = 'BUILDING' then 4000.0 when neighborhood = 'MACHINERY' then -2500.0"
-            " else 0.0 end)")
-
-
 def rule_scorer(df: DataFrame) -> DataFrame:
     """Scorer protocol: DataFrame -> same DataFrame with a ``prediction`` column."""
     return df.withColumn("prediction", rule_prediction())

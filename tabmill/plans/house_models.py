@@ -36,8 +36,12 @@ def fit_house(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
 def house_predictions(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRESSOR_NAMES,
                       **kw) -> DataFrame:
     """Test-split predictions of every learner: ``learner, id, truth, prediction``."""
-    _, fitted, df = fit_house(spark, sf_dir, names, **kw)
-    test = df.filter(F.col("set") == "test").drop("set")
+    _, fitted, tagged = fit_house(spark, sf_dir, names, **kw)
+    return test_predictions(fitted, tagged)
+
+
+def test_predictions(fitted: dict, tagged: DataFrame) -> DataFrame:
+    test = tagged.filter(F.col("set") == "test").drop("set")
     parts = [f.scorer()(test).select(F.lit(n).alias("learner"), house.KEY, F.col(house.TARGET).alias("truth"),
                                      "prediction") for n, f in fitted.items()]
     out = parts[0]
@@ -51,8 +55,8 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
     """k-fold CV over all rows: MSE and MAPE on the training and test part of every fold,
     averaged over folds.  Returns ``learner, measure, value`` (measure like ``mse_test``).
 
-    Fits run per (learner, fold) on the persisted, foldded frame; the stacked
-    predictions are checkpointed once and aggregated in one grouped pass.
+    Fits run per (learner, fold) on the persisted, foldded frame; every scored frame is reduced to its
+    two rows of losses, and only those are written.
     """
     checkpoint_dir(spark)
     df = sp.cv_folds(house.cleaned(spark, sf_dir), house.KEY, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -61,18 +65,17 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
         fitted = md.fit_fold_grid(df, rm, house.TARGET, house.KEY, folds, names, **kw)
         parts = []
         for (n, k), f in fitted.items():
-            scored = f.scorer()(df)
-            parts.append(scored.select(
+            scored = f.scorer()(df).select(
                 F.lit(n).alias("learner"), F.lit(k).cast("bigint").alias("fold"),
                 F.when(F.col("fold") == k, "test").otherwise("train").alias("set"),
-                F.col(house.TARGET).alias("label"), "prediction"))
-        preds = parts[0]
+                F.col(house.TARGET).alias("label"), "prediction")
+            parts.append(mt.regression_losses(scored, ["learner", "fold", "set"]))
+        per_fold = parts[0]
         for p in parts[1:]:
-            preds = preds.unionByName(p)
-        preds = preds.checkpoint(eager=True)
+            per_fold = per_fold.unionByName(p)
+        per_fold = per_fold.checkpoint(eager=True)  # two rows per learner and fold
     finally:
         df.unpersist()
-    per_fold = mt.regression_losses(preds, ["learner", "fold", "set"])
     return per_fold.groupBy("learner", "set").agg(F.avg("mse").alias("mse"), F.avg("mape").alias("mape")).select(
         "learner", F.inline(F.array(
             F.struct(F.concat_ws("_", F.lit("mse"), F.col("set")).alias("measure"), F.col("mse").alias("value")),
@@ -82,34 +85,36 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
 
 # ---------------------------------------------------------------- one-feature least squares (exact, oracle-checked)
 
-def _stats(df: DataFrame, x: str, y: str, group: list[str]) -> DataFrame:
-    X, Y = F.col(x), F.col(y)
-    return df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(X).alias("sx"), F.sum(Y).alias("sy"),
-        F.sum(X * X).alias("sxx"), F.sum(X * Y).alias("sxy"))
-
-
-def _line(n, sx, sy, sxx, sxy):
-    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-    return slope, (sy - slope * sx) / n
+def _moments(df: DataFrame, x: str, y: str, group: list[str]) -> DataFrame:
+    """Centred moments per group: count, means, sum of squares of x and of products around the means."""
+    n = F.count(F.lit(1)).cast("double")
+    return df.groupBy(*group).agg(n.alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"),
+                                  (F.var_pop(x) * n).alias("cxx"), (F.covar_pop(x, y) * n).alias("cxy"))
 
 
 def cv_linear_1d(spark: SparkSession, sf_dir: str, x: str = house.FEATURE, y: str = house.TARGET,
                  folds: int = house.FOLDS, seed: int = house.FOLD_SEED) -> DataFrame:
     """k-fold CV of ``y ~ x`` least squares, from sufficient statistics.
 
-    One aggregate gives (n, Σx, Σy, Σx², Σxy) per fold; each fold's training fit is
-    total minus that fold (a window over <= k rows).  Rows are then tagged with all
+    One aggregate gives centred moments per fold (no cancellation at large n); each fold's training fit
+    combines the other folds' (<= k x k rows).  Rows are then tagged with all
     k fold models by an ``explode`` of the fold ids and an equi join on the fold id
     against the k-row model table -- no cross join, no re-scan per fold.
     Returns ``learner, fold, set, mse, mape``.
     """
     d = sp.cv_folds(house.cleaned(spark, sf_dir).select(house.KEY, x, y), house.KEY, folds, seed)
-    per = _stats(d, x, y, ["fold"])
-    w = Window.partitionBy()
-    tot = {c: F.sum(c).over(w) - F.col(c) for c in ["n", "sx", "sy", "sxx", "sxy"]}
-    slope, icpt = _line(tot["n"].cast("double"), tot["sx"], tot["sy"], tot["sxx"], tot["sxy"])
-    models = per.select(F.col("fold").alias("k"), slope.alias("slope"), icpt.alias("intercept"))
+    per = _moments(d, x, y, ["fold"])
+    # training part of fold k: the other folds' moments, combined around their common mean (k x k small rows)
+    other = per.select(*[F.col(c).alias(f"o_{c}") for c in per.columns]).withColumn(
+        "k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(folds - 1).cast("bigint")))).filter("o_fold <> k")
+    w = Window.partitionBy("k")
+    mean = {c: F.sum(F.col("o_n") * F.col(f"o_m{c}")).over(w) / F.sum("o_n").over(w) for c in "xy"}
+    other = other.withColumns({"dx": F.col("o_mx") - mean["x"], "dy": F.col("o_my") - mean["y"], "tx": mean["x"], "ty": mean["y"]})
+    fit = other.groupBy("k").agg(F.sum(F.col("o_cxx") + F.col("o_n") * F.col("dx") * F.col("dx")).alias("cxx"),
+                                 F.sum(F.col("o_cxy") + F.col("o_n") * F.col("dx") * F.col("dy")).alias("cxy"),
+                                 F.first("tx").alias("tx"), F.first("ty").alias("ty"))
+    slope = F.col("cxy") / F.col("cxx")
+    models = fit.select("k", slope.alias("slope"), (F.col("ty") - slope * F.col("tx")).alias("intercept"))
     tagged = d.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(folds - 1).cast("bigint"))))
     scored = tagged.join(F.broadcast(models), "k").select(
         F.col("k").alias("fold"), F.when(F.col("fold") == F.col("k"), "test").otherwise("train").alias("set"),
@@ -127,55 +132,59 @@ def fit_linear_1d(spark: SparkSession, sf_dir: str, x: str = house.FEATURE, y: s
 
 # ---------------------------------------------------------------- explanations of every fitted learner
 
-EXPLAIN_FEATURES = ["gr_liv_area", "lot_frontage", "overall_qual", "yr_sold", "ms_sub_class", "neighborhood",
-                    "garage_type"]
+METHODS = ("importance", "pdp_ice", "ale", "shapley", "lime")
 
 
-def explain_learners(spark: SparkSession, sf_dir: str, method: str, names: Sequence[str] = md.REGRESSOR_NAMES,
-                     **kw) -> DataFrame:
-    """One explanation method applied to every learner fitted on the split, over all rows
-    (train + test), stacked under a ``learner`` column.
+def explain_fitted(rm, fitted: dict, df: DataFrame, method: str) -> DataFrame:
+    """One explanation method applied to every fitted learner over all rows of ``df``, stacked under ``learner``.
 
-    ``method``: ``pdp_ice``, ``ale``, ``importance``, ``shapley`` or ``lime``.
-    """
+    The explained features are the recipe's predictors; ``pdp_ice`` and ``ale`` explain ``house.FEATURE``."""
     from ..operators import explain as ex
 
-    _, fitted, tagged = fit_house(spark, sf_dir, names, **kw)
-    df = sp.materialize(tagged.drop("set"))
+    features = rm.roles["numeric"] + rm.roles["nominal"]
     obs = sp.row_at_position(df, house.KEY, house.OBSERVATION) if method in ("shapley", "lime") else None
     pairs = ex.permutation_pairs(df, house.KEY) if method == "importance" else None  # shared by all learners
-    parts = []
-    for n, f in fitted.items():
-        score = f.scorer()
-        if method == "pdp_ice":
-            out = ex.pdp_ice(df, score, house.FEATURE)
-        elif method == "ale":
-            out = ex.ale(df, score, house.FEATURE)
-        elif method == "importance":
-            out = ex.permutation_importance(df, score, house.TARGET, EXPLAIN_FEATURES, pairs=pairs)
-        elif method == "shapley":
-            out = ex.shapley(df, score, EXPLAIN_FEATURES, obs)
-        elif method == "lime":
-            out = ex.lime(df, score, EXPLAIN_FEATURES, obs)
-        else:
-            raise ValueError(f"unknown method {method!r}")
-        parts.append(out.select(F.lit(n).alias("learner"), "*"))
+    run = {
+        "pdp_ice": lambda score: ex.pdp_ice(df, score, house.FEATURE),
+        "ale": lambda score: ex.ale(df, score, house.FEATURE),
+        "importance": lambda score: ex.permutation_importance(df, score, house.TARGET, features, pairs=pairs),
+        "shapley": lambda score: ex.shapley(df, score, features, obs),
+        "lime": lambda score: ex.lime(df, score, features, obs),
+    }
+    if method not in run:
+        raise ValueError(f"unknown method {method!r}")
+    parts = [run[method](f.scorer()).select(F.lit(n).alias("learner"), "*") for n, f in fitted.items()]
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
     return result
 
 
-def run_house(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The whole HOUSE pipeline: benchmark, test predictions and the explanation frames of
-    every learner (importance, PDP+ICE and ALE on the explained feature, Shapley and LIME
-    at the explained observation)."""
-    return {
-        "benchmark": benchmark(spark, sf_dir),
-        "predictions": house_predictions(spark, sf_dir),
-        "importance": explain_learners(spark, sf_dir, "importance"),
-        "pdp_ice": explain_learners(spark, sf_dir, "pdp_ice"),
-        "ale": explain_learners(spark, sf_dir, "ale"),
-        "shapley": explain_learners(spark, sf_dir, "shapley"),
-        "lime": explain_learners(spark, sf_dir, "lime"),
+def explain_learners(spark: SparkSession, sf_dir: str, method: str, names: Sequence[str] = md.REGRESSOR_NAMES,
+                     **kw) -> DataFrame:
+    """:func:`explain_fitted` of learners fitted on the split; ``method`` is one of ``METHODS``."""
+    rm, fitted, tagged = fit_house(spark, sf_dir, names, **kw)
+    return explain_fitted(rm, fitted, tagged.drop("set"), method)
+
+
+def house_explained(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """Test predictions and every explanation from ONE fit per learner, in long form:
+    ``learner, method, feature, at, id, value``."""
+    rm, fitted, tagged = fit_house(spark, sf_dir, **kw)
+    df = tagged.drop("set")
+    none, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    value = {
+        "importance": (F.col("feature"), text, none, F.col("importance")),
+        "pdp_ice": (F.col("feature"), F.col("feature_val").cast("string"), F.col("id"), F.col("y_hat")),
+        "ale": (F.col("feature"), F.col("feature_val").cast("string"), none, F.col("ale")),
+        "shapley": (F.col("feature"), F.col("feature_value"), F.col("id"), F.col("phi")),
+        "lime": (F.col("feature"), F.col("feature_value"), F.col("id"), F.col("beta")),
     }
+    out = test_predictions(fitted, tagged).select(
+        "learner", F.lit("prediction").alias("method"), F.lit(house.TARGET).alias("feature"), text.alias("at"),
+        F.col(house.KEY).cast("bigint").alias("id"), F.col("prediction").alias("value"))
+    for method in METHODS:
+        feature, at, ident, v = value[method]
+        out = out.unionByName(explain_fitted(rm, fitted, df, method).select(
+            "learner", F.lit(method).alias("method"), feature.alias("feature"), at.alias("at"), ident.alias("id"), v.alias("value")))
+    return out

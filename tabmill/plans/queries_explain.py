@@ -9,7 +9,7 @@ from ..operators import split as sp
 from . import house
 from . import house_models as hm
 from .catalog import query
-from .sql import EXPLAIN_FEATURES, _shapley_sql, with_tables
+from .sql import EXPLAIN_FEATURES, _shapley_sql, lime_gram_sql, with_tables
 
 
 def _obs(df):
@@ -45,6 +45,18 @@ def q_pdp_ice(spark, d):
     return out.withColumn("y_hat", F.when(F.col("type") == "pdp", F.round("y_hat", 4)).otherwise(F.col("y_hat")))
 
 
+@query("pdp_ice_one_pass", with_tables(["ex_ice"], """
+select feature, feature_val, prediction as y_hat, 'ice' as type, id from ex_ice
+union all
+select feature, feature_val, round(avg(prediction), 4) as y_hat, 'pdp' as type, cast(null as bigint) as id
+from ex_ice group by feature, feature_val
+"""))
+def q_pdp_ice_one_pass(spark, d):
+    """The default: every grid row scored once, the mean curve aggregated from the written curves."""
+    out = ex.pdp_ice(house.cleaned(spark, d), house.rule_scorer, house.FEATURE)
+    return out.withColumn("y_hat", F.when(F.col("type") == "pdp", F.round("y_hat", 4)).otherwise(F.col("y_hat")))
+
+
 @query("ale", with_tables(["ale_out"], "select feature, feature_val, round(ale, 4) as ale from ale_out"))
 def q_ale(spark, d):
     out = ex.ale(house.cleaned(spark, d), house.rule_scorer, house.FEATURE)
@@ -85,6 +97,14 @@ def q_lime(spark, d):
     return ex.lime(df, house.rule_scorer, EXPLAIN_FEATURES, _obs(df))
 
 
+@query("lime_gram", "with " + with_tables(["houses_clean"], "")[5:].rstrip() + "," + lime_gram_sql(
+    EXPLAIN_FEATURES[:2], EXPLAIN_FEATURES[2:]))
+def q_lime_gram(spark, d):
+    df = house.cleaned(spark, d)
+    out = ex.lime_gram(df, house.rule_scorer, EXPLAIN_FEATURES, _obs(df))
+    return out.select("id", "i", "j", F.format_string("%.7e", "value").alias("value"))
+
+
 # ---------------------------------------------------------------- the same operators over a fitted forest
 
 @query("pdp_forest")
@@ -132,3 +152,9 @@ def q_shapley_learners(spark, d):
 @query("lime_learners")
 def q_lime_learners(spark, d):
     return hm.explain_learners(spark, d, "lime")
+
+
+@query("house_explained")
+def q_house_explained(spark, d):
+    """The whole HOUSE analysis from one fit per learner, as one long table."""
+    return hm.house_explained(spark, d)

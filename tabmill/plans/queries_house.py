@@ -11,6 +11,7 @@ from ..operators import categorical as cat
 from ..operators import clean
 from ..operators import columns as co
 from ..operators import split as sp
+from ..operators.recipe import Recipe
 from ..sources import io
 from . import house
 from .catalog import query
@@ -251,6 +252,18 @@ def q_house_lm_1d(spark, d):
     return fit.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), "n")
 
 
+@query("house_lm_ml", with_tables(["houses_clean"], """
+select round(regr_slope(sale_price, gr_liv_area), 4) as slope, round(regr_intercept(sale_price, gr_liv_area), 3) as intercept
+from houses_clean where substr(md5(concat_ws('|', cast(id as varchar), '2')), 1, 8) < 'cccccccc'
+"""))
+def q_house_lm_ml(spark, d):
+    """The registered linear learner on one feature, through the recipe and the fit helper."""
+    train = sp.training(sp.initial_split(house.cleaned(spark, d), house.KEY, house.SPLIT_PROP, house.SPLIT_SEED))
+    rm = Recipe(target=house.TARGET, key=house.KEY, predictors=[house.FEATURE], unseen="zero").fit(train)
+    line = md.fit_regressor(train, rm, house.TARGET, "regr.lm").model.stages[-1]
+    return spark.createDataFrame([(round(line.coefficients[0], 4), round(line.intercept, 3))], "slope double, intercept double")
+
+
 @query("house_lm")
 def q_house_lm(spark, d):
     return hm.house_predictions(spark, d, ["regr.lm"])
@@ -287,3 +300,17 @@ def q_house_benchmark(spark, d):
 @query("select_by_position", with_tables(["houses_typed"], "select gr_liv_area, id from houses_typed"))
 def q_select_by_position(spark, d):
     return co.select_by_position(house.typed(spark, d), 2, 0)
+
+
+@query("lump_high_cardinality", with_tables(["houses_typed"], """
+select id,
+  case when count(*) over (partition by id_text) / cast(count(*) over () as double) > 0.1 then id_text else 'Other' end as id_text,
+  case when neighborhood is null then null
+       when count(neighborhood) over (partition by neighborhood) / cast(count(neighborhood) over () as double) > 0.1
+       then neighborhood else 'Other' end as neighborhood
+from (select *, cast(id as varchar) as id_text from houses_typed)
+"""))
+def q_lump_high_cardinality(spark, d):
+    """A factor with as many levels as rows, lumped beside an ordinary one."""
+    df = house.typed(spark, d).select("id", F.col("id").cast("string").alias("id_text"), "neighborhood")
+    return cat.lump(df, ["id_text", "neighborhood"], 0.1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as mt
 from . import risk
 from .catalog import query
-from .sql import with_tables
+from .sql import nth_sql, with_tables
 
 # ---------------------------------------------------------------- M0 slice
 
@@ -105,10 +105,10 @@ def q_unique_key_check(spark, d):
 
 
 @query("arrange_person", with_tables(["assessments"], """
-select * from assessments where display_text = 'Risk of Violence' order by person_id
+select * from assessments order by person_id
 """))
 def q_arrange_person(spark, d):
-    return risk.task_slice(risk.load(spark, d), "Risk of Violence").orderBy("person_id")
+    return risk.load(spark, d).orderBy("person_id")
 
 
 @query("str_remove_first", with_tables(["assessments"], """
@@ -136,6 +136,26 @@ def q_risk_dataset_nth(spark, d):
     return clean.nth_row_dataset(clean_names(fixtures.raw_assessments(spark, d)), 2, risk.LEVEL_FILTERS)
 
 
+def _nth(spark, d, n, *drop):
+    return clean.nth_row_dataset(clean_names(fixtures.raw_assessments(spark, d)), n, risk.LEVEL_FILTERS,
+                                 drop=("person_id", "scale_set", *drop))
+
+
+@query("risk_violence", with_tables(["assessments_named"], nth_sql(1, with_task=False)))
+def q_risk_violence(spark, d):
+    return _nth(spark, d, 1, "display_text")
+
+
+@query("risk_recidivism", with_tables(["assessments_named"], nth_sql(2)))
+def q_risk_recidivism(spark, d):
+    return _nth(spark, d, 2)
+
+
+@query("risk_appearance", with_tables(["assessments_named"], nth_sql(3)))
+def q_risk_appearance(spark, d):
+    return _nth(spark, d, 3)
+
+
 @query("factor_levels", with_tables(["assessments"], f"""
 select display_text as task, "column", level, cast(count(*) as bigint) as n
 from (unpivot (select display_text, {", ".join(_NOMINAL)} from assessments)
@@ -194,6 +214,19 @@ def q_recipe_bake(spark, d):
     return risk.prepared(spark, d)[2]
 
 
+@query("recipe_dropped_rows", with_tables(["risk_split"], f"""
+select display_text, set, count(*) as n_rows,
+  cast(sum(case when {RISK_KNOWN_SQL} then 0 else 1 end) as bigint) as n_dropped
+from risk_split group by display_text, set
+"""))
+def q_recipe_dropped_rows(spark, d):
+    df = risk.split_frame(spark, d)
+    parts = {s: df.filter(F.col("set") == s).drop("set") for s in ("train", "test")}
+    model = risk.recipe().fit(parts["train"])
+    train, test = (model.unseen_rows(part, s).withColumn("set", F.lit(s)) for s, part in parts.items())
+    return train.unionByName(test)
+
+
 @query("recipe_bake_all_tasks", with_tables(["risk_split"], f"""
 select assessment_id, t.task as display_text, score_text,
   {RISK_DUMMIES_SQL}
@@ -289,4 +322,27 @@ def q_risk_results(spark, d):
 @query("risk_metrics_all_tasks")
 def q_risk_metrics_all_tasks(spark, d):
     """Compat (D4): every task's models scored on the test rows of all tasks."""
-    return rmod.run_risk(spark, d, models=["decision_tree", "glmnet"], test_scope="all")
+    return rmod.run_risk(spark, d, test_scope="all")
+
+
+_MODELS_SQL = ", ".join(f"('{m}')" for m in rmod.md.CLASSIFIER_NAMES)
+
+
+@query("risk_predict_truth", with_tables(["risk_baked"], f"""
+select display_text as task, model, 'test' as set, score_text as truth, count(*) as n
+from risk_baked cross join (values {_MODELS_SQL}) m(model) group by all
+"""))
+def q_risk_predict_truth(spark, d):
+    """Every model predicts every prepared test row of its task exactly once."""
+    return rmod.risk_predictions(spark, d).groupBy("task", "model", "set", "truth").agg(
+        F.count("estimate").cast("bigint").alias("n"))
+
+
+@query("risk_results_shape", with_tables(["risk_baked"], f"""
+select distinct display_text as task, model, 2 as n_metrics, ['accuracy', 'kap'] as metrics
+from risk_baked cross join (values {_MODELS_SQL}) m(model)
+"""))
+def q_risk_results_shape(spark, d):
+    """One result row per task and model, each with both metrics."""
+    names = F.transform("metrics", lambda m: m["metric"])
+    return rmod.risk_results(spark, d).select("task", "model", F.size("metrics").alias("n_metrics"), names.alias("metrics"))

@@ -53,13 +53,6 @@ def tasks(df: DataFrame) -> DataFrame:
     return df.select(F.col(TASK_COL).alias("task")).distinct().orderBy("task")
 
 
-def task_list(df: DataFrame, max_tasks: int = 1000) -> list[str]:
-    rows = tasks(df).limit(max_tasks + 1).collect()
-    if len(rows) > max_tasks:
-        raise ValueError(f"more than {max_tasks} tasks")
-    return [r["task"] for r in rows]
-
-
 def split(df: DataFrame, prop: float = SPLIT_PROP, seed: int = SPLIT_SEED,
           key: list[str] | None = None) -> DataFrame:
     """Row-level keyed split; ``key=['person_id']`` keeps a person on one side."""
@@ -100,11 +93,12 @@ def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prepared(spark: SparkSession, sf_dir: str, test_scope: str = "own", unseen: str = "drop"):
     """(recipe model, juiced training rows, baked test rows) for all tasks in one pass."""
+    from ..operators.columns import assert_unique
     from ..operators.split import materialize
 
-    # read by the level aggregate, the training layout and the test scoring: run the
-    # source plan once and cut its lineage
+    # read by the key check, the level aggregate, the training layout and the test scoring: written once
     df = materialize(split_frame(spark, sf_dir))
+    assert_unique(df, [KEY], [TASK_COL])
     train = df.filter(F.col("set") == "train").drop("set")
     test = df.filter(F.col("set") == "test").drop("set")
     model = recipe(unseen=unseen).fit(train)

@@ -111,17 +111,22 @@ select "Person_ID" as person_id, "AssessmentID" as assessment_id, "ScaleSet" as
 from assessments_raw
 """)
 
-define("risk_nth2", ["assessments_named"], f"""
-select assessment_id, scale_set, sex_code_text, ethnic_code_text,
-  {AGE_BUCKET_SQL} as date_of_birth, custody_status, display_text, marital_status, score_text
+def nth_sql(n: int, with_task: bool = True, with_scale: bool = False) -> str:
+    """The n-th scale row of each assessment, age bucketed, levels filtered."""
+    return f"""
+select assessment_id, {"scale_set, " if with_scale else ""}sex_code_text, ethnic_code_text,
+  {AGE_BUCKET_SQL} as date_of_birth, custody_status, {"display_text, " if with_task else ""}marital_status, score_text
 from (select *, {AGE_SQL} as age,
         row_number() over (partition by assessment_id order by scale_set) as rn
       from assessments_named) t
-where rn = 2
+where rn = {n}
   and ethnic_code_text in ('African-American', 'Caucasian', 'Hispanic')
   and custody_status in ('Jail Inmate', 'Probation', 'Pretrial Defendant')
   and marital_status in ('Single', 'Married')
-""")
+"""
+
+
+define("risk_nth2", ["assessments_named"], nth_sql(2, with_scale=True))
 
 # ------------------------------------------------------------------ houses
 
@@ -371,3 +376,22 @@ select c.id, c.joined as feature, v.feature_value, round(avg(c), 4) as phi, roun
 from sh_c c join ({fv}) v on v.feature = c.joined
 where c.joined is not null group by c.id, c.joined, v.feature_value
 """
+
+
+def lime_gram_sql(numeric: list[str], nominal: list[str], obs: int = 122) -> str:
+    """Weighted design sums of the local surrogate at one observation (oracle text)."""
+    cols = numeric + nominal
+    q = len(cols)
+    z = ["1.0", *[f"cast(h.{c} as double)" for c in numeric],
+         *[f"case when h.{c} = o.{c} then 1.0 else 0.0 end" for c in nominal], "h.y"]
+    far = [f"abs(cast(h.{c} as double) - o.{c}) / r.{c}" for c in numeric]
+    far += [f"case when h.{c} = o.{c} then 0.0 else 1.0 end" for c in nominal]
+    cells = [(i, j) for i in range(q + 2) for j in range(i, q + 2)]
+    return f"""
+h as (select *, {rule_sql()} as y from houses_clean),
+o as (select * from houses_clean qualify row_number() over (order by id) = {obs}),
+r as (select {", ".join(f"cast(max({c}) - min({c}) as double) as {c}" for c in numeric)} from houses_clean),
+z as (select o.id, {", ".join(f"{e} as z{i}" for i, e in enumerate(z))},
+      1.0 - ({" + ".join(far)}) / {float(q)} as w from h cross join o cross join r),
+s as (select id, {", ".join(f"sum(w * z{i} * z{j}) as s_{i}_{j}" for i, j in cells)} from z group by id)
+""" + " union all ".join(f"select id, {i} as i, {j} as j, printf('%.7e', s_{i}_{j}) as value from s" for i, j in cells)

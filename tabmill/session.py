@@ -44,7 +44,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):  # not local-cluster: its executors share no folder
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tabmill-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")

@@ -59,15 +59,11 @@ def test_models_save_and_reload(spark):
     assert a == b and len(a) > 0
 
 
-def test_task_list_guard(spark):
-    import pytest
-
+def test_tasks(spark):
     from tabmill.plans import risk
 
-    df = risk.load(spark, SF_SMALL)
-    assert risk.task_list(df) == ["Risk of Failure to Appear", "Risk of Recidivism", "Risk of Violence"]
-    with pytest.raises(ValueError):
-        risk.task_list(df, max_tasks=2)
+    got = [r["task"] for r in risk.tasks(risk.load(spark, SF_SMALL)).collect()]
+    assert got == ["Risk of Failure to Appear", "Risk of Recidivism", "Risk of Violence"]
 
 
 def test_every_learner_is_explained(spark):
@@ -76,4 +72,18 @@ def test_every_learner_is_explained(spark):
     ale = hm.explain_learners(spark, SF_SMALL, "ale").collect()
     assert {r["learner"] for r in ale} == set(md.REGRESSOR_NAMES)
     shap = hm.explain_learners(spark, SF_SMALL, "shapley", names=["regr.lm"]).collect()
-    assert len(shap) == len(hm.EXPLAIN_FEATURES)
+    from tabmill.plans.sql import EXPLAIN_FEATURES
+
+    assert {r["feature"] for r in shap} == set(EXPLAIN_FEATURES)
+
+
+def test_house_analysis_from_one_fit(spark, monkeypatch):
+    from tabmill.plans import house_models as hm
+
+    fits = []
+    real = md.fit_regressor
+    monkeypatch.setattr(md, "fit_regressor", lambda *a, **k: fits.append(a[3]) or real(*a, **k))
+    got = hm.house_explained(spark, SF_SMALL, names=["regr.lm", "regr.rpart"])
+    methods = {(r["learner"], r["method"]) for r in got.select("learner", "method").distinct().collect()}
+    assert methods >= {(n, m) for n in ("regr.lm", "regr.rpart") for m in ("prediction", "importance", "pdp_ice", "ale", "shapley")}
+    assert sorted(fits) == ["regr.lm", "regr.rpart"]

@@ -13,7 +13,7 @@ from tabmill.operators import columns as co
 from tabmill.operators import explain as ex
 from tabmill.operators import metrics as mt
 from tabmill.operators import split as sp
-from tabmill.operators.recipe import Recipe
+from tabmill.operators.recipe import Recipe, one_hot
 
 
 # ---------------------------------------------------------------- names
@@ -79,13 +79,26 @@ def test_key_check_counts_duplicates(spark):
 # ---------------------------------------------------------------- lumping
 
 
-def test_lump_decision_boundaries():
+def _lumped(spark, counts, prop, **kw):
+    df = spark.createDataFrame([(v,) for v, n in counts.items() for _ in range(n)], "v string")
+    out = cat.lump(df.withColumn("was", F.col("v")), ["v"], prop, **kw)
+    return {r["was"]: r["v"] for r in out.distinct().collect()}
+
+
+def test_lump_decision_boundaries(spark):
     counts = {"a": 80, "b": 10, "c": 10}  # b and c exactly at 0.1: not kept (kept iff share > p)
-    assert cat.lump_decision(counts, 0.1) == {"a": "a", "b": "Other", "c": "Other"}
-    assert cat.lump_decision({"a": 90, "b": 10}, 0.1, keep_single_rare=True) == {"a": "a", "b": "b"}
+    assert _lumped(spark, counts, 0.1) == {"a": "a", "b": "Other", "c": "Other"}
+    assert _lumped(spark, {"a": 90, "b": 10}, 0.1, keep_single_rare=True) == {"a": "a", "b": "b"}
     # dominant: share > 0.89 becomes Other; exactly 0.89 stays
-    assert cat.lump_decision({"a": 89, "b": 11}, -0.89) == {"a": "a", "b": "b"}
-    assert cat.lump_decision({"a": 90, "b": 10}, -0.89) == {"a": "Other", "b": "b"}
+    assert _lumped(spark, {"a": 89, "b": 11}, -0.89) == {"a": "a", "b": "b"}
+    assert _lumped(spark, {"a": 90, "b": 10}, -0.89) == {"a": "Other", "b": "b"}
+
+
+def test_lumping_collects_only_levels_above_the_share(spark):
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("v"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("w"))
+    shares = cat.level_shares(df, ["v", "w"], 0.1)
+    assert shares["v"].frequent == {} and shares["v"].levels == 30_000 and set(shares["w"].frequent) == {"x", "y"}
+    assert cat.lump(df, ["v", "w"], 0.1).select("v").distinct().collect()[0][0] == "Other"
 
 
 def test_lump_is_idempotent_and_keeps_null(spark):
@@ -318,7 +331,7 @@ def test_degenerate_inputs(spark):
     only_key = spark.createDataFrame([(1,), (2,)], "id int")
     assert co.null_share(only_key).count() == 0
     assert cat.level_counts(only_key, []).count() == 0
-    assert cat.counts_by_column(only_key, []) == {}
+    assert cat.level_shares(only_key, [], 0.1) == {}
     nulls = spark.createDataFrame([(1, None), (2, None)], "id int, x double")
     assert ex.equal_grid(nulls, "x") == []
     assert ex.ice(nulls, _linear_x, "x").count() == 0
@@ -328,14 +341,78 @@ def _linear_x(df):
     return df.withColumn("prediction", F.col("x") * 2.0)
 
 
-def test_materialize_spreads_only_small_partition_counts(spark):
-    par = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert sp.materialize(one).rdd.getNumPartitions() == par
-    many = spark.range(100).repartition(par * 2)
-    assert sp.materialize(many).rdd.getNumPartitions() == par * 2
+def test_one_hot_names_are_unique(spark):
+    df = spark.createDataFrame([(1, "A+"), (2, "A-"), (3, "B"), (4, "é"), (5, "ü")], "id int, g string")
+    levels = {"g": ["A+", "A-", "B", "é", "ü"]}
+    out = one_hot(df, levels)
+    assert len(set(out.columns)) == 6
+    assert all(sum(r[c] for c in out.columns if c != "id") == 1 for r in out.collect())
+    model = Recipe(target="id", predictors=["g"]).fit(df)
+    baked = model.bake(df)
+    assert len(set(baked.columns)) == len(baked.columns) == 6
+    assert all(sum(r[c] for c in model.dummy_columns()) == 1 for r in baked.collect())
 
 
-def test_lime_refuses_unbounded_observation_sets(small):
-    with pytest.raises(ValueError):
-        ex.lime(small, _linear, ["x1", "x2"], small, max_observations=10)
+def test_unseen_rows_are_counted(spark):
+    train = spark.createDataFrame([(1, "a", "t"), (2, "b", "t")], "id int, g string, target string")
+    test = spark.createDataFrame([(3, "a", "t"), (4, "c", "t"), (5, None, "t")], "id int, g string, target string")
+    model = Recipe(target="target", key="id").fit(train)
+    assert [tuple(r) for r in model.unseen_rows(test).collect()] == [(3, 2)]
+    assert model.bake(test).count() == 1
+
+
+def test_kappa_with_marginals_beyond_64_bit_products(spark):
+    n = 4_000_000_000
+    conf = spark.createDataFrame([("t", "m", "a", "a", n), ("t", "m", "b", "b", n), ("t", "m", "a", "b", n // 2)],
+                                 "task string, model string, truth string, estimate string, n bigint")
+    got = mt.kappa_from_confusion(conf).first()["kappa"]
+    po = 2 * n / (2.5 * n)
+    pe = (1.5 * 1.0 + 1.0 * 1.5) / 2.5**2
+    assert math.isclose(got, (po - pe) / (1 - pe), rel_tol=1e-12)
+
+
+def test_ice_keeps_a_curve_per_row_under_a_shared_id(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 5.0)], "id int, x double")
+    score = lambda d: d.withColumn("prediction", F.col("x") * 2.0)
+    for one_pass in (True, False):
+        out = ex.pdp_ice(df, score, "x", grid=[0.0, 1.0], one_pass=one_pass).collect()
+        assert sum(r["type"] == "ice" for r in out) == 6 and sum(r["type"] == "pdp" for r in out) == 2
+
+
+def test_lime_leaves_incomplete_rows_out(spark):
+    rows = [(i, float(i % 7), float(i % 5)) for i in range(50)]
+    score = lambda d: d.withColumn("prediction", 3.0 * F.coalesce("a", F.lit(0.0)) + 2.0 * F.coalesce("b", F.lit(0.0)))
+    whole = spark.createDataFrame(rows, "id int, a double, b double")
+    holed = spark.createDataFrame([*rows, (50, None, 1.0)], "id int, a double, b double")
+    obs = whole.filter("id in (3, 4)")
+    beta = lambda d, o: sorted((r["id"], r["feature"], round(r["beta"], 2)) for r in ex.lime(d, score, ["a", "b"], o).collect())
+    assert beta(whole, obs) == beta(holed, obs) == [(i, f, b) for i in (3, 4) for f, b in (("a", 3.0), ("b", 2.0))]
+    assert tuple(ex.incomplete_rows(holed, ["a", "b"]).first()) == (51, 1)
+    assert beta(holed, holed.filter("id = 50")) == []  # an incomplete observation has no surrogate
+
+
+def test_lime_explains_more_observations_than_partitions(small):
+    got = ex.lime(small.coalesce(1), _linear, ["x1", "x2"], small)
+    assert got.select("id").distinct().count() == small.select("id").distinct().count()
+
+
+def test_lime_recodes_categories_to_the_observation(spark):
+    df = spark.createDataFrame([(i, float(i), "abc"[i % 3]) for i in range(30)], "id int, x double, g string")
+    score = lambda d: d.withColumn("prediction", F.when(F.col("g") == "a", 5.0).otherwise(0.0))
+    got = {r["feature"]: r for r in ex.lime(df, score, ["x", "g"], df.filter("id = 0")).collect()}
+    assert math.isclose(got["g"]["beta"], 5.0, rel_tol=1e-2) and got["g"]["feature_value"] == "g=a"
+
+
+def test_quantile_breaks_with_a_hot_value(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 900, 7.0).otherwise(F.col("id").cast("double")).alias("x"))
+    values = sorted(r["x"] for r in df.collect())
+    want = sorted({values[max(1, -(-(1000 * k) // 20)) - 1] for k in range(21)})
+    assert ex.quantile_breaks(df, "x") == want
+
+
+@pytest.mark.parametrize("prop", [0.0, 0.003, 0.5, 0.801, 1.0])
+def test_exact_split_draws_the_lowest_hashes(spark, prop):
+    df = spark.range(777).withColumnRenamed("id", "k")
+    out = sp.exact_split(df, "k", prop).withColumn("h", sp.hash_hex("k", 2)).collect()
+    low = {r["k"] for r in sorted(out, key=lambda r: r["h"])[:int(prop * 777)]}
+    assert {r["k"] for r in out if r["set"] == "train"} == low
