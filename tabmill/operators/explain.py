@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import columns as co
+from .categorical import level_dictionary
 from .models import Scorer
 from .split import background_sample, dense_row_id, dense_row_id_counted, hash_hex_col, materialize
 
@@ -96,6 +97,46 @@ def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] |
     return curves.unionByName(_mean_curve(curves))
 
 
+def pdp_all(df: DataFrame, scorer: Scorer, features: Sequence[str] | None = None, grid_size: int = GRID_SIZE,
+            id_col: str = "id", exclude: Sequence[str] = ()) -> DataFrame:
+    """Mean prediction over every feature's grid: equally spaced points of numeric features, the levels of
+    categorical ones.  ``features=None`` explains every column but the key and ``exclude``.
+
+    The rows of all features' grids are stacked and scored in one pass; a grid is a literal array, exploded per row
+    (a result row per grid value, so it is as large as the result).  Returns ``feature, feature_val, feature_level, y_hat`` (value or level is NULL).
+    """
+    skip = {id_col, *exclude}
+    features = list(features) if features is not None else [c for c in df.columns if c not in skip]
+    numeric = set(co.numeric_columns(df))
+    cols = [c for c in df.columns if c not in skip]
+    lohi = [f for f in features if f in numeric]
+    span = df.agg(*[F.min(f).cast("double").alias(f"lo_{f}") for f in lohi],
+                  *[F.max(f).cast("double").alias(f"hi_{f}") for f in lohi]).first() if lohi else None
+    levels = {(f,): [] for f in features} | level_dictionary(df, [f for f in features if f not in numeric])
+    parts = []
+    for f in features:
+        if f in numeric:
+            lo, hi = span[f"lo_{f}"], span[f"hi_{f}"]
+            if lo is None:
+                continue
+            n = 1 if hi == lo else grid_size
+            step = (hi - lo) / (grid_size - 1) if n > 1 else 0.0
+            rows = df.select(*[c for c in cols if c != f], F.explode(_lits([lo + i * step for i in range(n)])).alias(f))
+            value, level = F.col(f), F.lit(None).cast("string")
+        else:
+            rows = df.select(*[c for c in cols if c != f], F.explode(F.array(*map(F.lit, levels[(f,)])).cast("array<string>")).alias(f))
+            value, level = F.lit(None).cast("double"), F.col(f)
+        parts.append(rows.select(F.lit(f).alias("_feature"), value.alias("_value"), level.alias("_level"),
+                                 *[F.col(c).cast("double" if c in numeric else df.schema[c].dataType).alias(c) for c in cols]))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "feature string, feature_val double, feature_level string, y_hat double")
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return scorer(stacked).groupBy(F.col("_feature").alias("feature"), F.col("_value").alias("feature_val"),
+                                   F.col("_level").alias("feature_level")).agg(F.avg("prediction").alias("y_hat"))
+
+
 # ---------------------------------------------------------------- ALE
 
 def quantile_breaks(df: DataFrame, feature: str, grid_size: int = GRID_SIZE) -> list[float]:

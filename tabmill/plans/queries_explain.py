@@ -9,7 +9,7 @@ from ..operators import split as sp
 from . import house
 from . import house_models as hm
 from .catalog import query
-from .sql import EXPLAIN_FEATURES, _shapley_sql, lime_gram_sql, with_tables
+from .sql import EXPLAIN_FEATURES, _shapley_sql, lime_gram_sql, pdp_all_sql, with_tables
 
 
 def _obs(df):
@@ -45,6 +45,13 @@ def q_pdp_ice(spark, d):
     return out.withColumn("y_hat", F.when(F.col("type") == "pdp", F.round("y_hat", 4)).otherwise(F.col("y_hat")))
 
 
+@query("pdp_all", with_tables(["houses_clean"], pdp_all_sql(EXPLAIN_FEATURES[:2], EXPLAIN_FEATURES[2:])))
+def q_pdp_all(spark, d):
+    """Every feature of the house table, numeric and categorical."""
+    out = ex.pdp_all(house.cleaned(spark, d), house.rule_scorer, exclude=[house.TARGET])
+    return out.withColumn("y_hat", F.round("y_hat", 4))
+
+
 @query("pdp_ice_one_pass", with_tables(["ex_ice"], """
 select feature, feature_val, prediction as y_hat, 'ice' as type, id from ex_ice
 union all

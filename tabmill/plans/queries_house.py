@@ -261,7 +261,7 @@ def q_house_lm_ml(spark, d):
     train = sp.training(sp.initial_split(house.cleaned(spark, d), house.KEY, house.SPLIT_PROP, house.SPLIT_SEED))
     rm = Recipe(target=house.TARGET, key=house.KEY, predictors=[house.FEATURE], unseen="zero").fit(train)
     line = md.fit_regressor(train, rm, house.TARGET, "regr.lm").model.stages[-1]
-    return spark.createDataFrame([(round(line.coefficients[0], 4), round(line.intercept, 3))], "slope double, intercept double")
+    return spark.createDataFrame([(round(float(line.coefficients[0]), 4), round(float(line.intercept), 3))], "slope double, intercept double")
 
 
 @query("house_lm")

@@ -395,3 +395,20 @@ z as (select o.id, {", ".join(f"{e} as z{i}" for i, e in enumerate(z))},
       1.0 - ({" + ".join(far)}) / {float(q)} as w from h cross join o cross join r),
 s as (select id, {", ".join(f"sum(w * z{i} * z{j}) as s_{i}_{j}" for i, j in cells)} from z group by id)
 """ + " union all ".join(f"select id, {i} as i, {j} as j, printf('%.7e', s_{i}_{j}) as value from s" for i, j in cells)
+
+
+def pdp_all_sql(numeric: list[str], nominal: list[str]) -> str:
+    """Mean prediction over the grid of every feature (oracle text)."""
+    def rule(f, v):
+        return rule_sql(**{f: v}) if f in ("gr_liv_area", "lot_frontage", "neighborhood") else rule_sql()
+
+    parts = [f"""
+select '{f}' as feature, v as feature_val, cast(null as varchar) as feature_level, round(avg({rule(f, "v")}), 4) as y_hat
+from houses_clean, (select lo + cast(i as double) * ((hi - lo) / cast(19 as double)) as v
+  from (select min({f}) as lo, max({f}) as hi from houses_clean), (select unnest(range(0, 20)) as i)) group by v
+""" for f in numeric]
+    parts += [f"""
+select '{f}', cast(null as double), level, round(avg({rule(f, "level")}), 4)
+from houses_clean, (select distinct {f} as level from houses_clean) group by level
+""" for f in nominal]
+    return " union all ".join(parts)
