@@ -27,6 +27,9 @@ BREAKS = frozenset("address article aside blockquote body caption center dd deta
                    "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
                    "tbody td tfoot th thead tr ul".split())
 CONTAINERS = BREAKS - frozenset("p hr h1 h2 h3 h4 h5 h6 html body".split())
+# Open elements that end where one of these begins.
+ENDED_BY = {"li": "li", "dt": "dt dd", "dd": "dt dd", "td": "td th", "th": "td th", "tr": "td th tr"}
+LINES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 FURNITURE_TAGS = frozenset("nav aside footer form dialog menu search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class, id and role attributes that name page furniture, and those that name an article.
@@ -199,6 +202,12 @@ def blocks(page: str) -> list[dict]:
             close()
             in_link = 0
             heading = tag in HEADINGS and not closing
+            if not closing:
+                ended = LINES.union(ENDED_BY.get(tag, "").split())
+                if stack and stack[-1][0] in ended:
+                    while stack and stack[-1][0] in ended:
+                        stack.pop()
+                    furniture, article, header = stack[-1][1:] if stack else (False, False, False)
             if tag in CONTAINERS:
                 if closing:
                     k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)

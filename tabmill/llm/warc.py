@@ -87,8 +87,9 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
             columns = [batch.column(name) for name in ("id", "url", "payload", "digest", "refers_to")]
             for i in range(batch.num_rows):
                 if out is None:
-                    path = f"{base}/part-{at.partitionId():05d}-{at.taskAttemptId()}-{files}.warc.gz"
-                    out, gz, n, size = store.open_output_stream(path, compression=None), zlib.compressobj(1, wbits=31), 0, 0
+                    path = f"{folder}/part-{at.partitionId():05d}-{at.taskAttemptId()}-{files}.warc.gz"
+                    out = store.open_output_stream(opened(path)[1], compression=None)
+                    gz, n, size = zlib.compressobj(1, wbits=31), 0, 0
                     out.write(gz.compress(record("warcinfo", f"<urn:file:{path.rpartition('/')[2]}>",
                                                  [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")))
                 data = page_record(*(c[i].as_py() for c in columns))
@@ -166,17 +167,17 @@ def normalise(manifest: DataFrame) -> DataFrame:
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                store, _ = opened(path)
+                store, local = opened(path)
                 target = f"{path[:-len('.warc.gz')]}-n{attempt}.warc.gz"
                 n, offset, index = 0, 0, []
-                with store.open_input_stream(path, compression=None) as source, store.open_output_stream(target, compression=None) as out:
+                with store.open_input_stream(local, compression=None) as source, store.open_output_stream(opened(target)[1], compression=None) as out:
                     for fields, data in split_records(inflated(source)):
                         gz = zlib.compressobj(4, wbits=31)
                         member = gz.compress(data) + gz.flush()
                         out.write(member)
                         index.append(f"{offset}\t{len(member)}\t{fields['warc-record-id']}\t{fields['warc-type']}\n")
                         offset, n = offset + len(member), n + (fields["warc-type"] != "warcinfo")
-                with store.open_output_stream(target + ".idx", compression=None) as out:
+                with store.open_output_stream(opened(target + ".idx")[1], compression=None) as out:
                     out.write("".join(index).encode())
                 yield pa.record_batch([pa.array([target]), pa.array([target + ".idx"]), pa.array([n], pa.int64())],
                                       names=["path", "index", "records"])
@@ -191,10 +192,10 @@ def read_archives(normalised: DataFrame) -> DataFrame:
     types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
 
     def rows_of(path, index):
-        store, _ = opened(path)
-        with store.open_input_stream(index, compression=None) as f:
+        store, local = opened(path)
+        with store.open_input_stream(opened(index)[1], compression=None) as f:
             lines = f.read().decode().splitlines()
-        with store.open_input_file(path) as f:
+        with store.open_input_file(local) as f:
             for line in lines:
                 offset, length, rid, kind = line.split("\t")
                 if kind == "warcinfo":

@@ -39,8 +39,8 @@ def test_normalised_members_and_index(spark, monkeypatch):
     files = manifest.collect()
     assert len(files) > 1 and sum(f.records for f in files) == df.count()
     for f in files:
-        data = open(f.path, "rb").read()
-        lines = [line.split("\t") for line in open(f["index"]).read().splitlines()]
+        data = open(w.opened(f.path)[1], "rb").read()
+        lines = [line.split("\t") for line in open(w.opened(f["index"])[1]).read().splitlines()]
         assert sum(int(x[1]) for x in lines) == len(data)
         for offset, length, rid, _ in lines:
             one = gzip.decompress(data[int(offset):int(offset) + int(length)])
@@ -84,6 +84,11 @@ def test_page_without_article():
     assert h.extract(page, tree) == f"{body}\nShort one.\n{body}"
 
 
+def test_unclosed_blocks_end_where_the_next_begins():
+    page = "<article><p>One two three.<p class=ad>Buy it<p>Four five.<ul><li class=ad>x y<li>Six seven</ul><p class='notice'>n<h2>Head</h2></article>"
+    assert h.extract(page, h.grow_tree(h.LABELLED)) == "One two three.\nFour five.\nSix seven\nHead"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "<a href='", "</p></div>", "<head><title>x", "&#xZZ; &amp"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(h.extract(page, h.grow_tree(h.LABELLED)), str)
