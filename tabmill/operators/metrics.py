@@ -79,8 +79,14 @@ def class_metrics(pred: DataFrame, group: Iterable[str] = ("task", "model"), tru
     predictions -> confusion counts -> per-class -> per-group: one linear chain, so
     the predictions are read exactly once.
     """
+    return metrics_from_confusion(confusion_matrix(pred, group, truth, estimate), group, truth, estimate)
+
+
+def metrics_from_confusion(conf: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
+                           estimate: str = "estimate") -> DataFrame:
+    """:func:`class_metrics` of given confusion counts."""
     g = _g(group)
-    summ = confusion_summary(confusion_matrix(pred, g, truth, estimate), g, truth, estimate)
+    summ = confusion_summary(conf, g, truth, estimate)
     return summ.select(
         *g,
         F.inline(F.array(

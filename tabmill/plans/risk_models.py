@@ -34,22 +34,35 @@ def checkpointed_predictions(fitted, baked: DataFrame) -> DataFrame:
         test.unpersist()
 
 
+def grid_confusion(fitted, baked: DataFrame) -> DataFrame:
+    """Confusion counts of every (task, model) on the persisted test rows, aggregated straight from the predictions;
+    only the counts (tasks x models x classes^2 rows) are written."""
+    checkpoint_dir(baked.sparkSession)
+    test = baked.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        preds = md.predict_grid(fitted, test, risk.TASK_COL, risk.TARGET, risk.KEY)
+        return mt.confusion_matrix(preds).checkpoint(eager=True)
+    finally:
+        test.unpersist()
+
+
 def risk_predictions(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES,
                      test_scope: str = "own", **kw) -> DataFrame:
     _, fitted, baked = fit_risk_grid(spark, sf_dir, models, test_scope, **kw)
     return checkpointed_predictions(fitted, baked)
 
 
-def run_risk(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, **kw) -> DataFrame:
+def run_risk(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES,
+             test_scope: str = "own", **kw) -> DataFrame:
     """The whole RISK pipeline; returns ``task, model, metric, estimator, estimate``."""
-    return mt.class_metrics(risk_predictions(spark, sf_dir, models, **kw))
+    _, fitted, baked = fit_risk_grid(spark, sf_dir, models, test_scope, **kw)
+    return mt.metrics_from_confusion(grid_confusion(fitted, baked))
 
 
 def risk_results(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, **kw) -> DataFrame:
     """One row per (task, model): fitted-model descriptor and nested metrics."""
     _, fitted, baked = fit_risk_grid(spark, sf_dir, models, **kw)
-    preds = checkpointed_predictions(fitted, baked)
-    nested = mt.nest_metrics(mt.class_metrics(preds))
+    nested = mt.nest_metrics(mt.metrics_from_confusion(grid_confusion(fitted, baked)))
     fits = spark.createDataFrame([(t, m, f.description) for (t, m), f in fitted.items()],
                                  "task string, model string, fit string")
     return fits.join(nested, ["task", "model"], "left")
