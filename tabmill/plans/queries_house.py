@@ -264,6 +264,19 @@ def q_house_lm_ml(spark, d):
     return spark.createDataFrame([(round(float(line.coefficients[0]), 4), round(float(line.intercept), 3))], "slope double, intercept double")
 
 
+@query("house_dt_means", with_tables(["houses_clean"], """
+select neighborhood = 'BUILDING' as building, round(avg(sale_price), 4) as prediction
+from houses_clean where substr(md5(concat_ws('|', cast(id as varchar), '2')), 1, 8) < 'cccccccc' group by 1
+"""))
+def q_house_dt_means(spark, d):
+    """The tree learner on one two-level predictor: each leaf predicts its group's mean."""
+    df = house.cleaned(spark, d).withColumn("building", F.when(F.col("neighborhood") == "BUILDING", "yes").otherwise("no"))
+    train = sp.training(sp.initial_split(df, house.KEY, house.SPLIT_PROP, house.SPLIT_SEED))
+    rm = Recipe(target=house.TARGET, key=house.KEY, predictors=["building"], unseen="zero").fit(train)
+    score = md.fit_regressor(train, rm, house.TARGET, "regr.rpart").scorer()
+    return score(train).select((F.col("building") == "yes").alias("building"), F.round("prediction", 4).alias("prediction")).distinct()
+
+
 @query("house_lm")
 def q_house_lm(spark, d):
     return hm.house_predictions(spark, d, ["regr.lm"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
@@ -289,6 +291,23 @@ def q_risk_dt(spark, d):
     return rmod.risk_predictions(spark, d, ["decision_tree"])
 
 
+@query("risk_dt_majority", with_tables(["risk_juiced"], """
+select display_text as task, sex_code_text_female as female, score_text as estimate
+from (select display_text, sex_code_text_female, score_text, count(*) as n from risk_juiced group by all)
+qualify row_number() over (partition by display_text, sex_code_text_female order by n desc, score_text) = 1
+"""))
+def q_risk_dt_majority(spark, d):
+    """The tree on one 0/1 predictor: each leaf predicts its group's majority class."""
+    rm, juiced, _ = risk.prepared(spark, d)
+    rows = []
+    for task in rm.groups:
+        own = risk.task_slice(juiced, task)
+        fit = rmod.md.fit_classifier(own, ["sex_code_text_female"], risk.TARGET, "decision_tree", task)
+        rows.append(fit.predict(own, ["sex_code_text_female"]).distinct().select(
+            F.lit(task).alias("task"), F.col("sex_code_text_female").alias("female"), "estimate"))
+    return functools.reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @query("risk_gbt")
 def q_risk_gbt(spark, d):
     return rmod.risk_predictions(spark, d, ["xgboost"])
