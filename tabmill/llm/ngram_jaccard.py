@@ -72,7 +72,7 @@ def _scan(texts: DataFrame, n: int) -> DataFrame:
                 size[row], sig[row] = len(s), _signature(s)
                 pending.append(s)
                 held += len(s)
-                if held > 4_000_000:
+                if held > 2_000_000:
                     v, c = np.unique(np.concatenate(pending), return_counts=True)
                     many.append(v[c >= 4])
                     counts.append(c[c >= 4])
@@ -124,7 +124,7 @@ def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, c
                 sig = _signature(s)
                 if sig in seen:
                     continue
-                if len(seen) < 1_000_000:  # spares repeated rows; distinct() below removes the rest
+                if len(seen) < 200_000:  # spares repeated rows; distinct() below removes the rest
                     seen.add(sig)
                 k = len(s) - -(-num * len(s) // den) + 1
                 r = _rank(s, heavy, counts)
@@ -241,7 +241,7 @@ def _wanted(texts: DataFrame, n: int, sigs: np.ndarray, ids: np.ndarray) -> Data
                     continue
                 x = _signature(s)
                 if x not in seen and marked(sigs, np.array([x]).view(np.uint64))[0]:
-                    if len(seen) < 1_000_000:
+                    if len(seen) < 200_000:
                         seen.add(x)
                     sig.append(x)
                     sets.append(s.tobytes())

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _RADIX = 0x9E3779B97F4A7C15  # odd, so it has an inverse mod 2**64
 _INVERSE = pow(_RADIX, -1, 1 << 64)
