@@ -211,6 +211,17 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
     return acc.select(F.lit(feature).alias("feature"), F.inline(pts))
 
 
+def ale_all(df: DataFrame, scorer: Scorer, features: Sequence[str] | None = None, grid_size: int = GRID_SIZE,
+            id_col: str = "id", exclude: Sequence[str] = ()) -> DataFrame:
+    """:func:`ale` of every numeric feature (``None``: all but the key and ``exclude``), stacked."""
+    skip = {id_col, *exclude}
+    features = list(features) if features is not None else [c for c in co.numeric_columns(df) if c not in skip]
+    out = df.sparkSession.createDataFrame([], "feature string, feature_val double, ale double")
+    for f in features:
+        out = out.unionByName(ale(df, scorer, f, grid_size))
+    return out
+
+
 # ---------------------------------------------------------------- permutation importance
 
 def permutation_pairs(df: DataFrame, key: str = "id", repetitions: int = REPETITIONS, seed: int = 1) -> DataFrame:

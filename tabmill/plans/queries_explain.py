@@ -70,6 +70,16 @@ def q_ale(spark, d):
     return out.withColumn("ale", F.round("ale", 4))
 
 
+@query("ale_all", with_tables(["ale_out", "ale_lot_out"], """
+select feature, round(feature_val, 6) as feature_val, round(ale, 3) as ale from ale_out
+union all select feature, round(feature_val, 6), round(ale, 3) from ale_lot_out
+"""))
+def q_ale_all(spark, d):
+    """Every numeric feature of the house table."""
+    out = ex.ale_all(house.cleaned(spark, d), house.rule_scorer, exclude=[house.TARGET])
+    return out.select("feature", F.round("feature_val", 6).alias("feature_val"), F.round("ale", 3).alias("ale"))
+
+
 @query("perm_importance", with_tables(["pi_out"], """
 select feature, importance_05, importance, importance_95, round(permutation_error, 4) as permutation_error,
   cast(row_number() over (order by importance desc, feature) as bigint) as display_order

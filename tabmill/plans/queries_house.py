@@ -327,3 +327,14 @@ def q_lump_high_cardinality(spark, d):
     """A factor with as many levels as rows, lumped beside an ordinary one."""
     df = house.typed(spark, d).select("id", F.col("id").cast("string").alias("id_text"), "neighborhood")
     return cat.lump(df, ["id_text", "neighborhood"], 0.1)
+
+
+@query("house_surviving_factors", with_tables(["houses_lumped"], f"""
+select "column", count(distinct level) as n_levels
+from (unpivot (select {", ".join(HOUSE_FACTORS)} from houses_lumped) on {", ".join(HOUSE_FACTORS)} into name "column" value level)
+group by 1 having count(distinct level) > 1
+"""))
+def q_house_surviving_factors(spark, d):
+    """Which factors survive the single-level check, with their levels after lumping."""
+    df = house.cleaned(spark, d)
+    return cat.level_counts(df, co.categorical_columns(df)).groupBy("column").agg(F.count("level").alias("n_levels"))

@@ -182,7 +182,7 @@ def q_factor_levels_after_filter(spark, d):
 # ---------------------------------------------------------------- recipe (trained preparation)
 
 from ..operators import recipe as rc  # noqa: E402
-from .sql import RISK_DUMMIES_SQL, RISK_KNOWN_SQL  # noqa: E402
+from .sql import RISK_DUMMIES_SQL, RISK_KNOWN_SQL, known_sql  # noqa: E402
 
 
 @query("recipe_filter", with_tables(["risk_split"], f"""
@@ -234,7 +234,7 @@ select assessment_id, t.task as display_text, score_text,
   {RISK_DUMMIES_SQL}
 from risk_split
 cross join (select distinct display_text as task from risk_split where set = 'train') t
-where set = 'test' and {RISK_KNOWN_SQL}
+where set = 'test' and {known_sql("t.task")}
 """))
 def q_recipe_bake_all(spark, d):
     return risk.prepared(spark, d, test_scope="all")[2]

@@ -179,8 +179,9 @@ define("houses_clean", ["houses_lumped"], f"""
 select id, sale_price, gr_liv_area, lot_frontage, {", ".join(HOUSE_KEPT_FACTORS)} from houses_lumped
 """)
 
-# ------------------------------------------------------------------ risk recipe (levels as learned at sf0.01)
+# ------------------------------------------------------------------ risk recipe
 
+# The dummy columns of the prepared frame; which rows are known is learned in known_sql.
 RISK_LEVELS = {
     "sex_code_text": ["Female", "Male"],
     "ethnic_code_text": ["African-American", "Caucasian", "Hispanic"],
@@ -197,8 +198,16 @@ def _slug(level: str) -> str:
 
 RISK_DUMMIES_SQL = ",\n  ".join(
     f"cast({c} = '{lv}' as int) as {c}_{_slug(lv)}" for c, lvs in RISK_LEVELS.items() for lv in lvs)
-RISK_KNOWN_SQL = " and ".join(
-    f"{c} in ({', '.join(repr(v) for v in lvs)})" for c, lvs in RISK_LEVELS.items())
+
+
+def known_sql(task: str = "display_text") -> str:
+    """TRUE where every nominal value is a level of the task's training rows (learned here, not listed)."""
+    return " and ".join(
+        f"({task}, {c}) in (select (display_text, {c}) from risk_split where set = 'train' and {c} is not null)"
+        for c in RISK_LEVELS)
+
+
+RISK_KNOWN_SQL = known_sql()
 
 define("risk_juiced", ["risk_split"], f"""
 select assessment_id, display_text, score_text,
@@ -291,37 +300,40 @@ select 'gr_liv_area' as feature, g.v as feature_val, {rule_sql(gr_liv_area="g.v"
 from houses_clean h, ex_grid g
 """)
 
-define("ale_ranked", ["houses_clean"], """
-select gr_liv_area as x, row_number() over (order by gr_liv_area) as rn, count(*) over () as n
-from houses_clean where gr_liv_area is not null
+def define_ale(feature: str, name: str) -> None:
+    """Tables of the accumulated effects of one numeric feature; ``{name}_out`` is the result."""
+    define(f"{name}_ranked", ["houses_clean"], f"""
+select {feature} as x, row_number() over (order by {feature}) as rn, count(*) over () as n
+from houses_clean where {feature} is not null
 """)
-
-define("ale_breaks", ["ale_ranked"], """
+    define(f"{name}_breaks", [f"{name}_ranked"], f"""
 select x as b, row_number() over (order by x) as j
-from (select distinct r.x from ale_ranked r join (select unnest(range(0, 21)) as k) g
+from (select distinct r.x from {name}_ranked r join (select unnest(range(0, 21)) as k) g
         on r.rn = greatest(1, (r.n * g.k + 19) // 20))
 """)
-
-define("ale_per", ["houses_clean", "ale_breaks"], f"""
+    define(f"{name}_per", ["houses_clean", f"{name}_breaks"], f"""
 select k, (sum(f_hi) - sum(f_lo)) / count(*) as delta, count(*) as n
-from (select r.k, {rule_sql(gr_liv_area="bhi.b")} as f_hi, {rule_sql(gr_liv_area="blo.b")} as f_lo
-      from (select h.*, greatest(1, (select count(*) from ale_breaks b where b.b < h.gr_liv_area)) as k
-            from houses_clean h where h.gr_liv_area is not null) r
-      join ale_breaks blo on blo.j = r.k join ale_breaks bhi on bhi.j = r.k + 1) s
+from (select r.k, {rule_sql(**{feature: "bhi.b"})} as f_hi, {rule_sql(**{feature: "blo.b"})} as f_lo
+      from (select h.*, greatest(1, (select count(*) from {name}_breaks b where b.b < h.{feature})) as k
+            from houses_clean h where h.{feature} is not null) r
+      join {name}_breaks blo on blo.j = r.k join {name}_breaks bhi on bhi.j = r.k + 1) s
 group by k
 """)
-
-define("ale_out", ["ale_per", "ale_breaks"], """
-select 'gr_liv_area' as feature, b.b as feature_val, v - c as ale
+    define(f"{name}_out", [f"{name}_per", f"{name}_breaks"], f"""
+select '{feature}' as feature, b.b as feature_val, v - c as ale
 from (select k, f_lo, f_hi, sum(n * (f_lo + f_hi) / 2.0) over () / sum(n) over () as c
       from (select k, n, f_hi, coalesce(lag(f_hi) over (order by k), 0) as f_lo
             from (select k, n, sum(delta) over (order by k rows between unbounded preceding and current row) as f_hi
-                  from ale_per) a) a2) t,
+                  from {name}_per) a) a2) t,
      lateral (select 1 as j, f_lo as v where t.k = 1 union all select t.k + 1 as j, f_hi as v) e
-join ale_breaks b on b.j = e.j
+join {name}_breaks b on b.j = e.j
 """)
 
 
+define_ale("gr_liv_area", "ale")
+define_ale("lot_frontage", "ale_lot")
+
+
 def _perm_sql(reps: int = 5, seed: int = 1) -> str:
     parts = []
     for f in EXPLAIN_FEATURES:
