@@ -32,11 +32,12 @@ from . import textvec as tv
 from .common import bitmap, connected_components, marked, written
 
 BUCKET = 48
-TILE = 1024
-TILE_SHINGLES = 2_000_000  # shingles of a tile, about
+TILE = 512
+TILE_SHINGLES = 400_000  # shingles of a tile, about
 HOT = 512  # count from which a column of the heavy list is salted
 HEAVY = 1 << 18
 SALTS = 8
+SHARE = 20  # one more prefix column for so many shingles
 BITMAP_BITS = 1 << 25
 
 
@@ -74,13 +75,13 @@ def _scan(texts: DataFrame, n: int) -> DataFrame:
                 held += len(s)
                 if held > 2_000_000:
                     v, c = np.unique(np.concatenate(pending), return_counts=True)
-                    many.append(v[c >= 4])
-                    counts.append(c[c >= 4])
+                    many.append(v[c >= 3])
+                    counts.append(c[c >= 3])
                     pending, held = [], 0
             if pending:
                 v, c = np.unique(np.concatenate(pending), return_counts=True)
-                many.append(v[c >= 4])
-                counts.append(c[c >= 4])
+                many.append(v[c >= 3])
+                counts.append(c[c >= 3])
             yield pa.record_batch([pa.array(np.zeros(len(size), np.int32)), batch.column(0), pa.array(size), pa.array(sig)],
                                   names=["kind", "a", "b", "c"])
         if many:
@@ -110,6 +111,14 @@ def _rank(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(heavy[at] == s, counts[at], 0)
 
 
+def shared(size):
+    """Columns that two linked rows share in their prefixes at least (the smaller of both rows' values).
+
+    A prefix has ``size - ceil(t * size) + shared(size)`` columns.  Of two linked rows, let x be the one whose prefix ends
+    first: at most ``ceil(t * size_x) - shared(size_x)`` of the common columns, ``t * size_x`` or more, lie behind it."""
+    return 1 + size // SHARE
+
+
 def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Prefix incidences (token, salt, size, sig, heavy), once per class and task; ``heavy`` counts the
     class's prefix columns that are salted."""
@@ -126,7 +135,7 @@ def _prefixes(texts: DataFrame, n: int, num: int, den: int, heavy: np.ndarray, c
                     continue
                 if len(seen) < 200_000:  # spares repeated rows; distinct() below removes the rest
                     seen.add(sig)
-                k = len(s) - -(-num * len(s) // den) + 1
+                k = len(s) - -(-num * len(s) // den) + shared(len(s))
                 r = _rank(s, heavy, counts)
                 if r.any():
                     order = np.lexsort((s, r))[:k]
@@ -220,7 +229,7 @@ def _candidates(buckets: DataFrame, num: int, den: int) -> DataFrame:
                .withColumn(heavy, F.col(heavy) + F.coalesce("extra", F.lit(0))).drop("extra"))
 
     def rest(n):  # shingles of a row behind its prefix
-        return F.ceil(n * num / den) - 1
+        return F.ceil(n * num / den) - 1 - F.floor(n / SHARE)
 
     bound = F.col("c") + F.least("heavy", "heavy_b") + F.greatest(rest(F.col("size")), rest(F.col("size_b")))
     return met.where(bound * (num + den) >= num * (F.col("size") + F.col("size_b"))).select("a", "b")
@@ -307,8 +316,14 @@ def block_links(sig: np.ndarray, sets: list[np.ndarray], num: int, den: int) ->
 
 def _family_edges(buckets: DataFrame, num: int, den: int) -> DataFrame:
     """(x, y) between classes that may link: candidate pairs, and one star per column too common for pairs.
-    Every link has both ends in one connected family of these edges."""
-    large = buckets.where("kind = 1").select("token", "a")
+
+    Linked rows share ``shared`` prefix columns or more.  A row with fewer common columns than that (a long text around a widely
+    copied passage) shares a column of the other kind with every partner, so only the pairs need it; stars are left
+    to rows that consist of common columns.  Every link has both ends in one connected family of these edges."""
+    large = buckets.where("kind = 1").select("token", "a", "size")
+    least = F.floor(F.ceil(F.col("size") * num / den) / SHARE) + 1  # the smallest partner's share
+    dense = (large.groupBy("a").agg(F.count("*").alias("n"), F.first("size").alias("size")).where(F.col("n") >= least).select("a"))
+    large = large.join(dense, "a").select("token", "a")
     stars = large.join(large.groupBy("token").agg(F.min("a").alias("hub")), "token")
     return (_candidates(buckets, num, den).select(F.col("a").alias("x"), F.col("b").alias("y"))
             .unionByName(stars.select(F.col("a").alias("x"), F.col("hub").alias("y")).distinct()))
