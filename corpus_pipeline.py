@@ -20,14 +20,26 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+#: Rows of an Arrow batch between Spark and Python: whole texts are large, so the default of 10,000 rows would hold
+#: tens of MB in the JVM and in every Python worker.
+BATCH_ROWS = "1000"
+
+
+def batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows for the stages that follow."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the importance draw keeps."""
+    batches(spark)
     return quality.resample(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents written in one of the languages learned: those without letters, and those where no language reaches
     ``language_id.CLEAR``, go."""
+    batches(spark)
     samples = language_id.training_sample(docs.where(~language_id.held_out(F.col("doc_id"))))
     found = language_id.identify(docs.select(*COLUMNS), samples, pred_col="__lang", score_col="__score")
     return found.where((F.col("__lang") != "und") & (F.col("__score") >= language_id.CLEAR)).select(*COLUMNS)
@@ -35,6 +47,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (5-word shingles, Jaccard of 0.8 or more)."""
+    batches(spark)
     groups = ngram_jaccard.jaccard_components(docs, n=5, num=80, den=100)
     others = written(groups.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
@@ -42,6 +55,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a benchmark item."""
+    batches(spark)
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
     ids = written(found.select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
     return docs.select(*COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
@@ -49,6 +63,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document that is left, checked to decode losslessly."""
+    batches(spark)
     vocabulary = pieces.load_vocabulary(VOCABULARY)
     coded = pieces.encode(docs.select("doc_id", "text", "lang"), vocabulary, lossless_col="lossless", drop_text=True)
     return coded.select("doc_id", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")

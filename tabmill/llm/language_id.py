@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from . import textvec as tv
 from .common import with_fields
 
-ROWS = 48  # training texts per language at most
+ROWS = 32  # training texts per language at most
 CHARS = 1000  # characters of each at most: the sample is bounded by ROWS * CHARS per language
 ALPHABET = 64  # code 0: anything but a letter; 1-47: frequent letters; 48-62: the others, hashed; 63: text border
 DIRECT = 47
