@@ -22,7 +22,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Rows of an Arrow batch between Spark and Python: whole texts are large, so the default of 10,000 rows would hold
 #: tens of MB in the JVM and in every Python worker.
-BATCH_ROWS = "1000"
+BATCH_ROWS = "4000"
 
 
 def batches(spark: SparkSession) -> None:

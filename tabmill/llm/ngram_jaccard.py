@@ -161,16 +161,18 @@ def _buckets(prefixes: DataFrame, num: int, den: int) -> DataFrame:
 
     def pairs(token, size, sig, heavy):
         """All pairs of neighbours within a group whose sizes can reach the threshold."""
-        at = np.arange(len(token))
+        at, left, right = np.arange(len(token)), [], []
         for d in range(1, BUCKET):
             at = at[at + d < len(token)]
             at = at[token[at] == token[at + d]]
             if not len(at):
-                return
+                break
             ok = at[fits(size[at], size[at + d]) & (sig[at] != sig[at + d])]
-            if len(ok):
-                x, y = np.where(sig[ok] < sig[ok + d], ok, ok + d), np.where(sig[ok] < sig[ok + d], ok + d, ok)
-                yield out(0, len(ok), a=sig[x], b=sig[y], size=size[x], size_b=size[y], heavy=heavy[x], heavy_b=heavy[y])
+            left.append(np.where(sig[ok] < sig[ok + d], ok, ok + d))
+            right.append(np.where(sig[ok] < sig[ok + d], ok + d, ok))
+        if left:
+            x, y = np.concatenate(left), np.concatenate(right)
+            yield out(0, len(x), a=sig[x], b=sig[y], size=size[x], size_b=size[y], heavy=heavy[x], heavy_b=heavy[y])
 
     def out(kind, n, **cols):
         names = ["kind", "a", "b", "token", "salt", "size", "size_b", "heavy", "heavy_b"]
