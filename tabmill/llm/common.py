@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 
+ROWS_PER_FILE = 250_000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder (below ``spark.checkpoint.dir``) and read it
     back: later passes restart from the files, also after an executor is lost."""
@@ -58,8 +61,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     one = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
     both = written(one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
+    files = 1 + both.count() // ROWS_PER_FILE  # the rounds are small next to the edges' source: few files each
     labels = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("l"))
-                     .select("node", F.least("node", "l").alias("component")), "labels")
+                     .select("node", F.least("node", "l").alias("component")).coalesce(files), "labels")
     while True:
         near = (both.join(labels.select(F.col("node").alias("y"), "component"), "y")
                 .groupBy(F.col("x").alias("node")).agg(F.min("component").alias("m")))
@@ -67,7 +71,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             "node", F.col("component").alias("before"), F.least("component", "m").alias("l"))
         jump = labels.select(F.col("node").alias("l"), F.col("component").alias("of_label"))
         after = written(lowered.join(jump, "l", "left")
-                        .select("node", "before", F.least("l", "of_label").alias("component")), "labels")
+                        .select("node", "before", F.least("l", "of_label").alias("component")).coalesce(files), "labels")
         moved = after.where("component <> before").limit(1).count()
         labels = after.select("node", "component")
         if not moved:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import bitmap, connected_components, marked, written
+from .common import ROWS_PER_FILE, bitmap, connected_components, marked, written
 
 BUCKET = 48
 TILE = 512
@@ -381,10 +381,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = _prefixes(texts, n, num, den, heavy, counts)
     spread = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "size", "sig", "heavy"])
     buckets = written(_buckets(spread.sortWithinPartitions("token", "salt", "size", "sig"), num, den), "jaccard-buckets")
+    files = 1 + members.count() // ROWS_PER_FILE
     classes = written(members.where("n_shingles > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("size")), "jaccard-classes")
+        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("size")).coalesce(files), "jaccard-classes")
     family = connected_components(_family_edges(buckets, num, den), "x", "y")
-    families = written(family.select(F.col("node").alias("sig"), F.col("component").alias("family")).join(classes, "sig"),
+    families = written(family.select(F.col("node").alias("sig"), F.col("component").alias("family")).join(classes, "sig").coalesce(files),
                        "jaccard-families")
     sets = _wanted(texts, n, bitmap(families, "sig", BITMAP_BITS), bitmap(families.where("class_id is not null"), "class_id", BITMAP_BITS))
     links = written(_block_edges(families.drop("class_id"), sets, num, den), "jaccard-links")
