@@ -2,9 +2,13 @@
 
 A merge-type vocabulary builds pieces bottom up: the agenda holds every adjacent pair that forms a piece
 and always takes the best-scored, leftmost one.  With dropout, the candidate at the head of the agenda is
-skipped when a keyed hash of (seed, variant, left piece, right piece, agenda step) falls below the rate; a
-skipped pair stays out until one of its sides changes.  The variant comes from a hash of the text, so equal
-texts are cut alike and another seed cuts them otherwise.  Rate 0 gives the plain segmentation.
+skipped with the rate's probability, by draws keyed by (seed, hash of the whole text, occurrence in the text); a
+skipped pair stays out until one of its sides changes.  So every occurrence of a word is cut on its own, equal
+texts are cut alike, and another seed cuts them otherwise.  Rate 0 gives the plain segmentation.
+
+A run depends only on which agenda steps are skipped.  Results are kept per chunk and skipped steps, as a tree: a node's
+run skips the steps on its path and no later one, and an occurrence goes down as long as its next skip falls within the run.
+What is kept saves work; it never changes or bounds the segmentations.
 
 Encoding is lossless for any text: characters outside the vocabulary, line breaks and a literal U+2581 become
 byte pieces, spaces become U+2581, and one dummy space leads.  No piece has U+2581 after another character, so
@@ -17,6 +21,7 @@ ids in decoding raise.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 
@@ -30,9 +35,9 @@ from . import textvec as tv
 from .common import with_fields
 
 MARK = "▁"
-VARIANTS = 4
+VARIANTS = 1 << 64  # a text's draws are keyed by its full hash
 SHORT = 48  # chunks up to this many characters are merged in step
-CACHE = 250_000  # distinct chunks a task keeps before it starts anew; it bounds memory only
+CACHE = 250_000  # runs a task keeps before it starts anew; it bounds memory only
 NEVER = np.int32(2**31 - 1)
 _CHUNK = re.compile(" *[^ \n]+| +|\n")
 
@@ -66,7 +71,8 @@ class Coder:
 
     def __init__(self, vocabulary: dict, rate: float, seed: int, variants: int = VARIANTS):
         self.char, self.byte, self.rank, self.n = vocabulary["char"], vocabulary["byte"], vocabulary["rank"], len(vocabulary["raw"])
-        self.limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
+        with np.errstate(divide="ignore"):
+            self.log_kept = np.log1p(-min(rate, 1.0))
         self.rate, self.key = rate, np.uint64(seed * 0xD6E8FEB86659FD93 % (1 << 64))
         self.variants = variants if rate > 0 else 1
         left, right, made = vocabulary["pair"].T
@@ -83,20 +89,21 @@ class Coder:
         self._forget()
 
     def _forget(self):
-        self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
-        self.flat, self.filled = np.zeros(1 << 16, np.int32), 0
-        self.start, self.size, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.known: dict = {}  # node of each chunk without skips; long chunks: of (chunk, key)
+        self.count, self.filled, self.spelt, self.slots = 0, 0, 0, 0
+        self.flat, self.symbol_of, self.rank_of, self.next = (np.zeros(1 << 16, np.int32) for _ in range(4))
+        # of each node: its ids, its symbols, the steps of its run, its slots for later skips, the node above and the step it skips
+        self.start, self.size, self.first_symbol, self.length_of, self.steps, self.slot, self.above, self.skip = (
+            np.zeros(1 << 14, np.int64) for _ in range(8))
 
     def _hash_pairs(self, keys: np.ndarray, made: np.ndarray):
         """Open-addressing table of the pairs: a lookup is a few array gathers."""
-        bits = max(4, int(len(keys) * 4).bit_length())
+        bits = max(4, int(len(keys) * 8).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         self.keys, self.made = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
         at = (tv.mix(keys.view(np.uint64)) & self.mask).astype(np.int64)
         left = np.arange(len(keys))
-        self.probes = 0
         while len(left):
-            self.probes += 1
             slot = at[left]
             free = self.keys[slot] < 0
             self.keys[slot[free]] = keys[left[free]]  # of several for one slot the last stays
@@ -108,23 +115,37 @@ class Coder:
         """Piece made of each pair, -1 if none."""
         keys = left.astype(np.int64) * (1 << 32) + right
         at = (tv.mix(keys.view(np.uint64)) & self.mask).astype(np.int64)
-        out = np.where(self.keys[at] == keys, self.made[at], -1)
-        todo = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] >= 0))
-        for _ in range(self.probes - 1):
-            if not len(todo):
-                break
+        there = self.keys[at]
+        hit = there == keys
+        out = np.where(hit, self.made[at], -1)
+        todo = np.flatnonzero(~hit & (there >= 0))
+        while len(todo):
             at[todo] = (at[todo] + 1) & int(self.mask)
-            hit = self.keys[at[todo]] == keys[todo]
+            there, want = self.keys[at[todo]], keys[todo]
+            hit = there == want
             out[todo[hit]] = self.made[at[todo[hit]]]
-            todo = todo[~hit & (self.keys[at[todo]] >= 0)]
+            todo = todo[~hit & (there >= 0)]
         return out
 
-    def skipped(self, variant, left, right, step: int) -> np.ndarray:
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece made of each pair; ranks name pieces, so the piece is by_rank[rank]."""
+        made = self.joined(left, right)
+        return np.where(made >= 0, self.rank[made], NEVER)
+
+    def gap(self, key, depth: int) -> np.ndarray:
+        """Steps that are kept before the next skip of each key, after ``depth`` skips: a geometric draw."""
+        key = np.asarray(key, np.uint64)
         if self.rate <= 0:
-            return np.zeros(len(left), bool)
-        key = tv.mix(np.asarray(left, np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(right, np.int64).view(np.uint64))
-        key = tv.mix(key ^ tv.mix(np.asarray(variant, np.uint64) + self.key) + np.uint64(step))
-        return key < self.limit
+            return np.full(len(key), int(NEVER), np.int64)
+        u = tv.mix(tv.mix(key + self.key) + np.uint64(depth * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(11)
+        return np.minimum(np.log1p(u * -(2.0**-53)) / self.log_kept, float(NEVER)).astype(np.int64)
+
+    def skips(self, key, steps: int) -> np.ndarray:
+        """The skipped steps below ``steps`` of each key, one row each, filled up with later ones."""
+        out = [self.gap(key, 0)]
+        while (out[-1] < steps).any():
+            out.append(out[-1] + 1 + self.gap(key, len(out)))
+        return np.stack(out, axis=1)
 
     def symbols(self, chunks: list[str]) -> np.ndarray:
         """Ids of the characters of all chunks in a row; those without a piece are numbered above the vocabulary by code point."""
@@ -146,8 +167,8 @@ class Coder:
         ends = np.concatenate(([0], np.cumsum(size)))
         return out, np.diff(total[ends])
 
-    def merge_long(self, symbols, variant: int) -> np.ndarray:
-        """One chunk, the agenda on a heap."""
+    def merge_long(self, symbols, key: int) -> np.ndarray:
+        """One chunk with the draws of ``key``, the agenda on a heap."""
         ids = [int(i) for i in symbols]
         k = len(ids)
         after, before, version = list(range(1, k + 1)), list(range(-1, k - 1)), [0] * k
@@ -157,7 +178,8 @@ class Coder:
             if m >= 0:
                 heap.append((int(self.rank[m]), i, 0, i + 1, 0, int(m)))
         heapq.heapify(heap)
-        step = 0
+        key, step, depth = np.array([key], np.uint64), 0, 0
+        skip = int(self.gap(key, 0)[0])
 
         def push(i):
             j = after[i]
@@ -169,9 +191,10 @@ class Coder:
             _, i, vi, j, vj, m = heapq.heappop(heap)
             if version[i] != vi or version[j] != vj:
                 continue
-            drop = self.skipped([variant], [ids[i]], [ids[j]], step)[0]
             step += 1
-            if drop:
+            if step > skip:
+                depth += 1
+                skip = step + int(self.gap(key, depth)[0])
                 continue
             ids[i] = m
             version[i] += 1
@@ -188,103 +211,164 @@ class Coder:
             i = after[i]
         return np.array(out, np.int32)
 
-    def merge_short(self, symbols: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Chunks of equal length, merged in step: every row takes the head of its own agenda each round.
-        Returns (ids in the first columns of a matrix, number of ids of each row)."""
+    def merge_short(self, symbols: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of equal length with the draws of each one's key.  Returns (ids in the first columns of a matrix, number of ids of each row)."""
         n, k = symbols.shape
-        ids, result, total = symbols.astype(np.int64), np.zeros((n, k), np.int64), np.zeros(n, np.int64)
-        row, length = np.arange(n), np.full(n, k)
-        made = self.joined(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, k - 1)
-        rank = np.where(made >= 0, self.rank[made], NEVER)  # ranks name pieces, so the piece of a pair is by_rank[rank]
-        step, cols = 0, np.arange(k)
-        while len(row):
-            best = np.argmin(rank, axis=1)
-            at = np.arange(len(row))
-            live = rank[at, best] < NEVER
-            if not live.all():
-                result[row[~live]], total[row[~live]] = ids[~live], length[~live]
-                ids, rank, row, length, variant, best = (x[live] for x in (ids, rank, row, length, variant, best))
-                at = np.arange(len(row))
-                if not len(row):
-                    break
-            drop = self.skipped(variant, ids[at, best], ids[at, best + 1], step)
-            rank[at[drop], best[drop]] = NEVER
-            go = np.flatnonzero(~drop)
-            if len(go):
-                b = best[go]
-                new = self.by_rank[rank[go, b]]
-                shift = np.minimum(cols[None, :] + (cols[None, :] > b[:, None]), k - 1)
-                sub = np.take_along_axis(ids[go], shift, axis=1)
-                g = np.arange(len(go))
-                sub[g, b] = new
-                length[go] -= 1
-                pair = np.minimum(cols[None, :-1] + (cols[None, :-1] >= b[:, None]), k - 2)
-                sr = np.take_along_axis(rank[go], pair, axis=1)
-                sr[g, length[go] - 1] = NEVER  # the last symbol has no right neighbour
-                for side in (b - 1, b):
-                    ok = np.flatnonzero((side >= 0) & (side < length[go] - 1))
-                    m = self.joined(sub[ok, side[ok]], sub[ok, side[ok] + 1])
-                    sr[ok, side[ok]] = np.where(m >= 0, self.rank[m], NEVER)
-                ids[go], rank[go] = sub, sr
+        rank = np.full((n, k), NEVER)
+        rank[:, :-1] = self.ranks(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(n, k - 1)
+        ids, size, _ = self.merge_in_step(symbols, rank, np.full(n, k), self.skips(key, 3 * k))
+        out = np.zeros((n, k), np.int64)
+        out[np.arange(k)[None, :] < size[:, None]] = ids
+        return out, size
+
+    def merge_in_step(self, symbols: np.ndarray, rank: np.ndarray, length: np.ndarray, skips: np.ndarray):
+        """Chunks merged in step: every row takes the head of its own agenda each round, and skips it in the rounds given (a row each,
+        ascending).  ``rank`` has the rank of each symbol with the next.  Returns (ids of all rows in a row, number of ids and of steps of each)."""
+        n, k = symbols.shape
+        end = n * k  # stands for no neighbour
+        ids, rank = np.append(symbols.ravel().astype(np.int64), -1), np.append(rank.ravel(), NEVER)
+        agenda = rank[:-1].reshape(n, k)
+        alive = (np.arange(k)[None, :] < length[:, None]).ravel()
+        live = np.arange(n)
+        before, after = np.arange(-1, end), np.arange(1, end + 2)
+        before[live * k], after[live * k + length - 1] = end, end
+        skips = np.concatenate((skips, np.full((n, 1), int(NEVER))), axis=1)
+        steps, due, step = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+        while len(live):
+            i = live * k + np.argmin(agenda[live], axis=1)
+            on = rank[i] < NEVER
+            if not on.all():
+                steps[live[~on]] = step
+                live, i = live[on], i[on]
+            drop = skips[live, due[live]] == step
             step += 1
-        return result, total
+            if drop.any():
+                rank[i[drop]] = NEVER
+                due[live[drop]] += 1
+                i = i[~drop]
+            j, left = after[i], before[i]
+            right = after[j]
+            ids[i] = new = self.by_rank[rank[i]]
+            alive[j], rank[j] = False, NEVER
+            after[i], before[right] = right, i
+            rank[np.concatenate((left, i))] = self.ranks(np.concatenate((ids[left], new)), np.concatenate((new, ids[right])))
+        return ids[:-1][alive], alive.reshape(n, k).sum(axis=1), steps
+
+    def learn(self, first: np.ndarray, length: np.ndarray, skips: np.ndarray, above: np.ndarray, skip: np.ndarray):
+        """Merge chunks, given by their place in ``symbol_of``, with the given skips and store them as the next nodes, in order."""
+        n = len(first)
+        parts, sizes, steps = [], [], np.zeros(n, np.int64)
+        order = np.argsort(length, kind="stable")
+        for at in range(0, n, 4096):
+            part = order[at:at + 4096]
+            cols = np.arange(length[part[-1]])
+            place = first[part][:, None] + np.minimum(cols, length[part][:, None] - 1)  # past its end, a chunk's last symbol, whose rank is NEVER
+            ids, size, steps[part] = self.merge_in_step(self.symbol_of[place], self.rank_of[place], length[part], skips[part])
+            parts.append(ids)
+            sizes.append(size)
+        ids, size = self._spell(np.concatenate(parts), np.concatenate(sizes))
+        at = self._nodes(n)
+        self._store(at + order, ids, size)
+        at = slice(at, at + n)
+        self.first_symbol[at], self.length_of[at], self.steps[at], self.above[at], self.skip[at] = first, length, steps, above, skip
+        self.slot[at] = self.slots + np.cumsum(steps) - steps
+        self.slots += int(steps.sum())
+        self.next = grown(self.next, self.slots)
+
+    def _nodes(self, n: int) -> int:
+        """Number of the first of ``n`` further nodes."""
+        names = ("start", "size", "first_symbol", "length_of", "steps", "slot", "above", "skip")
+        for name in names:
+            setattr(self, name, grown(getattr(self, name), self.count + n))
+        self.count += n
+        return self.count - n
+
+    def _store(self, nodes: np.ndarray, ids: np.ndarray, size: np.ndarray):
+        need = self.filled + len(ids)
+        self.flat = grown(self.flat, need)
+        self.flat[self.filled:need] = ids
+        self.start[nodes] = self.filled + np.cumsum(size) - size
+        self.size[nodes] = size
+        self.filled = need
 
-    def learn(self, chunks: list[str], variant: np.ndarray):
-        """Encode distinct (chunk, variant) pairs and store them under the next numbers, in order."""
+    def _roots(self, chunks: list[str]):
+        """Store the runs without skips of new chunks."""
         length = np.array([len(c) for c in chunks])
         symbols = self.symbols(chunks)
-        first = np.cumsum(length) - length
-        parts, sizes, whose = [], [], []
-        for k in np.unique(length):
-            group = np.flatnonzero(length == k)
-            if k == 1 or k > SHORT:
-                for i in group:
-                    ids = self.merge_long(symbols[first[i]:first[i] + k], int(variant[i]))
-                    parts.append(ids)
-                    sizes.append([len(ids)])
-                    whose.append([i])
-                continue
-            for at in range(0, len(group), 8192):
-                part = group[at:at + 8192]
-                ids, size = self.merge_short(symbols[first[part][:, None] + np.arange(k)], variant[part])
-                parts.append(ids[np.arange(k)[None, :] < size[:, None]])
-                sizes.append(size)
-                whose.append(part)
-        ids, size = self._spell(np.concatenate(parts), np.concatenate(sizes))
-        whose = np.concatenate(whose)
-        need, n = self.filled + len(ids), self.count + len(chunks)
-        if need > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros(need, np.int32)))
-        if n > len(self.size):
-            self.start, self.size = (np.concatenate((x, np.zeros(n, np.int64))) for x in (self.start, self.size))
-        self.flat[self.filled:need] = ids
-        self.start[self.count + whose] = self.filled + np.cumsum(size) - size
-        self.size[self.count + whose] = size
-        self.filled, self.count = need, n
+        need = self.spelt + len(symbols)
+        self.symbol_of, self.rank_of = grown(self.symbol_of, need), grown(self.rank_of, need)
+        self.symbol_of[self.spelt:need] = symbols
+        rank = self.ranks(symbols, np.append(symbols[1:], -1))
+        rank[np.cumsum(length) - 1] = NEVER
+        self.rank_of[self.spelt:need] = rank
+        none = np.full(len(chunks), -1, np.int64)
+        self.learn(self.spelt + np.cumsum(length) - length, length, np.zeros((len(chunks), 0), np.int64), none, none)
+        self.spelt = need
+
+    def _long(self, chunk: str, key: int) -> int:
+        """Node of a long chunk with the draws of ``key``."""
+        at = (chunk, key) if self.rate > 0 else chunk
+        if at not in self.known:
+            merged = self.merge_long(self.symbols([chunk]), key)
+            ids, size = self._spell(merged, np.array([len(merged)]))
+            self.known[at] = self._nodes(1)
+            self._store(np.array([self.known[at]]), ids, size)
+        return self.known[at]
+
+    def _descend(self, node: np.ndarray, key: np.ndarray):
+        """Replace the nodes without skips by those of each occurrence's skips."""
+        at = self.gap(key, 0)
+        live, depth = np.flatnonzero(at < self.steps[node]), 0
+        while len(live):
+            slot = self.slot[node[live]] + at[live]
+            new, some = np.unique(slot[self.next[slot] == 0], return_index=True)  # 0 is no child: the first node is a chunk's own
+            if len(new):
+                some = live[np.flatnonzero(self.next[slot] == 0)[some]]
+                above, skips, up = node[some], [at[some]], node[some]
+                for _ in range(depth):
+                    skips.append(self.skip[up])
+                    up = self.above[up]
+                first = self.count
+                self.learn(self.first_symbol[above], self.length_of[above], np.stack(skips[::-1], axis=1), above, at[some])
+                self.next[new] = np.arange(first, self.count)
+            node[live] = self.next[slot]
+            depth += 1
+            at[live] += 1 + self.gap(key[live], depth)
+            live = live[at[live] < self.steps[node[live]]]
 
     def encode(self, texts: list[str], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
         if self.count > CACHE:
             self._forget()
-        refs, words, new, of = [], [0], [], []
-        n = self.count
-        for t, v in zip(texts, variants):
-            known = self.known[v]
-            get = known.get
+        refs, words, new, long = [], [0], [], []
+        n, known = self.count, self.known
+        get = known.get
+        for t in texts:
             for w in _CHUNK.findall(" " + t) if t else ():
                 i = get(w)
                 if i is None:
-                    i = known[w] = n
-                    n += 1
-                    new.append(w)
-                    of.append(v)
+                    if len(w) > SHORT:
+                        long.append((len(refs), w))
+                        i = 0
+                    else:
+                        i = known[w] = n
+                        n += 1
+                        new.append(w)
                 refs.append(i)
             words.append(len(refs))
         if new:
-            self.learn(new, np.array(of, np.uint64))
-        refs = np.array(refs, np.int64)
-        total = np.concatenate(([0], np.cumsum(self.size[refs])))
-        return gather(self.flat, self.start[refs], self.size[refs]), np.diff(total[words])
+            self._roots(new)
+        node, count = np.array(refs, np.int64), np.diff(words)
+        # the key of an occurrence: its text's key and its number in the text
+        nth = np.arange(len(node)) - np.repeat(np.array(words[:-1]), count)
+        key = tv.mix(np.repeat(np.array(variants, np.uint64), count) + nth.astype(np.uint64) * np.uint64(tv._SALTS[0]))
+        if long:
+            at = np.array([i for i, _ in long])
+            node[at] = [self._long(w, int(key[i])) for i, w in long]
+        if self.rate > 0 and self.count:
+            self._descend(node, key)
+        total = np.concatenate(([0], np.cumsum(self.size[node])))
+        return gather(self.flat, self.start[node], self.size[node]), np.diff(total[words])
 
     def decode(self, ids: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(UTF-8 bytes of all texts in a row, bytes of each); the dummy space of each text is dropped."""
@@ -299,6 +383,11 @@ class Coder:
         return data[keep].tobytes(), np.diff(total)
 
 
+def grown(values: np.ndarray, n: int) -> np.ndarray:
+    """``values`` with room for ``n`` at least, new ones 0."""
+    return values if n <= len(values) else np.concatenate((values, np.zeros(n, values.dtype)))
+
+
 def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Concatenate the runs ``values[start : start + size]``."""
     end = np.cumsum(size)
@@ -308,12 +397,8 @@ def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
 
 
 def variant_of(texts: list[str], variants: int) -> list[int]:
-    """Variant of each text from a hash of its bytes."""
-    out = []
-    for t in texts:
-        b = np.frombuffer(t.encode("utf-8", "replace"), np.uint8)
-        out.append(int(tv.mix(np.array([int(b.sum(dtype=np.uint64)) * 31 + len(t)], np.uint64))[0] % variants))
-    return out
+    """Key of each text: a hash of all its bytes."""
+    return [int.from_bytes(hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), "little") % variants for t in texts]
 
 
 def encode(docs: DataFrame, vocabulary: dict, text_col: str = "text", ids_col: str = "ids", rate: float = 0.1,

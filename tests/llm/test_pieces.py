@@ -68,3 +68,38 @@ def test_query_is_lossless(spark):
     rows = op5_sentencepiece(spark, SF_SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert all(r.lossless and r.n_pieces == len(r.ids) for r in rows)
+
+
+def test_every_occurrence_and_text_has_its_own_draws(vocabulary):
+    word = " internationalization"
+    coder = p.Coder(vocabulary, 0.3, 5)
+    cuts = lambda t: coder.encode([t], p.variant_of([t], coder.variants))[0]
+    head = lambda ids: tuple(ids[np.cumsum(coder.length[ids]) <= len(word)])
+    assert len({head(cuts(f"{word[1:]} {i}")) for i in range(100)}) > 8  # one place, many texts
+    text = word[1:] + word * 299
+    one, s, seen = cuts(text).tolist(), coder.symbols([word]), set()
+    for nth in range(300):
+        at = p.tv.mix(np.array([(p.variant_of([text], coder.variants)[0] + nth * p.tv._SALTS[0]) % (1 << 64)], np.uint64))
+        want = coder.merge_long(s, int(at[0])).tolist()
+        assert one[:len(want)] == want
+        seen.add(tuple(want))
+        one = one[len(want):]
+    assert one == [] and len(seen) > 8
+
+
+def test_what_is_kept_never_changes_a_segmentation(spark, vocabulary, monkeypatch):
+    t = texts(spark) + ["x" * 60 + " a", "x" * 60 + " a"]
+    coder = p.Coder(vocabulary, 0.2, 3)
+    keys = p.variant_of(t, coder.variants)
+    want = split(*coder.encode(t, keys))
+    assert split(*coder.encode(t, keys)) == want and want[-1] == want[-2]
+    monkeypatch.setattr(p, "CACHE", 0)
+    coder = p.Coder(vocabulary, 0.2, 3)
+    assert [split(*coder.encode([x], [k]))[0] for x, k in zip(t, keys)] == want
+
+
+def test_rate_of_skips(vocabulary):
+    coder = p.Coder(vocabulary, 0.1, 1)
+    gaps = coder.gap(np.arange(100_000, dtype=np.uint64), 0)
+    assert abs((gaps == 0).mean() - 0.1) < 0.005 and abs((gaps < 6).mean() - (1 - 0.9**6)) < 0.01
+    assert (p.Coder(vocabulary, 1.0, 1).gap(np.arange(9, dtype=np.uint64), 0) == 0).all()
