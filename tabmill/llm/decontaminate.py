@@ -80,13 +80,13 @@ def _seed_hash(words: list[np.ndarray], n: int) -> np.ndarray:
 
 
 def seeds(items: DataFrame, counts: DataFrame, n: int = N, rare: float = RARE) -> DataFrame:
-    """(item_id, seed): the rarest n-grams of each item by the product of their word frequencies."""
-    place = items.select("item_id", F.size("words").alias("m"), F.posexplode("words").alias("pos", "word"))
+    """(item, seed): the rarest n-grams of each item by the product of their word frequencies; ``items`` has one row an item."""
+    place = items.select("item", F.size("words").alias("m"), F.posexplode("words").alias("pos", "word"))
     rarity = place.join(counts, "word", "left").select(
-        "item_id", "m", "pos", "word", F.log(F.coalesce("n", F.lit(0)) + 1.0).alias("lf"))
-    order = Window.partitionBy("item_id").orderBy("pos")
+        "item", "m", "pos", "word", F.log(F.coalesce("n", F.lit(0)) + 1.0).alias("lf"))
+    order = Window.partitionBy("item").orderBy("pos")
     ahead = [F.lead("word", j).over(order).alias(f"w{j}") for j in range(n)]
-    grams = rarity.select("item_id", "m", "pos", "lf", *ahead, F.sum("lf").over(order.rowsBetween(0, n - 1)).alias("common"))
+    grams = rarity.select("item", "m", "pos", "lf", *ahead, F.sum("lf").over(order.rowsBetween(0, n - 1)).alias("common"))
     grams = grams.where((F.col("pos") + n <= F.col("m")) | ((F.col("m") < n) & (F.col("pos") == 0)))
 
     def run(batches):
@@ -101,12 +101,12 @@ def seeds(items: DataFrame, counts: DataFrame, n: int = N, rare: float = RARE) -
                     for j in range(k):
                         s += w[j][short] * np.uint64(tv._SALTS[j])
                     h[short] = tv.mix(s + np.uint64(k))
-            yield pa.record_batch([batch.column("item_id"), batch.column("share"), pa.array(tv.signed(h))],
-                                  names=["item_id", "share", "seed"])
+            yield pa.record_batch([batch.column("item"), batch.column("share"), pa.array(tv.signed(h))],
+                                  names=["item", "share", "seed"])
 
-    share = F.percent_rank().over(Window.partitionBy("item_id").orderBy("common"))
-    return (grams.withColumn("share", share).where(F.col("share") <= rare).mapInArrow(run, "item_id long, share double, seed long")
-            .select("item_id", "seed").distinct())
+    share = F.percent_rank().over(Window.partitionBy("item").orderBy("common"))
+    return (grams.withColumn("share", share).where(F.col("share") <= rare).mapInArrow(run, "item long, share double, seed long")
+            .select("item", "seed").distinct())
 
 
 def stretches(docs: DataFrame, bits: np.ndarray, reach: int, n: int = N) -> DataFrame:
@@ -166,24 +166,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of every document passage that aligns with an item at ``threshold`` or more."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = written(item_words(benchmark, item_col, item_text_col), "items")
+    # an item is a word list, whatever ids its rows have: repeated and null ids are met again in ``names`` only
+    named = written(item_words(benchmark, item_col, item_text_col).withColumn("item", F.xxhash64("words")), "items")
+    names = named.select("item", "item_id").distinct()
+    items = written(named.select("item", "words").dropDuplicates(["item"]), "distinct-items")
     words = items.select(F.explode("words").alias("word"))
     counts = word_counts(texts, bitmap(words, "word", BITS))
     rare = written(seeds(items, counts), "seeds")
     reach = items.agg(F.max(F.size("words"))).first()[0] or 0
     found = written(stretches(texts, bitmap(rare, "seed", BITS), reach).withColumn("uid", F.xxhash64("doc_id", "start", "words")), "stretches")
     need = F.least(F.lit(2), F.col("of_item"))
-    size = rare.groupBy("item_id").agg(F.count("*").alias("of_item"))
-    pairs = (found.select("uid", F.explode("hits").alias("seed")).distinct().join(rare, "seed").groupBy("uid", "item_id")
-             .agg(F.count("*").alias("met")).join(size, "item_id").where(F.col("met") >= need).select("uid", "item_id"))
+    size = rare.groupBy("item").agg(F.count("*").alias("of_item"))
+    pairs = (found.select("uid", F.explode("hits").alias("seed")).distinct().join(rare, "seed").groupBy("uid", "item")
+             .agg(F.count("*").alias("met")).join(size, "item").where(F.col("met") >= need).select("uid", "item"))
     stretch = found.dropDuplicates(["uid"]).select("uid", "doc_id", "start", F.col("words").alias("text_words"))
-    both = pairs.join(items, "item_id").join(stretch, "uid").select("doc_id", "item_id", "start", "words", "text_words")
+    both = pairs.join(items, "item").join(stretch, "uid").select("doc_id", "item", "start", "words", "text_words")
 
     def run(batches):
-        names = ["doc_id", "item_id", "score", "first_word", "last_word"]
+        fields = ["doc_id", "item", "score", "first_word", "last_word"]
         for batch in batches:
             rows = []
-            doc, of, start, item, text = (batch.column(c) for c in ("doc_id", "item_id", "start", "words", "text_words"))
+            doc, of, start, item, text = (batch.column(c) for c in ("doc_id", "item", "start", "words", "text_words"))
             for i in range(batch.num_rows):
                 a, b = item[i].values.to_numpy(), text[i].values.to_numpy()
                 best, end = align(a, b)
@@ -192,9 +195,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     rows.append((doc[i].as_py(), of[i].as_py(), round(best / (MATCH * len(a)), 6), start[i].as_py() + end - back,
                                  start[i].as_py() + end - 1))
             types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=fields)
 
-    matches = both.mapInArrow(run, "doc_id long, item_id long, score double, first_word long, last_word long")
+    matches = both.mapInArrow(run, "doc_id long, item long, score double, first_word long, last_word long")
     best = F.struct("score", -F.col("first_word"), "last_word")
-    return (matches.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
+    return (matches.join(names, "item").groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
             .select("doc_id", "item_id", "b.score", (-F.col("b.col2")).alias("first_word"), "b.last_word"))

@@ -68,6 +68,15 @@ def test_contaminated_copies(spark):
     assert d.contaminated(df.limit(0), bench).count() == 0 and d.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_repeated_and_null_item_rows(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    docs = spark.createDataFrame([(1, one), (2, "x " + two), (3, three + " y"), (None, one)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, one), (1, one), (2, one), (2, two), (None, two), (None, three), (None, None)], "item_id long, text string")
+    got = d.contaminated(docs, bench).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=repr) == sorted([(1, 1), (1, 2), (None, 1), (None, 2), (2, 2), (2, None), (3, None)], key=repr)
+    assert all(r.score == 1.0 for r in got)
+
+
 def test_documents_with_benchmark_passages(spark):
     docs, bench = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {}
