@@ -38,6 +38,16 @@ FURNITURE = frozenset("ad ads advert adverts advertisement advertising adsense a
                       "feedback footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification "
                       "outbrain pager pagination paywall popup promo promoted promotion recommended related replies reply respond responses search share "
                       "sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toc toolbar topbar widget widgets".split())
+# Words that name a thing together with one of those: "comment-list", "site-footer".  With any other part ("has-sidebar",
+# "cookies-not-set") a class says something about the page, not what the element is.
+PARTS = frozenset("area aside bar block blocks body bottom box btn button buttons card cards column container content div element fixed form global group "
+                  "head header heading holder icon icons inline inner item items label left link links list main message module outer overlay page "
+                  "panel post posts primary region right row secondary section site slot sticky sub text thread title top ui unit wrap wrapper".split())
+# Furniture that keeps what it holds, articles included.
+FIRM_TAGS = frozenset("nav aside footer dialog".split())
+FIRM = frozenset("comment comments commentlist discussion disqus outbrain recommended related replies reply respond responses sponsored taboola".split())
+# Elements that hold the article; words in their attributes do not make them furniture.
+HOLDERS = frozenset("html body main article".split())
 ARTICLE = frozenset("article articlebody blogpost content entry main maincontent post postbody postcontent story storybody".split())
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
@@ -123,32 +133,35 @@ def decide(tree, row) -> int:
     return tree
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(furniture, article) by element name and attributes."""
-    furniture, article = tag in FURNITURE_TAGS, tag in ("article", "main")
-    if attributes:
-        for m in ATTRIBUTE.finditer(attributes):
-            name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
-            if name == "style":
-                furniture |= "display:none" in value.replace(" ", "").lower()
-            elif name == "hidden":
-                furniture = True
-            elif name == "aria-hidden":
-                furniture |= value.lower() == "true"
-            else:
-                words = WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-                furniture |= not FURNITURE.isdisjoint(words)
+def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """(furniture, article, header, firm) by element name and attributes; firm furniture keeps the articles in it."""
+    furniture, article, header, firm = tag in FURNITURE_TAGS, tag in ("article", "main"), tag == "header", tag in FIRM_TAGS
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
+        if name in ("style", "hidden", "aria-hidden"):
+            if name == "hidden" or (value.lower() == "true" if name == "aria-hidden" else "display:none" in value.replace(" ", "").lower()):
+                furniture = firm = True
+            continue
+        for token in value.split():
+            words = set(WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+            found = words & FURNITURE
+            whole = all(w in FURNITURE or w in PARTS or w.isdigit() for w in words)
+            header |= whole and "header" in words
+            if not found:
                 article |= not ARTICLE.isdisjoint(words)
-    return furniture, article and not furniture
+            elif whole and tag not in HOLDERS:
+                furniture = True
+                firm |= not FIRM.isdisjoint(found)
+    return furniture, article and not furniture, header, firm
 
 
 def blocks(page: str) -> list[dict]:
     """Flat text blocks in page order: text, words, words inside links, and where the block stands."""
     out: list[dict] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # container, and whether it lies in furniture, an article, a header
+    stack: list[tuple[str, bool, bool, bool, bool]] = []  # container, and whether it lies in furniture, an article, a header, firm furniture
     parts: list[str] = []
     linked, in_link, heading = 0, 0, False
-    furniture = article = header = False
+    furniture = article = header = firm = False
 
     def close():
         nonlocal parts, linked, heading
@@ -207,24 +220,27 @@ def blocks(page: str) -> list[dict]:
                 if stack and stack[-1][0] in ended:
                     while stack and stack[-1][0] in ended:
                         stack.pop()
-                    furniture, article, header = stack[-1][1:] if stack else (False, False, False)
+                    furniture, article, header, firm = stack[-1][1:] if stack else (False, False, False, False)
             if tag in CONTAINERS:
                 if closing:
                     k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                     if k is not None:
                         del stack[k:]
-                    furniture, article, header = stack[-1][1:] if stack else (False, False, False)
+                    furniture, article, header, firm = stack[-1][1:] if stack else (False, False, False, False)
                 elif not attributes.endswith("/"):
-                    f, a = _marks(tag, attributes)
-                    furniture, article = furniture or f, (article or a)
-                    header = header or (tag == "header" or "header" in WORDS.findall(attributes.lower()))
-                    stack.append((tag, furniture, article, header))
+                    f, a, top, hard = _marks(tag, attributes)
+                    firm = firm or hard
+                    if tag in ("article", "main") and not firm:  # ends furniture such as a wrapper with a sidebar's class
+                        furniture = False
+                    furniture, article, header = furniture or f, article or a, header or top
+                    stack.append((tag, furniture, article, header, firm))
             elif not closing and attributes and _marks(tag, attributes)[0]:
-                stack.append((tag, True, article, header))
+                firm = firm or _marks(tag, attributes)[3]
+                stack.append((tag, True, article, header, firm))
                 furniture = True
             elif closing and stack and stack[-1][0] == tag:
                 stack.pop()
-                furniture, article, header = stack[-1][1:] if stack else (False, False, False)
+                furniture, article, header, firm = stack[-1][1:] if stack else (False, False, False, False)
     if not skipping and at < len(page):
         say(page[at:])
     close()

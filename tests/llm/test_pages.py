@@ -84,6 +84,24 @@ def test_page_without_article():
     assert h.extract(page, tree) == f"{body}\nShort one.\n{body}"
 
 
+@pytest.mark.parametrize("head, tail", [
+    ('<body class="single right-sidebar">', ""), ('<html class="no-js cookies-not-set"><body class="cookies-not-set has-comments">', ""),
+    ('<body><div id="page" class="has-sidebar with-comments no-ads has-header">', "</div>"), ('<body><div class="sidebar">', "</div>"),
+    ('<body class="widget"><form id="aspnetForm"><div class="right-sidebar">', "</div></form>")])
+def test_classes_of_holders_do_not_empty_a_page(head, tail):
+    tree = h.grow_tree(h.LABELLED)
+    inner = '<h1>Title</h1><p>One two three.</p><div class="share-buttons">Share</div><div class="comment-list"><article><p>Nice one</p></article></div>'
+    page = f'{head}<nav>Home</nav><article class="post has-comments">{inner}</article><aside><article>Other</article></aside>{tail}<footer>Foot</footer>'
+    assert h.extract(page, tree) == "Title\nOne two three."
+    assert h.extract(page.replace("<article class", "<main class").replace("three.</p>", "three.</p><article>", 1), tree) == "Title\nOne two three."
+
+
+def test_wrapper_classes_of_a_page_without_article():
+    body = " ".join(["word"] * 60)
+    page = f'<body class="has-sidebar"><div class="page-with-sidebar no-comments"><p>{body}</p><p>{body}</p></div><div class="site-footer">{body}</div>'
+    assert h.extract(page, h.grow_tree(h.LABELLED)) == f"{body}\n{body}"
+
+
 def test_unclosed_blocks_end_where_the_next_begins():
     page = "<article><p>One two three.<p class=ad>Buy it<p>Four five.<ul><li class=ad>x y<li>Six seven</ul><p class='notice'>n<h2>Head</h2></article>"
     assert h.extract(page, h.grow_tree(h.LABELLED)) == "One two three.\nFour five.\nSix seven\nHead"
