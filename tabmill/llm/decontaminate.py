@@ -1,15 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment.
 
-Seeds are the benchmark's word n-grams that are rarest by chance: of each item, the ``RARE`` share of n-grams with the lowest
-product of word frequencies, the frequencies counted over all documents.  (A widely copied item keeps its seeds, since
-copies hardly change the frequency of single words.)  Documents are scanned once; stretches around seed hits are joined to the items that hold the seed, and
-item and stretch are aligned locally over their words.  ``score`` is the best alignment score over that of an exact copy, so edited and
-reordered copies score by what they keep.
+``score`` is the best local alignment score of item and document over that of an exact copy, so edited and reordered copies score by what they keep.
 
-Fixed-size bitmaps of words and seeds go to the scanning tasks; the items themselves are joined by Spark.
+The seeds follow from the threshold t.  With M matched words and E edits, 2 M - E >= 2 t m for an item of m words.  An edit cost of
+2 or more lies between at most E / 2 of the M - 1 neighbouring matches, so at least t m - 1 of them are at most two words apart in item and
+document alike.  Seeds are the ordered word pairs at distance one and two; a pair counts at its left word's place.  Of the m - 1 left places
+the commonest ``1 - RARE`` are left out, by word frequencies over all documents, and as many hits fewer are required.  (A widely copied item keeps its seeds, since copies
+hardly change the frequency of single words.)  An alignment spans at most (3 - 2 t) m words, so the hits are counted within
+that reach; no document that the score accepts is missed.
 
-Defined cases: words are runs of letters and digits, lower-cased; null and empty documents or items match nothing; items with fewer than ``n``
-words have one seed, their whole sequence; equal items are all reported; repeated rows are reported once per
+Fixed-size bitmaps of words, seeds and candidate texts go to the scanning tasks; the items themselves are joined by Spark.
+
+Defined cases: words are runs of letters and digits, lower-cased; null and empty documents or items match nothing; items of one word are found
+in texts of that word, items of two words only where both are; equal items are all reported; repeated rows are reported once per
 (doc_id, item_id) with the best score; null ids are carried as ids; empty tables give an empty result.
 """
 
@@ -24,7 +27,6 @@ from pyspark.sql import functions as F
 from . import textvec as tv
 from .common import bitmap, marked, written
 
-N = 3
 RARE = 0.7
 THRESHOLD = 0.45
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -72,79 +74,69 @@ def word_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _seed_hash(words: list[np.ndarray], n: int) -> np.ndarray:
-    h = np.zeros(len(words[0]), np.uint64)
-    for j in range(n):
-        h += words[j] * np.uint64(tv._SALTS[j])
-    return tv.mix(h + np.uint64(n))
+def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return tv.mix(left * np.uint64(tv._SALTS[0]) + right * np.uint64(tv._SALTS[1]) + np.uint64(2))
 
 
-def seeds(items: DataFrame, counts: DataFrame, n: int = N, rare: float = RARE) -> DataFrame:
-    """(item, seed): the rarest n-grams of each item by the product of their word frequencies; ``items`` has one row an item."""
-    place = items.select("item", F.size("words").alias("m"), F.posexplode("words").alias("pos", "word"))
-    rarity = place.join(counts, "word", "left").select(
-        "item", "m", "pos", "word", F.log(F.coalesce("n", F.lit(0)) + 1.0).alias("lf"))
-    order = Window.partitionBy("item").orderBy("pos")
-    ahead = [F.lead("word", j).over(order).alias(f"w{j}") for j in range(n)]
-    grams = rarity.select("item", "m", "pos", "lf", *ahead, F.sum("lf").over(order.rowsBetween(0, n - 1)).alias("common"))
-    grams = grams.where((F.col("pos") + n <= F.col("m")) | ((F.col("m") < n) & (F.col("pos") == 0)))
+def seeds(items: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, rare: float = RARE) -> DataFrame:
+    """(item, need, left, seed): the word pairs of each item at its rarest left places, and how many of these places a copy must meet;
+    ``items`` has one row an item."""
+    place = items.select("item", F.size("words").alias("m"), F.posexplode("words").alias("left", "w0"))
+    rarity = place.join(counts.withColumnRenamed("word", "w0"), "w0", "left").withColumn("lf", F.log(F.coalesce("n", F.lit(0)) + 1.0))
+    order = Window.partitionBy("item").orderBy("left")
+    pairs = rarity.select("item", "m", "left", "w0", F.lead("w0", 1).over(order).alias("w1"), F.lead("w0", 2).over(order).alias("w2"),
+                          (F.col("lf") + F.greatest(F.lead("lf", 1, 0.0).over(order), F.lead("lf", 2, 0.0).over(order))).alias("common"))
+    met = F.greatest(F.lit(1), F.ceil(threshold * F.col("m") - 1 - 1e-9))  # left places that a copy meets at least
+    spare = F.least(F.floor((1 - rare) * (F.col("m") - 1) + 1e-9), met - 1)
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("common", "left"))
+    kept = (pairs.where((F.col("w1").isNotNull()) | (F.col("m") == 1)).withColumn("rank", rank)
+            .where(F.col("rank") <= F.greatest(F.lit(1), F.col("m") - 1 - spare)).select("item", (met - spare).cast("long").alias("need"), "left", "w0", "w1", "w2"))
 
     def run(batches):
         for batch in batches:
-            w = [batch.column(f"w{j}").fill_null(0).to_numpy().view(np.uint64) for j in range(n)]
-            m = batch.column("m").to_numpy()
-            h = _seed_hash(w, n)
-            for k in range(1, n):  # items of fewer words: as textvec's short shingles
-                short = np.flatnonzero(m == k)
-                if len(short):
-                    s = np.zeros(len(short), np.uint64)
-                    for j in range(k):
-                        s += w[j][short] * np.uint64(tv._SALTS[j])
-                    h[short] = tv.mix(s + np.uint64(k))
-            yield pa.record_batch([batch.column("item"), batch.column("share"), pa.array(tv.signed(h))],
-                                  names=["item", "share", "seed"])
-
-    share = F.percent_rank().over(Window.partitionBy("item").orderBy("common"))
-    return (grams.withColumn("share", share).where(F.col("share") <= rare).mapInArrow(run, "item long, share double, seed long")
-            .select("item", "seed").distinct())
-
-
-def stretches(docs: DataFrame, bits: np.ndarray, reach: int, n: int = N) -> DataFrame:
-    """(doc_id, start, words, hits): stretches of documents around seed hits; hits closer than ``reach`` words share one."""
+            w0, w1, w2 = (batch.column(f"w{j}").fill_null(0).to_numpy().view(np.uint64) for j in range(3))
+            one = batch.column("w1").is_null().to_numpy(zero_copy_only=False)
+            near = np.where(one, tv.mix(w0 * np.uint64(tv._SALTS[0]) + np.uint64(1)), _pair_hash(w0, w1))  # one word: as textvec's short shingles
+            far = batch.column("w2").is_valid().to_numpy(zero_copy_only=False)
+            part = pa.concat_tables([pa.table(batch.select(["item", "need", "left"]).columns, names=["item", "need", "left"])] * 2).combine_chunks()
+            both = part.append_column("seed", pa.array(tv.signed(np.concatenate((near, _pair_hash(w0, w2))))))
+            yield from both.filter(pa.array(np.concatenate((np.ones(len(far), bool), far)))).to_batches()
+
+    return kept.mapInArrow(run, "item long, need long, left int, seed long").distinct()
+
+
+def seed_hits(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(uid, pos, seed): where texts have seeds."""
 
     def run(batches):
         for batch in batches:
-            ids, starts, texts, hits = [], [], [], []
+            uid = batch.column(0).to_numpy()
             for first, words in _slices(batch, "text"):
-                h, doc = words.shingles(n)
-                hit = np.flatnonzero(marked(bits, h))
-                if not len(hit):
-                    continue
-                # position of every shingle within its text
+                near, doc = words.shingles(2)
                 per = np.bincount(doc, minlength=words.n)
-                pos = np.arange(len(h)) - np.repeat(np.cumsum(per) - per, per)
-                d, p, s = doc[hit], pos[hit], tv.signed(h[hit])
-                cut = np.flatnonzero((d[1:] != d[:-1]) | (p[1:] - p[:-1] > reach)) + 1
-                for a, b in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(d)]))):
-                    lo = max(0, int(p[a]) - reach)
-                    hi = min(int(words.count[d[a]]), int(p[b - 1]) + n + reach)
-                    at = int(words.first[d[a]])
-                    ids.append(batch.column(0)[first + int(d[a])].as_py())
-                    starts.append(lo)
-                    texts.append(tv.signed(words.hash[at + lo:at + hi]))
-                    hits.append(np.unique(s[a:b]))
-                if len(ids) > 2000:
-                    yield emit(ids, starts, texts, hits)
-                    ids, starts, texts, hits = [], [], [], []
-            if ids:
-                yield emit(ids, starts, texts, hits)
-
-    def emit(ids, starts, texts, hits):
-        longs = pa.list_(pa.int64())
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(texts, longs), pa.array(hits, longs)],
-                               names=["doc_id", "start", "words", "hits"])
-
-    return docs.mapInArrow(run, "doc_id long, start long, words array<long>, hits array<long>")
+                pos = np.arange(len(near)) - np.repeat(np.cumsum(per) - per, per)
+                ok = np.flatnonzero(words.doc[:-2] == words.doc[2:]) if len(words.doc) > 2 else np.zeros(0, np.int64)
+                far = _pair_hash(words.hash[ok], words.hash[ok + 2])
+                h = np.concatenate((near, far))
+                d, p = np.concatenate((doc, words.doc[ok])), np.concatenate((pos, ok - words.first[words.doc[ok]]))
+                hit = np.flatnonzero(marked(bits, h))
+                yield pa.record_batch([pa.array(uid[first + d[hit]]), pa.array(p[hit]), pa.array(tv.signed(h[hit]))], names=["uid", "pos", "seed"])
+
+    return texts.select("uid", "text").mapInArrow(run, "uid long, pos long, seed long")
+
+
+def words_of(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(uid, doc_id, words) of the texts marked in ``bits``."""
+
+    def run(batches):
+        for batch in batches:
+            some = batch.filter(pa.array(marked(bits, batch.column("uid").to_numpy().view(np.uint64))))
+            for first, words in _slices(some, "text"):
+                part = some.slice(first, words.n)
+                lists = pa.ListArray.from_arrays(pa.array(words.first.astype(np.int32)), pa.array(tv.signed(words.hash)))
+                yield pa.record_batch([part.column("uid"), part.column("doc_id"), lists], names=["uid", "doc_id", "words"])
+
+    return texts.select("uid", "doc_id", "text").mapInArrow(run, "uid long, doc_id long, words array<long>")
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -166,27 +158,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of every document passage that aligns with an item at ``threshold`` or more."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.where("text is not null").withColumn("uid", F.xxhash64("text"))
     # an item is a word list, whatever ids its rows have: repeated and null ids are met again in ``names`` only
     named = written(item_words(benchmark, item_col, item_text_col).withColumn("item", F.xxhash64("words")), "items")
     names = named.select("item", "item_id").distinct()
     items = written(named.select("item", "words").dropDuplicates(["item"]), "distinct-items")
     words = items.select(F.explode("words").alias("word"))
-    counts = word_counts(texts, bitmap(words, "word", BITS))
-    rare = written(seeds(items, counts), "seeds")
-    reach = items.agg(F.max(F.size("words"))).first()[0] or 0
-    found = written(stretches(texts, bitmap(rare, "seed", BITS), reach).withColumn("uid", F.xxhash64("doc_id", "start", "words")), "stretches")
-    need = F.least(F.lit(2), F.col("of_item"))
-    size = rare.groupBy("item").agg(F.count("*").alias("of_item"))
-    pairs = (found.select("uid", F.explode("hits").alias("seed")).distinct().join(rare, "seed").groupBy("uid", "item")
-             .agg(F.count("*").alias("met")).join(size, "item").where(F.col("met") >= need).select("uid", "item"))
-    stretch = found.dropDuplicates(["uid"]).select("uid", "doc_id", "start", F.col("words").alias("text_words"))
-    both = pairs.join(items, "item").join(stretch, "uid").select("doc_id", "item", "start", "words", "text_words")
+    counts = word_counts(texts.select("text"), bitmap(words, "word", BITS))
+    rare = written(seeds(items, counts, threshold), "seeds")
+    reach = int((3 - 2 * threshold) * (items.agg(F.max(F.size("words"))).first()[0] or 0)) + 1
+    hits = seed_hits(texts, bitmap(rare, "seed", BITS)).distinct().join(rare, "seed").select("uid", "item", "need", "pos", "left")
+    near = Window.partitionBy("uid", "item").orderBy("pos").rangeBetween(0, reach)
+    pairs = written(hits.withColumn("met", F.size(F.collect_set("left").over(near))).where(F.col("met") >= F.col("need")).groupBy("uid", "item")
+                    .agg(F.min("pos").alias("low"), F.max("pos").alias("high")), "pairs")
+    found = written(words_of(texts, bitmap(pairs, "uid", BITS)), "candidates")
+    start = F.greatest(F.lit(0), F.col("low") - reach)
+    both = (pairs.join(items, "item").join(found.dropDuplicates(["uid"]).select("uid", F.col("words").alias("all")), "uid")
+            .select("uid", "item", start.alias("start"), "words",
+                    F.slice("all", (start + 1).cast("int"), (F.col("high") + 2 * reach + 2 - start).cast("int")).alias("text_words")))
 
     def run(batches):
-        fields = ["doc_id", "item", "score", "first_word", "last_word"]
+        fields = ["uid", "item", "score", "first_word", "last_word"]
         for batch in batches:
             rows = []
-            doc, of, start, item, text = (batch.column(c) for c in ("doc_id", "item", "start", "words", "text_words"))
+            doc, of, start, item, text = (batch.column(c) for c in ("uid", "item", "start", "words", "text_words"))
             for i in range(batch.num_rows):
                 a, b = item[i].values.to_numpy(), text[i].values.to_numpy()
                 best, end = align(a, b)
@@ -197,7 +192,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=fields)
 
-    matches = both.mapInArrow(run, "doc_id long, item long, score double, first_word long, last_word long")
+    matches = both.mapInArrow(run, "uid long, item long, score double, first_word long, last_word long")
     best = F.struct("score", -F.col("first_word"), "last_word")
-    return (matches.join(names, "item").groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
+    ids = found.select("uid", "doc_id").distinct()
+    return (matches.join(names, "item").join(ids, "uid").groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
             .select("doc_id", "item_id", "b.score", (-F.col("b.col2")).alias("first_word"), "b.last_word"))

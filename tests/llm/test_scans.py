@@ -77,6 +77,27 @@ def test_repeated_and_null_item_rows(spark):
     assert all(r.score == 1.0 for r in got)
 
 
+def test_edited_copies_are_found_as_by_aligning_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    common = [f"c{i}" for i in range(30)]
+    items = {m: [f"r{m}x{i}" if rng.random() < 0.6 else str(rng.choice(common)) for i in range(m)] for m in (3, 5, 8, 15, 20, 30, 59)}
+    docs = [" ".join(rng.choice(common, 400)) for _ in range(10)]
+    for w in items.values():
+        for step in (2, 3, 4, 5):
+            for shift in range(step):
+                changed = [f"z{i}" if i % step == shift else x for i, x in enumerate(w)]
+                longer = [y for i, x in enumerate(w) for y in ([x, f"y{i}"] if i % step == shift else [x])]
+                shorter = [x for i, x in enumerate(w) if i % step != shift]
+                docs += [" ".join([*rng.choice(common, 150), *x, *rng.choice(common, 150)]) for x in (changed, longer, shorter)]
+    names = {x: i for i, x in enumerate(sorted({x for t in docs for x in t.split()} | {x for w in items.values() for x in w}))}
+    code = lambda w: np.array([names[x] for x in w])
+    want = {(i, m): round(s / (d.MATCH * m), 6) for i, t in enumerate(docs) for m, w in items.items()
+            if (s := d.align(code(w), code(t.split()))[0]) >= d.THRESHOLD * d.MATCH * m}
+    bench = spark.createDataFrame([(m, " ".join(w)) for m, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in d.contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench).collect()}
+    assert len(want) > 150 and got == want
+
+
 def test_documents_with_benchmark_passages(spark):
     docs, bench = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "benchmark"))
     grams = {}
