@@ -13,12 +13,12 @@ from ..session import scratch_path
 ROWS_PER_FILE = 250_000
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` once to the shared scratch folder (below ``spark.checkpoint.dir``) and read it
-    back: later passes restart from the files, also after an executor is lost."""
+    back: later passes restart from the files, also after an executor is lost.  ``options`` go to the writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, licenses, ngram_jaccard, pieces, quality, spotsigs, toxicity, warc
+from . import decontaminate, html_text, language_id, licenses, ngram_jaccard, packing, pieces, quality, spotsigs, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -121,3 +128,10 @@ def op1_licenses(spark, sf_dir):
 def op10_spotsigs(spark, sf_dir):
     """Fingerprint of every document and of its edited text, and their likeness."""
     return spotsigs.edit_test(table(spark, sf_dir, "documents"))
+
+
+@query("op11_packing")
+def op11_packing(spark, sf_dir, vocabulary: str | None = None):
+    """Every document tokenised and packed into sequences of at most 4096 tokens; a row per piece."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), packing.read_vocabulary(vocabulary or tokenizer_path("word_bpe_49k.json")))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
