@@ -99,11 +99,9 @@ class Encoder:
             todo = todo[~same & (self.entry[slot] >= 0)]
         return out
 
-    def add(self, hashes: np.ndarray, ids: list[np.ndarray]):
+    def add(self, hashes: np.ndarray, flat: np.ndarray, sizes: np.ndarray):
         """Remember the ids of distinct unknown hashes."""
         first, n = self.entries, len(hashes)
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if n else np.zeros(0, np.int32)
         while len(self.start) < first + n:
             self.start, self.size = np.concatenate((self.start, self.start)), np.concatenate((self.size, self.size))
         while len(self.pool) < self.filled + len(flat):
@@ -121,24 +119,35 @@ class Encoder:
             left = left[self.entry[at[left]] != first + left]
             at[left] = (at[left] + 1) & int(self.mask)
 
-    def ids_of(self, chunks: list[bytes]) -> list[np.ndarray]:
-        """Ids of chunks: those without ASCII marks are encoded together, parted by a mark of its own."""
-        plain = [i for i, c in enumerate(chunks) if not _MARK[np.frombuffer(c, np.uint8)].any()]
-        out: list = [None] * len(chunks)
+    def ids_of(self, raw: bytes, start: np.ndarray, end: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of chunks ``raw[start:end]`` one after the other, number per chunk).  Chunks without ASCII marks
+        (not ``marked``) are encoded together, parted by a mark of its own."""
+        sizes, order, found = np.zeros(len(start), np.int64), [], []
+        parted, between = f" {SEPARATOR} ".encode(), self.separator
+        alone = np.flatnonzero(marked)
+        plain = np.flatnonzero(~marked)
         for k in range(0, len(plain), 1000):
             some = plain[k:k + 1000]
-            ids = np.array(self.whole(f" {SEPARATOR} ".join(chunks[i].decode() for i in some)), np.int32)
-            cut = np.flatnonzero(ids == self.separator)
+            ids = np.array(self.whole(parted.join([raw[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]).decode()), np.int32)
+            cut = np.flatnonzero(ids == between)
             if len(cut) != len(some) - 1:  # a character that normalises to the mark: encode one by one
+                alone = np.concatenate((alone, some))
                 continue
-            for i, a, b in zip(some, [0, *(cut + 1)], [*cut, len(ids)]):
-                out[i] = ids[a:b]
-        rest = [i for i, x in enumerate(out) if x is None]
-        if rest:
-            found = self.tokenizer.encode_batch_fast([chunks[i].decode() for i in rest], add_special_tokens=False)
-            for i, x in zip(rest, found):
-                out[i] = np.array(x.ids, np.int32)
-        return out
+            sizes[some] = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
+            order.append(some)
+            found.append(np.delete(ids, cut))
+        if len(alone):
+            chunks = [raw[a:b].decode() for a, b in zip(start[alone].tolist(), end[alone].tolist())]
+            each = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            sizes[alone] = [len(x) for x in each]
+            order.append(alone)
+            found.append(np.array([i for x in each for i in x], np.int32))
+        if not order:
+            return np.zeros(0, np.int32), sizes
+        order, found = np.concatenate(order), np.concatenate(found)
+        of, at = sizes[order], np.zeros(len(start), np.int64)
+        at[order] = np.cumsum(of) - of
+        return found[np.repeat(at - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(found))], sizes
 
     def slice_ids(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a slice, number of ids per text)."""
@@ -167,15 +176,17 @@ class Encoder:
             entry = self.find(distinct)
             unknown = np.flatnonzero(distinct != 0)
         raw = low.tobytes()
-        self.add(distinct[unknown], self.ids_of([raw[start[i]:end[i]] for i in where[unknown].tolist()]))
+        marks = np.concatenate(([0], np.cumsum(mark)))
+        marked = marks[end] > marks[start]
+        new = where[unknown]
+        self.add(distinct[unknown], *self.ids_of(raw, start[new], end[new], marked[new]))
         entry[unknown] = np.arange(self.entries - len(unknown), self.entries)
         entry = entry[inverse]
         first, sizes, pool = self.start[entry], self.size[entry], self.pool
         long = np.flatnonzero(hashes == 0)
         if len(long):
-            found = self.ids_of([raw[start[i]:end[i]] for i in long.tolist()])
-            sizes[long] = [len(x) for x in found]
-            pool = np.concatenate((pool[:self.filled], *found))
+            found, sizes[long] = self.ids_of(raw, start[long], end[long], marked[long])
+            pool = np.concatenate((pool[:self.filled], found))
             first[long] = self.filled + np.cumsum(sizes[long]) - sizes[long]
         behind = np.cumsum(sizes)
         ids = pool[np.repeat(first - (behind - sizes), sizes) + np.arange(behind[-1] if len(behind) else 0)]
