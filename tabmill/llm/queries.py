@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, licenses, ngram_jaccard, packing, pieces, quality, spotsigs, toxicity, warc
+from . import decontaminate, html_text, infill, language_id, licenses, ngram_jaccard, packing, pieces, quality, spotsigs, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -135,3 +135,24 @@ def op11_packing(spark, sf_dir, vocabulary: str | None = None):
     """Every document tokenised and packed into sequences of at most 4096 tokens; a row per piece."""
     packed = packing.pack(table(spark, sf_dir, "documents"), packing.read_vocabulary(vocabulary or tokenizer_path("word_bpe_49k.json")))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op13_fill_in_middle", r"""
+with t as (select doc_id, coalesce(text, '') as text, sha256('7:' || doc_id::varchar) as h from documents),
+u as (select *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as us, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+        ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from t),
+c as (select *, len(us) as n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) as a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain'
+             when h4 % 100 < 50 then 'spm' else 'psm' end as form from u),
+p as (select *, coalesce(array_to_string(us[1:a], ''), '') as p, coalesce(array_to_string(us[a + 1:b], ''), '') as m,
+        coalesce(array_to_string(us[b + 1:n], ''), '') as s from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+       case when form <> 'plain' then length(m)::bigint end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+""")
+def op13_fill_in_middle(spark, sf_dir):
+    """Every document cut in lines and reordered; digests of the output and of the text rebuilt from it."""
+    return infill.digests(infill.transform(infill.store(table(spark, sf_dir, "documents"))))
