@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, infill, language_id, licenses, ngram_jaccard, packing, pieces, quality, spotsigs, toxicity, warc
+from . import decontaminate, html_text, infill, language_id, licenses, ngram_jaccard, packing, pieces, quality, ranked_search, spotsigs, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -156,3 +156,26 @@ from p
 def op13_fill_in_middle(spark, sf_dir):
     """Every document cut in lines and reordered; digests of the output and of the text rebuilt from it."""
     return infill.digests(infill.transform(infill.store(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_ranked_search", r"""
+with d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+n as (select doc_id, ts, len(ts)::bigint as n from d where len(ts) > 0),
+a as (select count(*)::bigint as docs, sum(n)::bigint as total from n),
+m as (select doc_id, ts, 25 + (75 * n * docs) // total as m from n, a),
+q as (select item_id, term, count(*)::bigint as repeats from (select item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by all),
+p as (select doc_id, m, term, count(*)::bigint as tf from (select doc_id, m, unnest(ts) as term from m)
+      where term in (select term from q) group by all),
+w as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+      from (select term, count(*)::bigint as df from p group by term), a),
+s as (select item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+      from q join w using (term) join p using (term) group by all)
+select item_id, rank::int as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0) where rank <= 10
+""")
+def op12_ranked_search(spark, sf_dir):
+    """The 10 highest-scoring documents of every benchmark item."""
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
