@@ -52,3 +52,16 @@ def rule_prediction():
 def rule_scorer(df: DataFrame) -> DataFrame:
     """Scorer protocol: DataFrame -> same DataFrame with a ``prediction`` column."""
     return df.withColumn("prediction", rule_prediction())
+
+
+def level_prediction():
+    """A second pinned formula in which every category counts, some of them together."""
+    def code(c):
+        return F.ascii(F.right(F.col(c), F.lit(1))).cast("double")
+
+    return (rule_prediction() + F.lit(3.0) * code("overall_qual") * F.col("lot_frontage") + F.lit(11.0) * code("yr_sold")
+            + F.lit(7.0) * code("ms_sub_class") * code("garage_type"))
+
+
+def level_scorer(df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", level_prediction())

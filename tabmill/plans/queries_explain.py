@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import effects as ef
 from ..operators import explain as ex
 from ..operators import split as sp
 from . import house
@@ -80,6 +81,45 @@ def q_ale_all(spark, d):
     return out.select("feature", F.round("feature_val", 6).alias("feature_val"), F.round("ale", 3).alias("ale"))
 
 
+@query("level_distances", with_tables(["lv_distance"], """
+select feature, level_a, level_b, round(distance, 9) as distance from lv_distance
+"""))
+def q_level_distances(spark, d):
+    """How far the levels of every category lie apart over all other features."""
+    out = ef.level_distances(house.cleaned(spark, d), exclude=[house.TARGET])
+    return out.withColumn("distance", F.round("distance", 9))
+
+
+@query("ale_levels", with_tables(["lv_ale"], "select feature, level, position, round(ale, 3) as ale from lv_ale"))
+def q_ale_levels(spark, d):
+    """Accumulated effects of every category, along levels ordered by likeness."""
+    out = ef.ale_levels(house.cleaned(spark, d), house.level_scorer, exclude=[house.TARGET])
+    return out.withColumn("ale", F.round("ale", 3))
+
+
+@query("ice_levels", with_tables(["lv_ice"], """
+select feature, cast(null as double) as feature_val, feature_level, prediction / 1000.0 as y_hat, 'ice' as type, id from lv_ice
+"""))
+def q_ice_levels(spark, d):
+    """A curve per row over the levels of every category."""
+    df = house.cleaned(spark, d)
+    nominal = [c for c in df.columns if c not in (house.KEY, house.TARGET, *EXPLAIN_FEATURES[:2])]
+    return ef.ice_all(df, house.level_scorer, nominal, scale=1000.0)
+
+
+@query("pdp_ice_all", with_tables(["lv_ice", "ex_grid", "lv_number_ice"], """
+, c as (select feature, cast(null as double) as feature_val, feature_level, prediction as y_hat, id from lv_ice
+  union all select feature, feature_val, null, prediction, id from lv_number_ice)
+select feature, feature_val, feature_level, round(y_hat, 3) as y_hat, 'ice' as type, id from c
+union all
+select feature, feature_val, feature_level, round(avg(y_hat), 3), 'pdp', null from c group by feature, feature_val, feature_level
+"""))
+def q_pdp_ice_all(spark, d):
+    """Curves and mean curves of every feature, numeric and categorical, from one written pass."""
+    out = ef.pdp_ice_all(house.cleaned(spark, d), house.level_scorer, exclude=[house.TARGET])
+    return out.withColumn("y_hat", F.round("y_hat", 3))
+
+
 @query("perm_importance", with_tables(["pi_out"], """
 select feature, importance_05, importance, importance_95, round(permutation_error, 4) as permutation_error,
   cast(row_number() over (order by importance desc, feature) as bigint) as display_order

@@ -424,3 +424,105 @@ select '{f}', cast(null as double), level, round(avg({rule(f, "level")}), 4)
 from houses_clean, (select distinct {f} as level from houses_clean) group by level
 """ for f in nominal]
     return " union all ".join(parts)
+
+
+# ------------------------------------------------------------------ effects of categorical features
+
+def level_rule_sql(**cols: str) -> str:
+    """The pinned formula in which every category counts, with column expressions substituted."""
+    def code(c):
+        return f"cast(ascii(right({cols.get(c, c)}, 1)) as double)"
+
+    numeric = {c: v for c, v in cols.items() if c in ("gr_liv_area", "lot_frontage", "neighborhood")}
+    return (f"({rule_sql(**numeric)} + 3.0 * {code('overall_qual')} * {cols.get('lot_frontage', 'lot_frontage')} + 11.0 * {code('yr_sold')}"
+            f" + 7.0 * {code('ms_sub_class')} * {code('garage_type')})")
+
+
+_NUMBERS = ["gr_liv_area", "lot_frontage"]
+_OTHERS = HOUSE_KEPT_FACTORS + _NUMBERS
+
+for _c in _NUMBERS:
+    define(f"lv_breaks_{_c}", ["houses_clean"], f"""
+select distinct r.x as b from (select {_c} as x, row_number() over (order by {_c}) as rn, count(*) over () as n from houses_clean
+  where {_c} is not null) r join (select unnest(range(0, 101)) as k) g on r.rn = greatest(1, (r.n * g.k + 99) // 100)
+""")
+define("lv_binned", ["houses_clean", *(f"lv_breaks_{c}" for c in _NUMBERS)], "select h.*, " + ", ".join(
+    f"(select count(*) from lv_breaks_{c} where b < h.{c}) + 1 as bin_{c}" for c in _NUMBERS) + " from houses_clean h")
+define("lv_shares", ["houses_clean"], "select *, n / sum(n) over (partition by feature, level, other) as p from (" + " union all ".join(
+    f"select '{f}' as feature, {f} as level, '{o}' as other, {o} as bin, count(*) as n from houses_clean group by all"
+    for f in HOUSE_KEPT_FACTORS for o in HOUSE_KEPT_FACTORS if o != f) + ")")
+define("lv_bins", ["lv_binned"], " union all ".join(
+    f"select '{f}' as feature, {f} as level, '{c}' as other, bin_{c} as bin, count(*) as n from lv_binned group by all"
+    for f in HOUSE_KEPT_FACTORS for c in _NUMBERS))
+define("lv_upto", ["lv_bins"], """
+select feature, level, other, k, sum(case when bin <= k then n else 0 end) / sum(n) as u
+from lv_bins, (select unnest(range(1, 102)) as k) group by all
+""")
+define("lv_apart", ["lv_shares", "lv_upto"], """
+select a.feature, a.level as level_a, b.level as level_b, a.other, 1 - sum(least(a.p, b.p)) as apart
+from lv_shares a join lv_shares b on a.feature = b.feature and a.other = b.other and a.bin = b.bin and a.level < b.level group by all
+union all
+select a.feature, a.level, b.level, a.other, max(abs(a.u - b.u))
+from lv_upto a join lv_upto b on a.feature = b.feature and a.other = b.other and a.k = b.k and a.level < b.level group by all
+""")
+define("lv_levels", ["houses_clean"], " union ".join(f"select '{f}' as feature, {f} as level from houses_clean" for f in HOUSE_KEPT_FACTORS))
+define("lv_distance", ["lv_levels", "lv_apart"], f"""
+select a.feature, a.level as level_a, b.level as level_b, sum(coalesce(p.apart, 1)) as distance
+from lv_levels a join lv_levels b on a.feature = b.feature and a.level < b.level
+join (select unnest({_OTHERS!r}) as other) o on o.other <> a.feature
+left join lv_apart p on p.feature = a.feature and p.level_a = a.level and p.level_b = b.level and p.other = o.other
+group by all
+""")
+# classical scaling: the leading vector of the centred squares, by repeated squaring of the matrix shifted to be positive
+define("lv_squares", ["lv_distance", "lv_levels"], """
+select feature, list(a order by a) as names, list(r order by a) as d from (
+  select feature, a, list(d * d order by b) as r from (
+    select feature, level_a as a, level_b as b, distance as d from lv_distance union all
+    select feature, level_b, level_a, distance from lv_distance union all
+    select feature, level, level, 0.0 from lv_levels) group by feature, a) group by feature
+""")
+define("lv_centred", ["lv_squares"], """
+select feature, names, list_transform(range(1, len(d) + 1), lambda i: list_transform(range(1, len(d) + 1),
+    lambda j: -0.5 * (d[i][j] - m[i] - m[j] + list_avg(m)))) as b
+from (select *, list_transform(d, lambda r: list_avg(r)) as m from lv_squares)
+""")
+define("lv_power", ["lv_centred"], """
+with recursive power as (
+  select feature, names, 0 as i, list_transform(range(1, len(b) + 1), lambda x: list_transform(range(1, len(b) + 1),
+      lambda y: b[x][y] + case when x = y then c else 0 end)) as a
+  from (select *, list_max(list_transform(b, lambda r: list_sum(list_transform(r, lambda x: abs(x))))) as c from lv_centred)
+  union all
+  select feature, names, i + 1, list_transform(a, lambda r: list_transform(a, lambda q: list_dot_product(r, q) / t))
+  from (select *, greatest(list_sum(list_transform(range(1, len(a) + 1), lambda x: a[x][x] * a[x][x])), 1e-300) as t from power where i < 45))
+select * from power where i = 45
+""")
+define("lv_order", ["lv_power"], """
+select feature, level, cast(row_number() over (partition by feature order by place, level) as int) as k from (
+  select feature, unnest(names) as level, unnest(list_transform(v, lambda x: case when lead > 0 then -x else x end)) as place from (
+    select *, list_filter(v, lambda x: abs(x) > 1e-9)[1] as lead from (
+      select feature, names, a[list_position(diag, list_max(diag))] as v from (
+        select *, list_transform(range(1, len(a) + 1), lambda x: a[x][x]) as diag from lv_power))))
+""")
+define("lv_steps", ["houses_clean", "lv_order"], " union all ".join(f"""
+select '{f}' as feature, lo.k as step, sum({level_rule_sql(**{f: "hi.level"})} - {level_rule_sql(**{f: "lo.level"})}) / count(*) as delta
+from houses_clean h join lv_order p on p.feature = '{f}' and p.level = h.{f}, (select unnest([0, 1]) as back)
+join lv_order lo on lo.feature = '{f}' and lo.k = p.k - back join lv_order hi on hi.feature = '{f}' and hi.k = lo.k + 1
+group by all
+""" for f in HOUSE_KEPT_FACTORS))
+define("lv_counts", ["houses_clean"], " union all ".join(
+    f"select '{f}' as feature, {f} as level, count(*) as n from houses_clean group by all" for f in HOUSE_KEPT_FACTORS))
+define("lv_ale", ["lv_order", "lv_steps", "lv_counts"], """
+select feature, level, k as position, effect - sum(effect * n) over (partition by feature) / sum(n) over (partition by feature) as ale
+from (select o.feature, o.level, o.k, any_value(c.n) as n, coalesce(sum(s.delta), 0) as effect
+      from lv_order o join lv_counts c using (feature, level) left join lv_steps s on s.feature = o.feature and s.step < o.k
+      group by all)
+""")
+define("lv_ice", ["houses_clean", "lv_levels"], " union all ".join(
+    f"select '{f}' as feature, l.level as feature_level, {level_rule_sql(**{f: 'l.level'})} as prediction, h.id "
+    f"from houses_clean h join lv_levels l on l.feature = '{f}'" for f in HOUSE_KEPT_FACTORS))
+
+define("lv_number_ice", ["houses_clean"], " union all ".join(f"""
+select '{f}' as feature, v as feature_val, {level_rule_sql(**{f: "v"})} as prediction, id from houses_clean,
+  (select lo + cast(i as double) * ((hi - lo) / cast(19 as double)) as v
+   from (select min({f}) as lo, max({f}) as hi from houses_clean), (select unnest(range(0, 20)) as i))
+""" for f in _NUMBERS))
