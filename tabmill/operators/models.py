@@ -24,9 +24,11 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +42,10 @@ CLASSIFIER_NAMES = ["random_forest", "decision_tree", "xgboost", "glmnet"]
 REGRESSOR_NAMES = ["regr.lm", "regr.rpart", "regr.ranger"]
 
 
-def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int = 15, reg: float = 0.001):
-    """Estimator for a classification model name (features -> label)."""
+def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int = 15, reg: float = 0.001, bagging: bool = True):
+    """Estimator for a classification model name (features -> label).  Without ``bagging`` a forest's trees see all rows and features."""
     if name == "random_forest":
-        return RandomForestClassifier(numTrees=num_trees, seed=seed)
+        return RandomForestClassifier(numTrees=num_trees, seed=seed, **_bagging(bagging))
     if name == "decision_tree":
         return DecisionTreeClassifier(seed=seed)
     if name == "xgboost":
@@ -54,13 +56,17 @@ def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int
     raise KeyError(f"unknown classifier {name!r}; known: {CLASSIFIER_NAMES}")
 
 
-def regressor(name: str, seed: int = 7, num_trees: int = 100):
+def _bagging(on: bool) -> dict:
+    return {} if on else {"bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+def regressor(name: str, seed: int = 7, num_trees: int = 100, bagging: bool = True):
     if name == "regr.lm":
         return LinearRegression()
     if name == "regr.rpart":
         return DecisionTreeRegressor(seed=seed)
     if name == "regr.ranger":
-        return RandomForestRegressor(numTrees=num_trees, seed=seed)
+        return RandomForestRegressor(numTrees=num_trees, seed=seed, **_bagging(bagging))
     raise KeyError(f"unknown regressor {name!r}; known: {REGRESSOR_NAMES}")
 
 
@@ -118,8 +124,27 @@ class FittedClassifier:
     labels: list[str]
 
     def predict(self, prepared: DataFrame, keep: Sequence[str]) -> DataFrame:
-        out = self.model.transform(prepared)
-        return out.select(*keep, F.col("_estimate").alias("estimate"))
+        return self._scored(prepared).select(*keep, "estimate")
+
+    def predict_probs(self, prepared: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """``keep``, estimate and ``probs``: a map from class to probability that sums to 1."""
+        return self._scored(prepared).select(*keep, "estimate", F.map_from_arrays(F.array(*map(F.lit, self.labels)), "_shares").alias("probs"))
+
+    def _scored(self, prepared: DataFrame) -> DataFrame:
+        """Rows with ``estimate`` and the class probabilities in label order (``_shares``)."""
+        indexer, assembler, est, _ = self.model.stages
+        if not isinstance(est, OneVsRestModel):
+            return self.model.transform(prepared).withColumn("_shares", vector_to_array("_prob")).withColumnRenamed("_estimate", "estimate")
+        # each class against the rest has a margin F with odds exp(2 F) (the boosting loss): shares of the class probabilities.
+        # The class models are applied one by one; the one-vs-rest model itself would pass every row through a Python function.
+        out = assembler.transform(prepared)
+        for i, m in enumerate(est.models):
+            out = m.copy({m.rawPredictionCol: f"_raw{i}", m.probabilityCol: f"_prob{i}", m.predictionCol: f"_pred{i}"}).transform(out)
+        margins = F.array(*[vector_to_array(f"_raw{i}")[1] for i in range(len(est.models))])
+        out = out.withColumn("_margins", margins).withColumn("_odds", F.transform("_margins", lambda m: 1.0 / (1.0 + F.exp(-2.0 * m))))
+        best = F.element_at(F.array(*map(F.lit, self.labels)), F.array_position("_margins", F.array_max("_margins")).cast("int"))
+        whole = F.aggregate("_odds", F.lit(0.0), lambda s, x: s + x)
+        return out.withColumn("estimate", best).withColumn("_shares", F.transform("_odds", lambda p: p / whole))
 
     @property
     def description(self) -> str:
@@ -133,6 +158,8 @@ def classification_pipeline(features: list[str], target: str, name: str, seed: i
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     est = classifier(name, seed=seed, **kw).setFeaturesCol("features").setLabelCol("label") \
         .setPredictionCol("_pred_index")
+    if not isinstance(est, OneVsRest):
+        est = est.setProbabilityCol("_prob")
     return indexer, assembler, est
 
 
@@ -155,13 +182,13 @@ def grid_threads(spark, jobs: int, threads: int | None = None) -> int:
 
 def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models: Iterable[str],
              task_col: str, target: str, key: str, threads: int | None = None, seed: int = 7,
-             **kw) -> dict[tuple[str, str], FittedClassifier]:
-    """Fit every model on every task's prepared training rows.
+             features: Sequence[str] | None = None, **kw) -> dict[tuple[str, str], FittedClassifier]:
+    """Fit every model on every task's prepared training rows, on all predictors unless ``features`` names some.
 
     ``prepared`` holds all tasks (one pass of preparation); it is laid out by key and
     persisted for the duration of the grid, then released.
     """
-    feats = feature_columns(rm)
+    feats = list(features) if features is not None else feature_columns(rm)
     base = stable_layout(prepared, key, rows=rm.rows_hint)
     try:
         jobs = [(t, m) for t in tasks for m in models]
@@ -177,14 +204,15 @@ def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models:
 
 
 def predict_grid(fitted: dict[tuple[str, str], FittedClassifier], test: DataFrame, task_col: str, target: str,
-                 key: str, set_name: str = "test") -> DataFrame:
-    """Stack every (task, model) prediction: ``task, model, set, key, truth, estimate``."""
+                 key: str, set_name: str = "test", probs: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Stack every (task, model) prediction: ``task, model, set, key, truth, estimate``, the class probabilities
+    (``probs``) if wanted, and the columns of ``keep``."""
     parts = []
     for (t, m), fc in fitted.items():
         rows = test.filter(F.col(task_col) == t)
-        pred = fc.predict(rows, [key, target]).select(
+        pred = (fc.predict_probs if probs else fc.predict)(rows, [key, target, *keep]).select(
             F.lit(t).alias("task"), F.lit(m).alias("model"), F.lit(set_name).alias("set"), F.col(key),
-            F.col(target).alias("truth"), F.col("estimate"))
+            F.col(target).alias("truth"), F.col("estimate"), *(["probs"] if probs else []), *keep)
         parts.append(pred)
     out = parts[0]
     for p in parts[1:]:

@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
+from ..operators import probability as pb
 from . import risk
 from .catalog import query
 from .sql import nth_sql, with_tables
@@ -365,3 +366,84 @@ def q_risk_results_shape(spark, d):
     """One result row per task and model, each with both metrics."""
     names = F.transform("metrics", lambda m: m["metric"])
     return rmod.risk_results(spark, d).select("task", "model", F.size("metrics").alias("n_metrics"), names.alias("metrics"))
+
+
+# ---------------------------------------------------------------- class probabilities
+
+
+@query("mn_log_loss", with_tables(["rule_probs_long"], """
+select task, model, 'mn_log_loss' as metric, 'multiclass' as estimator, round(avg(-ln(p)), 9) as estimate
+from rule_probs_long where c = truth group by task, model
+"""))
+def q_mn_log_loss(spark, d):
+    return pb.mn_log_loss(risk.rule_probabilities(spark, d)).withColumn("estimate", F.round("estimate", 9))
+
+
+@query("class_pair_auc", with_tables(["rule_pairs"], """
+select task, model, class_a, class_b, n_a, n_b, round(auc, 9) as auc from rule_pairs
+"""))
+def q_class_pair_auc(spark, d):
+    """Mid-rank AUC of every ordered pair of classes."""
+    return pb.class_pair_auc(risk.rule_probabilities(spark, d)).withColumn("auc", F.round("auc", 9))
+
+
+@query("roc_auc", with_tables(["rule_pairs"], """
+select task, model, 'roc_auc' as metric, 'hand_till' as estimator, round(avg(auc), 9) as estimate from rule_pairs group by task, model
+"""))
+def q_roc_auc(spark, d):
+    return pb.hand_till_auc(risk.rule_probabilities(spark, d)).withColumn("estimate", F.round("estimate", 9))
+
+
+@query("risk_probability_metrics")
+def q_risk_probability_metrics(spark, d):
+    """Log loss and Hand-Till AUC of the four learners."""
+    return rmod.run_risk_probabilities(spark, d)
+
+
+@query("risk_probability_sums", with_tables(["risk_baked"], """
+select display_text as task, model, count(*) as n, count(*) as sum_to_one, count(*) as within, cast(3 as int) as classes
+from risk_baked, (select unnest(['random_forest', 'decision_tree', 'xgboost', 'glmnet']) as model) group by all
+"""))
+def q_risk_probability_sums(spark, d):
+    """Rows of each learner whose class probabilities add up to 1 and lie between 0 and 1: all of them."""
+    values = F.map_values("probs")
+    total = F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+    preds = rmod.risk_probabilities(spark, d)
+    return preds.groupBy("task", "model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.abs(total - 1) < 1e-9).cast("bigint")).alias("sum_to_one"),
+        F.sum(F.forall(values, lambda p: (p >= 0) & (p <= 1)).cast("bigint")).alias("within"), F.max(F.size("probs")).alias("classes"))
+
+
+# ---------------------------------------------------------------- the learners where SQL can state their answer
+
+#: One 0/1 predictor, forests of one unbagged tree, no penalty: every learner predicts its group's most frequent class.
+STATED = {"features": ["sex_code_text_female"], "num_trees": 1, "bagging": False, "reg": 0.0}
+FOUR = "(select unnest(['random_forest', 'decision_tree', 'xgboost', 'glmnet']) as model)"
+
+
+@query("risk_grid_majority", with_tables(["group_majority"], f"select task, model, female, estimate from group_majority, {FOUR}"))
+def q_risk_grid_majority(spark, d):
+    """The grid of four learners on one 0/1 predictor: each group's most frequent class, for every learner."""
+    preds = rmod.risk_probabilities(spark, d, keep=STATED["features"], **STATED)
+    return preds.select("task", "model", F.col(STATED["features"][0]).alias("female"), "estimate").distinct()
+
+
+@query("risk_metrics_majority", with_tables(["majority_metrics"], """
+select task, model, metric, estimator, round(estimate, 9) as estimate from majority_metrics, """ + FOUR))
+def q_risk_metrics_majority(spark, d):
+    """Accuracy and kappa of those predictions, through the whole risk pipeline."""
+    return rmod.run_risk(spark, d, **STATED).withColumn("estimate", F.round("estimate", 9))
+
+
+@query("risk_group_frequencies", with_tables(["group_share", "group_majority"], """
+select s.task, model, female, class,
+  round(case when model = 'glmnet' or k > 1 then p else sum(n) over (partition by s.task, model, class) / sum(n) over (partition by s.task, model) end, 3) as p
+from group_share s join (select task, count(distinct estimate) as k from group_majority group by task) m on m.task = s.task,
+  (select unnest(['random_forest', 'decision_tree', 'glmnet']) as model)
+"""))
+def q_risk_group_frequencies(spark, d):
+    """Class probabilities on that design: the classes' shares in the group (the boosted trees only tend to them).  Trees join
+    leaves that predict the same class, so there the shares are those of both groups."""
+    preds = rmod.risk_probabilities(spark, d, ["random_forest", "decision_tree", "glmnet"], keep=STATED["features"], **STATED)
+    return preds.select("task", "model", F.col(STATED["features"][0]).alias("female"), F.explode("probs").alias("class", "p")).withColumn(
+        "p", F.round("p", 3)).distinct()

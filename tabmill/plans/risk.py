@@ -78,6 +78,19 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-set class probabilities of a pinned formula: shares of three weights that mix the rule with a keyed hash."""
+    df = split(filter_levels(load(spark, sf_dir).select(*GOOD_COLS))).filter(F.col("set") == "test")
+    h = sp.hash_unit(KEY, "p") % 97
+    weights = {"High": 10 + F.when(F.col("date_of_birth") == "Younger than 25", 40).otherwise(0) + h,
+               "Medium": 20 + F.when(F.col("custody_status") == "Jail Inmate", 30).otherwise(0) + (h * 7) % 31,
+               "Low": 30 + (h * 13) % 53}
+    total = weights["High"] + weights["Medium"] + weights["Low"]
+    probs = F.create_map(*[x for k, w in weights.items() for x in (F.lit(k), w.cast("double") / total.cast("double"))])
+    return df.select(F.col(TASK_COL).alias("task"), F.lit("rule").alias("model"), "set", KEY, F.col(TARGET).alias("truth"),
+                     probs.alias("probs"))
+
+
 def recipe(filter_on=("train", "test"), unseen: str = "drop"):
     """Per-task preparation: trained level filter, level dictionaries, full one-hot of predictors."""
     from ..operators.recipe import Recipe

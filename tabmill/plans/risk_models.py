@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
 from ..operators import models as md
+from ..operators import probability as pb
 from ..session import checkpoint_dir
 from . import risk
 
@@ -23,13 +24,13 @@ def fit_risk_grid(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.C
     return rm, fitted, baked
 
 
-def checkpointed_predictions(fitted, baked: DataFrame) -> DataFrame:
+def checkpointed_predictions(fitted, baked: DataFrame, **kw) -> DataFrame:
     """Score every (task, model) on the persisted test rows and checkpoint the stacked
     predictions (shared checkpoint folder): metrics then read them once, lineage is cut."""
     checkpoint_dir(baked.sparkSession)
     test = baked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return md.predict_grid(fitted, test, risk.TASK_COL, risk.TARGET, risk.KEY).checkpoint(eager=True)
+        return md.predict_grid(fitted, test, risk.TASK_COL, risk.TARGET, risk.KEY, **kw).checkpoint(eager=True)
     finally:
         test.unpersist()
 
@@ -59,6 +60,18 @@ def run_risk(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSI
     return mt.metrics_from_confusion(grid_confusion(fitted, baked))
 
 
+def risk_probabilities(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, keep: Sequence[str] = (),
+                       **kw) -> DataFrame:
+    """Test predictions of every (task, model) with the probability of each class, written once."""
+    _, fitted, baked = fit_risk_grid(spark, sf_dir, models, **kw)
+    return checkpointed_predictions(fitted, baked, probs=True, keep=keep)
+
+
+def run_risk_probabilities(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, **kw) -> DataFrame:
+    """Log loss and Hand-Till AUC of every (task, model): ``task, model, metric, estimator, estimate``."""
+    return pb.probability_metrics(risk_probabilities(spark, sf_dir, models, **kw))
+
+
 def risk_results(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, **kw) -> DataFrame:
     """One row per (task, model): fitted-model descriptor and nested metrics."""
     _, fitted, baked = fit_risk_grid(spark, sf_dir, models, **kw)

@@ -526,3 +526,45 @@ select '{f}' as feature, v as feature_val, {level_rule_sql(**{f: "v"})} as predi
   (select lo + cast(i as double) * ((hi - lo) / cast(19 as double)) as v
    from (select min({f}) as lo, max({f}) as hi from houses_clean), (select unnest(range(0, 20)) as i))
 """ for f in _NUMBERS))
+
+
+# ------------------------------------------------------------------ class probabilities of a pinned formula
+
+define("rule_probs", ["risk_split"], """
+select display_text as task, 'rule' as model, assessment_id, score_text as truth,
+  wh::double / (wh + wm + wl)::double as p_high, wm::double / (wh + wm + wl)::double as p_medium, wl::double / (wh + wm + wl)::double as p_low
+from (select *, 10 + case when date_of_birth = 'Younger than 25' then 40 else 0 end + h as wh,
+        20 + case when custody_status = 'Jail Inmate' then 30 else 0 end + (h * 7) % 31 as wm, 30 + (h * 13) % 53 as wl
+      from (select *, ('0x' || substr(md5(concat_ws('|', cast(assessment_id as varchar), 'p')), 1, 8))::bigint % 97 as h
+            from risk_split where set = 'test'))
+""")
+define("rule_probs_long", ["rule_probs"], """
+select task, model, truth, 'High' as c, p_high as p from rule_probs union all
+select task, model, truth, 'Medium', p_medium from rule_probs union all select task, model, truth, 'Low', p_low from rule_probs
+""")
+define("rule_pairs", ["rule_probs_long"], """
+select a.task, a.model, a.c as class_a, b.truth as class_b, any_value(na) as n_a, any_value(nb) as n_b,
+  (sum(a.rank) - any_value(na) * (any_value(na) + 1) / 2.0) / (any_value(na)::double * any_value(nb)) as auc
+from (select l.task, l.model, l.c, o.truth as other, l.truth,
+        avg(rn) over (partition by l.task, l.model, l.c, o.truth, l.p) as rank,
+        count(*) filter (where l.truth = l.c) over (partition by l.task, l.model, l.c, o.truth) as na,
+        count(*) filter (where l.truth = o.truth) over (partition by l.task, l.model, l.c, o.truth) as nb
+      from (select l.*, o.truth as ot, row_number() over (partition by l.task, l.model, l.c, o.truth order by l.p) as rn
+            from rule_probs_long l join (select distinct truth from rule_probs) o on o.truth <> l.c and l.truth in (l.c, o.truth)) l
+      join (select distinct truth from rule_probs) o on o.truth = l.ot) a
+join (select distinct truth from rule_probs) b on b.truth = a.other
+where a.truth = a.c group by all
+""")
+
+define("group_share", ["risk_juiced"], """
+select *, n / sum(n) over (partition by task, female) as p
+from (select display_text as task, sex_code_text_female as female, score_text as class, count(*) as n from risk_juiced group by all)
+""")
+define("group_majority", ["group_share"], """
+select task, female, class as estimate from group_share qualify row_number() over (partition by task, female order by p desc, class) = 1
+""")
+define("majority_preds", ["risk_baked", "group_majority"], """
+select b.display_text as task, b.score_text as truth, m.estimate
+from risk_baked b join group_majority m on m.task = b.display_text and m.female = b.sex_code_text_female
+""")
+define("majority_metrics", ["majority_preds"], class_metrics_sql("majority_preds", ["task"]))
