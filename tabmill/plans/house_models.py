@@ -8,8 +8,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import linear as ln
 from ..operators import metrics as mt
 from ..operators import models as md
+from ..operators.categorical import level_dictionary
 from ..operators import split as sp
 from ..operators.recipe import Recipe
 from ..session import checkpoint_dir
@@ -51,17 +53,19 @@ def test_predictions(fitted: dict, tagged: DataFrame) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRESSOR_NAMES,
-              folds: int = house.FOLDS, seed: int = house.FOLD_SEED, **kw) -> DataFrame:
+              folds: int = house.FOLDS, seed: int = house.FOLD_SEED, table: DataFrame | None = None, spec: Recipe | None = None, **kw) -> DataFrame:
     """k-fold CV over all rows: MSE and MAPE on the training and test part of every fold,
     averaged over folds.  Returns ``learner, measure, value`` (measure like ``mse_test``).
+    ``table`` and ``spec`` replace the cleaned house table and its recipe.
 
     Fits run per (learner, fold) on the persisted, foldded frame; every scored frame is reduced to its
     two rows of losses, and only those are written.
     """
     checkpoint_dir(spark)
-    df = sp.cv_folds(house.cleaned(spark, sf_dir), house.KEY, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    table = table if table is not None else house.cleaned(spark, sf_dir)
+    df = sp.cv_folds(table, house.KEY, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rm = recipe().fit(df.drop("fold"))
+        rm = (spec or recipe()).fit(df.drop("fold"))
         fitted = md.fit_fold_grid(df, rm, house.TARGET, house.KEY, folds, names, **kw)
         parts = []
         for (n, k), f in fitted.items():
@@ -76,6 +80,11 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
         per_fold = per_fold.checkpoint(eager=True)  # two rows per learner and fold
     finally:
         df.unpersist()
+    return fold_means(per_fold)
+
+
+def fold_means(per_fold: DataFrame) -> DataFrame:
+    """``learner, measure, value``: losses averaged over the folds."""
     return per_fold.groupBy("learner", "set").agg(F.avg("mse").alias("mse"), F.avg("mape").alias("mape")).select(
         "learner", F.inline(F.array(
             F.struct(F.concat_ws("_", F.lit("mse"), F.col("set")).alias("measure"), F.col("mse").alias("value")),
@@ -83,6 +92,43 @@ def benchmark(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
         )))
 
 
+# ---------------------------------------------------------------- least squares from fold moments
+
+def design_of(df: DataFrame, numeric: Sequence[str], nominal: Sequence[str]) -> ln.Design:
+    levels = level_dictionary(df, nominal)
+    return ln.Design(list(numeric), {c: levels.get((c,), []) for c in nominal}, house.TARGET)
+
+
+def foldded(spark: SparkSession, sf_dir: str, numeric: Sequence[str] | None = None, nominal: Sequence[str] | None = None,
+            folds: int = house.FOLDS, seed: int = house.FOLD_SEED) -> tuple[DataFrame, ln.Design]:
+    """The cleaned house table with its folds, and the design over all predictors or the given ones."""
+    df = sp.cv_folds(house.cleaned(spark, sf_dir), house.KEY, folds, seed)
+    roles = recipe().roles(df.drop("fold"))
+    return df, design_of(df, roles["numeric"] if numeric is None else numeric, roles["nominal"] if nominal is None else nominal)
+
+
+def benchmark_moments(spark: SparkSession, sf_dir: str, numeric: Sequence[str] | None = None, nominal: Sequence[str] | None = None,
+                      penalty: float = 0.0, **kw) -> DataFrame:
+    """The linear learner's rows of :func:`benchmark`: two passes over the rows for all folds together (moments, losses)."""
+    df, design = foldded(spark, sf_dir, numeric, nominal, **kw)
+    models = ln.fold_models(ln.fold_matrices(ln.fold_gram(df, design), len(design.names)), penalty)
+    losses = mt.regression_losses(ln.fold_losses(df, design, models), ["fold", "set"])
+    return fold_means(losses.withColumn("learner", F.lit("regr.lm")))
+
+
+PENALTIES = [0.0, 0.001, 0.01, 0.1, 0.3, 1.0]
+
+
+def ridge_path(spark: SparkSession, sf_dir: str, numeric: Sequence[str] | None = None, nominal: Sequence[str] | None = None,
+               penalties: Sequence[float] = PENALTIES, **kw) -> DataFrame:
+    """``penalty, fold, set, mse, chosen``: the path of the linear learner over penalties x folds from one pass; the penalty with the
+    least mean test error is marked."""
+    df, design = foldded(spark, sf_dir, numeric, nominal, **kw)
+    path = ln.penalty_path(ln.fold_matrices(ln.fold_gram(df, design), len(design.names)), penalties)
+    best = ln.chosen_penalty(path)
+    return spark.createDataFrame([(*r, r[0] == best) for r in path], "penalty double, fold bigint, set string, mse double, chosen boolean")
+
+
 # ---------------------------------------------------------------- one-feature least squares (exact, oracle-checked)
 
 def _moments(df: DataFrame, x: str, y: str, group: list[str]) -> DataFrame:

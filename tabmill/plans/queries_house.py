@@ -10,12 +10,13 @@ from ..functions.names import clean_names
 from ..operators import categorical as cat
 from ..operators import clean
 from ..operators import columns as co
+from ..operators import linear as ln
 from ..operators import split as sp
 from ..operators.recipe import Recipe
 from ..sources import io
 from . import house
 from .catalog import query
-from .sql import HOUSE_FACTORS, HOUSE_KEPT_FACTORS, with_tables
+from .sql import HOUSE_FACTORS, HOUSE_KEPT_FACTORS, fold_gram_sql, with_tables
 
 _COMPLETE_COLS = ["id", "sale_price", "gr_liv_area", "lot_frontage", *HOUSE_FACTORS]
 
@@ -338,3 +339,56 @@ def q_house_surviving_factors(spark, d):
     """Which factors survive the single-level check, with their levels after lumping."""
     df = house.cleaned(spark, d)
     return cat.level_counts(df, co.categorical_columns(df)).groupBy("column").agg(F.count("level").alias("n_levels"))
+
+
+# ---------------------------------------------------------------- least squares from fold moments
+
+
+@query("fold_gram", "with " + with_tables(["houses_clean"], "")[5:].rstrip() + "," + fold_gram_sql(
+    ["gr_liv_area", "lot_frontage"], HOUSE_KEPT_FACTORS))
+def q_fold_gram(spark, d):
+    """Sums of products of every pair of design columns per fold, in one pass."""
+    df, design = hm.foldded(spark, d)
+    return ln.fold_gram(df, design).select("fold", "i", "j", F.format_string("%.7e", "value").alias("value"))
+
+
+@query("benchmark_line", with_tables(["cv_losses"], """
+select 'regr.lm' as learner, measure || '_' || set as measure, round(avg(value), 6) as value
+from (unpivot (select set, mse, mape from cv_losses) on mse, mape into name measure value value) group by all
+"""))
+def q_benchmark_line(spark, d):
+    """The linear learner's benchmark on one feature, from fold moments."""
+    return hm.benchmark_moments(spark, d, [house.FEATURE], []).withColumn("value", F.round("value", 6))
+
+
+@query("house_benchmark_moments")
+def q_house_benchmark_moments(spark, d):
+    """The linear learner's benchmark on all predictors, from fold moments."""
+    return hm.benchmark_moments(spark, d)
+
+
+@query("ridge_path", with_tables(["ridge_path", "ridge_chosen"], """
+select penalty, fold, set, round(mse) as mse, penalty = (select penalty from ridge_chosen) as chosen from ridge_path
+"""))
+def q_ridge_path(spark, d):
+    """Errors of the one-feature line over penalties and folds; the penalty with the least mean test error is marked."""
+    return hm.ridge_path(spark, d, [house.FEATURE], []).withColumn("mse", F.round("mse"))
+
+
+@query("house_ridge_path")
+def q_house_ridge_path(spark, d):
+    """The same over all predictors."""
+    return hm.ridge_path(spark, d)
+
+
+@query("house_benchmark_means", with_tables(["building_losses"], """
+select learner, measure || '_' || set as measure, round(avg(value), 3) as value
+from (unpivot (select set, mse, mape from building_losses) on mse, mape into name measure value value),
+  (select unnest(['regr.lm', 'regr.rpart', 'regr.ranger']) as learner) group by all
+"""))
+def q_house_benchmark_means(spark, d):
+    """The benchmark of the three learners on one two-level predictor: all predict the mean of the other folds' group."""
+    df = house.cleaned(spark, d).withColumn("building", F.when(F.col("neighborhood") == "BUILDING", "yes").otherwise("no"))
+    spec = Recipe(target=house.TARGET, key=house.KEY, predictors=["building"], unseen="zero")
+    out = hm.benchmark(spark, d, table=df, spec=spec, num_trees=1, bagging=False)
+    return out.withColumn("value", F.round("value", 3))

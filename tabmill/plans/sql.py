@@ -568,3 +568,48 @@ select b.display_text as task, b.score_text as truth, m.estimate
 from risk_baked b join group_majority m on m.task = b.display_text and m.female = b.sex_code_text_female
 """)
 define("majority_metrics", ["majority_preds"], class_metrics_sql("majority_preds", ["task"]))
+
+
+# ------------------------------------------------------------------ least squares from fold moments
+
+def fold_gram_sql(numeric: list[str], nominal: list[str]) -> str:
+    """Sums of products per fold over the intercept, numbers, a 0/1 column per level (in name order) and the target."""
+    long = ["select id, fold, '0' as c, '' as v, 1.0 as x from gram_d"]
+    long += [f"select id, fold, '1{i}', '', cast({c} as double) from gram_d" for i, c in enumerate(numeric)]
+    long += [f"select id, fold, '2{i}', cast({c} as varchar), 1.0 from gram_d where {c} is not null" for i, c in enumerate(nominal)]
+    long += ["select id, fold, '3', '', cast(sale_price as double) from gram_d"]
+    return f"""
+gram_d as (select *, ('0x' || substr(md5(concat_ws('|', cast(id as varchar), '4')), 1, 8))::bigint % 4 as fold from houses_clean),
+gram_long as ({" union all ".join(long)}),
+gram_at as (select c, v, cast(row_number() over (order by c, v) - 1 as int) as i from (select distinct c, v from gram_long)),
+gram_x as (select id, fold, i, x from gram_long join gram_at using (c, v)),
+gram_s as (select a.fold, a.i, b.i as j, sum(a.x * b.x) as value from gram_x a join gram_x b on a.id = b.id and a.i <= b.i group by all)
+select f.fold, a.i, b.i as j, printf('%.7e', coalesce(s.value, 0.0)) as value
+from (select distinct fold from gram_d) f cross join gram_at a join gram_at b on a.i <= b.i
+left join gram_s s on s.fold = f.fold and s.i = a.i and s.j = b.i
+"""
+
+
+# one number, penalties: the slope shrinks by 1 + penalty; errors from the fold's own moments
+define("ridge_m", ["cv_d"], """
+select p as penalty, k as fold, n, mx, my, cxy / (cxx * (1 + p)) as slope from (
+  select o.k, sum(d.one) as n, avg(d.x) as mx, avg(d.y) as my, covar_pop(d.x, d.y) as cxy, var_pop(d.x) as cxx
+  from (select *, 1 as one from cv_d) d, (select unnest(range(0, 4)) as k) o where d.fold <> o.k group by o.k),
+  (select unnest([0.0, 0.001, 0.01, 0.1, 0.3, 1.0])::double as p)
+""")
+define("ridge_path", ["cv_d", "ridge_m"], """
+select m.penalty, m.fold, case when d.fold = m.fold then 'test' else 'train' end as set, avg(pow(d.y - (my + slope * (d.x - mx)), 2)) as mse
+from cv_d d, ridge_m m group by all
+""")
+define("ridge_chosen", ["ridge_path"], """
+select penalty from ridge_path where set = 'test' group by penalty order by avg(mse), penalty desc limit 1
+""")
+define("building_losses", ["houses_clean"], """
+select m.fold, case when d.fold = m.fold then 'test' else 'train' end as set, avg(pow(d.y - m.p, 2)) as mse, avg(abs((d.y - m.p) / nullif(d.y, 0))) as mape
+from (select neighborhood = 'BUILDING' as b, sale_price as y,
+        ('0x' || substr(md5(concat_ws('|', cast(id as varchar), '4')), 1, 8))::bigint % 4 as fold from houses_clean) d
+join (select k as fold, b, avg(y) as p from (select neighborhood = 'BUILDING' as b, sale_price as y,
+        ('0x' || substr(md5(concat_ws('|', cast(id as varchar), '4')), 1, 8))::bigint % 4 as fold from houses_clean) h,
+        (select unnest(range(0, 4)) as k) o where h.fold <> o.k group by k, b) m on m.b = d.b
+group by all
+""")
