@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import columns as co
 from .categorical import level_dictionary
 from .models import Scorer
-from .split import background_sample, dense_row_id, dense_row_id_counted, hash_hex_col, materialize
+from .split import background_sample, dense_row_id_counted, hash_hex_col, materialize, with_permuted_index
 
 # Defaults of the explanation methods.
 GRID_SIZE = 20
@@ -224,30 +224,19 @@ def ale_all(df: DataFrame, scorer: Scorer, features: Sequence[str] | None = None
 
 # ---------------------------------------------------------------- permutation importance
 
-def permutation_pairs(df: DataFrame, key: str = "id", repetitions: int = REPETITIONS, seed: int = 1) -> DataFrame:
-    """``(_rep, key, _donor)``: for each repetition a seeded permutation of the rows.
-
-    Row i (key order) is paired with the donor at rank i of ``md5(key|seed:rep)``.  All
-    repetitions come from ONE range-partitioned sort (dense ids, no single-partition
-    window); both id frames are checkpointed, so the pairs can be reused for many models.
-    """
-    keys = df.select(key)
-    by_key, n = dense_row_id_counted(keys, [key], "_i")
-    reps = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
-    rep_seed = F.concat(F.lit(f"{seed}:"), F.col("_rep").cast("string"))
-    donors = dense_row_id(reps, ["_rep", hash_hex_col(key, rep_seed), key], "_g").select(
-        "_rep", (F.col("_g") - F.col("_rep") * F.lit(n)).alias("_i"), F.col(key).alias("_donor"))
-    return by_key.join(donors, "_i").select("_rep", key, "_donor")
+def indexed_rows(df: DataFrame, key: str = "id") -> tuple[DataFrame, int]:
+    """(``df`` with dense ids ``_i`` from 1 in key order, number of rows): one sort, written once, for all repetitions and models."""
+    return dense_row_id_counted(df, [key], "_i")
 
 
 def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features: Sequence[str], key: str = "id",
                            repetitions: int = REPETITIONS, seed: int = 1, top: int | None = 20,
-                           pairs: DataFrame | None = None) -> DataFrame:
+                           indexed: tuple[DataFrame, int] | None = None) -> DataFrame:
     """MAE-based permutation importance (ratio to the unpermuted error) per feature.
 
     Each row yields one variant per feature and repetition, with that feature's value
-    taken from its donor (:func:`permutation_pairs`; pass ``pairs`` to reuse them across
-    models).  All features x repetitions are scored in one pass and reduced with one
+    taken from its donor, the row at the place of its dense id in a seeded bijection (:func:`split.with_permuted_index`; pass ``indexed``, made by :func:`indexed_rows`, to
+    reuse the ids across models); one join on the donor's id moves the donors.  All features x repetitions are scored in one pass and reduced with one
     grouped aggregate; quantiles over repetitions are exact on groups of
     ``repetitions`` values.  Returns ``feature, importance_05, importance,
     importance_95, permutation_error, display_order`` (top ``top`` by importance,
@@ -256,10 +245,11 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     features = list(features)
     df = df.select(key, target, *features)
     base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
-    if pairs is None:
-        pairs = permutation_pairs(df, key, repetitions, seed)
-    donor_vals = df.select(F.col(key).alias("_donor"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
-    wide = pairs.join(df.select(key, target, *features), key).join(donor_vals, "_donor")
+    dense, n = indexed if indexed is not None else indexed_rows(df, key)
+    donors = dense.select((F.col("_i") - 1).alias("_j"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
+    reps = dense.select("_i", key, target, *features, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
+    placed = with_permuted_index(reps, F.col("_i") - 1, n, [f"{seed}:{r}" for r in range(repetitions)], F.col("_rep"))
+    wide = placed.join(donors, "_j")
     variants = F.array(*[
         F.struct(F.lit(f).alias("_feature"),
                  *[(F.col(f"_d_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(features)])

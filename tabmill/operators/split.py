@@ -8,6 +8,8 @@ built without a single-partition window.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -151,22 +153,84 @@ def exact_split(df: DataFrame, key: str | Iterable[str], prop: float = 0.8, seed
     return df.withColumn(set_col, F.when(h < F.lit(cut), "train").otherwise("test"))
 
 
+# ---------------------------------------------------------------- keyed bijection
+
+_PRIME = 2147483647  # 2^31 - 1: products of two residues stay within 64 bits
+_ROUNDS = 4
+_WALK = 64
+
+
+def bijection_sides(n: int) -> tuple[int, int]:
+    """Sides of the smallest near-square grid with at least ``n`` cells."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    return a, max(1, -(-n // a))
+
+
+def bijection_keys(seed: int | str) -> list[tuple[int, int]]:
+    """Multiplier and addend of each round, from the seed alone."""
+    out = []
+    for k in range(_ROUNDS):
+        h = hashlib.md5(f"{seed}:round {k}".encode()).hexdigest()
+        out.append((1 + int(h[:12], 16) % (_PRIME - 1), int(h[12:24], 16) % _PRIME))
+    return out
+
+
+def with_permuted_index(df: DataFrame, i: Column, n: int, seeds: Sequence[int | str], which: Column | None = None,
+                        out_col: str = "_j") -> DataFrame:
+    """``df`` with the place of ``i`` (0 .. n - 1) in a seeded permutation of 0 .. n - 1, by arithmetic alone: nothing is sorted or moved.
+
+    A Feistel network on the cells of a near-square grid: each round adds a keyed function of one coordinate to the other, so every round can be undone.
+    The few values that land on a cell beyond ``n`` walk on along their cycle until they are below.  With several
+    ``seeds``, ``which`` (from 0) picks the permutation of each row.  Each round is a projection of its own, so no expression is repeated."""
+    rows, cols = (F.lit(x).cast("bigint") for x in bijection_sides(n))
+    prime = F.lit(_PRIME).cast("bigint")
+    pick = F.lit(0) if which is None else which.cast("int")
+    keys = [F.array(*[F.struct(*[F.lit(x).cast("bigint").alias(c) for c, x in zip("abcd", (*ks[k], *ks[k + 1]))]) for k in (0, 2)])
+            for ks in map(bijection_keys, seeds)]
+
+    def square(t: Column) -> Column:
+        return (t * t) % prime
+
+    def turn(v: Column) -> Column:
+        """One turn as a single expression, for the few values that walk on."""
+        start = F.struct(((v - v % cols) / cols).cast("bigint").alias("l"), (v % cols).alias("r"))
+
+        def two_rounds(at, k):
+            left = (at["l"] + square((at["r"] * k["a"] + k["b"]) % prime)) % rows
+            return F.struct(left.alias("l"), ((at["r"] + square((left * k["c"] + k["d"]) % prime)) % cols).alias("r"))
+
+        return F.aggregate("_keys", start, two_rounds, lambda at: at["l"] * cols + at["r"])
+
+    names = df.columns
+    out = df.withColumn("_v", i.cast("bigint")).withColumn("_keys", F.element_at(F.array(*keys), pick + 1))
+    out = out.withColumns({"_l": ((F.col("_v") - F.col("_v") % cols) / cols).cast("bigint"), "_r": F.col("_v") % cols})
+    for k in range(_ROUNDS):
+        key, (x, y, side) = F.col("_keys")[k // 2], (("_r", "_l", rows), ("_l", "_r", cols))[k % 2]
+        a, b = (key["a"], key["b"]) if k % 2 == 0 else (key["c"], key["d"])
+        out = out.withColumn("_t", (F.col(x) * a + b) % prime).withColumn(y, (F.col(y) + square(F.col("_t"))) % side)
+    out = out.withColumn("_first", F.col("_l") * cols + F.col("_r"))
+    spare = math.prod(bijection_sides(n)) - n
+    if spare == 0:
+        return out.select(*names, F.col("_first").alias(out_col))
+    # a cycle has at most ``spare`` cells beyond n; from 4,096 rows on fewer than 1 in 64 values step beyond at a time
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(min(spare, _WALK))), F.col("_first"), lambda v, _: F.when(v < n, v).otherwise(turn(v)))
+    out = out.withColumn("_walked", F.when(F.col("_first") < n, F.col("_first")).otherwise(walked))
+    lost = F.raise_error(F.lit("a value found no place")).cast("bigint")
+    return out.select(*names, F.when(F.col("_walked") < n, F.col("_walked")).otherwise(lost).alias(out_col))
+
+
 def permute_column(df: DataFrame, column: str, key: str, seed: int | str = 1,
                    out_col: str | None = None) -> DataFrame:
     """A seeded permutation of one column's values across rows.
 
-    Row i (i-th smallest key) receives the value of the row with the i-th smallest
-    ``md5(key|seed)``.  Both dense ids are built on the key column alone (narrow
-    sorts and checkpoints), paired on the id, and the values are joined back on the
-    unique key -- equi joins only.
+    Row i (i-th smallest key) receives the value of the row at the place of i in a seeded bijection (:func:`with_permuted_index`): one dense id (one sort, written once), and one equi join
+    that moves the values to their rows.
     """
     out_col = out_col or column
-    keys = df.select(key)
-    by_key = dense_row_id(keys, [key], id_col="_i")
-    donors = dense_row_id(keys, [hash_hex(key, seed), key], id_col="_i").select("_i", F.col(key).alias("_donor"))
-    pairs = by_key.join(donors, "_i").select(key, "_donor")
-    values = df.select(F.col(key).alias("_donor"), F.col(column).alias("_permuted"))
-    joined = df.join(pairs, key).join(values, "_donor")
+    dense, n = dense_row_id_counted(df, [key], id_col="_i")
+    rows = with_permuted_index(dense, F.col("_i") - 1, n, [seed])
+    values = dense.select((F.col("_i") - 1).alias("_j"), F.col(column).alias("_permuted"))
+    joined = rows.join(values, "_j")
     if out_col == column:
         return joined.select(*[F.col("_permuted").alias(c) if c == column else F.col(c) for c in df.columns])
     return joined.select(*df.columns, F.col("_permuted").alias(out_col))

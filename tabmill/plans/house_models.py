@@ -189,11 +189,11 @@ def explain_fitted(rm, fitted: dict, df: DataFrame, method: str) -> DataFrame:
 
     features = rm.roles["numeric"] + rm.roles["nominal"]
     obs = sp.row_at_position(df, house.KEY, house.OBSERVATION) if method in ("shapley", "lime") else None
-    pairs = ex.permutation_pairs(df, house.KEY) if method == "importance" else None  # shared by all learners
+    indexed = ex.indexed_rows(df, house.KEY) if method == "importance" else None  # shared by all learners
     run = {
         "pdp_ice": lambda score: ex.pdp_ice(df, score, house.FEATURE),
         "ale": lambda score: ex.ale(df, score, house.FEATURE),
-        "importance": lambda score: ex.permutation_importance(df, score, house.TARGET, features, pairs=pairs),
+        "importance": lambda score: ex.permutation_importance(df, score, house.TARGET, features, indexed=indexed),
         "shapley": lambda score: ex.shapley(df, score, features, obs),
         "lime": lambda score: ex.lime(df, score, features, obs),
     }

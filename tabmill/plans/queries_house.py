@@ -190,11 +190,10 @@ def q_split_complement(spark, d):
     return sp.split_complement(df, train, "id")
 
 
-@query("permute_column", with_tables(["houses_clean"], f"""
+@query("permute_column", with_tables(["houses_clean", "pc_moves"], f"""
 select a.id, a.sale_price, b.g as gr_liv_area, a.lot_frontage, {", ".join("a." + c for c in HOUSE_KEPT_FACTORS)}
-from (select *, row_number() over (order by id) as i from houses_clean) a
-join (select gr_liv_area as g, row_number() over (order by md5(concat_ws('|', cast(id as varchar), '1')), id) as i
-      from houses_clean) b on a.i = b.i
+from (select *, row_number() over (order by id) - 1 as i from houses_clean) a join pc_moves m on m.i = a.i
+join (select gr_liv_area as g, row_number() over (order by id) - 1 as i from houses_clean) b on b.i = m.j
 """))
 def q_permute_column(spark, d):
     return sp.permute_column(house.cleaned(spark, d), "gr_liv_area", "id", seed=1)

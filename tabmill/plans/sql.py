@@ -6,6 +6,7 @@ pulls in the derived tables a body needs, in dependency order.
 
 from __future__ import annotations
 
+from ..operators.split import bijection_keys
 from ..sources.fixtures import ASSESSMENTS_RAW_SQL, HOUSES_RAW_SQL
 
 _DEFS: dict[str, tuple[list[str], str]] = {}
@@ -344,13 +345,43 @@ def _perm_sql(reps: int = 5, seed: int = 1) -> str:
     return " union all ".join(parts)
 
 
-define("pi_pairs", ["houses_clean"], """
-select d.rep, a.id, d.donor
-from (select id, row_number() over (order by id) as i from houses_clean) a
-join (select r.rep, h.id as donor,
-        row_number() over (partition by r.rep order by md5(concat_ws('|', cast(h.id as varchar), '1:' || cast(r.rep as varchar))), h.id) as i
-      from houses_clean h, (select unnest(range(0, 5)) as rep) r) d on a.i = d.i
+def bijection_sql(v: str, seeds: list, which: str = "0") -> str:
+    """One turn of the keyed bijection over the grid of ``grid_rows`` x ``grid_cols`` cells (columns of the row)."""
+    keys = [bijection_keys(s) for s in seeds]
+
+    def mixed(x, k):
+        a, b = (f"{[ks[k][part] for ks in keys]}[{which} + 1]" for part in (0, 1))
+        t = f"((({x}) * {a} + {b}) % 2147483647)"
+        return f"(({t} * {t}) % 2147483647)"
+
+    left, right = f"({v} // grid_cols)", f"({v} % grid_cols)"
+    for k in range(4):
+        if k % 2 == 0:
+            left = f"(({left} + {mixed(right, k)}) % grid_rows)"
+        else:
+            right = f"(({right} + {mixed(left, k)}) % grid_cols)"
+    return f"{left} * grid_cols + {right}"
+
+
+def permutation_sql(table: str, seeds: list) -> str:
+    """``rep, i, j``: the donor's place of every row and seed; values beyond the table walk on."""
+    return f"""
+with recursive size as (select n, grid_rows, (n + grid_rows - 1) // grid_rows as grid_cols
+    from (select n, cast(ceil(sqrt(n)) as bigint) as grid_rows from (select count(*) as n from {table}))),
+walk as (select rep, i, i as v, 0 as step, n, grid_rows, grid_cols from (select unnest(range(0, {len(seeds)})) as rep),
+    (select unnest(range(0, n)) as i, * from size)
+  union all select rep, i, {bijection_sql("v", seeds, "rep")}, step + 1, n, grid_rows, grid_cols from walk where step = 0 or v >= n)
+select rep, i, v as j from walk where step > 0 and v < n
+"""
+
+
+define("pi_moves", ["houses_clean"], permutation_sql("houses_clean", [f"1:{r}" for r in range(5)]))
+define("pi_pairs", ["houses_clean", "pi_moves"], """
+select m.rep, a.id, d.id as donor from pi_moves m
+join (select id, row_number() over (order by id) - 1 as i from houses_clean) a on a.i = m.i
+join (select id, row_number() over (order by id) - 1 as i from houses_clean) d on d.i = m.j
 """)
+define("pc_moves", ["houses_clean"], permutation_sql("houses_clean", [1]))
 
 define("pi_err", ["pi_pairs", "houses_clean"], f"""
 select feature, rep, avg(e) as err from ({_perm_sql()}) u group by feature, rep

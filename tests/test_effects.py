@@ -162,3 +162,20 @@ def test_gram_of_rows_with_gaps_and_levels_outside(spark):
     assert got[1][0].tolist() == [1, 4, 0, 0, 5] and len(got) == 2
     assert ln.fold_gram(df.limit(0), design).collect() == []
     assert ln.chosen_penalty([(0.0, 0, "test", 2.0), (1.0, 0, "test", 2.0), (1.0, 0, "train", 0.0)]) == 1.0
+
+
+# ---------------------------------------------------------------- keyed bijection
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 10, 37, 100, 101, 5000])
+def test_bijection_meets_every_place_once(spark, n):
+    from tabmill.operators import split as sp
+
+    rows = spark.range(n).withColumn("rep", F.explode(F.array(F.lit(0), F.lit(1))))
+    got = sp.with_permuted_index(rows.select("rep", "id"), F.col("id"), n, ["a", "b"], F.col("rep"), "j").collect()
+    for rep in (0, 1):
+        assert sorted(r.j for r in got if r.rep == rep) == list(range(n))
+    if n > 50:
+        moves = [[r.j for r in sorted(got) if r.rep == rep] for rep in (0, 1)]
+        assert moves[0] != moves[1]
+        assert all(abs(np.corrcoef(np.arange(n), m)[0, 1]) < 0.35 for m in moves)
+        assert all(sum(i == j for i, j in enumerate(m)) <= 12 for m in moves)
