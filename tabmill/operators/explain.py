@@ -265,6 +265,43 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     return top_features(out, top)
 
 
+def grouped_importance(df: DataFrame, classify: Scorer, target: str, features: Sequence[str], group: str, key: str = "id",
+                       repetitions: int = REPETITIONS, seed: int = 1) -> DataFrame:
+    """Permutation importance of a classifier by the share of wrong labels, permuting within each value of ``group``.
+
+    ``classify`` appends ``estimate``.  One dense id in (group, key) order serves all groups and repetitions; each group's rows are moved by a
+    bijection of its own size.  The ratio to the unpermuted share is NULL where that is 0.  Returns ``group, feature, importance_05,
+    importance, importance_95, permutation_error``; groups are few (a task column), rows with a NULL group are left out.
+    """
+    features = list(features)
+    df = df.select(key, group, target, *features).where(F.col(group).isNotNull())
+    dense, _ = dense_row_id_counted(df, [group, key], "_i")
+    sizes = {r[0]: (r["first"], r["n"]) for r in dense.groupBy(group).agg(F.min("_i").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
+    wrong = F.coalesce((F.col(target) != F.col("estimate")).cast("int"), F.lit(1))
+    base = classify(df).groupBy(group).agg(F.avg(wrong).alias("_base"))
+    reps = dense.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))))
+    placed = None
+    for g in sorted(sizes, key=str):
+        first, n = sizes[g]
+        part = with_permuted_index(reps.where(F.col(group) == F.lit(g)), F.col("_i") - first, n, [f"{seed}:{g}:{r}" for r in range(repetitions)],
+                                   F.col("_rep")).withColumn("_j", F.col("_j") + first)
+        placed = part if placed is None else placed.unionByName(part)
+    if placed is None:
+        return df.sparkSession.createDataFrame([], f"`{group}` string, feature string, importance_05 double, importance double, "
+                                               "importance_95 double, permutation_error double")
+    donors = dense.select(F.col("_i").alias("_j"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
+    wide = placed.join(donors, "_j")
+    variants = F.array(*[F.struct(F.lit(f).alias("_feature"), *[(F.col(f"_d_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(features)])
+                         for f in features])
+    scored = classify(wide.select("_rep", key, group, target, F.inline(variants)))
+    errors = scored.groupBy(group, "_feature", "_rep").agg(F.avg(wrong).alias("_err")).join(base, group)
+    ratio = F.try_divide(F.col("_err"), F.col("_base"))
+    out = errors.groupBy(group, F.col("_feature").alias("feature")).agg(
+        F.percentile(ratio, [0.05, 0.5, 0.95]).alias("_q"), F.percentile("_err", 0.5).alias("permutation_error"))
+    return out.select(group, "feature", F.col("_q")[0].alias("importance_05"), F.col("_q")[1].alias("importance"),
+                      F.col("_q")[2].alias("importance_95"), "permutation_error")
+
+
 def top_features(imp: DataFrame, top: int | None = 20, by: str = "importance", digits: int | None = 6) -> DataFrame:
     """Top ``top`` rows by ``by`` with ties kept (rank), plus a display order (small frame)."""
     if digits is not None:

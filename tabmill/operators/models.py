@@ -146,10 +146,31 @@ class FittedClassifier:
         whole = F.aggregate("_odds", F.lit(0.0), lambda s, x: s + x)
         return out.withColumn("estimate", best).withColumn("_shares", F.transform("_odds", lambda p: p / whole))
 
+    @property
+    def features(self) -> list[str]:
+        return list(self.model.stages[1].getInputCols())
+
     @property
     def description(self) -> str:
-        last = self.model.stages[-2]
-        return f"{type(last).__name__}:{last.uid}"
+        """Learner and the parameters that were set: the same in every run."""
+        return f"{type(self.model.stages[-2]).__name__}({', '.join(f'{k}={v}' for k, v in self.params.items())})"
+
+    @property
+    def params(self) -> dict[str, str]:
+        """Parameters of the learner that differ from its defaults, column names aside."""
+        est = self.model.stages[-2]
+        if isinstance(est, OneVsRestModel):
+            est = est.models[0]
+        return {p.name: str(v) for p, v in sorted(est.extractParamMap().items(), key=lambda x: x[0].name)
+                if est.isSet(p) and not p.name.endswith("Col")}
+
+    def scorer(self, rm: RecipeModel) -> Scorer:
+        """Classifier over raw rows: encode by the recipe, append ``estimate``; keeps all input columns."""
+        def score(df: DataFrame) -> DataFrame:
+            keep = [c for c in df.columns if c != "estimate"]
+            return self._scored(encode(rm, df.select(*keep))).select(*keep, "estimate")
+
+        return score
 
 
 def classification_pipeline(features: list[str], target: str, name: str, seed: int = 7, **kw):
@@ -302,3 +323,16 @@ def save_models(models: dict, path: str) -> list[str]:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_classifier(row) -> FittedClassifier:
+    """The fitted classifier behind a row of the registry (:func:`registry_rows`)."""
+    return FittedClassifier(row["task"], row["model"], load_model(row["path"]), list(row["labels"]))
+
+
+def registry_rows(spark, fitted: dict[tuple[str, str], FittedClassifier], path: str) -> DataFrame:
+    """Saves every fit below ``path``; ``task, model, fit, params, labels, n_features, path``: all that scoring from a row needs."""
+    paths = save_models(fitted, path)
+    rows = [(t, m, f.description, f.params, f.labels, len(f.features), p) for ((t, m), f), p in zip(fitted.items(), paths)]
+    return spark.createDataFrame(rows, "task string, model string, fit string, params map<string, string>, labels array<string>, "
+                                       "n_features int, path string")

@@ -6,8 +6,10 @@ import functools
 
 from pyspark.sql import functions as F
 
+from ..operators import explain as ex
 from ..operators import metrics as mt
 from ..operators import probability as pb
+from ..operators import split as sp
 from . import risk
 from .catalog import query
 from .sql import nth_sql, with_tables
@@ -447,3 +449,46 @@ def q_risk_group_frequencies(spark, d):
     preds = rmod.risk_probabilities(spark, d, ["random_forest", "decision_tree", "glmnet"], keep=STATED["features"], **STATED)
     return preds.select("task", "model", F.col(STATED["features"][0]).alias("female"), F.explode("probs").alias("class", "p")).withColumn(
         "p", F.round("p", 3)).distinct()
+
+
+# ---------------------------------------------------------------- importance per task, registry of fits
+
+
+@query("risk_rule_importance", with_tables(["ri_out"], """
+select task, feature, round(importance_05, 9) as importance_05, round(importance, 9) as importance, round(importance_95, 9) as importance_95,
+  round(permutation_error, 9) as permutation_error from ri_out
+"""))
+def q_risk_rule_importance(spark, d):
+    """How much the pinned rule's share of wrong labels grows when a predictor is permuted within its task."""
+    out = ex.grouped_importance(rmod.importance_rows(spark, d), rmod.rule_classifier, risk.TARGET, rmod.PREDICTORS, "task", risk.KEY)
+    return out.select("task", "feature", *[F.round(c, 9).alias(c) for c in ("importance_05", "importance", "importance_95", "permutation_error")])
+
+
+@query("risk_importance")
+def q_risk_importance(spark, d):
+    """The same for the fitted trees and logistic regressions."""
+    return rmod.risk_importance(spark, d)
+
+
+@query("risk_registry", with_tables(["risk_juiced", "risk_baked", "majority_metrics"], """
+select t.task, m.model, m.fit, 3 as n_labels, 1 as n_features, t.n_train, s.n_test, s.n_test as same_after_reload,
+  round(max(a.estimate) filter (where a.metric = 'accuracy'), 9) as accuracy
+from (select display_text as task, count(*) as n_train from risk_juiced group by 1) t
+join (select display_text as task, count(*) as n_test from risk_baked group by 1) s using (task)
+join majority_metrics a using (task),
+(values ('decision_tree', 'DecisionTreeClassificationModel(seed=7)'),
+        ('glmnet', 'LogisticRegressionModel(elasticNetParam=1.0, family=multinomial, maxIter=100, regParam=0.0)'),
+        ('random_forest', 'RandomForestClassificationModel(bootstrap=False, featureSubsetStrategy=all, numTrees=1, seed=7)')) m(model, fit)
+group by all
+"""))
+def q_risk_registry(spark, d):
+    """Fits saved with what is needed to use them; every one is read back from its row and hits as many test rows as before."""
+    registry, baked = rmod.risk_registry(spark, d, ["decision_tree", "glmnet", "random_forest"], **STATED)
+    registry = sp.materialize(registry)
+    again = rmod.score_registry(registry, baked).groupBy("task", "model").agg(
+        F.sum((F.col("truth") == F.col("estimate")).cast("bigint")).alias("_hits"))
+    accuracy = F.filter("metrics", lambda m: m["metric"] == "accuracy")[0]["estimate"]
+    same = F.col("_hits") == F.round(accuracy * F.col("n_test")).cast("bigint")
+    return registry.join(again, ["task", "model"]).select(
+        "task", "model", "fit", F.size("labels").alias("n_labels"), "n_features", "n_train", "n_test",
+        F.when(same, F.col("n_test")).otherwise(0).alias("same_after_reload"), F.round(accuracy, 9).alias("accuracy"))

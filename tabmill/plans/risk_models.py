@@ -8,10 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import explain as ex
 from ..operators import metrics as mt
 from ..operators import models as md
 from ..operators import probability as pb
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 from . import risk
 
 
@@ -92,3 +93,57 @@ def fit_grid_summary(spark: SparkSession, sf_dir: str, models: Sequence[str] = m
         [(t, m, f.description, f.labels, len(md.feature_columns(rm))) for (t, m), f in fitted.items()],
         "task string, model string, fit string, labels array<string>, n_features int")
     return fits.join(rows, "task", "left")
+
+
+# ---------------------------------------------------------------- registry of fits
+
+def risk_registry(spark: SparkSession, sf_dir: str, models: Sequence[str] = md.CLASSIFIER_NAMES, path: str | None = None,
+                  **kw) -> tuple[DataFrame, DataFrame]:
+    """(registry, baked test rows).  A registry row per (task, model): the saved fit's path, its parameters and labels, numbers of training and test rows
+    and its metrics on the test rows.  :func:`score_registry` predicts from the rows alone."""
+    rm, juiced, baked = risk.prepared(spark, sf_dir)
+    fitted = md.fit_grid(juiced, rm, [g for g in rm.groups if g is not None], models, risk.TASK_COL, risk.TARGET, risk.KEY, **kw)
+    fits = md.registry_rows(spark, fitted, path or scratch_path(spark, "fits"))
+    counts = [f.groupBy(F.col(risk.TASK_COL).alias("task")).agg(F.count(F.lit(1)).cast("bigint").alias(n)) for f, n in ((juiced, "n_train"), (baked, "n_test"))]
+    nested = mt.nest_metrics(mt.metrics_from_confusion(grid_confusion(fitted, baked)))
+    return fits.join(counts[0], "task", "left").join(counts[1], "task", "left").join(nested, ["task", "model"], "left"), baked
+
+
+def score_registry(registry: DataFrame, baked: DataFrame) -> DataFrame:
+    """Predictions of every fit of a registry (one row per task and model), loaded from its path."""
+    rows = registry.select("task", "model", "path", "labels").collect()
+    return md.predict_grid({(r["task"], r["model"]): md.load_classifier(r) for r in rows}, baked, risk.TASK_COL, risk.TARGET, risk.KEY)
+
+
+# ---------------------------------------------------------------- importance per task
+
+def rule_classifier(df: DataFrame) -> DataFrame:
+    return df.withColumn("estimate", risk.rule_estimate())
+
+
+PREDICTORS = ["sex_code_text", "ethnic_code_text", "date_of_birth", "custody_status", "marital_status"]
+
+
+def importance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered test rows with the raw predictors."""
+    return risk.filter_levels(risk.split_frame(spark, sf_dir)).where("set = 'test'").select(
+        risk.KEY, F.col(risk.TASK_COL).alias("task"), risk.TARGET, *PREDICTORS)
+
+
+def risk_importance(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("decision_tree", "glmnet"), **kw) -> DataFrame:
+    """Importance of every predictor for every task and fitted model: ``model, task, feature, importance...``."""
+    rm, fitted, _ = fit_risk_grid(spark, sf_dir, models, **kw)
+    rows = importance_rows(spark, sf_dir)
+    out = None
+    for m in models:
+        def classify(df, m=m):
+            done = None
+            for t in sorted(t for t, name in fitted if name == m):
+                own = df.where(F.col("task") == t).withColumn(risk.TASK_COL, F.lit(t))
+                scored = fitted[t, m].scorer(rm)(own).drop(risk.TASK_COL)
+                done = scored if done is None else done.unionByName(scored)
+            return done
+
+        part = ex.grouped_importance(rows, classify, risk.TARGET, PREDICTORS, "task", risk.KEY).withColumn("model", F.lit(m))
+        out = part if out is None else out.unionByName(part)
+    return out

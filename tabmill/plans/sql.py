@@ -644,3 +644,35 @@ join (select k as fold, b, avg(y) as p from (select neighborhood = 'BUILDING' as
         (select unnest(range(0, 4)) as k) o where h.fold <> o.k group by k, b) m on m.b = d.b
 group by all
 """)
+
+
+# ------------------------------------------------------------------ importance per task with the pinned rule
+
+RISK_TASKS = ["Risk of Failure to Appear", "Risk of Recidivism", "Risk of Violence"]
+RISK_PREDICTORS = ["sex_code_text", "ethnic_code_text", "date_of_birth", "custody_status", "marital_status"]
+
+define("ri_rows", ["risk_split"], """
+select *, row_number() over (partition by display_text order by assessment_id) - 1 as i from risk_split where set = 'test'
+""")
+for _k, _t in enumerate(RISK_TASKS):
+    define(f"ri_rows_{_k}", ["ri_rows"], f"select * from ri_rows where display_text = '{_t}'")
+    define(f"ri_moves_{_k}", [f"ri_rows_{_k}"], permutation_sql(f"ri_rows_{_k}", [f"1:{_t}:{r}" for r in range(5)]))
+define("ri_moves", [f"ri_moves_{k}" for k in range(len(RISK_TASKS))], " union all ".join(
+    f"select '{t}' as task, * from ri_moves_{k}" for k, t in enumerate(RISK_TASKS)))
+
+
+def _risk_rule(dob: str, custody: str) -> str:
+    return f"case when {dob} = 'Younger than 25' then 'High' when {custody} = 'Jail Inmate' then 'Medium' else 'Low' end"
+
+
+define("ri_out", ["ri_rows", "ri_moves"], f"""
+select task, feature, quantile_cont(err / base, 0.05) as importance_05, quantile_cont(err / base, 0.5) as importance,
+  quantile_cont(err / base, 0.95) as importance_95, quantile_cont(err, 0.5) as permutation_error
+from (select m.task, f.feature, m.rep, avg(case when a.score_text <> {_risk_rule("case when f.feature = 'date_of_birth' then d.date_of_birth else a.date_of_birth end",
+        "case when f.feature = 'custody_status' then d.custody_status else a.custody_status end")} then 1 else 0 end) as err
+      from ri_moves m join ri_rows a on a.display_text = m.task and a.i = m.i join ri_rows d on d.display_text = m.task and d.i = m.j
+      cross join (select unnest({RISK_PREDICTORS!r}) as feature) f group by all) e
+join (select display_text as task, avg(case when score_text <> {_risk_rule("date_of_birth", "custody_status")} then 1 else 0 end) as base
+      from ri_rows group by 1) using (task)
+group by all
+""")
