@@ -3,9 +3,11 @@
 A page is cut into flat blocks at block-level tags.  Each block has its word count and link density, those of the
 blocks before and behind it, and where it stands (inside an article or main element, inside a container whose tag, role, class or id names
 page furniture, in a heading).  A decision tree trained on the small labelled table below decides which blocks are main text.
+Where it leaves a page without any, the blocks outside furniture that are not mostly links are taken, and if there are none, those in containers whose
+names may also be a topic ("discussion", "responses").
 
 Defined cases: null and empty html give an empty text; markup may be unclosed, nested wrongly or cut off anywhere; comments, scripts, styles, form
-controls and the document head never give text; ``br`` is white space; text of any length is kept whole; repeated rows are extracted
+controls, hidden elements and the document head never give text, but a button within a sentence does; ``br`` is white space; text of any length is kept whole; repeated rows are extracted
 alike; an empty table gives an empty result; other columns pass through, an older ``text``/``n_chars`` column is replaced.
 """
 
@@ -21,8 +23,9 @@ from pyspark.sql import types as T
 from .common import with_fields
 
 # HTML element names by their role.
-SKIPPED = frozenset("head script style noscript template svg math iframe object canvas audio video map select textarea button "
+SKIPPED = frozenset("head script style noscript template svg annotation annotation-xml iframe object canvas audio video map select textarea "
                     "datalist title".split())
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BREAKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
                    "tbody td tfoot th thead tr ul".split())
@@ -38,8 +41,15 @@ FURNITURE = frozenset("ad ads advert adverts advertisement advertising adsense a
                       "feedback footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification "
                       "outbrain pager pagination paywall popup promo promoted promotion recommended related replies reply respond responses search share "
                       "sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toc toolbar topbar widget widgets".split())
-# Words that name a thing together with one of those: "comment-list", "site-footer".  With any other part ("has-sidebar",
-# "cookies-not-set") a class says something about the page, not what the element is.
+# Of those, words that may as well be what an article is about ("market-share", "job-search", "discussion"): they count alone or with the parts
+# below, not as the id of a section, and not where a page would be left without text.
+TOPICS = frozenset("alert complementary consent copyright disclaimer discussion feedback menu notice notices related replies reply respond responses "
+                   "search share skip social sponsor".split())
+# Of those, words that still name furniture at either end of a longer name: "related-articles", "notice-info".
+NAMING = TOPICS & frozenset("notice notices related".split())
+# With one of these a class says something about the page, not what the element is: "has-sidebar", "cookies-not-set".
+ABOUT = frozenset("disable disabled enable enabled free has hide no non not show with without".split())
+# Words that name a thing together with one of those: "comment-list", "site-footer".
 PARTS = frozenset("area aside bar block blocks body bottom box btn button buttons card cards column container content div element fixed form global group "
                   "head header heading holder icon icons inline inner item items label left link links list main message module outer overlay page "
                   "panel post posts primary region right row secondary section site slot sticky sub text thread title top ui unit wrap wrapper".split())
@@ -71,8 +81,9 @@ LABELLED = BY_PLACE + (
     (6, 0.50, 60, 0.0, 60, 0.0, 1, 0, 0, 1), (10, 0.00, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (2, 0.00, 1, 1.0, 1, 1.0, 1, 0, 0, 1),
     (15, 0.85, 60, 0.0, 60, 0.0, 1, 0, 0, 1), (4, 0.00, 300, 0.0, 8, 0.0, 1, 0, 0, 1), (9, 0.00, 200, 0.0, 14, 0.0, 1, 0, 0, 1),
     (20, 0.90, 30, 0.0, 8, 0.0, 1, 0, 0, 1), (9, 0.70, 12, 0.0, 25, 0.0, 1, 0, 0, 1), (30, 0.80, 0, 0.0, 40, 0.0, 1, 0, 0, 1),
-    # link lists inside articles
-    (4, 1.00, 4, 1.0, 5, 1.0, 1, 0, 0, 0), (2, 1.00, 50, 0.0, 3, 1.0, 1, 0, 0, 0), (7, 1.00, 6, 1.0, 0, 0.0, 1, 0, 0, 0),
+    # linked paragraphs, sources and table cells of articles
+    (4, 1.00, 4, 1.0, 5, 1.0, 1, 0, 0, 1), (2, 1.00, 50, 0.0, 3, 1.0, 1, 0, 0, 1), (7, 1.00, 6, 1.0, 0, 0.0, 1, 0, 0, 1),
+    (6, 1.00, 40, 0.0, 40, 0.0, 1, 0, 0, 1), (1, 1.00, 1, 0.0, 1, 1.0, 1, 0, 0, 1),
     # furniture inside articles: adverts, notices, comments, share bars
     (20, 0.00, 60, 0.0, 60, 0.0, 1, 1, 0, 0), (60, 0.00, 30, 0.0, 40, 0.0, 1, 1, 0, 0), (3, 1.00, 80, 0.0, 3, 1.0, 1, 1, 0, 0),
     (2, 0.00, 90, 0.0, 30, 0.0, 1, 1, 1, 0), (150, 0.00, 4, 0.0, 3, 0.0, 1, 1, 0, 0), (12, 0.10, 12, 0.0, 12, 0.0, 1, 1, 0, 0),
@@ -133,52 +144,77 @@ def decide(tree, row) -> int:
     return tree
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
-    """(furniture, article, header, firm) by element name and attributes; firm furniture keeps the articles in it."""
+def _hidden(attributes: str) -> bool:
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").replace(" ", "").lower()
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value):
+            return True
+    return False
+
+
+def _named(words: list[str], topics: bool) -> set[str]:
+    """Furniture words by which a class or id names its element: all of them if the other words only say what kind of thing it
+    is, else those at either end that are no topics."""
+    found = FURNITURE.intersection(words)
+    if not topics:
+        found -= TOPICS
+    if not found or not ABOUT.isdisjoint(words):
+        return set()
+    if all(w in FURNITURE or w in PARTS for w in words):
+        return found
+    return found & {words[0], words[-1]} - (TOPICS - NAMING)
+
+
+def _marks(tag: str, attributes: str, topics: bool = True) -> tuple[bool, bool, bool, bool]:
+    """(furniture, article, header, firm) by element name and attributes; firm furniture keeps the articles in it.
+    Without ``topics``, names that may be what a text is about do not count."""
     furniture, article, header, firm = tag in FURNITURE_TAGS, tag in ("article", "main"), tag == "header", tag in FIRM_TAGS
+    if _hidden(attributes):
+        furniture = firm = True
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
         if name in ("style", "hidden", "aria-hidden"):
-            if name == "hidden" or (value.lower() == "true" if name == "aria-hidden" else "display:none" in value.replace(" ", "").lower()):
-                furniture = firm = True
             continue
         for token in value.split():
-            words = set(WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
-            found = words & FURNITURE
-            whole = all(w in FURNITURE or w in PARTS or w.isdigit() for w in words)
-            header |= whole and "header" in words
-            if not found:
+            words = [w for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if len(w) > 1 and not w.isdigit()]
+            header |= "header" in words and all(w in FURNITURE or w in PARTS for w in words)
+            named = _named(words, topics and not (name == "id" and tag == "section"))
+            if FURNITURE.isdisjoint(words):
                 article |= not ARTICLE.isdisjoint(words)
-            elif whole and tag not in HOLDERS:
+            elif named and tag not in HOLDERS:
                 furniture = True
-                firm |= not FIRM.isdisjoint(found)
+                firm |= not FIRM.isdisjoint(named)
     return furniture, article and not furniture, header, firm
 
 
-def blocks(page: str) -> list[dict]:
-    """Flat text blocks in page order: text, words, words inside links, and where the block stands."""
+def blocks(page: str, topics: bool = True) -> list[dict]:
+    """Flat text blocks in page order: text, words, words inside links, and where the block stands.  A block of nothing but button
+    labels is furniture."""
     out: list[dict] = []
     stack: list[tuple[str, bool, bool, bool, bool]] = []  # container, and whether it lies in furniture, an article, a header, firm furniture
     parts: list[str] = []
-    linked, in_link, heading = 0, 0, False
+    linked, in_link, heading, pressed, in_button = 0, 0, False, 0, 0
     furniture = article = header = firm = False
 
     def close():
-        nonlocal parts, linked, heading
+        nonlocal parts, linked, heading, pressed
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append({"text": text, "words": text.count(" ") + 1, "linked": linked, "article": article,
-                            "furniture": furniture or (header and not article), "heading": heading})
-        parts, linked = [], 0
+                n = text.count(" ") + 1
+                out.append({"text": text, "words": n, "linked": linked, "article": article,
+                            "furniture": furniture or (header and not article) or pressed >= n, "heading": heading})
+        parts, linked, pressed = [], 0, 0
 
     def say(text: str):
-        nonlocal linked
+        nonlocal linked, pressed
         if "&" in text:
             text = html.unescape(text)
         parts.append(text)
-        if in_link:
-            linked += len(text.split())
+        if in_link or in_button:
+            n = len(text.split())
+            linked += n if in_link else 0
+            pressed += n if in_button else 0
 
     at, skipping, depth = 0, "", 0
     for m in TAG.finditer(page):
@@ -195,8 +231,8 @@ def blocks(page: str) -> list[dict]:
             if tag == skipping:
                 depth += -1 if closing else 1
                 skipping = skipping if depth else ""
-            elif skipping == "head" and tag == "body":  # an unclosed head ends where the body begins
-                skipping = ""
+            elif (skipping == "head" and tag == "body") or (skipping not in SKIPPED and tag in BREAKS):
+                skipping = ""  # an unclosed head ends where the body begins, a hidden phrase with its block
             if skipping:
                 continue
         if tag in SKIPPED:
@@ -207,13 +243,18 @@ def blocks(page: str) -> list[dict]:
                 else:
                     skipping, depth = tag, 1
             continue
+        if tag not in BREAKS and tag not in VOID and not closing and attributes and not attributes.endswith("/") and _hidden(attributes):
+            skipping, depth = tag, 1
+            continue
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
             in_link = 0 if closing else 1
+        elif tag == "button":
+            in_button = 0 if closing else 1
         elif tag in BREAKS:
             close()
-            in_link = 0
+            in_link = in_button = 0
             heading = tag in HEADINGS and not closing
             if not closing:
                 ended = LINES.union(ENDED_BY.get(tag, "").split())
@@ -228,14 +269,14 @@ def blocks(page: str) -> list[dict]:
                         del stack[k:]
                     furniture, article, header, firm = stack[-1][1:] if stack else (False, False, False, False)
                 elif not attributes.endswith("/"):
-                    f, a, top, hard = _marks(tag, attributes)
+                    f, a, top, hard = _marks(tag, attributes, topics)
                     firm = firm or hard
                     if tag in ("article", "main") and not firm:  # ends furniture such as a wrapper with a sidebar's class
                         furniture = False
                     furniture, article, header = furniture or f, article or a, header or top
                     stack.append((tag, furniture, article, header, firm))
-            elif not closing and attributes and _marks(tag, attributes)[0]:
-                firm = firm or _marks(tag, attributes)[3]
+            elif not closing and attributes and _marks(tag, attributes, topics)[0]:
+                firm = firm or _marks(tag, attributes, topics)[3]
                 stack.append((tag, True, article, header, firm))
                 furniture = True
             elif closing and stack and stack[-1][0] == tag:
@@ -250,6 +291,15 @@ def blocks(page: str) -> list[dict]:
 def extract(page: str | None, tree) -> str:
     """Main text of one page: its main-text blocks joined by line breaks."""
     found = blocks(page or "")
+    kept = _main(found, tree)
+    if not kept:  # short texts without an article element
+        kept = [b["text"] for b in found if not b["furniture"] and 2 * b["linked"] <= b["words"]]
+    if not kept and any(b["furniture"] for b in found):
+        kept = _main(blocks(page, topics=False), tree)
+    return "\n".join(kept)
+
+
+def _main(found: list[dict], tree) -> list[str]:
     has_article = any(b["article"] and not b["furniture"] for b in found)
     size = [(0, 0.0), *((b["words"], min(1.0, b["linked"] / b["words"])) for b in found), (0, 0.0)]
     kept = []
@@ -258,7 +308,7 @@ def extract(page: str | None, tree) -> str:
         row = (*size[i], *size[i - 1], *size[i + 1], place, int(b["furniture"]), int(b["heading"]))
         if decide(tree, row):
             kept.append(b["text"])
-    return "\n".join(kept)
+    return kept
 
 
 def main_text(pages: DataFrame, html_col: str = "html", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:

@@ -107,6 +107,50 @@ def test_unclosed_blocks_end_where_the_next_begins():
     assert h.extract(page, h.grow_tree(h.LABELLED)) == "One two three.\nFour five.\nSix seven\nHead"
 
 
+TREE = h.grow_tree(h.LABELLED)
+
+
+@pytest.mark.parametrize("name", [
+    "article-comments", "user-comments", "fb-comments", "reader-comments", "entry-comments", "related-articles", "related-stories", "js-ad", "google-ad",
+    "dfp-ad", "ad-300x250", "cookie-policy", "cookie-law-info", "newsletter-cta", "breaking-banner", "promo-teaser", "blog-sidebar", "notice-info",
+    "adSlot", "commentsSection", "post__comments", "discussion", "site-search", "share-buttons"])
+def test_names_of_furniture_in_an_article(name):
+    inner = f'<p>One two three.</p><div class="{name}"><p>Not of the article, in many words that look like it.</p></div><p>Four five.</p>'
+    assert h.extract(f"<body><article>{inner}</article></body>", TREE) == "One two three.\nFour five."
+    assert h.extract(f"<body><article>{inner.replace('class', 'id')}</article></body>", TREE) == "One two three.\nFour five."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-ads", "with-comments", "cookies-not-set", "ad-free", "market-share", "job-search-tips", "restaurant-menu",
+                                  "entry-content", "lively-discussion-of-results", "adventure", "commentary", "shared-history"])
+def test_names_that_are_no_furniture(name):
+    page = f'<body><article><p>One two three.</p><div class="{name}"><p>Part of the article.</p></div></article></body>'
+    assert h.extract(page, TREE) == "One two three.\nPart of the article."
+
+
+def test_links_formulas_buttons_and_hidden_words_of_an_article():
+    cases = {
+        "<p>See this.</p><p><a href=x>Read the full paper here</a></p>": "See this.\nRead the full paper here",
+        "<p>Sources</p><ul><li><a href=x>First source</a></li><li><a href=y>Second source</a></li></ul>": "Sources\nFirst source\nSecond source",
+        "<table><tr><td>Name</td><td><a href=x>Link</a></td></tr></table>": "Name\nLink",
+        "<p>Let <math><mi>x</mi><annotation encoding=t>\\x</annotation></math> be five</p>": "Let x be five",
+        "<p>Press <button>Start</button> to begin.</p><p><button>Subscribe now</button></p>": "Press Start to begin.",
+        "<p>One <span hidden>secret</span> two <b style='display: none'>gone</b> three</p>": "One two three",
+        "<p>One <span hidden>secret</p><p>two</p>": "One\ntwo",
+        "<section id=responses><p>What they said.</p></section><section id=related><p>Kin.</p></section>": "What they said.\nKin.",
+    }
+    for inner, want in cases.items():
+        assert h.extract(f"<body><nav><a href=z>Home</a></nav><article>{inner}</article><footer>Foot</footer></body>", TREE) == want
+
+
+def test_pages_that_hold_nothing_else():
+    assert h.extract("<body><nav><a href=x>Home</a></nav><p>Mix it well.</p><ul><li>2 eggs<li>flour<li>milk</ul><p>Bake.</p></body>", TREE) == (
+        "Mix it well.\n2 eggs\nflour\nmilk\nBake.")
+    words = " ".join(["word"] * 40)
+    assert h.extract(f'<body><nav><a href=x>Home</a></nav><div class="discussion"><p>{words}</p></div></body>', TREE) == words
+    assert h.extract(f'<body><div class="comments"><p>{words}</p></div></body>', TREE) == ""
+    assert h.extract("<body><nav><a href=x>Home</a></nav><div><a href=y>About us</a></div></body>", TREE) == ""
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "<a href='", "</p></div>", "<head><title>x", "&#xZZ; &amp"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(h.extract(page, h.grow_tree(h.LABELLED)), str)
