@@ -5,6 +5,9 @@ text.  A text is parsed greedily into phrases, each the longest match in the aut
 letter); ``phrases * log2(sample length) / text length`` estimates its cross entropy, and the language
 needing the fewest normalised phrases wins.
 
+The winner is only the nearest of the languages learned.  Whether a text is written in it at all is told by :func:`known_limits`: bits per
+character that labelled texts of the language, which the automaton has not seen, need at most at that length.
+
 The parse walks all pieces of a batch in step: one array gather per character position for all texts
 and languages.  Texts are cut into pieces of ``PIECE`` letters for this, alike for every language; every
 letter of the whole text is parsed.
@@ -34,7 +37,11 @@ ALPHABET = 64  # code 0: anything but a letter; 1-47: frequent letters; 48-62: t
 DIRECT = 47
 PIECE = 512
 SHARPNESS = 8.0  # score = softmax of -SHARPNESS * bits per character
-CLEAR = 0.4  # score below which no language is clear
+LIMIT_ROWS = 96  # further labelled texts per language that set its limits
+LIMIT_WINDOWS = 12  # windows of each length from each of them
+SHORTEST = 4  # characters; shorter texts fit any language
+SLACK = 1.25  # limits are this much above what all but a few of those windows need
+QUANTILE = 0.995
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,14 +168,48 @@ def phrases(model: dict, codes: np.ndarray, length: np.ndarray) -> np.ndarray:
     return out
 
 
-def predict_columns(model: dict | None, column) -> tuple[list[str], np.ndarray]:
-    """(language, score) of every text of an Arrow string column."""
-    langs, scores = [], []
+def known_limits(model: dict | None, samples: dict[str, list[str]]) -> np.ndarray | None:
+    """Bits per character at most of a text in each language, by the binary logarithm of its length.
+
+    ``samples`` are labelled texts that the model has not learned from; windows of 4, 8, 16, ... characters that begin at a word, and the whole
+    texts, are parsed.  A length without windows takes the limit of the one below."""
+    if model is None:
+        return None
+    limits = np.full((len(model["langs"]), 32), np.inf)
+    for i, lang in enumerate(model["langs"]):
+        windows, bucket = [], []
+        for text in samples.get(lang, []):
+            codes = model["codes"][np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+            codes = codes[squeeze(codes)]
+            begins = np.flatnonzero(np.concatenate(([True], codes[:-1] == 0)) & (codes != 0)) if len(codes) else np.zeros(0, int)
+            for b in range(int(math.log2(SHORTEST)), 10):
+                fit = begins[begins + (1 << b) <= len(codes)]
+                for a in fit[np.linspace(0, len(fit) - 1, min(LIMIT_WINDOWS, len(fit))).astype(int)] if len(fit) else ():
+                    windows.append(codes[a:a + (1 << b)])
+                    bucket.append(b)
+        if not windows:
+            continue
+        length, bucket = np.array([len(w) for w in windows]), np.array(bucket)
+        bits = phrases(model, np.concatenate(windows), length)[:, i] * model["bits"][i] / length
+        last = np.inf
+        for b in range(32):
+            own = bits[bucket == b]
+            if len(own) >= 20:
+                last = SLACK * float(np.quantile(own, QUANTILE))
+            limits[i, b] = last
+        limits[i, :int(math.log2(SHORTEST))] = np.inf
+    return limits
+
+
+def predict_columns(model: dict | None, column, limits: np.ndarray | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, whether it is written in that language at all) of every text of an Arrow string column."""
+    langs, scores, known = [], [], []
     for _, data, at in tv.slices(column):
         n = len(at) - 1
         if model is None:
             langs += ["und"] * n
             scores.append(np.zeros(n))
+            known.append(np.zeros(n, bool))
             continue
         lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         codes = model["codes"][np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)]
@@ -186,21 +227,32 @@ def predict_columns(model: dict | None, column) -> tuple[list[str], np.ndarray]:
         score = weight[np.arange(n), best] / weight.sum(axis=1)
         langs += [model["langs"][b] if k else "und" for b, k in zip(best, letters)]
         scores.append(np.where(letters > 0, score, 0.0))
-    return langs, np.concatenate(scores) if scores else np.zeros(0)
+        if limits is not None:
+            size = np.log2(np.maximum(length, 1)).astype(np.int64)
+            known.append((letters > 0) & (h[np.arange(n), best] <= limits[best, size]))
+        else:
+            known.append(letters > 0)
+    return (langs, np.concatenate(scores), np.concatenate(known)) if scores else (langs, np.zeros(0), np.zeros(0, bool))
 
 
 def identify(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text",
-             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its score appended (replacing columns of these names)."""
-    keep = [c for c in docs.columns if c not in (pred_col, score_col)]
+             pred_col: str = "lang_pred", score_col: str = "score", known_col: str | None = None,
+             others: dict[str, list[str]] | None = None) -> DataFrame:
+    """``docs`` with the predicted language and its score appended (replacing columns of these names), and with ``known_col`` whether the
+    text is written in that language by the limits that the texts of ``others`` set."""
+    told = [c for c in (pred_col, score_col, known_col) if c]
+    keep = [c for c in docs.columns if c not in told]
     base = docs.select(*keep)
-    model = base.sparkSession.sparkContext.broadcast(build_model(samples))  # bounded by ROWS * CHARS per language
+    fitted = build_model(samples)
+    limits = known_limits(fitted, others) if others is not None else None
+    model = base.sparkSession.sparkContext.broadcast((fitted, limits))  # bounded by ROWS * CHARS per language
     at = keep.index(text_col)
 
     def run(batches):
         for batch in batches:
-            lang, score = predict_columns(model.value, batch.column(at))
-            yield pa.record_batch([*batch.columns, pa.array(lang, pa.string()), pa.array(np.round(score, 6))],
-                                  names=[*batch.schema.names, pred_col, score_col])
+            lang, score, known = predict_columns(model.value[0], batch.column(at), model.value[1])
+            values = [pa.array(lang, pa.string()), pa.array(np.round(score, 6)), pa.array(known)][:len(told)]
+            yield pa.record_batch([*batch.columns, *values], names=[*batch.schema.names, *told])
 
-    return base.mapInArrow(run, with_fields(base, **{pred_col: T.StringType(), score_col: T.DoubleType()}))
+    kinds = dict(zip(told, (T.StringType(), T.DoubleType(), T.BooleanType())))
+    return base.mapInArrow(run, with_fields(base, **kinds))

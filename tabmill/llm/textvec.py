@@ -9,6 +9,9 @@ by that or by one very long text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,6 +64,14 @@ def _powers(n: int):
     return _POWERS["up"], _POWERS["down"]
 
 
+def give_back():
+    """Return memory that this process has freed to the system.  Python workers live on between tasks, and what their
+    allocators keep adds up on an executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(column, limit: int = SLICE_BYTES):
     """Yield (first row, bytes, offsets) over a string column; null counts as empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -78,6 +89,8 @@ def slices(column, limit: int = SLICE_BYTES):
         last = min(last, n)
         yield first, data[at[first]:at[last]], at[first:last + 1] - at[first]
         first = last
+    del column, at, raw, data
+    give_back()
 
 
 class Words:

@@ -164,3 +164,29 @@ def test_stems_only_of_longer_words(text, expected):
     data = np.frombuffer(text.encode(), np.uint8)
     h, _ = tox._marks(tv.Words(data, np.array([0, len(data)])))
     assert len(h) == 1 + expected
+
+
+UNLEARNED = {
+    "it": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ah quanto a dir qual era",
+    "pl": "Litwo! Ojczyzno moja! ty jesteś jak zdrowie; Ile cię trzeba cenić, ten tylko się dowie, Kto cię stracił. Dziś piękność twą",
+    "nl": "Een volk dat voor tirannen zwicht, zal meer dan lijf en goed verliezen, dan dooft het licht. Ik ben makelaar in koffie",
+    "ja": "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。",
+    "ru": "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Все смешалось в доме Облонских",
+}
+
+
+def test_languages_never_learned_are_told_and_short_texts_kept(spark):
+    import pyarrow as pa
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    drawn = li.training_sample(docs.where(~li.held_out(docs.doc_id)), rows=li.ROWS + li.LIMIT_ROWS)
+    model = li.build_model({k: v[:li.ROWS] for k, v in drawn.items()})
+    limits = li.known_limits(model, {k: v[li.ROWS:] for k, v in drawn.items()})
+    assert not li.predict_columns(model, pa.array(list(UNLEARNED.values())), limits)[2].any()
+    texts = [r.text for r in docs.where(li.held_out(docs.doc_id) & docs.lang.isNotNull() & docs.text.isNotNull()).collect() if any(map(str.isalpha, r.text))]
+    assert li.predict_columns(model, pa.array(texts), limits)[2].mean() > 0.99
+    for n in (1, 2, 3):
+        short = [t for t in (" ".join(x.split()[:n]) for x in texts) if any(map(str.isalpha, t))]
+        assert li.predict_columns(model, pa.array(short), limits)[2].mean() > 0.99
+    assert li.known_limits(None, {}) is None
+    assert li.predict_columns(model, pa.array(["", None, "12"]), limits)[2].tolist() == [False] * 3
