@@ -37,12 +37,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written in one of the languages learned: those without letters, and those where no language reaches
-    ``language_id.CLEAR``, go."""
+    """Documents written in one of the languages learned: those without letters go, and those that need more bits per character in
+    the nearest language than its own texts of that length do."""
     batches(spark)
-    samples = language_id.training_sample(docs.where(~language_id.held_out(F.col("doc_id"))))
-    found = language_id.identify(docs.select(*COLUMNS), samples, pred_col="__lang", score_col="__score")
-    return found.where((F.col("__lang") != "und") & (F.col("__score") >= language_id.CLEAR)).select(*COLUMNS)
+    rows = language_id.ROWS + language_id.LIMIT_ROWS
+    drawn = language_id.training_sample(docs.where(~language_id.held_out(F.col("doc_id"))), rows=rows)
+    samples = {k: v[:language_id.ROWS] for k, v in drawn.items()}
+    others = {k: v[language_id.ROWS:] for k, v in drawn.items()}
+    found = language_id.identify(docs.select(*COLUMNS), samples, pred_col="__lang", score_col="__score", known_col="__known", others=others)
+    return found.where("__known").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
