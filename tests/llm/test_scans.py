@@ -16,29 +16,74 @@ def plain(t):
     return [x for x in re.split(r"[\W_]+", (t or "").lower()) if x]
 
 
-def licenses_by_hand(rows):
-    grams = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
-    known = {k: grams(plain(v)) for k, v in lic.TEMPLATES.items()}
-    return {(i, k) for i, t in rows for k, g in known.items() if len(g & grams(plain(t))) >= 0.8 * len(g)}
+def licenses_by_hand(rows, templates=None):
+    """(id, license, first word): every window of every text against every template."""
+    out = {}
+    for name, body in (templates or lic.TEMPLATES).items():
+        w = plain(body)
+        n = min(lic.SHINGLE, len(w))
+        own = {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+        numbered = {g for g in own if any(any(c.isdigit() for c in x) for x in g)}
+        stride = next(x for x in (16 * 4 ** k if k < 3 else 256 * 2 ** (k - 2) for k in range(20)) if len(own) + lic.SHINGLE - 1 <= x)
+        for key, text in rows:
+            t = plain(text)
+            windows = {}
+            for i in range(len(t) - n + 1):
+                if tuple(t[i:i + n]) in own:
+                    for k in {i // stride, i // stride - 1} - {-1}:
+                        windows.setdefault(k, {}).setdefault(tuple(t[i:i + n]), i)
+            first = [min(x.values()) for x in windows.values() if len(x) >= 0.8 * len(own) and numbered <= set(x)]
+            if first:
+                out[key, name] = min([*first, *([out[key, name]] if (key, name) in out else [])])
+    return {(*k, v) for k, v in out.items()}
+
+
+def _found(df, **kw):
+    rows = lic.scan(df, **kw).collect()
+    assert len(rows) == len({(r.doc_id, r.license) for r in rows})
+    return {(r.doc_id, r.license, r.first_word) for r in rows}
 
 
 def test_licenses_match_all_templates(spark):
     filler = " ".join(f"w{i}" for i in range(400))
     edited = lic.TEMPLATES["MIT-grant"].replace("free of charge", "at no charge")
     rows = [(1, None), (2, ""), (3, "MIT License"), (4, filler + " " + lic.TEMPLATES["MIT-grant"].upper() + " " + filler), (5, filler + "\n" + edited),
-            (6, " ".join(lic.TEMPLATES.values())), (7, filler * 3 + lic.TEMPLATES["CC-BY-NC-4.0"]), (None, lic.TEMPLATES["MIT"]), (7, filler)]
+            (6, " ".join(lic.TEMPLATES.values())), (7, filler * 3 + lic.TEMPLATES["CC-BY-NC-4.0"]), (None, lic.TEMPLATES["MIT"]), (7, filler),
+            (8, lic.TEMPLATES["MIT-line"] + " " + lic.TEMPLATES["CC-BY-4.0"]), (9, "a b c " + lic.TEMPLATES["Apache-2.0"] + " " + lic.TEMPLATES["MIT-line"])]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, license string")
-    got = lic.scan(df).collect()
-    assert {(r.doc_id, r.license) for r in got} == licenses_by_hand(rows) and len(got) == len({(r.doc_id, r.license) for r in got})
+    got = _found(df)
+    assert got == licenses_by_hand(rows)
+    assert {x for x in got if x[0] in (8, 9)} == {(8, "MIT-line", 0), (8, "CC-BY-4.0", 8), (9, "Apache-2.0", 3), (9, "MIT-line", 11)}
     assert lic.scan(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        lic.scan(df, templates={"x": "too short"})
+        lic.scan(df, templates={"x": " - "})
+
+
+def test_versions_and_short_tags(spark):
+    rows = [(i, f"x y {t} z") for i, t in enumerate([
+        "This work is licensed under the GNU General Public License, version 2.", "This work is licensed under the GNU General Public License, version 3.",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License, Version 1.1.", "SPDX-License-Identifier: Other"])]
+    got = _found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == licenses_by_hand(rows)
+    assert {(i, k) for i, k, _ in got} == {(0, "GPL-2.0"), (1, "GPL-3.0"), (2, "LGPL-2.1"), (3, "SPDX-MIT"), (4, "SPDX-GPL-2.0-only"), (5, "SPDX-Apache-2.0")}
+    assert all(f == 2 for *_, f in got)
+
+
+def test_templates_of_any_length(spark):
+    rng = np.random.default_rng(2)
+    own = {f"t{n}": " ".join(f"v{x}" for x in rng.integers(0, 10_000, n)).replace("v", "w") for n in (1, 2, 5, 300, 1500, 6000)}
+    own = {k: re.sub(r"\d+", lambda m: "".join(chr(97 + int(c)) for c in m[0]), v) for k, v in own.items()}
+    rows = [(i, f"q q q {v} q q") for i, v in enumerate(own.values())] + [(9, own["t6000"][: len(own["t6000"]) * 9 // 10]), (10, own["t1500"][: len(own["t1500"]) // 2])]
+    got = _found(spark.createDataFrame(rows, "doc_id long, text string"), templates=own)
+    assert got == licenses_by_hand(rows, own)
+    assert {(i, f"t{n}", 3) for i, n in enumerate((1, 2, 5, 300, 1500, 6000))} | {(9, "t6000", 0)} <= got
 
 
 def test_licenses_of_documents(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     want = licenses_by_hand([(r.doc_id, r.text) for r in docs.collect()])
-    assert want and {(r.doc_id, r.license) for r in lic.scan(docs).collect()} == want
+    assert want and _found(docs) == want
 
 
 def test_alignment_scores_by_table():
