@@ -4,8 +4,9 @@ Two generative models over hashed word n-grams (words and runs of punctuation, s
 twice also counts in a bucket of its own) are counted:
 the target model from documents labelled good, the raw model from all documents.  The log importance weight of
 a document is the prior log odds of good among the labels plus the sum over its n-grams of log(target / raw) less ``bar``, where
-``bar`` is the value per n-gram that best separates labelled good from bad documents.  Documents are then drawn without replacement by Gumbel
-top-k: weight plus keyed Gumbel noise, the k largest stay, with k the number of documents whose weight is not negative.
+``bar`` is the value per n-gram that best separates labelled good from bad documents.  Documents are then drawn without replacement, in proportion to
+their importance, by Gumbel top-k: log weight plus keyed standard Gumbel noise, the k largest stay.  The caller gives the sample size k; without
+one, k is the number of documents whose weight is not negative, the size of the set that the ratio alone accepts.
 
 Only sums per hash bucket, histogram counts and the bounded labelled sample reach the driver.
 
@@ -29,7 +30,6 @@ BUCKETS = 1 << 16
 TARGET_ROWS = 6000  # labelled documents used at most
 SMOOTH = 1.0
 GOOD_COST = 4.0
-NOISE = 0.25  # scale of the Gumbel noise
 SEED = 11
 
 
@@ -146,12 +146,13 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
         lo, hi = r.lo, r.hi
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: float = NOISE,
+def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None,
              seed: int = SEED) -> DataFrame:
-    """``docs`` with ``log_weight``, ``n_grams`` and ``kept`` (the Gumbel top-k draw) appended."""
+    """``docs`` with ``log_weight``, ``n_grams`` and ``kept`` appended: a draw of ``k`` documents by importance (documents
+    with the same key as the k-th stay too; all stay if there are fewer)."""
     ratio, bar, prior = fit(docs, labels, id_col, text_col)
     weighed = weigh(docs, ratio, bar, prior, text_col)
-    key = F.col("log_weight") + F.lit(noise) * gumbel(id_col, seed)
+    key = F.col("log_weight") + gumbel(id_col, seed)
     keys = written(weighed.select("log_weight", key.alias("key")), "quality-keys")
-    k = keys.where("log_weight >= 0").count()
+    k = keys.where("log_weight >= 0").count() if k is None else k
     return weighed.withColumn("kept", key >= F.lit(kth_largest(keys, k)))

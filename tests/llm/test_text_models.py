@@ -114,6 +114,20 @@ def test_kth_largest_is_exact(spark):
     assert q.kth_largest(df, 0) == float("inf") and q.kth_largest(df, 501) == float("-inf")
 
 
+def test_quality_draw_is_standard_gumbel_top_k(spark):
+    from pyspark.sql import functions as F
+
+    noise = spark.range(40000).agg(F.avg(q.gumbel("id")).alias("mean"), F.var_samp(q.gumbel("id")).alias("var")).first()
+    assert abs(noise["mean"] - np.euler_gamma) < 0.03 and abs(noise["var"] - np.pi ** 2 / 6) < 0.06
+    docs = spark.createDataFrame([(i, "x y" if i % 3 else "z") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 60, 7)], "doc_id long, quality int")
+    for k in (0, 1, 25, 59, 60, 99):
+        rows = q.resample(docs, labels, k=k).withColumn("noise", q.gumbel("doc_id")).collect()
+        best = sorted(rows, key=lambda r: -(r.log_weight + r.noise))[:k]
+        assert {r.doc_id for r in rows if r.kept} == {r.doc_id for r in best}
+    assert any(r.kept for r in rows if r.log_weight < max(x.log_weight for x in rows))
+
+
 def test_quality_defined_cases(spark):
     docs = spark.createDataFrame([(1, "x y z", "s"), (None, None, "s"), (1, "x y z", "s")], "doc_id long, text string, kept string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
