@@ -361,29 +361,54 @@ def shapley(df: DataFrame, scorer: Scorer, features: Sequence[str], observations
 
 # ---------------------------------------------------------------- LIME (batch)
 
-def _lasso_path(R: np.ndarray, r: np.ndarray, k: int, steps: int = 100, iters: int = 200) -> np.ndarray:
-    """Coordinate-descent lasso on standardized covariance form, along a decreasing penalty
-    path; returns the last solution with at most ``k`` non-zero coefficients."""
+def lasso_path(R: np.ndarray, r: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """(coefficients, penalty) of the lasso in standardized covariance form where its path would take in feature ``k + 1``.
+
+    The solution is linear in the penalty between knots, so the path is followed exactly from knot to knot: a feature joins when its
+    residual correlation reaches the penalty, and leaves when its coefficient returns to zero.  Without a feature ``k + 1`` the path
+    ends at penalty 0, the least-squares fit of the features taken in.  A feature that repeats active ones never joins.
+    """
     p = len(r)
-    beta = np.zeros(p)
-    if p == 0:
-        return beta
-    lam_max = float(np.max(np.abs(r))) if p else 0.0
-    if lam_max == 0.0:
-        return beta
-    best = beta.copy()
-    for lam in np.geomspace(lam_max, lam_max * 1e-4, steps):
-        for _ in range(iters):
-            old = beta.copy()
-            for a in range(p):
-                rho = r[a] - R[a] @ beta + R[a, a] * beta[a]
-                beta[a] = np.sign(rho) * max(abs(rho) - lam, 0.0) / R[a, a]
-            if np.max(np.abs(beta - old)) < 1e-9:
-                break
-        if np.count_nonzero(beta) > k:
-            break
-        best = beta.copy()
-    return best
+    beta, c = np.zeros(p), np.array(r, float)
+    penalty = top = float(np.max(np.abs(c))) if p else 0.0
+    if k < 1 or top == 0.0:
+        return beta, penalty
+    active, left = [int(np.argmax(np.abs(c)))], -1
+    while True:
+        signs = np.sign(c[active])
+        own = np.linalg.solve(R[np.ix_(active, active)], np.column_stack((signs, R[active])))
+        d = own[:, 0]
+        a = R[:, active] @ d
+        new = np.diag(R) - np.sum(R[active] * own[:, 1:], axis=0)  # variance that the active features leave
+        step, event = penalty, None
+        for j in range(p):
+            if j in active or new[j] <= 1e-9:
+                continue
+            back = left >= 0 and abs(R[j, left]) > 1.0 - 1e-9  # the feature that has just left, or its repeat
+            for side in (1.0, -1.0):  # where the residual correlation of j meets the falling penalty
+                rate = 1.0 - side * a[j]
+                at = max(penalty - side * c[j], 0.0) / rate if rate > 0.0 else np.inf
+                if at < step and not (back and at <= 1e-9 * top):
+                    step, event = at, (j, True)
+        for i, v in zip(active, d):
+            if beta[i] * v < 0.0 and -beta[i] / v < step:
+                step, event = -beta[i] / v, (i, False)
+        beta[active] += step * d
+        c -= step * a
+        penalty -= step
+        if event is None:
+            return beta, 0.0
+        j, joins = event
+        if not joins:
+            beta[j] = 0.0
+            active.remove(j)
+            left = j
+        elif len(active) == k:
+            return beta, penalty
+        else:
+            active.append(j)
+            c[j] = np.copysign(penalty, c[j])
+            left = -1
 
 
 def lime_gram(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: DataFrame, key: str = "id") -> DataFrame:
@@ -448,15 +473,15 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
          k: int = LIME_K) -> DataFrame:
     """Local surrogate (weighted sparse linear model) for a batch of observations.
 
-    The weighted least-squares problem comes from :func:`lime_gram`; per observation, its (features + 2)^2 cells give a lasso
-    path to at most ``k`` features.  Returns ``id, feature, feature_value, beta, effect``.
+    The weighted least-squares problem comes from :func:`lime_gram`; per observation, its (features + 2)^2 cells give the exact lasso
+    path (:func:`lasso_path`) to at most ``k`` features.  Returns ``id, feature, feature_value, beta, effect``.
     """
     features = list(features)
     is_num = [f in co.numeric_columns(df) for f in features]
     q = len(features)
     values = {int(r[key]): [r[f] for f in features]
               for r in observations.select(key, *features).na.drop("any", subset=features).collect()}
-    path = _lasso_path
+    path = lasso_path
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         obs = int(pdf["id"].iloc[0])
@@ -472,7 +497,7 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
             beta = np.zeros(q)
             if live.any():
                 r = c[:q, :q][np.ix_(live, live)] / np.outer(sd[live], sd[live])
-                beta[live] = path(r, c[:q, q][live] / sd[live], k) / sd[live]
+                beta[live] = path(r, c[:q, q][live] / sd[live], k)[0] / sd[live]
             for f, x, v, b in zip(features, is_num, values[obs], beta):
                 if b != 0.0:
                     out.append((obs, f, f"{f}={v}", float(b), float(b * (float(v) if x else 1.0))))

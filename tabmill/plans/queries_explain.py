@@ -10,7 +10,7 @@ from ..operators import split as sp
 from . import house
 from . import house_models as hm
 from .catalog import query
-from .sql import EXPLAIN_FEATURES, _shapley_sql, lime_gram_sql, pdp_all_sql, with_tables
+from .sql import EXPLAIN_FEATURES, _shapley_sql, lime_gram_sql, lime_pair_sql, pdp_all_sql, with_tables
 
 
 def _obs(df):
@@ -162,6 +162,15 @@ def q_lime_gram(spark, d):
     return out.select("id", "i", "j", F.format_string("%.7e", "value").alias("value"))
 
 
+@query("lime_pair", "with " + with_tables(["houses_clean"], "")[5:].rstrip() + "," + lime_pair_sql(
+    EXPLAIN_FEATURES[:2], EXPLAIN_FEATURES[2:]))
+def q_lime_pair(spark, d):
+    """Local surrogate of two features: the lasso path up to where a third would join."""
+    df = house.cleaned(spark, d)
+    out = ex.lime(df, house.rule_scorer, EXPLAIN_FEATURES, _obs(df), k=2)
+    return out.select("id", "feature", F.format_string("%.6e", "beta").alias("beta"), F.format_string("%.6e", "effect").alias("effect"))
+
+
 # ---------------------------------------------------------------- the same operators over a fitted forest
 
 @query("pdp_forest")

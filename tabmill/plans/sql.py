@@ -440,6 +440,41 @@ s as (select id, {", ".join(f"sum(w * z{i} * z{j}) as s_{i}_{j}" for i, j in cel
 """ + " union all ".join(f"select id, {i} as i, {j} as j, printf('%.7e', s_{i}_{j}) as value from s" for i, j in cells)
 
 
+def lime_pair_sql(numeric: list[str], nominal: list[str], obs: int = 122) -> str:
+    """The local surrogate of two features at one observation (oracle text): its lasso path in closed form.
+
+    The first feature has the largest correlation; the second joins at step ``g1``, and the path stops at step ``g2``, where a third would."""
+    cols = numeric + nominal
+    y = len(cols) + 1
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(cols, 1))
+    value = " ".join(f"when '{c}' then o.{c}" for c in numeric)
+    head = lime_gram_sql(numeric, nominal, obs).rsplit("\nselect id, 0 as i", 1)[0]
+    pairs = " union all ".join(f"select id, {i} as i, {j} as j, s_{i}_{j} as v from s" for i in range(y + 1) for j in range(i, y + 1))
+    return head.rstrip() + f""",
+half as ({pairs}),
+m as (select * from half union all select id, j, i, v from half where i < j),
+n as (select v from m where i = 0 and j = 0),
+c as (select a.i, a.j, a.v / n.v - (b.v / n.v) * (d.v / n.v) as v from m a join m b on b.i = 0 and b.j = a.i
+  join m d on d.i = 0 and d.j = a.j cross join n where a.i > 0 and a.j > 0),
+sd as (select i, sqrt(v) as sd from c where i = j and i < {y} and v > 1e-24),
+corr as (select c.i, c.j, c.v / (a.sd * b.sd) as v from c join sd a on a.i = c.i join sd b on b.i = c.j),
+ry as (select c.i, c.v / a.sd as v from c join sd a on a.i = c.i where c.j = {y}),
+k1 as (select i, abs(v) as penalty, sign(v) as s from ry order by abs(v) desc, i limit 1),
+e1 as (select ry.i, ry.v, corr.v as rho, corr.v * k1.s as a, k1.penalty, k1.i as i1, k1.s as s1 from ry join k1 on ry.i <> k1.i
+  join corr on corr.i = ry.i and corr.j = k1.i),
+t1 as (select *, (penalty - v) / (1 - a) as up, (penalty + v) / (1 + a) as down from e1),
+k2 as (select i1, s1, i as i2, case when up <= down then 1.0 else -1.0 end as s2, least(up, down) as g1, rho, penalty from t1
+  order by least(up, down), i limit 1),
+d as (select *, (s1 - rho * s2) / (1 - rho * rho) as d1, (s2 - rho * s1) / (1 - rho * rho) as d2, penalty - g1 as rest from k2),
+e2 as (select ry.i, ry.v - d.g1 * d.s1 * x.v as v, x.v * d.d1 + z.v * d.d2 as a, d.rest from ry join d on ry.i <> d.i1 and ry.i <> d.i2
+  join corr x on x.i = ry.i and x.j = d.i1 join corr z on z.i = ry.i and z.j = d.i2),
+g2 as (select least(min(rest), min(case when a < 1 then (rest - v) / (1 - a) end), min(case when a > -1 then (rest + v) / (1 + a) end)) as g2 from e2),
+beta as (select i1 as i, s1 * g1 + g2 * d1 as b from d cross join g2 union all select i2, g2 * d2 from d cross join g2)
+select o.id, f.name as feature, printf('%.6e', b / sd.sd) as beta, printf('%.6e', b / sd.sd * case f.name {value} else 1.0 end) as effect
+from beta join sd on sd.i = beta.i join (values {names}) as f(i, name) on f.i = beta.i cross join o
+"""
+
+
 def pdp_all_sql(numeric: list[str], nominal: list[str]) -> str:
     """Mean prediction over the grid of every feature (oracle text)."""
     def rule(f, v):

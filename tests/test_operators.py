@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,6 +380,29 @@ def test_ice_keeps_a_curve_per_row_under_a_shared_id(spark):
         assert sum(r["type"] == "ice" for r in out) == 6 and sum(r["type"] == "pdp" for r in out) == 2
 
 
+def test_lasso_path_meets_the_optimality_conditions():
+    rng = np.random.default_rng(5)
+    for trial in range(200):
+        p, n = int(rng.integers(1, 9)), 40
+        x = rng.normal(size=(n, p)) @ rng.normal(size=(p, p))
+        if trial % 5 == 0 and p > 1:
+            x[:, 1] = 2 * x[:, 0]  # a repeated feature never joins
+        x = (x - x.mean(0)) / x.std(0)
+        y = x @ rng.normal(size=p) + rng.normal(size=n)
+        R, r = x.T @ x / n, x.T @ (y - y.mean()) / n
+        for k in range(0, p + 1):
+            beta, penalty = ex.lasso_path(R, r, k)
+            on = beta != 0
+            rest = r - R @ beta
+            assert on.sum() <= k
+            assert np.all(np.abs(rest) <= penalty + 1e-7)
+            assert np.allclose(rest[on], penalty * np.sign(beta[on]), atol=1e-7)
+            if k < p and penalty > 1e-9:  # one more feature is about to join
+                assert (np.abs(np.abs(rest) - penalty) < 1e-7).sum() > k
+    assert ex.lasso_path(np.eye(2), np.zeros(2), 2)[0].tolist() == [0.0, 0.0]
+    assert len(ex.lasso_path(np.zeros((0, 0)), np.zeros(0), 2)[0]) == 0
+
+
 def test_lime_leaves_incomplete_rows_out(spark):
     rows = [(i, float(i % 7), float(i % 5)) for i in range(50)]
     score = lambda d: d.withColumn("prediction", 3.0 * F.coalesce("a", F.lit(0.0)) + 2.0 * F.coalesce("b", F.lit(0.0)))
