@@ -184,7 +184,10 @@ def q_factor_levels_after_filter(spark, d):
 
 # ---------------------------------------------------------------- recipe (trained preparation)
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
 from ..operators import recipe as rc  # noqa: E402
+from ..operators.sparse import SparseEncoder  # noqa: E402
 from .sql import RISK_DUMMIES_SQL, RISK_KNOWN_SQL, known_sql  # noqa: E402
 
 
@@ -209,6 +212,26 @@ def q_one_hot(spark, d):
     return rc.one_hot(df, levels).drop("person_id")
 
 
+_HOT = ["sex_code_text", "ethnic_code_text", "date_of_birth", "custody_status", "marital_status"]
+
+
+@query("sparse_one_hot", with_tables(["risk_split"], f"""
+, levels as (select name as col, level, row_number() over (order by array_position({_HOT}, name), level) - 1 as position
+  from (select distinct name, level from (unpivot (select {", ".join(_HOT)} from risk_split where set = 'train')
+    on {", ".join(_HOT)} into name name value level)))
+select r.assessment_id, r.display_text, string_agg(cast(l.position as varchar), ',' order by l.position) as ones
+from (unpivot (select assessment_id, display_text, {", ".join(_HOT)} from risk_split) on {", ".join(_HOT)} into name name value level) r
+left join levels l on l.col = r.name and l.level = r.level group by r.assessment_id, r.display_text
+"""))
+def q_sparse_one_hot(spark, d):
+    """Sparse one-hot vectors of all rows by the levels of the training rows, shown as the positions of their ones."""
+    df = sp.materialize(risk.split_frame(spark, d).filter(risk.level_filter_condition()))
+    coded = SparseEncoder.fit(df.filter(F.col("set") == "train"), _HOT).transform(df, unseen="zero")
+    dense = vector_to_array("features")
+    ones = F.filter(F.transform(dense, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
+    return coded.select("assessment_id", "display_text", F.array_join(ones.cast("array<string>"), ",").alias("ones"))
+
+
 @query("recipe_juice", with_tables(["risk_juiced"], "select * from risk_juiced"))
 def q_recipe_juice(spark, d):
     return risk.prepared(spark, d)[1]
