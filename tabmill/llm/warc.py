@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import written
+from .common import bitmap, marked, written
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20  # uncompressed bytes after which a writer starts another file
 CHUNK = 1 << 20
+MARK_BITS = 1 << 26  # of the bitmap of repeated digests, at most; it only prunes
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 
@@ -36,14 +37,27 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  #
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, payload, digest, refers_to): ``refers_to`` is set for revisits.
 
-    Only digests that occur more than once take part in the join; they are pre-aggregated per task."""
+    Only digests that occur more than once take part in the join; they are pre-aggregated per task.  A bitmap of them (at most ``MARK_BITS``
+    bits) tells which rows may have one: only those payloads are shuffled, all others stay where they were read."""
     base = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     base = base.withColumn("digest", F.sha1("payload"))
     again = (base.where(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest")
              .agg(F.max("id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null").drop("n"))
+    again = written(again, "warc-repeats")
+    size = again.count()
+    bits = bitmap(again.select(F.xxhash64("digest").alias("h")), "h", min(MARK_BITS, max(1 << 15, 1 << (16 * size).bit_length())))
+    shared = pages.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def repeats(h: pa.Array) -> pa.Array:
+        return pa.array(marked(shared.value, h.to_numpy(zero_copy_only=False)))
+
+    parted = base.withColumn("repeats", (F.octet_length("payload") >= REVISIT_BYTES) & repeats(F.xxhash64("digest")))
     refers = F.when(~F.col("id").eqNullSafe(F.col("last")), F.col("last"))
-    return base.join(again, "digest", "left").select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    met = parted.where("repeats").join(again, "digest", "left").select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    alone = parted.where("not repeats").select("id", "url", "payload", "digest", F.lit(None).cast("long").alias("refers_to"))
+    return alone.unionByName(met)
 
 
 def opened(path: str):
