@@ -42,15 +42,18 @@ CLASSIFIER_NAMES = ["random_forest", "decision_tree", "xgboost", "glmnet"]
 REGRESSOR_NAMES = ["regr.lm", "regr.rpart", "regr.ranger"]
 
 
-def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int = 15, reg: float = 0.001, bagging: bool = True):
-    """Estimator for a classification model name (features -> label).  Without ``bagging`` a forest's trees see all rows and features."""
+def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int = 15, reg: float = 0.001, bagging: bool = True,
+               depth: int | None = None):
+    """Estimator for a classification model name (features -> label).  Without ``bagging`` a forest's trees see all rows and features;
+    ``depth`` bounds the trees (MLlib's default if None)."""
+    grown = {} if depth is None else {"maxDepth": depth}
     if name == "random_forest":
-        return RandomForestClassifier(numTrees=num_trees, seed=seed, **_bagging(bagging))
+        return RandomForestClassifier(numTrees=num_trees, seed=seed, **grown, **_bagging(bagging))
     if name == "decision_tree":
-        return DecisionTreeClassifier(seed=seed)
+        return DecisionTreeClassifier(seed=seed, **grown)
     if name == "xgboost":
         # MLlib's GBT is binary only: one-vs-rest over boosted trees for several classes.
-        return OneVsRest(classifier=GBTClassifier(maxIter=boost_rounds, seed=seed), parallelism=4)
+        return OneVsRest(classifier=GBTClassifier(maxIter=boost_rounds, seed=seed, **grown), parallelism=4)
     if name == "glmnet":
         return LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=reg, maxIter=100)
     raise KeyError(f"unknown classifier {name!r}; known: {CLASSIFIER_NAMES}")

@@ -515,3 +515,29 @@ def q_risk_registry(spark, d):
     return registry.join(again, ["task", "model"]).select(
         "task", "model", "fit", F.size("labels").alias("n_labels"), "n_features", "n_train", "n_test",
         F.when(same, F.col("n_test")).otherwise(0).alias("same_after_reload"), F.round(accuracy, 9).alias("accuracy"))
+
+
+# ---------------------------------------------------------------- tuning
+
+
+@query("risk_tuning_stated", with_tables(["tune_means"], """
+select task, 'decision_tree' as model, 'depth=' || setting as params, n_folds, round(train, 9) as train, round(test, 9) as test,
+  row_number() over (partition by task order by test desc, setting) = 1 as chosen
+from tune_means
+"""))
+def q_risk_tuning_stated(spark, d):
+    """Trees of depth 0 and 1 on one 0/1 predictor: the most frequent class, of all rows or of the group, outside each fold."""
+    out = rmod.risk_tuning(spark, d, [("decision_tree", {"depth": 0}), ("decision_tree", {"depth": 1})], STATED["features"])
+    return out.select("task", "model", "params", "n_folds", F.round("train", 9).alias("train"), F.round("test", 9).alias("test"), "chosen")
+
+
+@query("risk_tuning")
+def q_risk_tuning(spark, d):
+    """Depths of the tree and penalties of the logistic regression on all predictors."""
+    return rmod.risk_tuning(spark, d)
+
+
+@query("risk_tuned")
+def q_risk_tuned(spark, d):
+    """Test metrics of the chosen settings, fitted on all training rows."""
+    return rmod.run_risk_tuned(spark, d)

@@ -12,6 +12,7 @@ from ..operators import explain as ex
 from ..operators import metrics as mt
 from ..operators import models as md
 from ..operators import probability as pb
+from ..operators import tuning as tn
 from ..session import checkpoint_dir, scratch_path
 from . import risk
 
@@ -147,3 +148,26 @@ def risk_importance(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("
         part = ex.grouped_importance(rows, classify, risk.TARGET, PREDICTORS, "task", risk.KEY).withColumn("model", F.lit(m))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---------------------------------------------------------------- tuning
+
+#: Settings of the tuning grid: depths of the tree, penalties of the logistic regression.
+SETTINGS = [("decision_tree", {"depth": 2}), ("decision_tree", {"depth": 5}), ("glmnet", {"reg": 0.1}), ("glmnet", {"reg": 0.001})]
+
+
+def risk_tuning(spark: SparkSession, sf_dir: str, settings=SETTINGS, features: Sequence[str] | None = None, **kw) -> DataFrame:
+    """Mean train and test measure of every setting per task over the folds of the training rows, the best one marked."""
+    rm, juiced, _ = risk.prepared(spark, sf_dir)
+    tasks = [g for g in rm.groups if g is not None]
+    return tn.tune(juiced, features or md.feature_columns(rm), settings, tasks, risk.TASK_COL, risk.TARGET, risk.KEY, rows=rm.rows_hint, **kw)
+
+
+def run_risk_tuned(spark: SparkSession, sf_dir: str, settings=SETTINGS, features: Sequence[str] | None = None, **kw) -> DataFrame:
+    """The RISK pipeline with each task's chosen settings: test metrics of every (task, model)."""
+    rm, juiced, baked = risk.prepared(spark, sf_dir)
+    feats = features or md.feature_columns(rm)
+    tasks = [g for g in rm.groups if g is not None]
+    confusion = tn.tuning_confusion(juiced, feats, settings, tasks, risk.TASK_COL, risk.TARGET, risk.KEY, rows=rm.rows_hint, **kw)
+    fitted = tn.refit_chosen(juiced, feats, settings, tn.choose(confusion), risk.TASK_COL, risk.TARGET, risk.KEY, rows=rm.rows_hint)
+    return mt.metrics_from_confusion(grid_confusion(fitted, baked))

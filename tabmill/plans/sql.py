@@ -636,6 +636,33 @@ from risk_baked b join group_majority m on m.task = b.display_text and m.female
 define("majority_metrics", ["majority_preds"], class_metrics_sql("majority_preds", ["task"]))
 
 
+# ------------------------------------------------------------------ tuning: trees of depth 0 and 1 on one 0/1 predictor
+
+define("tune_cells", ["risk_juiced"], """
+select display_text as task, sex_code_text_female as x, score_text as y, count(*) as n,
+  ('0x' || substr(md5(concat_ws('|', cast(assessment_id as varchar), '4')), 1, 8))::bigint % 4 as fold
+from risk_juiced group by all
+""")
+define("tune_out", ["tune_cells"], "select c.*, k from tune_cells c, (select unnest(range(0, 4)) as k)")
+define("tune_most", ["tune_out"], """
+select task, k, y as most from tune_out where fold <> k group by task, k, y
+qualify row_number() over (partition by task, k order by sum(n) desc, y) = 1
+""")
+define("tune_most_by_x", ["tune_out"], """
+select task, k, x, y as most from tune_out where fold <> k group by task, k, x, y
+qualify row_number() over (partition by task, k, x order by sum(n) desc, y) = 1
+""")
+define("tune_means", ["tune_out", "tune_most", "tune_most_by_x"], """
+select task, setting, count(*) as n_folds, round(avg(train), 12) as train, round(avg(test), 12) as test from (
+  select c.task, s.setting, c.k,
+    sum(n) filter (where y = if(setting = 0, a.most, coalesce(b.most, a.most)) and fold <> c.k) / sum(n) filter (where fold <> c.k) as train,
+    coalesce(sum(n) filter (where y = if(setting = 0, a.most, coalesce(b.most, a.most)) and fold = c.k), 0) / sum(n) filter (where fold = c.k) as test
+  from tune_out c join tune_most a on a.task = c.task and a.k = c.k left join tune_most_by_x b on b.task = c.task and b.k = c.k and b.x = c.x,
+    (select unnest(range(0, 2)) as setting) s
+  group by all) group by all
+""")
+
+
 # ------------------------------------------------------------------ least squares from fold moments
 
 def fold_gram_sql(numeric: list[str], nominal: list[str]) -> str:
