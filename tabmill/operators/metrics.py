@@ -19,9 +19,11 @@ def _g(group: Iterable[str]) -> list[str]:
 
 
 def confusion_matrix(pred: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",
-                     estimate: str = "estimate") -> DataFrame:
+                     estimate: str = "estimate", counts: str | None = None) -> DataFrame:
+    """Rows per group, true and predicted class; ``counts`` names the number of rows that a row stands for."""
     g = _g(group)
-    return pred.groupBy(*g, truth, estimate).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    n = F.count(F.lit(1)) if counts is None else F.sum(counts)
+    return pred.groupBy(*g, truth, estimate).agg(n.cast("bigint").alias("n"))
 
 
 def confusion_summary(conf: DataFrame, group: Iterable[str] = ("task", "model"), truth: str = "truth",

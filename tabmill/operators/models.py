@@ -8,11 +8,16 @@ an MLlib model and for a fixed formula.
 Grid fits run on the driver as a loop over (task, model) -- a bounded number of
 Spark jobs -- over a training frame that is persisted once and released in
 ``finally``.  Several fits are submitted concurrently from a small thread pool
-so that small fits do not leave executors idle.
+so that small fits do not leave executors idle; frames of many partitions are fitted one
+after another, as each fit keeps its own copy of the rows.
+
+Learners that draw no rows (``COUNTED``) depend on them only through how often each
+combination of features and class occurs: they are fitted on the distinct combinations, weighted by their counts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -42,6 +47,16 @@ CLASSIFIER_NAMES = ["random_forest", "decision_tree", "xgboost", "glmnet"]
 REGRESSOR_NAMES = ["regr.lm", "regr.rpart", "regr.ranger"]
 
 
+# Learners without bagging: fitted on distinct rows with their counts.
+COUNTED = ["decision_tree", "xgboost", "glmnet"]
+COUNT = "_count"
+
+
+def counted_rows(df: DataFrame, by: Iterable[str], n: str | None = None) -> DataFrame:
+    """Distinct values of ``by`` with the number of their rows (the sum of ``n``, if given) in ``COUNT``: partial aggregation, all rows."""
+    return df.groupBy(*dict.fromkeys(by)).agg((F.count(F.lit(1)) if n is None else F.sum(n)).cast("bigint").alias(COUNT))
+
+
 def classifier(name: str, seed: int = 7, num_trees: int = 100, boost_rounds: int = 15, reg: float = 0.001, bagging: bool = True,
                depth: int | None = None):
     """Estimator for a classification model name (features -> label).  Without ``bagging`` a forest's trees see all rows and features;
@@ -94,7 +109,7 @@ def encode(rm: RecipeModel, df: DataFrame) -> DataFrame:
 ROWS_PER_PARTITION = 500_000
 
 
-def stable_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PARTITION,
+def stable_layout(df: DataFrame, key: str | Sequence[str], rows_per_partition: int = ROWS_PER_PARTITION,
                   rows: int | None = None) -> DataFrame:
     """Persisted training layout: hash-partitioned on the key, sorted within partitions.
 
@@ -111,7 +126,8 @@ def stable_layout(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PA
         rows = staged.count()
     try:
         n = max(1, -(-rows // rows_per_partition))
-        laid = df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
+        keys = [key] if isinstance(key, str) else list(key)
+        laid = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
         laid.count()
     finally:
         if staged is not None:
@@ -176,7 +192,7 @@ class FittedClassifier:
         return score
 
 
-def classification_pipeline(features: list[str], target: str, name: str, seed: int = 7, **kw):
+def classification_pipeline(features: list[str], target: str, name: str, seed: int = 7, counts: str | None = None, **kw):
     indexer = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="error")
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
@@ -184,58 +200,111 @@ def classification_pipeline(features: list[str], target: str, name: str, seed: i
         .setPredictionCol("_pred_index")
     if not isinstance(est, OneVsRest):
         est = est.setProbabilityCol("_prob")
+    if counts is not None:
+        est = est.setWeightCol(counts)
     return indexer, assembler, est
 
 
+def weighted_spread(train: DataFrame, counts: str) -> float:
+    """How much larger MLlib's standard deviation of distinct rows weighted by ``counts`` is than that of the rows themselves: its
+    variance divides by ``n - sum(w^2) / n`` instead of ``n - 1``, the same for every feature."""
+    w = F.col(counts).cast("double")
+    n, squares = train.agg(F.sum(w), F.sum(w * w)).first()
+    left = n - squares / n if n else 0.0
+    return math.sqrt((n - 1.0) / left) if n and n > 1.0 and left > 0.0 else 1.0
+
+
 def fit_classifier(train: DataFrame, features: list[str], target: str, name: str, task: str | None = None,
-                   seed: int = 7, **kw) -> FittedClassifier:
-    indexer, assembler, est = classification_pipeline(features, target, name, seed, **kw)
+                   seed: int = 7, counts: str | None = None, **kw) -> FittedClassifier:
+    """``counts`` names the column with the number of rows that each row of ``train`` stands for (learners of ``COUNTED`` only)."""
+    if counts is not None and name not in COUNTED:
+        raise ValueError(f"{name} draws rows: it cannot be fitted on counts")
+    indexer, assembler, est = classification_pipeline(features, target, name, seed, counts, **kw)
+    penalty = None
+    if counts is not None and name == "glmnet" and est.getRegParam():
+        penalty = est.getRegParam()  # acts on coefficients in units of the spread: kept the same as on the rows
+        est = est.setRegParam(penalty / weighted_spread(train, counts))
     idx_model = indexer.fit(train)
     labels = list(idx_model.labels)
     back = IndexToString(inputCol="_pred_index", outputCol="_estimate", labels=labels)
     pipe = Pipeline(stages=[idx_model, assembler, est, back]).fit(train)
+    if penalty is not None:
+        fitted = pipe.stages[2]
+        fitted.set(fitted.getParam("regParam"), penalty)
     return FittedClassifier(task, name, pipe, labels)
 
 
-def grid_threads(spark, jobs: int, threads: int | None = None) -> int:
+def grid_threads(spark, jobs: int, threads: int | None = None, partitions: int = 1) -> int:
     """Concurrent fits: by default as many as the cluster runs tasks at once (each small
-    fit occupies one partition's worth of cores), never more than there are fits."""
-    want = threads or max(4, spark.sparkContext.defaultParallelism)
+    fit occupies one partition's worth of cores), fewer over frames of many ``partitions``, never more than there are fits."""
+    cores = spark.sparkContext.defaultParallelism
+    want = threads or min(max(4, cores), -(-2 * cores // max(1, partitions)))
     return max(1, min(want, jobs))
 
 
+def fit_frames(prepared: DataFrame, feats: Sequence[str], models: Iterable[str], task_col: str, target: str, key: str,
+               rows: int | None = None, also: Sequence[str] = ()) -> dict[bool, DataFrame]:
+    """The persisted frames that fits read: the rows laid out by key (``False``, for learners that draw rows) and their distinct combinations
+    with counts (``True``).  Only those that ``models`` need; ``also`` are further columns.  Caller unpersists."""
+    out, cols = {}, list(dict.fromkeys([*also, task_col, target, *feats]))
+    if any(m not in COUNTED for m in models):
+        out[False] = stable_layout(prepared, key, rows=rows)
+    if any(m in COUNTED for m in models):
+        try:
+            out[True] = stable_layout(counted_rows(prepared, cols), cols)
+        except BaseException:
+            for frame in out.values():
+                frame.unpersist()
+            raise
+    return out
+
+
 def fit_grid(prepared: DataFrame, rm: RecipeModel, tasks: Iterable[str], models: Iterable[str],
              task_col: str, target: str, key: str, threads: int | None = None, seed: int = 7,
              features: Sequence[str] | None = None, **kw) -> dict[tuple[str, str], FittedClassifier]:
     """Fit every model on every task's prepared training rows, on all predictors unless ``features`` names some.
 
-    ``prepared`` holds all tasks (one pass of preparation); it is laid out by key and
+    ``prepared`` holds all tasks (one pass of preparation); the frames of :func:`fit_frames` are
     persisted for the duration of the grid, then released.
     """
     feats = list(features) if features is not None else feature_columns(rm)
-    base = stable_layout(prepared, key, rows=rm.rows_hint)
+    models = list(models)
+    frames = fit_frames(prepared, feats, models, task_col, target, key, rm.rows_hint)
     try:
         jobs = [(t, m) for t in tasks for m in models]
 
         def run(tm):
             t, m = tm
-            return tm, fit_classifier(base.filter(F.col(task_col) == t), feats, target, m, t, seed, **kw)
+            counted = m in COUNTED
+            return tm, fit_classifier(frames[counted].filter(F.col(task_col) == t), feats, target, m, t, seed,
+                                      COUNT if counted else None, **kw)
 
-        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(jobs), threads)) as pool:
-            return dict(pool.map(run, jobs))
+        return run_fits(frames, jobs, lambda tm: tm[1] in COUNTED, run, threads)
     finally:
-        base.unpersist()
+        for frame in frames.values():
+            frame.unpersist()
+
+
+def run_fits(frames: dict[bool, DataFrame], jobs: Sequence, counted: Callable, run: Callable, threads: int | None = None) -> dict:
+    """``{job: run(job)}`` in the order of ``jobs``; the fits of each frame share a pool that suits its partitions."""
+    found = {}
+    for kind, frame in frames.items():
+        own = [j for j in jobs if counted(j) == kind]
+        with ThreadPoolExecutor(max_workers=grid_threads(frame.sparkSession, len(own), threads, frame.rdd.getNumPartitions())) as pool:
+            found.update(pool.map(run, own))
+    return {j: found[j] for j in jobs}
 
 
 def predict_grid(fitted: dict[tuple[str, str], FittedClassifier], test: DataFrame, task_col: str, target: str,
-                 key: str, set_name: str = "test", probs: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+                 key: str | None, set_name: str = "test", probs: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Stack every (task, model) prediction: ``task, model, set, key, truth, estimate``, the class probabilities
-    (``probs``) if wanted, and the columns of ``keep``."""
+    (``probs``) if wanted, and the columns of ``keep``.  Without a ``key`` that column is left out."""
     parts = []
     for (t, m), fc in fitted.items():
         rows = test.filter(F.col(task_col) == t)
-        pred = (fc.predict_probs if probs else fc.predict)(rows, [key, target, *keep]).select(
-            F.lit(t).alias("task"), F.lit(m).alias("model"), F.lit(set_name).alias("set"), F.col(key),
+        own = [key] if key is not None else []
+        pred = (fc.predict_probs if probs else fc.predict)(rows, [*own, target, *keep]).select(
+            F.lit(t).alias("task"), F.lit(m).alias("model"), F.lit(set_name).alias("set"), *own,
             F.col(target).alias("truth"), F.col("estimate"), *(["probs"] if probs else []), *keep)
         parts.append(pred)
     out = parts[0]
@@ -283,7 +352,7 @@ def fit_regressors(train: DataFrame, rm: RecipeModel, target: str, key: str, nam
     base = stable_layout(train, key)
     try:
         names = list(names)
-        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(names), threads)) as pool:
+        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(names), threads, base.rdd.getNumPartitions())) as pool:
             return dict(pool.map(lambda n: (n, fit_regressor(base, rm, target, n, seed, **kw)), names))
     finally:
         base.unpersist()
@@ -304,7 +373,7 @@ def fit_fold_grid(foldded: DataFrame, rm: RecipeModel, target: str, key: str, fo
             n, k = job
             return job, fit_regressor(base.filter(F.col(fold_col) != k).drop(fold_col), rm, target, n, seed, **kw)
 
-        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(jobs), threads)) as pool:
+        with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(jobs), threads, base.rdd.getNumPartitions())) as pool:
             return dict(pool.map(run, jobs))
     finally:
         base.unpersist()

@@ -1,6 +1,7 @@
 """Tuning of classifiers: parameter settings x folds x tasks over one laid-out frame.
 
-Every fit is a distributed MLlib fit on the rows outside one fold; it scores all rows of its task once, and only the confusion
+Every fit is a distributed MLlib fit on the rows outside one fold (on their distinct combinations and counts where the learner draws no
+rows); it scores all rows of its task, each combination of fold, class and features once, and only the confusion
 counts of both sides (at most 2 x classes^2 rows) leave the job.  Folds come from the keyed hash, so they are the same in every run.
 
 Defined cases: a fold without rows of a task, or one that holds all of them, is left out for that task; a task without usable folds has no
@@ -10,7 +11,6 @@ rows in the result; equal measures are won by the earlier setting; the key may r
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,10 +33,13 @@ def tuning_confusion(prepared: DataFrame, features: Sequence[str], settings: Seq
     fit's own rows; ``test``: the fold left out)."""
     spark = prepared.sparkSession
     frame = sp.cv_folds(prepared.select(*dict.fromkeys([key, task_col, target, *features])), key, folds, fold_seed, "_fold")
-    base = md.stable_layout(frame, key, rows=rows)
+    names = [name for name, _ in settings]
+    # the counted frame is always made: it is what the fits are scored on
+    frames = md.fit_frames(frame, features, [*names, md.COUNTED[0]], task_col, target, key, rows, ["_fold"])
+    counted = frames[True]
     try:
-        sizes = {(r["task"], r["fold"]): r["n"] for r in base.groupBy(F.col(task_col).alias("task"), F.col("_fold").alias("fold"))
-                 .agg(F.count(F.lit(1)).alias("n")).collect()}  # tasks x folds rows
+        sizes = {(r["task"], r["fold"]): r["n"] for r in counted.groupBy(F.col(task_col).alias("task"), F.col("_fold").alias("fold"))
+                 .agg(F.sum(md.COUNT).alias("n")).collect()}  # tasks x folds rows
         tasks = list(tasks)
         usable = {t: [k for k in range(folds) if 0 < sizes.get((t, k), 0) < sum(sizes.get((t, j), 0) for j in range(folds))] for t in tasks}
         jobs = [(t, i, k) for t in tasks for i in range(len(settings)) for k in usable[t]]
@@ -44,18 +47,21 @@ def tuning_confusion(prepared: DataFrame, features: Sequence[str], settings: Seq
         def run(job):
             t, i, k = job
             name, params = settings[i]
-            own = base.where(F.col(task_col) == t)
-            fit = md.fit_classifier(own.where(F.col("_fold") != k), list(features), target, name, t, seed, **params)
+            own = frames[name in md.COUNTED].where(F.col(task_col) == t)
+            fit = md.fit_classifier(own.where(F.col("_fold") != k), list(features), target, name, t, seed,
+                                    md.COUNT if name in md.COUNTED else None, **params)
             side = F.when(F.col("_fold") == k, "test").otherwise("train")
             # classes that the fit has not seen stay as truth, they only count as misses
-            pred = fit.predict(own, ["_fold", target]).select(side.alias("set"), F.col(target).alias("truth"), "estimate")
-            counts = mt.confusion_matrix(pred, ["set"]).collect()
-            return [(t, name, i, k, r["set"], r["truth"], r["estimate"], r["n"]) for r in counts]
+            pred = fit.predict(counted.where(F.col(task_col) == t), ["_fold", target, md.COUNT]).select(
+                side.alias("set"), F.col(target).alias("truth"), "estimate", md.COUNT)
+            counts = mt.confusion_matrix(pred, ["set"], counts=md.COUNT).collect()
+            return job, [(t, name, i, k, r["set"], r["truth"], r["estimate"], r["n"]) for r in counts]
 
-        with ThreadPoolExecutor(max_workers=md.grid_threads(spark, max(1, len(jobs)), threads)) as pool:
-            found = [row for part in pool.map(run, jobs) for row in part]
+        done = md.run_fits(frames, jobs, lambda job: names[job[1]] in md.COUNTED, run, threads)
+        found = [row for part in done.values() for row in part]
     finally:
-        base.unpersist()
+        for f in frames.values():
+            f.unpersist()
     return spark.createDataFrame(found, CONFUSION)
 
 
@@ -83,13 +89,15 @@ def refit_chosen(prepared: DataFrame, features: Sequence[str], settings: Sequenc
                  task_col: str, target: str, key: str, rows: int | None = None, seed: int = 7) -> dict[tuple[str, str], md.FittedClassifier]:
     """Each task's chosen setting of each model fitted on all rows of the task: {(task, model): fit}, as a grid of fits."""
     wanted = [(r["task"], r["model"], r["setting"]) for r in chosen.where("chosen").select("task", "model", "setting").collect()]
-    base = md.stable_layout(prepared, key, rows=rows)
+    frames = md.fit_frames(prepared, features, [m for _, m, _ in wanted], task_col, target, key, rows)
     try:
         def run(job):
             t, m, i = job
-            return (t, m), md.fit_classifier(base.where(F.col(task_col) == t), list(features), target, m, t, seed, **settings[i][1])
+            counted = m in md.COUNTED
+            return job, md.fit_classifier(frames[counted].where(F.col(task_col) == t), list(features), target, m, t, seed,
+                                          md.COUNT if counted else None, **settings[i][1])
 
-        with ThreadPoolExecutor(max_workers=md.grid_threads(base.sparkSession, max(1, len(wanted)))) as pool:
-            return dict(pool.map(run, wanted))
+        return {job[:2]: fit for job, fit in md.run_fits(frames, wanted, lambda job: job[1] in md.COUNTED, run).items()}
     finally:
-        base.unpersist()
+        for f in frames.values():
+            f.unpersist()

@@ -38,13 +38,14 @@ def checkpointed_predictions(fitted, baked: DataFrame, **kw) -> DataFrame:
 
 
 def grid_confusion(fitted, baked: DataFrame) -> DataFrame:
-    """Confusion counts of every (task, model) on the persisted test rows, aggregated straight from the predictions;
-    only the counts (tasks x models x classes^2 rows) are written."""
+    """Confusion counts of every (task, model) on the test rows.  Rows alike in class and features have the same prediction: each such
+    combination is scored once and counted as often as it occurs; only the counts (tasks x models x classes^2 rows) are written."""
     checkpoint_dir(baked.sparkSession)
-    test = baked.persist(StorageLevel.MEMORY_AND_DISK)
+    feats = [c for f in fitted.values() for c in f.features]
+    test = md.counted_rows(baked, [risk.TASK_COL, risk.TARGET, *feats]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        preds = md.predict_grid(fitted, test, risk.TASK_COL, risk.TARGET, risk.KEY)
-        return mt.confusion_matrix(preds).checkpoint(eager=True)
+        preds = md.predict_grid(fitted, test, risk.TASK_COL, risk.TARGET, None, keep=[md.COUNT])
+        return mt.confusion_matrix(preds, counts=md.COUNT).checkpoint(eager=True)
     finally:
         test.unpersist()
 
