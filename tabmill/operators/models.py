@@ -34,10 +34,17 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
+    DecisionTreeRegressor,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .forest import ForestTables, parse_trees
 from .recipe import RecipeModel
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -322,9 +329,27 @@ class FittedRegressor:
     model: PipelineModel
     recipe_model: RecipeModel
 
+    def tables(self) -> ForestTables | None:
+        """Lookup tables of a tree or forest (None: another learner, or trees that don't fit them)."""
+        rm, est = self.recipe_model, self.model.stages[-1]
+        if rm.recipe.group or not isinstance(est, (DecisionTreeRegressionModel, RandomForestRegressionModel)):
+            return None
+        trees, feats = parse_trees(est.toDebugString), feature_columns(rm)
+        if trees is None or not feats:
+            return None
+        nominal = {c: lv for c in rm.roles["nominal"] if (lv := rm.union_levels(c))}
+        return ForestTables.of(trees, feats, rm.roles["numeric"], nominal, rm.dummy_map())
+
     def scorer(self) -> Scorer:
-        """Scorer over raw (cleaned) rows: encode, assemble, predict; keeps all input columns."""
+        """Scorer over raw (cleaned) rows: encode, assemble, predict; keeps all input columns.  Trees score by their lookup tables."""
         feats = feature_columns(self.recipe_model)
+        tables = self.tables()
+        if tables is not None:
+            def look_up(df: DataFrame) -> DataFrame:
+                return tables.score(df.drop("prediction"))
+
+            look_up.features = feats  # type: ignore[attr-defined]
+            return look_up
 
         def score(df: DataFrame) -> DataFrame:
             cols = df.columns
