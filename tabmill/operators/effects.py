@@ -128,7 +128,8 @@ def level_distances(df: DataFrame, features: Sequence[str] | None = None, others
             "feature", "level_a", "level_b", F.coalesce(name, F.lit(1.0)).alias("apart"))
 
     if categories:
-        counts = _by_level(df, nominal, {c: F.col(c) for c in categories}, "string")
+        # read by the totals and by both sides of the pairs: levels x bins rows, counted once
+        counts = materialize(_by_level(df, nominal, {c: F.col(c) for c in categories}, "string"))
         totals = counts.groupBy("feature", "level", "other").agg(F.sum("n").alias("total"))
         shares = counts.join(totals, ["feature", "level", "other"]).select("feature", "level", "other", "bin", (F.col("n") / F.col("total")).alias("p"))
         common = both(shares, ["feature", "other", "bin"], "p").groupBy("feature", "level_a", "level_b", "other").agg(
@@ -137,7 +138,7 @@ def level_distances(df: DataFrame, features: Sequence[str] | None = None, others
     breaks = {c: quantile_breaks(df, c, quantiles) for c in numeric}
     breaks = {c: b for c, b in breaks.items() if b}
     if breaks:
-        counts = _by_level(df, nominal, {c: _bin(F.col(c), b) for c, b in breaks.items()}, "int")
+        counts = materialize(_by_level(df, nominal, {c: _bin(F.col(c), b) for c, b in breaks.items()}, "int"))
         cells = counts.groupBy("feature", "level", "other").agg(F.collect_list(F.struct("bin", "n")).alias("cells"), F.sum("n").alias("total"))
         upto = F.transform(F.sequence(F.lit(1), F.lit(max(map(len, breaks.values())))), lambda k: F.aggregate(
             F.filter("cells", lambda c: c["bin"] <= k), F.lit(0).cast("bigint"), lambda s, c: s + c["n"]) / F.col("total"))

@@ -58,3 +58,18 @@ def test_large_frames_are_fitted_one_by_one(spark):
     assert md.grid_threads(spark, 12, partitions=1) == min(12, max(4, cores))
     assert md.grid_threads(spark, 12, partitions=2 * cores) == 1
     assert md.grid_threads(spark, 12, threads=3, partitions=2 * cores) == 3
+
+
+def test_level_counts_are_made_once(spark, monkeypatch):
+    from tabmill.operators import effects as ef
+
+    df = spark.createDataFrame([(i, "abc"[i % 3], "de"[i % 2], float(i)) for i in range(30)], "id long, c string, d string, x double")
+    written, real = [], ef.materialize
+
+    def keep(frame):
+        written.append(frame.columns)
+        return real(frame)
+
+    monkeypatch.setattr(ef, "materialize", keep)
+    assert ef.level_distances(df).count() == 4
+    assert written == [["feature", "level", "other", "bin", "n"]] * 2
