@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,12 +66,16 @@ def level_shares(df: DataFrame, cols: Iterable[str], share: float) -> dict[str,
     """Per column the levels whose share of the non-null values exceeds ``share``; shares are computed on the
     executors and only those levels are collected."""
     cols = list(cols)
-    counts = level_counts(df, cols)
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("levels"))
-    frequent = F.col("n") / F.col("total") > F.lit(float(share))
-    rows = counts.join(totals, "column").filter(frequent).select("column", "level", "n").collect()
+    counts = level_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)  # counted once, read three times
+    try:
+        totals = counts.groupBy("column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("levels"))
+        frequent = F.col("n") / F.col("total") > F.lit(float(share))
+        rows = counts.join(totals, "column").filter(frequent).select("column", "level", "n").collect()
+        sums = totals.collect()
+    finally:
+        counts.unpersist()
     out = {c: LevelShares() for c in cols}
-    for r in totals.collect():
+    for r in sums:
         out[r["column"]] = LevelShares({}, int(r["levels"]), int(r["total"]))
     for r in rows:
         out[r["column"]].frequent[r["level"]] = int(r["n"])

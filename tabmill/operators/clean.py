@@ -59,12 +59,13 @@ def combine(raw: DataFrame, factor_list: Iterable[str] = HOUSE_FACTOR_LIST, perc
     x = type_columns(raw, factor_list)
     if id_col not in x.columns:
         raise ValueError(f"key column {id_col!r} is required")
+    # read by the null shares, the level counts and the result: what made the rows runs once
+    x = materialize(x)
     kept = colops.kept_column_names(x, perc_miss, id_col)
     numeric = [c for c in colops.numeric_columns(x) if c in kept]
     factors = [c for c in colops.categorical_columns(x) if c in kept]
 
-    # read by the level counts and the result: written once, after the columns are chosen
-    x = materialize(x.select(id_col, *kept))
+    x = x.select(id_col, *kept)
     complete = x.na.drop("any", subset=kept)
     lumped, surviving = [], []
     for c, s in (cat.level_shares(complete, factors, perc_lump) if factors else {}).items():

@@ -9,6 +9,8 @@ Scale rules followed here:
   quantile breaks (<= grid_size + 1), the base loss (a scalar), the background
   sample (``m`` rows), the explained observations;
 * windows without a partition key run only on frames of at most grid_size rows.
+
+Given a :class:`stacked.Stacked` scorer, an operator reads each row once for all its learners and returns a ``learner`` column.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from . import columns as co
 from .categorical import level_dictionary
 from .models import Scorer
 from .split import background_sample, dense_row_id_counted, hash_hex_col, materialize, with_permuted_index
+from .stacked import Stacked
 
 # Defaults of the explanation methods.
 GRID_SIZE = 20
@@ -32,6 +35,11 @@ SHAPLEY_SAMPLES = 100
 LIME_K = 10
 
 
+def _by(scorer: Scorer) -> list[str]:
+    """Columns that tell the learners of a scorer apart."""
+    return ["learner"] if isinstance(scorer, Stacked) else []
+
+
 def _lits(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
@@ -57,6 +65,10 @@ def ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | Non
     ``feature, feature_val, y_hat, type='ice', id``.  Output size = rows x grid.
     """
     grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
+    if grid and _stacked_over(scorer, feature):
+        return scorer.curves(df, feature, grid, id_col).select(
+            "learner", F.lit(feature).alias("feature"), "feature_val", (F.col("prediction") / F.lit(float(scale))).alias("y_hat"),
+            F.lit("ice").alias("type"), "id")
     if not grid:
         grid_col = F.array().cast("array<double>")
     else:
@@ -64,20 +76,30 @@ def ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | Non
     stacked = df.withColumn(feature, F.explode(grid_col))
     scored = scorer(stacked)
     return scored.select(
-        F.lit(feature).alias("feature"), F.col(feature).cast("double").alias("feature_val"),
+        *_by(scorer), F.lit(feature).alias("feature"), F.col(feature).cast("double").alias("feature_val"),
         (F.col("prediction") / F.lit(float(scale))).alias("y_hat"), F.lit("ice").alias("type"),
         F.col(id_col).cast("bigint").alias("id"))
 
 
+def _stacked_over(scorer: Scorer, feature: str) -> bool:
+    """Whether points of a number can be scored without a row of their own."""
+    return isinstance(scorer, Stacked) and feature in scorer.numeric
+
+
 def pdp(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | None = None,
         grid_size: int = GRID_SIZE, id_col: str = "id", scale: float = 1.0) -> DataFrame:
     """Mean prediction per grid value (partial aggregation: grid-sized shuffle)."""
-    return _mean_curve(ice(df, scorer, feature, grid, grid_size, id_col, scale))
+    grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
+    if grid and _stacked_over(scorer, feature):
+        return scorer.curve_means(df, feature, grid).select(
+            "learner", F.lit(feature).alias("feature"), "feature_val", (F.col("prediction") / F.lit(float(scale))).alias("y_hat"),
+            F.lit("pdp").alias("type"), F.lit(None).cast("bigint").alias("id"))
+    return _mean_curve(ice(df, scorer, feature, grid, grid_size, id_col, scale), _by(scorer))
 
 
-def _mean_curve(curves: DataFrame) -> DataFrame:
-    return curves.groupBy("feature", "feature_val").agg(F.avg("y_hat").alias("y_hat")).select(
-        "feature", "feature_val", "y_hat", F.lit("pdp").alias("type"), F.lit(None).cast("bigint").alias("id"))
+def _mean_curve(curves: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return curves.groupBy(*by, "feature", "feature_val").agg(F.avg("y_hat").alias("y_hat")).select(
+        *by, "feature", "feature_val", "y_hat", F.lit("pdp").alias("type"), F.lit(None).cast("bigint").alias("id"))
 
 
 def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] | None = None,
@@ -88,13 +110,15 @@ def pdp_ice(df: DataFrame, scorer: Scorer, feature: str, grid: Sequence[float] |
     the result anyway) and aggregate the PDP from it -- for expensive scorers.
     ``one_pass=False``: ICE rows stream straight to the output and the PDP is a
     separate partially-aggregated pass, i.e. the model scores twice and nothing is
-    written -- for cheap scorers (a formula).  Rows that share an id keep a curve each.
+    written -- for cheap scorers (a formula, stacked learners).  Rows that share an id keep a curve each.
     """
     grid = list(grid) if grid is not None else equal_grid(df, feature, grid_size)
     curves = ice(df, scorer, feature, grid, grid_size, id_col, scale)
+    if grid and _stacked_over(scorer, feature):
+        return curves.unionByName(pdp(df, scorer, feature, grid, grid_size, id_col, scale))
     if one_pass:
         curves = materialize(curves)
-    return curves.unionByName(_mean_curve(curves))
+    return curves.unionByName(_mean_curve(curves, _by(scorer)))
 
 
 def pdp_all(df: DataFrame, scorer: Scorer, features: Sequence[str] | None = None, grid_size: int = GRID_SIZE,
@@ -185,22 +209,28 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
     so rows never need pairing.  Accumulation and centring run on <= grid_size rows.
     Returns ``feature, feature_val, ale`` at every break.
     """
+    by = _by(scorer)
     breaks = quantile_breaks(df, feature, grid_size)
     if len(breaks) < 2:
-        return df.sparkSession.createDataFrame([], "feature string, feature_val double, ale double")
+        return df.sparkSession.createDataFrame([], "".join(f"{c} string, " for c in by) + "feature string, feature_val double, ale double")
     b = _lits(breaks)
-    rows = df.filter(F.col(feature).isNotNull()).withColumn("_k", interval_index(F.col(feature), breaks))
-    two = rows.withColumn("_hi", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
-        feature, F.when(F.col("_hi"), F.element_at(b, F.col("_k") + 1)).otherwise(F.element_at(b, F.col("_k"))))
-    scored = scorer(two)
-    p = F.col("prediction")
-    per = scored.groupBy("_k").agg(
-        (F.sum(F.when(F.col("_hi"), p).otherwise(-p)) / F.sum(F.col("_hi").cast("int"))).alias("delta"),
-        F.sum(F.col("_hi").cast("int")).alias("n"))
-    order = Window.orderBy("_k")
+    known = df.filter(F.col(feature).isNotNull())
+    if _stacked_over(scorer, feature):
+        per = scorer.edge_sums(known, feature, interval_index(F.col(feature), breaks), breaks).select(
+            *by, "_k", (F.col("total") / F.col("n")).alias("delta"), "n")
+    else:
+        rows = known.withColumn("_k", interval_index(F.col(feature), breaks))
+        two = rows.withColumn("_hi", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
+            feature, F.when(F.col("_hi"), F.element_at(b, F.col("_k") + 1)).otherwise(F.element_at(b, F.col("_k"))))
+        scored = scorer(two)
+        p = F.col("prediction")
+        per = scored.groupBy(*by, "_k").agg(
+            (F.sum(F.when(F.col("_hi"), p).otherwise(-p)) / F.sum(F.col("_hi").cast("int"))).alias("delta"),
+            F.sum(F.col("_hi").cast("int")).alias("n"))
+    every = Window.partitionBy(*by)
+    order = every.orderBy("_k")
     acc = per.withColumn("f_hi", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     acc = acc.withColumn("f_lo", F.coalesce(F.lag("f_hi").over(order), F.lit(0.0)))
-    every = Window.partitionBy()
     centre = F.sum(F.col("n") * (F.col("f_lo") + F.col("f_hi")) / 2.0).over(every) / F.sum("n").over(every)
     acc = acc.withColumn("_c", centre)
     pts = F.when(F.col("_k") == 1, F.array(
@@ -208,7 +238,7 @@ def ale(df: DataFrame, scorer: Scorer, feature: str, grid_size: int = GRID_SIZE)
         F.struct(F.element_at(b, 2).alias("feature_val"), (F.col("f_hi") - F.col("_c")).alias("ale")),
     )).otherwise(F.array(
         F.struct(F.element_at(b, F.col("_k") + 1).alias("feature_val"), (F.col("f_hi") - F.col("_c")).alias("ale"))))
-    return acc.select(F.lit(feature).alias("feature"), F.inline(pts))
+    return acc.select(*by, F.lit(feature).alias("feature"), F.inline(pts))
 
 
 def ale_all(df: DataFrame, scorer: Scorer, features: Sequence[str] | None = None, grid_size: int = GRID_SIZE,
@@ -242,27 +272,45 @@ def permutation_importance(df: DataFrame, scorer: Scorer, target: str, features:
     importance_95, permutation_error, display_order`` (top ``top`` by importance,
     ties kept).
     """
-    features = list(features)
-    df = df.select(key, target, *features)
-    base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
-    dense, n = indexed if indexed is not None else indexed_rows(df, key)
-    donors = dense.select((F.col("_i") - 1).alias("_j"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
-    reps = dense.select("_i", key, target, *features, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
-    placed = with_permuted_index(reps, F.col("_i") - 1, n, [f"{seed}:{r}" for r in range(repetitions)], F.col("_rep"))
-    wide = placed.join(donors, "_j")
-    variants = F.array(*[
-        F.struct(F.lit(f).alias("_feature"),
-                 *[(F.col(f"_d_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(features)])
-        for f in features])
-    long = wide.select("_rep", key, target, F.inline(variants))
-    scored = scorer(long)
-    errs = scored.groupBy("_feature", "_rep").agg(F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("err"))
-    ratio = F.try_divide(F.col("err"), F.lit(float(base_loss)))
-    summary = errs.groupBy(F.col("_feature").alias("feature")).agg(
+    features, by = list(features), _by(scorer)
+    seeds = [f"{seed}:{r}" for r in range(repetitions)]
+    if by:
+        errs = _stacked_errors(df, scorer, target, features, key, seeds)
+        base = F.max(F.when(F.col("_feature").isNull() & (F.col("_rep") == 0), F.col("err"))).over(Window.partitionBy(*by))
+        errs = errs.withColumn("_base", base).where(F.col("_feature").isNotNull())
+        ratio = F.try_divide(F.col("err"), F.col("_base"))
+    else:
+        df = df.select(key, target, *features)
+        base_loss = scorer(df).agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
+        dense, n = indexed if indexed is not None else indexed_rows(df, key)
+        donors = dense.select((F.col("_i") - 1).alias("_j"), *[F.col(f).alias(f"_d_{i}") for i, f in enumerate(features)])
+        reps = dense.select("_i", key, target, *features, F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("_rep"))
+        placed = with_permuted_index(reps, F.col("_i") - 1, n, seeds, F.col("_rep"))
+        wide = placed.join(donors, "_j")
+        variants = F.array(*[
+            F.struct(F.lit(f).alias("_feature"),
+                     *[(F.col(f"_d_{j}") if g == f else F.col(g)).alias(g) for j, g in enumerate(features)])
+            for f in features])
+        long = wide.select("_rep", key, target, F.inline(variants))
+        scored = scorer(long)
+        errs = scored.groupBy("_feature", "_rep").agg(F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("err"))
+        ratio = F.try_divide(F.col("err"), F.lit(float(base_loss)))
+    summary = errs.groupBy(*by, F.col("_feature").alias("feature")).agg(
         F.percentile(ratio, [0.05, 0.5, 0.95]).alias("_q"), F.percentile("err", 0.5).alias("permutation_error"))
-    out = summary.select("feature", F.col("_q")[0].alias("importance_05"), F.col("_q")[1].alias("importance"),
+    out = summary.select(*by, "feature", F.col("_q")[0].alias("importance_05"), F.col("_q")[1].alias("importance"),
                          F.col("_q")[2].alias("importance_95"), "permutation_error")
-    return top_features(out, top)
+    return top_features(out, top, group=by)
+
+
+def _stacked_errors(df: DataFrame, scorer: Stacked, target: str, features: Sequence[str], key: str, seeds: Sequence[str]) -> DataFrame:
+    """Errors of every learner from one join: rows and donors move as numbers, and a task exchanges one feature after the other."""
+    dense, n = indexed_rows(df.select(key, F.col(target).cast("double").alias("_y"), *scorer.packed("_c")), key)
+    own = scorer.packed_names("_c")
+    donors = dense.select((F.col("_i") - 1).alias("_j"), *[F.col(c).alias(d) for c, d in zip(own, scorer.packed_names("_d"))])
+    reps = dense.where(F.col("_y").isNotNull()).select("_i", "_y", *own, F.explode(F.sequence(F.lit(0), F.lit(len(seeds) - 1))).alias("_rep"))
+    placed = with_permuted_index(reps, F.col("_i") - 1, n, seeds, F.col("_rep"))
+    pairs = placed.drop("_i").join(donors, "_j").drop("_j")
+    return scorer.swap_errors(pairs, features, len(seeds))
 
 
 def grouped_importance(df: DataFrame, classify: Scorer, target: str, features: Sequence[str], group: str, key: str = "id",
@@ -302,15 +350,15 @@ def grouped_importance(df: DataFrame, classify: Scorer, target: str, features: S
                       F.col("_q")[2].alias("importance_95"), "permutation_error")
 
 
-def top_features(imp: DataFrame, top: int | None = 20, by: str = "importance", digits: int | None = 6) -> DataFrame:
-    """Top ``top`` rows by ``by`` with ties kept (rank), plus a display order (small frame)."""
+def top_features(imp: DataFrame, top: int | None = 20, by: str = "importance", digits: int | None = 6, group: Sequence[str] = ()) -> DataFrame:
+    """Top ``top`` rows by ``by`` with ties kept (rank), plus a display order (small frame), within each value of ``group``."""
     if digits is not None:
         imp = imp.select(*[F.round(c, digits).alias(c) if c.startswith("importance") else F.col(c)
                            for c in imp.columns])
-    w = Window.orderBy(F.desc(by), F.asc("feature"))
+    w = Window.partitionBy(*group).orderBy(F.desc(by), F.asc("feature"))
     out = imp.withColumn("display_order", F.row_number().over(w).cast("bigint"))
     if top is not None:
-        out = out.withColumn("_rank", F.rank().over(Window.orderBy(F.desc(by)))).filter(
+        out = out.withColumn("_rank", F.rank().over(Window.partitionBy(*group).orderBy(F.desc(by)))).filter(
             F.col("_rank") <= top).drop("_rank")
     return out
 
@@ -348,15 +396,16 @@ def shapley(df: DataFrame, scorer: Scorer, features: Sequence[str], observations
         *[F.when(F.array_position("_order", F.lit(f)) <= F.col("_t"), F.col(f"_x_{i}"))
           .otherwise(F.col(f"_z.{f}")).alias(f) for i, f in enumerate(features)])
     scored = scorer(chain)
-    w = Window.partitionBy("_obs", "_s").orderBy("_t")
-    contrib = scored.select("_obs", "_joined", (F.col("prediction") - F.lag("prediction").over(w)).alias("c")) \
+    by = _by(scorer)
+    w = Window.partitionBy(*by, "_obs", "_s").orderBy("_t")
+    contrib = scored.select(*by, "_obs", "_joined", (F.col("prediction") - F.lag("prediction").over(w)).alias("c")) \
         .filter(F.col("_joined").isNotNull())
-    phi = contrib.groupBy("_obs", "_joined").agg(F.avg("c").alias("phi"), F.var_samp("c").alias("phi_var"))
+    phi = contrib.groupBy(*by, "_obs", "_joined").agg(F.avg("c").alias("phi"), F.var_samp("c").alias("phi_var"))
     values = observations.select(F.col(key).alias("_obs"), F.inline(F.array(*[
         F.struct(F.lit(f).alias("_joined"), F.concat_ws("=", F.lit(f), F.col(f).cast("string")).alias("feature_value"))
         for f in features])))
     return phi.join(values, ["_obs", "_joined"]).select(
-        F.col("_obs").cast("bigint").alias("id"), F.col("_joined").alias("feature"), "feature_value", "phi", "phi_var")
+        *by, F.col("_obs").cast("bigint").alias("id"), F.col("_joined").alias("feature"), "feature_value", "phi", "phi_var")
 
 
 # ---------------------------------------------------------------- LIME (batch)
@@ -428,21 +477,24 @@ def lime_gram(df: DataFrame, scorer: Scorer, features: Sequence[str], observatio
     num = [f for f, x in zip(features, is_num) if x]
     rng = base.agg(*[(F.max(f) - F.min(f)).cast("double").alias(f) for f in num]).first() if num else None
     width = [(rng[f] or 1.0) if x else 1.0 for f, x in zip(features, is_num)]
-    scored = scorer(base).select(
+    by = _by(scorer)
+    names = scorer.names if by else [None]
+    scored = scorer.appended(df.na.drop("any", subset=features), "_ys") if by else scorer(base)
+    scored = scored.select(
         *[F.col(f).cast("double" if x else "string").alias(f"v{i}") for i, (f, x) in enumerate(zip(features, is_num))],
-        F.col("prediction").cast("double").alias("_y"))
+        *[(F.col("_ys")[m] if by else F.col("prediction").cast("double")).alias(f"y{m}") for m in range(len(names))])
     q = len(features)
     cells = [(i, j) for i in range(q + 2) for j in range(i, q + 2)]
 
     def partial_sums(batches):
-        total = np.zeros((len(obs), q + 2, q + 2))
+        total = np.zeros((len(obs), q + 1 + len(names), q + 1 + len(names)))
         for pdf in batches:
             if not len(pdf):
                 continue
-            cols, y = [pdf[f"v{i}"].to_numpy() for i in range(q)], pdf["_y"].to_numpy()
+            cols, ys = [pdf[f"v{i}"].to_numpy() for i in range(q)], [pdf[f"y{m}"].to_numpy() for m in range(len(names))]
             for o, (_, at) in enumerate(obs):
-                z = np.empty((len(pdf), q + 2))
-                z[:, 0], z[:, -1] = 1.0, y
+                z = np.empty((len(pdf), q + 1 + len(names)))
+                z[:, 0], z[:, q + 1:] = 1.0, np.column_stack(ys)
                 far = np.zeros(len(pdf))
                 for i in range(q):
                     if is_num[i]:
@@ -453,11 +505,13 @@ def lime_gram(df: DataFrame, scorer: Scorer, features: Sequence[str], observatio
                         far += 1.0 - same
                 total[o] += (z * (1.0 - far / q)[:, None]).T @ z
         for o, (ident, _) in enumerate(obs):
-            yield pd.DataFrame({"id": ident, "i": [i for i, _ in cells], "j": [j for _, j in cells],
-                                "value": [total[o, i, j] for i, j in cells]})
+            for m, name in enumerate(names):
+                own = [*range(q + 1), q + 1 + m]  # the design and this learner's predictions
+                yield pd.DataFrame({**({"learner": name} if by else {}), "id": ident, "i": [i for i, _ in cells], "j": [j for _, j in cells],
+                                    "value": [total[o, own[i], own[j]] for i, j in cells]})
 
-    parts = scored.mapInPandas(partial_sums, "id bigint, i int, j int, value double")
-    return parts.groupBy("id", "i", "j").agg(F.sum("value").alias("value"))
+    parts = scored.mapInPandas(partial_sums, "".join(f"{c} string, " for c in by) + "id bigint, i int, j int, value double")
+    return parts.groupBy(*by, "id", "i", "j").agg(F.sum("value").alias("value"))
 
 
 def incomplete_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -501,7 +555,9 @@ def lime(df: DataFrame, scorer: Scorer, features: Sequence[str], observations: D
             for f, x, v, b in zip(features, is_num, values[obs], beta):
                 if b != 0.0:
                     out.append((obs, f, f"{f}={v}", float(b), float(b * (float(v) if x else 1.0))))
-        return pd.DataFrame(out, columns=["id", "feature", "feature_value", "beta", "effect"])
+        found = pd.DataFrame(out, columns=["id", "feature", "feature_value", "beta", "effect"])
+        return found.assign(learner=pdf["learner"].iloc[0])[["learner", *found.columns]] if by else found
 
-    return lime_gram(df, scorer, features, observations, key).groupBy("id").applyInPandas(
-        solve, "id bigint, feature string, feature_value string, beta double, effect double")
+    by = _by(scorer)
+    return lime_gram(df, scorer, features, observations, key).groupBy(*by, "id").applyInPandas(
+        solve, "".join(f"{c} string, " for c in by) + "id bigint, feature string, feature_value string, beta double, effect double")

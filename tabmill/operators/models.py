@@ -38,6 +38,7 @@ from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
     LinearRegression,
+    LinearRegressionModel,
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from .forest import ForestTables, parse_trees
 from .recipe import RecipeModel
+from .stacked import MOST_CELLS, LinearTables, Stacked
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -337,8 +339,19 @@ class FittedRegressor:
         trees, feats = parse_trees(est.toDebugString), feature_columns(rm)
         if trees is None or not feats:
             return None
-        nominal = {c: lv for c in rm.roles["nominal"] if (lv := rm.union_levels(c))}
-        return ForestTables.of(trees, feats, rm.roles["numeric"], nominal, rm.dummy_map())
+        return ForestTables.of(trees, feats, rm.roles["numeric"], self._levels(), rm.dummy_map())
+
+    def _levels(self) -> dict[str, list[str]]:
+        rm = self.recipe_model
+        return {c: lv for c in rm.roles["nominal"] if (lv := rm.union_levels(c))}
+
+    def parts(self) -> ForestTables | LinearTables | None:
+        """The model as a sum of one part per column (None: it is none)."""
+        rm, est = self.recipe_model, self.model.stages[-1]
+        if isinstance(est, LinearRegressionModel) and not rm.recipe.group and (feats := feature_columns(rm)):
+            return LinearTables.of(est.coefficients.toArray(), est.intercept, feats, rm.roles["numeric"], self._levels(), rm.dummy_map())
+        tables = self.tables()
+        return tables if tables is not None and math.prod(tables.sizes) < MOST_CELLS else None
 
     def scorer(self) -> Scorer:
         """Scorer over raw (cleaned) rows: encode, assemble, predict; keeps all input columns.  Trees score by their lookup tables."""
@@ -362,19 +375,37 @@ class FittedRegressor:
         return score
 
 
+def scorers(fitted: dict[str, FittedRegressor]) -> list[tuple[str | None, Scorer]]:
+    """Scorers that cover every learner of one recipe: one for all that can be stacked (``None``: it names the learner itself), the others by name."""
+    parts = {n: f.parts() for n, f in fitted.items()}
+    together = {n: p for n, p in parts.items() if p is not None}
+    return ([(None, Stacked(together))] if together else []) + [(n, fitted[n].scorer()) for n, p in parts.items() if p is None]
+
+
 def fit_regressor(train: DataFrame, rm: RecipeModel, target: str, name: str, seed: int = 7,
                   **kw) -> FittedRegressor:
-    feats = feature_columns(rm)
-    assembler = VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="error")
-    est = regressor(name, seed=seed, **kw).setFeaturesCol("_features").setLabelCol(target) \
+    est = regressor(name, seed=seed, **kw).setFeaturesCol(FEATURES).setLabelCol(target) \
         .setPredictionCol("_prediction")
-    model = Pipeline(stages=[assembler, est]).fit(encode(rm, train))
-    return FittedRegressor(name, model, rm)
+    assembler = _assembler(rm)
+    model = est.fit(train if FEATURES in train.columns else assembler.transform(encode(rm, train)))
+    return FittedRegressor(name, PipelineModel([assembler, model]), rm)
+
+
+FEATURES = "_features"
+
+
+def _assembler(rm: RecipeModel) -> VectorAssembler:
+    return VectorAssembler(inputCols=feature_columns(rm), outputCol=FEATURES, handleInvalid="error")
+
+
+def assembled(train: DataFrame, rm: RecipeModel, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and the feature vector: learners that read the rows many times find them encoded."""
+    return _assembler(rm).transform(encode(rm, train)).select(*keep, FEATURES)
 
 
 def fit_regressors(train: DataFrame, rm: RecipeModel, target: str, key: str, names: Iterable[str] = REGRESSOR_NAMES,
-                   threads: int | None = None, seed: int = 7, **kw) -> dict[str, FittedRegressor]:
-    base = stable_layout(train, key)
+                   threads: int | None = None, seed: int = 7, rows: int | None = None, **kw) -> dict[str, FittedRegressor]:
+    base = stable_layout(assembled(train, rm, [key, target]), key, rows=rows)
     try:
         names = list(names)
         with ThreadPoolExecutor(max_workers=grid_threads(base.sparkSession, len(names), threads, base.rdd.getNumPartitions())) as pool:

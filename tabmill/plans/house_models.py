@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import linear as ln
@@ -32,7 +32,7 @@ def fit_house(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRES
     df = split_frame(spark, sf_dir)
     train = df.filter(F.col("set") == "train").drop("set")
     rm = recipe().fit(train)
-    return rm, md.fit_regressors(train, rm, house.TARGET, house.KEY, names, **kw), df
+    return rm, md.fit_regressors(train, rm, house.TARGET, house.KEY, names, rows=rm.rows_hint, **kw), df
 
 
 def house_predictions(spark: SparkSession, sf_dir: str, names: Sequence[str] = md.REGRESSOR_NAMES,
@@ -44,11 +44,15 @@ def house_predictions(spark: SparkSession, sf_dir: str, names: Sequence[str] = m
 
 def test_predictions(fitted: dict, tagged: DataFrame) -> DataFrame:
     test = tagged.filter(F.col("set") == "test").drop("set")
-    parts = [f.scorer()(test).select(F.lit(n).alias("learner"), house.KEY, F.col(house.TARGET).alias("truth"),
-                                     "prediction") for n, f in fitted.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    return by_learner(fitted, lambda score: score(test)).select("learner", house.KEY, F.col(house.TARGET).alias("truth"), "prediction")
+
+
+def by_learner(fitted: dict, run: Callable[[md.Scorer], DataFrame]) -> DataFrame:
+    """``run`` applied to the scorers of all learners, stacked under ``learner``."""
+    out = None
+    for name, score in md.scorers(fitted):
+        part = run(score) if name is None else run(score).select(F.lit(name).alias("learner"), "*")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -181,17 +185,27 @@ def fit_linear_1d(spark: SparkSession, sf_dir: str, x: str = house.FEATURE, y: s
 METHODS = ("importance", "pdp_ice", "ale", "shapley", "lime")
 
 
-def explain_fitted(rm, fitted: dict, df: DataFrame, method: str) -> DataFrame:
+def observed(df: DataFrame) -> DataFrame:
+    """The explained observation, written: several passes read it."""
+    return sp.materialize(sp.row_at_position(df, house.KEY, house.OBSERVATION))
+
+
+def explain_fitted(rm, fitted: dict, df: DataFrame, method: str, obs: DataFrame | None = None,
+                   grid: Sequence[float] | None = None) -> DataFrame:
     """One explanation method applied to every fitted learner over all rows of ``df``, stacked under ``learner``.
 
-    The explained features are the recipe's predictors; ``pdp_ice`` and ``ale`` explain ``house.FEATURE``."""
+    The explained features are the recipe's predictors; ``pdp_ice`` and ``ale`` explain ``house.FEATURE``; ``obs`` is made by :func:`observed`
+    and the ``grid`` of the curves by ``equal_grid`` if not given."""
     from ..operators import explain as ex
 
     features = rm.roles["numeric"] + rm.roles["nominal"]
-    obs = sp.row_at_position(df, house.KEY, house.OBSERVATION) if method in ("shapley", "lime") else None
-    indexed = ex.indexed_rows(df, house.KEY) if method == "importance" else None  # shared by all learners
+    if obs is None and method in ("shapley", "lime"):
+        obs = observed(df)
+    indexed = None  # made for learners that cannot be stacked, shared by them
+    if method == "importance" and any(name is not None for name, _ in md.scorers(fitted)):
+        indexed = ex.indexed_rows(df, house.KEY)
     run = {
-        "pdp_ice": lambda score: ex.pdp_ice(df, score, house.FEATURE),
+        "pdp_ice": lambda score: ex.pdp_ice(df, score, house.FEATURE, grid),
         "ale": lambda score: ex.ale(df, score, house.FEATURE),
         "importance": lambda score: ex.permutation_importance(df, score, house.TARGET, features, indexed=indexed),
         "shapley": lambda score: ex.shapley(df, score, features, obs),
@@ -199,11 +213,15 @@ def explain_fitted(rm, fitted: dict, df: DataFrame, method: str) -> DataFrame:
     }
     if method not in run:
         raise ValueError(f"unknown method {method!r}")
-    parts = [run[method](f.scorer()).select(F.lit(n).alias("learner"), "*") for n, f in fitted.items()]
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    return by_learner(fitted, run[method])
+
+
+def _as_text(x: Column, values: Sequence[float]) -> Column:
+    """``x`` cast to text; the text of each of ``values`` is a literal, not made again in every row."""
+    out = x.cast("string")
+    for v in values:
+        out = F.when(x == F.lit(v), F.lit(v).cast("string")).otherwise(out)
+    return out
 
 
 def explain_learners(spark: SparkSession, sf_dir: str, method: str, names: Sequence[str] = md.REGRESSOR_NAMES,
@@ -216,12 +234,15 @@ def explain_learners(spark: SparkSession, sf_dir: str, method: str, names: Seque
 def house_explained(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     """Test predictions and every explanation from ONE fit per learner, in long form:
     ``learner, method, feature, at, id, value``."""
+    from ..operators import explain as ex
+
     rm, fitted, tagged = fit_house(spark, sf_dir, **kw)
     df = tagged.drop("set")
+    obs, grid = observed(df), ex.equal_grid(df, house.FEATURE)
     none, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     value = {
         "importance": (F.col("feature"), text, none, F.col("importance")),
-        "pdp_ice": (F.col("feature"), F.col("feature_val").cast("string"), F.col("id"), F.col("y_hat")),
+        "pdp_ice": (F.col("feature"), _as_text(F.col("feature_val"), grid), F.col("id"), F.col("y_hat")),
         "ale": (F.col("feature"), F.col("feature_val").cast("string"), none, F.col("ale")),
         "shapley": (F.col("feature"), F.col("feature_value"), F.col("id"), F.col("phi")),
         "lime": (F.col("feature"), F.col("feature_value"), F.col("id"), F.col("beta")),
@@ -231,6 +252,6 @@ def house_explained(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
         F.col(house.KEY).cast("bigint").alias("id"), F.col("prediction").alias("value"))
     for method in METHODS:
         feature, at, ident, v = value[method]
-        out = out.unionByName(explain_fitted(rm, fitted, df, method).select(
+        out = out.unionByName(explain_fitted(rm, fitted, df, method, obs, grid).select(
             "learner", F.lit(method).alias("method"), feature.alias("feature"), at.alias("at"), ident.alias("id"), v.alias("value")))
     return out
